@@ -117,7 +117,7 @@ def profile_quantiles(
     """Rows (column, min, q05, q25, q50, q75, q95, max, range, iqr, cv, mad).
 
     The approximate form does all columns in two passes, the second for the median absolute
-    deviation. The exact form interpolates, and takes a few jobs per column.
+    deviation. The exact form interpolates; it runs its jobs when called, all columns together.
     """
     names = list(columns or numeric_columns(df))
     values = df.select(*[present(df, c).cast("double").alias(c) for c in names])
@@ -175,20 +175,15 @@ def _approx_quantiles(values: DataFrame, names: Sequence[str], accuracy: int) ->
 
 
 def _exact_quantiles(values: DataFrame, names: Sequence[str], accuracy: int) -> DataFrame:
-    frames = []
-    for c in names:
-        q = exact_quantiles(values, c, QUANTILES)
-        median = q.select(F.col("quantiles")[2].alias("m")).first()["m"]
-        deviation = values.select(F.abs(col(c) - F.lit(median)).alias("d"))
-        mad = exact_quantiles(deviation, "d", [0.5]).select(F.col("quantiles")[0].alias("mad"))
-        frames.append(
-            values.agg(F.lit(c).alias("column"), *_spread(c)).select(
-                "*",
-                q.select("quantiles").scalar().alias("q"),
-                mad.scalar().alias("mad"),
-            )
-        )
-    return reduce(DataFrame.unionAll, frames)
+    rows = [
+        (row["column"], row["quantiles"], row["mad"])
+        for row in exact_quantiles(values, names, QUANTILES)
+    ]
+    found = values.sparkSession.createDataFrame(
+        rows, "__column string, q array<double>, mad double"
+    )
+    spread = rows_of(values, [F.struct(F.lit(c).alias("column"), *_spread(c)) for c in names])
+    return spread.join(found, F.col("column") == F.col("__column"))
 
 
 def profile_moments(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -235,7 +230,9 @@ def profile_histogram(
         low, high = ends.select("low").scalar(), ends.select("high").scalar()
     counts = (
         values.select(
-            F.coalesce(F.least(F.width_bucket("v", low, high, F.lit(bins)), F.lit(bins)), F.lit(1))
+            # No bucket if all values are equal: they go to the first bin. The greatest value
+            # has a bucket of its own after the last bin, which it closes.
+            F.least(F.coalesce(F.width_bucket("v", low, high, F.lit(bins)), F.lit(1)), F.lit(bins))
             .cast("int")
             .alias("__bin")
         )

@@ -1,10 +1,11 @@
-"""Exact order statistics over a whole column without bringing it to one task.
+"""Exact order statistics over whole columns without bringing one to a single task.
 
 A window without partitions sorts everything in one task, and Spark's exact ``percentile``
-holds all distinct values in one buffer. Here values are counted first (equal values collapse
-before the shuffle), then split into ranges of similar size. Only the range totals, a few
-thousand rows, are summed up in one place; positions inside a range come from a window per
-range. The split points need not be exact: the result is the same for any of them.
+holds all distinct values in one buffer. Here every value gets the number of a range, ranges
+being of similar size, and values are counted (equal values collapse before the shuffle). Only
+the range totals, a few thousand rows, are summed up in one place; positions inside a range come
+from a window per range. The split points between ranges need not be exact: the result is the
+same for any of them.
 """
 
 from __future__ import annotations
@@ -12,66 +13,127 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
-# Bounds the driver-side list of split points and the broadcast of range totals.
+from starloom.functions.columns import col
+
+# Bounds the driver-side list of split points and the broadcast of range totals, per column.
 MAX_RANGES = 20_000
 
 
-def _split_points(df: DataFrame, columns: Sequence[str]) -> list[list[float]]:
-    """Finite split points per column, from one pass over the data (this is an action)."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles named v0, v1, ..., NaN as null."""
+    values = [col(c).cast("double") for c in columns]
+    return df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(values)])
+
+
+def _split_points(numbers: DataFrame) -> list[list[float]]:
+    """Finite split points of every column, from one pass over the data (this is an action)."""
+    wanted = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
     parts = max(64, min(wanted, MAX_RANGES))
-    quantiles = df.approxQuantile(
-        list(columns), [i / parts for i in range(1, parts)], 1 / (4 * parts)
+    quantiles = numbers.approxQuantile(
+        numbers.columns, [i / parts for i in range(1, parts)], 1 / (4 * parts)
     )
     infinities = (float("inf"), float("-inf"))
-    return [sorted({q for q in qs if q not in infinities}) for qs in quantiles]
+    return [sorted({q for q in qs if q not in infinities}) or [0.0] for qs in quantiles]
+
+
+def _with_ranges(numbers: DataFrame, splits: Sequence[Sequence[float]]) -> DataFrame:
+    """Add r0, r1, ...: which range of its column each value lies in."""
+    for i, points in enumerate(splits):
+        edges = [float("-inf"), *points, float("inf")]
+        numbers = Bucketizer(
+            splits=edges, inputCol=f"v{i}", outputCol=f"r{i}", handleInvalid="keep"
+        ).transform(numbers)
+    return numbers
+
+
+def _counted(ranged: DataFrame, columns: int, weight: str | None = None) -> DataFrame:
+    """Rows (c, range, value, n): how often each value occurs in column number ``c``."""
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("c"), F.col(f"r{i}").alias("range"), F.col(f"v{i}").alias("value")
+            )
+            for i in range(columns)
+        ]
+    )
+    amount = F.sum("w") if weight else F.count("*")
+    long = ranged.select(*([F.col(weight).alias("w")] if weight else []), F.inline(cells))
+    return long.filter("value IS NOT NULL").groupBy("c", "range", "value").agg(amount.alias("n"))
 
 
-def positions(counts: DataFrame, splits: Sequence[float]) -> DataFrame:
-    """From (value, n) to (value, n, n_before, total): how many rows lie before each value."""
-    edges = [float("-inf"), *(splits or [0.0]), float("inf")]
-    ranged = Bucketizer(splits=edges, inputCol="value", outputCol="range").transform(counts)
-    by_range = Window.orderBy("range")
-    totals = ranged.groupBy("range").agg(F.sum("n").alias("__in_range"))
-    # At most MAX_RANGES + 1 rows, whatever the size of the data.
+def _positions(counts: DataFrame) -> DataFrame:
+    """Add n_before, the rows of the column with smaller values, and total, all its rows."""
+    totals = counts.groupBy("c", "range").agg(F.sum("n").alias("__in_range"))
+    # One row per range: at most MAX_RANGES + 1 per column, whatever the size of the data.
+    column, inside = Window.partitionBy("c"), Window.partitionBy("c", "range").orderBy("value")
     offsets = totals.select(
+        F.col("c").alias("__c"),
         F.col("range").alias("__range"),
-        (F.sum("__in_range").over(by_range) - F.col("__in_range")).alias("__offset"),
-        F.sum("__in_range").over(Window.partitionBy()).alias("total"),
+        (F.sum("__in_range").over(column.orderBy("range")) - F.col("__in_range")).alias("__offset"),
+        F.sum("__in_range").over(column).alias("total"),
     )
-    inside = Window.partitionBy("range").orderBy("value")
-    before = F.sum("n").over(inside) - F.col("n")
     return (
-        ranged.withColumn("__before", before)
-        .join(F.broadcast(offsets), F.col("range") == F.col("__range"))
-        .select("value", "n", (F.col("__before") + F.col("__offset")).alias("n_before"), "total")
+        counts.withColumn("__before", F.sum("n").over(inside) - F.col("n"))
+        .join(
+            F.broadcast(offsets),
+            (F.col("c") == F.col("__c")) & (F.col("range") == F.col("__range")),
+        )
+        .select(
+            "c", "value", "n", (F.col("__before") + F.col("__offset")).alias("n_before"), "total"
+        )
     )
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
-    """One row with an array ``quantiles``: interpolated between neighbours, nulls and NaN
-    left out."""
-    values = _values(df, column)
-    counts = values.groupBy("value").agg(F.count("*").alias("n"))
-    ranked = positions(counts, _split_points(values, ["value"])[0])
+def _at_probabilities(positions: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Rows (c, quantiles), interpolated between neighbouring rows."""
+    n, before, total = (F.col(name) for name in ("n", "n_before", "total"))
 
-    def at(row):
-        return F.max(F.when((F.col("n_before") <= row) & (row < F.col("n_before") + F.col("n")),
-                            F.col("value")))
+    def value_at(row):
+        return F.max(F.when((before <= row) & (row < before + n), F.col("value")))
 
     results = []
     for p in probs:
-        position = F.lit(p) * (F.col("total") - 1)
-        low, fraction = at(F.floor(position)), F.max(position - F.floor(position))
-        results.append(low + (at(F.ceil(position)) - low) * fraction)
-    return ranked.agg(F.array(*results).alias("quantiles"))
+        position = F.lit(p) * (total - 1)
+        low, fraction = value_at(F.floor(position)), F.max(position - F.floor(position))
+        results.append(low + (value_at(F.ceil(position)) - low) * fraction)
+    return positions.groupBy("c").agg(F.array(*results).alias("quantiles"))
 
 
-def _values(df: DataFrame, column: str) -> DataFrame:
-    value = F.col("`" + column.replace("`", "``") + "`").cast("double")
-    return df.select(value.alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> list[Row]:
+    """Per column its ``quantiles`` and ``mad`` (median absolute deviation), nulls and NaN left
+    out; a column without values gives nulls.
+
+    Three passes over the data for all columns together, each with its own small result: split
+    points, quantiles, deviations. A deviation range is cut where a value range is, so it covers
+    two of them at most and needs no split points of its own.
+    """
+    numbers = _numbers(df, columns)
+    splits = _split_points(numbers)
+    counts = _counted(_with_ranges(numbers, splits), len(columns))
+    wanted = [*probs, 0.5]
+    found = {
+        row["c"]: row["quantiles"]
+        for row in _at_probabilities(_positions(counts), wanted).collect()
+    }
+    medians = [found[i][-1] if i in found else 0.0 for i in range(len(columns))]
+    deviations = numbers.select(
+        *[F.abs(F.col(f"v{i}") - F.lit(m)).alias(f"v{i}") for i, m in enumerate(medians)]
+    )
+    cuts = [sorted({abs(s - m) for s in points}) for points, m in zip(splits, medians)]
+    deviation_counts = _counted(_with_ranges(deviations, cuts), len(columns))
+    mads = {
+        row["c"]: row["quantiles"][0]
+        for row in _at_probabilities(_positions(deviation_counts), [0.5]).collect()
+    }
+    nothing = [None] * len(wanted)
+    return [
+        Row(column=c, quantiles=found.get(i, nothing)[:-1], mad=mads.get(i))
+        for i, c in enumerate(columns)
+    ]
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -80,24 +142,23 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     Equal pairs are counted first and carry their count as weight, so a frequent value costs
     one row per partner value.
     """
-    xs, ys = (F.col("`" + c.replace("`", "``") + "`").cast("double") for c in (x, y))
-    both = df.select(xs.alias("x"), ys.alias("y")).filter(
-        F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
+    both = _numbers(df, [x, y]).filter("v0 IS NOT NULL AND v1 IS NOT NULL")
+    splits = _split_points(both)
+    pairs = both.groupBy("v0", "v1").agg(F.count("*").alias("w"))
+    positions = _positions(_counted(_with_ranges(pairs, splits), 2, weight="w"))
+    mean_rank = (F.col("total") + 1) / F.lit(2.0)
+    ranks = positions.select(
+        "c", "value", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0) - mean_rank).alias("rank")
     )
-    x_splits, y_splits = _split_points(both, ["x", "y"])
-    pairs = both.groupBy("x", "y").agg(F.count("*").alias("w"))
-
-    def centred_ranks(name: str, splits: Sequence[float]) -> DataFrame:
-        counts = pairs.groupBy(F.col(name).alias("value")).agg(F.sum("w").alias("n"))
-        rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)
-        return positions(counts, splits).select(
-            F.col("value").alias(f"{name}_value"),
-            (rank - (F.col("total") + 1) / F.lit(2.0)).alias(f"{name}_rank"),
+    rank_x, rank_y = (
+        ranks.filter(F.col("c") == c).select(
+            F.col("value").alias(f"value_{c}"), F.col("rank").alias(f"rank_{c}")
         )
-
-    joined = pairs.join(
-        centred_ranks("x", x_splits), F.col("x") == F.col("x_value")
-    ).join(centred_ranks("y", y_splits), F.col("y") == F.col("y_value"))
-    rx, ry, w = F.col("x_rank"), F.col("y_rank"), F.col("w")
+        for c in (0, 1)
+    )
+    joined = pairs.join(rank_x, F.col("v0") == F.col("value_0")).join(
+        rank_y, F.col("v1") == F.col("value_1")
+    )
+    rx, ry, w = F.col("rank_0"), F.col("rank_1"), F.col("w")
     spread = F.sqrt(F.sum(w * rx * rx) * F.sum(w * ry * ry))
     return joined.agg(F.try_divide(F.sum(w * rx * ry), spread).alias("r"))

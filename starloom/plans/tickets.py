@@ -102,7 +102,8 @@ def _typed_facts(fact: DataFrame) -> DataFrame:
     )
 
 
-def _explored(fact: DataFrame, airlines: DataFrame, airports: DataFrame) -> DataFrame:
+def joined_explore(fact: DataFrame, airlines: DataFrame, airports: DataFrame) -> DataFrame:
+    """Typed facts with both dimensions, before any row is removed by a rule."""
     facts = drop(_typed_facts(fact), "trip_class")
     specs = [airline_spec(airlines), airport_spec(airports, native_names=True)]
     return drop(denormalise(facts, specs), "airline")
@@ -113,7 +114,7 @@ def tickets_explore(
 ) -> DataFrame:
     """The exploratory table: 18 columns, dates typed, no deduplication, rows without a native
     airport name removed, fewer than ``max_changes`` changes."""
-    wide = drop_nulls(_explored(fact, airlines, airports), "airport_name")
+    wide = drop_nulls(joined_explore(fact, airlines, airports), "airport_name")
     wide = band(wide, "value", "class", PRICE_BANDS, CHEAPEST)
     wide = replace_literals(wide, EXPLORE_RULES)
     wide = where_lt(wide, "number_of_changes", max_changes)
@@ -126,7 +127,7 @@ def explore_reports(
     """The checks made on the way to the exploratory table, each one lazy job."""
     facts = _typed_facts(fact)
     used = drop(facts, "trip_class")
-    wide = _explored(fact, airlines, airports)
+    wide = joined_explore(fact, airlines, airports)
     named = drop_nulls(wide, "airport_name")
     return {
         "fact_shape": shape(facts),

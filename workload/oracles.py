@@ -134,7 +134,7 @@ FROM ({WIDE}) WHERE number_of_changes < 4""",
   CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS o_totalprice,
   CASE o_orderstatus WHEN 'P' THEN '2024-01-01' ELSE '2024-01-02' END AS process_date
 FROM orders WHERE o_orderstatus IN ('O', 'P')""",
-    "sql_steps_last": """SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 0
+    "sql_steps": """SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 0
 GROUP BY c_mktsegment""",
     "replace_literals": """SELECT doc_id, replace(replace(text, '''', ' '), '-', '/') AS text,
   replace(replace(source, 'src', 's/'), '/', '-') AS source FROM documents""",
@@ -297,7 +297,7 @@ UNION ALL SELECT * FROM (SELECT 'max' AS side, l_extendedprice AS value,
         )
     ),
     "corr_spearman": _spearman("l_quantity", "l_extendedprice"),
-    "corr_cramers_v": """WITH t AS (SELECT l_returnflag AS a, l_shipdate AS b,
+    "cramers_v": """WITH t AS (SELECT l_returnflag AS a, l_shipdate AS b,
   count(*)::DOUBLE AS c FROM lineitem GROUP BY 1, 2),
 ra AS (SELECT a, sum(c) AS x FROM t GROUP BY a), rb AS (SELECT b, sum(c) AS y FROM t GROUP BY b),
 z AS (SELECT sum(c) AS n FROM t),

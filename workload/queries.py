@@ -31,7 +31,8 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    """Register under the function's name, less the underscore that avoids an import's name."""
+    REGISTRY[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -87,12 +88,13 @@ def tickets_explore(spark, sf_dir):
 
 @query
 def explore_description(spark, sf_dir):
-    reports = tickets.explore_reports(
+    wide = tickets.joined_explore(
         standins.fact(spark, sf_dir),
         standins.airlines(spark, sf_dir),
         standins.airports(spark, sf_dir),
     )
-    return rounded(reports["named_description"], 4, "mean", "stddev")
+    named = C.drop_nulls(wide, "airport_name")
+    return rounded(S.describe_columns(named), 4, "mean", "stddev")
 
 
 @query
@@ -169,7 +171,7 @@ def partition_replace(spark, sf_dir):
 
 
 @query
-def sql_steps_last(spark, sf_dir):
+def sql_steps_(spark, sf_dir):
     read_table(spark, sf_dir, "customer").createOrReplaceTempView("steps_customer")
     return sql_steps(
         spark,
@@ -495,7 +497,7 @@ def corr_spearman(spark, sf_dir):
 
 
 @query
-def corr_cramers_v(spark, sf_dir):
+def cramers_v_(spark, sf_dir):
     found = cramers_v(line(spark, sf_dir), "l_returnflag", "l_shipdate")
     return rounded(found, 6, "v", "v_corrected")
 
