@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starloom.functions.columns import col, is_floating, is_missing, numeric_columns, present
-from starloom.operators.ranks import exact_quantiles
+from starloom.operators.ranks import quantiles_and_mad
 from starloom.operators.stats import rows_of
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -176,8 +176,8 @@ def _approx_quantiles(values: DataFrame, names: Sequence[str], accuracy: int) ->
 
 def _exact_quantiles(values: DataFrame, names: Sequence[str], accuracy: int) -> DataFrame:
     rows = [
-        (row["column"], row["quantiles"], row["mad"])
-        for row in exact_quantiles(values, names, QUANTILES)
+        (c, quantiles, mad)
+        for c, (quantiles, mad) in zip(names, quantiles_and_mad(values, names, QUANTILES))
     ]
     found = values.sparkSession.createDataFrame(
         rows, "__column string, q array<double>, mad double"

@@ -1,19 +1,25 @@
 """Exact order statistics over whole columns without bringing one to a single task.
 
 A window without partitions sorts everything in one task, and Spark's exact ``percentile``
-holds all distinct values in one buffer. Here every value gets the number of a range, ranges
-being of similar size, and values are counted (equal values collapse before the shuffle). Only
-the range totals, a few thousand rows, are summed up in one place; positions inside a range come
-from a window per range. The split points between ranges need not be exact: the result is the
-same for any of them.
+holds all distinct values in one buffer. Here the number line is cut into ranges of similar
+size. Counting rows per range needs next to no shuffle, and the counts, a few thousand numbers,
+say which range holds a wanted row; only the values of those ranges are then sorted. Ranks of
+all values come from a window per range. The split points between ranges need not be exact: the
+result is the same for any of them.
 """
 
 from __future__ import annotations
 
+import math
+import operator
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Row, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.columns import col
 
@@ -48,8 +54,8 @@ def _with_ranges(numbers: DataFrame, splits: Sequence[Sequence[float]]) -> DataF
     return numbers
 
 
-def _counted(ranged: DataFrame, columns: int, weight: str | None = None) -> DataFrame:
-    """Rows (c, range, value, n): how often each value occurs in column number ``c``."""
+def _counted(ranged: DataFrame, columns: int) -> DataFrame:
+    """Rows (c, range, value, n) from weighted rows: the weight of each value in column ``c``."""
     cells = F.array(
         *[
             F.struct(
@@ -58,9 +64,9 @@ def _counted(ranged: DataFrame, columns: int, weight: str | None = None) -> Data
             for i in range(columns)
         ]
     )
-    amount = F.sum("w") if weight else F.count("*")
-    long = ranged.select(*([F.col(weight).alias("w")] if weight else []), F.inline(cells))
-    return long.filter("value IS NOT NULL").groupBy("c", "range", "value").agg(amount.alias("n"))
+    return ranged.select("w", F.inline(cells)).groupBy("c", "range", "value").agg(
+        F.sum("w").alias("n")
+    )
 
 
 def _positions(counts: DataFrame) -> DataFrame:
@@ -86,54 +92,148 @@ def _positions(counts: DataFrame) -> DataFrame:
     )
 
 
-def _at_probabilities(positions: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Rows (c, quantiles), interpolated between neighbouring rows."""
-    n, before, total = (F.col(name) for name in ("n", "n_before", "total"))
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    splits: Sequence[Sequence[float]] | None = None,
+) -> list[list[float | None]]:
+    """Per column its quantiles, interpolated between neighbouring rows; nulls and NaN are left
+    out, a column without values gives None.
+
+    Runs when called, as ``DataFrame.approxQuantile`` does, with three passes for all columns:
+    split points (unless given), rows per range, and the values of the few ranges that hold a
+    wanted row. Copies of a value are counted before they are shuffled.
+    """
+    numbers = _numbers(df, columns)
+    splits = splits or _split_points(numbers)
+    ranged = _with_ranges(numbers, splits)
+    wanted = _wanted_rows(_range_totals(ranged, len(columns)), probs)
+    found = _values_at(ranged, splits, wanted)
+    return [
+        [_interpolate(position, found.get(c, {})) for position in wanted.positions.get(c, [])]
+        or [None] * len(probs)
+        for c in range(len(columns))
+    ]
+
+
+def _range_totals(ranged: DataFrame, columns: int) -> dict[int, list[tuple[int, int]]]:
+    """Per column number (range, rows) in order; at most MAX_RANGES + 1 of them."""
+    long = ranged.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("c"),
+                        F.when(F.col(f"v{i}").isNotNull(), F.col(f"r{i}")).alias("range"),
+                    )
+                    for i in range(columns)
+                ]
+            )
+        )
+    )
+    totals: dict[int, list[tuple[int, int]]] = {}
+    for row in long.filter("range IS NOT NULL").groupBy("c", "range").count().collect():
+        totals.setdefault(row["c"], []).append((int(row["range"]), row["count"]))
+    return {c: sorted(ranges) for c, ranges in totals.items()}
 
-    def value_at(row):
-        return F.max(F.when((before <= row) & (row < before + n), F.col("value")))
 
-    results = []
-    for p in probs:
-        position = F.lit(p) * (total - 1)
-        low, fraction = value_at(F.floor(position)), F.max(position - F.floor(position))
-        results.append(low + (value_at(F.ceil(position)) - low) * fraction)
-    return positions.groupBy("c").agg(F.array(*results).alias("quantiles"))
+@dataclass(frozen=True)
+class _Wanted:
+    """Fractional row positions per column, and per column {range: {row: row in the range}}."""
 
+    positions: dict[int, list[float]]
+    rows: dict[int, dict[int, dict[int, int]]]
 
-def exact_quantiles(
+
+def _wanted_rows(totals: dict[int, list[tuple[int, int]]], probs: Sequence[float]) -> _Wanted:
+    positions, rows = {}, {}
+    for c, ranges in totals.items():
+        ends = list(accumulate(n for _, n in ranges))
+        positions[c] = [p * (ends[-1] - 1) for p in probs]
+        rows[c] = {}
+        for row in {f(x) for x in positions[c] for f in (math.floor, math.ceil)}:
+            at = bisect_right(ends, row)
+            start = ends[at - 1] if at else 0
+            rows[c].setdefault(ranges[at][0], {})[row] = row - start
+    return _Wanted(positions, rows)
+
+
+def _values_at(
+    ranged: DataFrame, splits: Sequence[Sequence[float]], wanted: _Wanted
+) -> dict[int, dict[int, float]]:
+    """Per column {row: value} for the wanted rows."""
+    if not wanted.rows:
+        return {}
+    inside, hits = {}, []
+    for c, ranges in wanted.rows.items():
+        v = F.col(f"v{c}")
+        tests = []
+        for r, rows in ranges.items():
+            # Plain comparisons, so that a scan can skip row groups.
+            bounds = [v >= splits[c][r - 1]] if r > 0 else []
+            bounds += [v < splits[c][r]] if r < len(splits[c]) else []
+            tests.append(reduce(operator.and_, bounds))
+            here = (F.col("c") == c) & (F.col("range") == r)
+            hits += [
+                here & (F.col("before") <= row) & (F.lit(row) < F.col("before") + F.col("n"))
+                for row in rows.values()
+            ]
+        inside[c] = reduce(operator.or_, tests)
+    cells = [
+        F.when(
+            test,
+            F.struct(
+                F.lit(c).alias("c"), F.col(f"r{c}").alias("range"), F.col(f"v{c}").alias("value")
+            ),
+        )
+        for c, test in inside.items()
+    ]
+    near = ranged.filter(reduce(operator.or_, inside.values()))
+    counts = (
+        near.select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("c", "range", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    in_order = Window.partitionBy("c", "range").orderBy("value")
+    placed = counts.withColumn("before", F.sum("n").over(in_order) - F.col("n"))
+    found: dict[int, dict[int, float]] = {}
+    # At most two rows per column and probability.
+    for hit in placed.filter(reduce(operator.or_, hits)).collect():
+        for row, place in wanted.rows[hit["c"]][int(hit["range"])].items():
+            if hit["before"] <= place < hit["before"] + hit["n"]:
+                found.setdefault(hit["c"], {})[row] = hit["value"]
+    return found
+
+
+def _interpolate(position: float, values: dict[int, float]) -> float:
+    low, high = values[math.floor(position)], values[math.ceil(position)]
+    return low if low == high else low + (high - low) * (position - math.floor(position))
+
+
+def quantiles_and_mad(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float]
-) -> list[Row]:
-    """Per column its ``quantiles`` and ``mad`` (median absolute deviation), nulls and NaN left
-    out; a column without values gives nulls.
+) -> list[tuple[list[float | None], float | None]]:
+    """Per column its exact quantiles and its median absolute deviation.
 
-    Three passes over the data for all columns together, each with its own small result: split
-    points, quantiles, deviations. A deviation range is cut where a value range is, so it covers
-    two of them at most and needs no split points of its own.
+    A deviation range is cut where a value range is, so it covers two of them at most and needs
+    no split points of its own.
     """
     numbers = _numbers(df, columns)
     splits = _split_points(numbers)
-    counts = _counted(_with_ranges(numbers, splits), len(columns))
-    wanted = [*probs, 0.5]
-    found = {
-        row["c"]: row["quantiles"]
-        for row in _at_probabilities(_positions(counts), wanted).collect()
-    }
-    medians = [found[i][-1] if i in found else 0.0 for i in range(len(columns))]
+    found = exact_quantiles(numbers, numbers.columns, [*probs, 0.5], splits)
+    medians = [quantiles[-1] for quantiles in found]
     deviations = numbers.select(
-        *[F.abs(F.col(f"v{i}") - F.lit(m)).alias(f"v{i}") for i, m in enumerate(medians)]
+        *[
+            F.abs(F.col(f"v{i}") - F.lit(m).cast("double")).alias(f"v{i}")
+            for i, m in enumerate(medians)
+        ]
     )
-    cuts = [sorted({abs(s - m) for s in points}) for points, m in zip(splits, medians)]
-    deviation_counts = _counted(_with_ranges(deviations, cuts), len(columns))
-    mads = {
-        row["c"]: row["quantiles"][0]
-        for row in _at_probabilities(_positions(deviation_counts), [0.5]).collect()
-    }
-    nothing = [None] * len(wanted)
-    return [
-        Row(column=c, quantiles=found.get(i, nothing)[:-1], mad=mads.get(i))
-        for i, c in enumerate(columns)
+    cuts = [
+        sorted({abs(s - (m or 0.0)) for s in points}) for points, m in zip(splits, medians)
     ]
+    mads = exact_quantiles(deviations, numbers.columns, [0.5], cuts)
+    return [(quantiles[:-1], mad[0]) for quantiles, mad in zip(found, mads)]
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -145,7 +245,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     both = _numbers(df, [x, y]).filter("v0 IS NOT NULL AND v1 IS NOT NULL")
     splits = _split_points(both)
     pairs = both.groupBy("v0", "v1").agg(F.count("*").alias("w"))
-    positions = _positions(_counted(_with_ranges(pairs, splits), 2, weight="w"))
+    positions = _positions(_counted(_with_ranges(pairs, splits), 2))
     mean_rank = (F.col("total") + 1) / F.lit(2.0)
     ranks = positions.select(
         "c", "value", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0) - mean_rank).alias("rank")

@@ -299,3 +299,32 @@ def test_explore_reports(spark):
     frequencies = {(r["column"], r["value"]): r["n"] for r in reports["fact_frequencies"].collect()}
     assert frequencies["trip_class", "1.0"] == 1 and frequencies["origin", "LED"] == 1
     assert {r["column"] for r in reports["named_description"].collect()} >= {"value", "origin"}
+
+
+NUMBERS = [0.0, 1.5, -1.5, 99.994, 99.995, 99.996, -99.995, 127.0, 127.9, 128.0, -128.0, -128.9,
+           -129.0, 2147483647.0, 2147483647.5, 2147483648.0, -2147483648.9, 9.3e18, -9.3e18, 1e300,
+           float("inf"), float("-inf"), float("nan"), None]
+TEXTS = ["7", " 7 ", "+7", "-7", "\t7\n", "7L", "1.5", "1e3", "0x1", "", " ", "+", "--7", "\x007",
+         "9223372036854775807", "9223372036854775808", "128", "true", " TRUE", "t", "no", "N", "0",
+         "1", "2", "yes!", "truest", "NaN", "nan", "Infinity", "-inf", "+Infinity", ".5", "5.", "1d",
+         "1f", " 7", "７", None]
+
+
+@pytest.mark.parametrize("target", ["tinyint", "int", "bigint", "decimal(4,2)", "decimal(10,2)",
+                                    "double", "float", "boolean", "date", "string"])
+@pytest.mark.parametrize("source, values", [("double", NUMBERS), ("string", TEXTS)])
+def test_guarded_casts_equal_plain_ones(spark, source, values, target):
+    if source == "double" and target == "date":
+        pytest.skip("no such cast")
+    df = spark.createDataFrame([(v,) for v in values], f"v {source}")
+    guarded = C.cast_columns(df, {"v": target}).select(F.col("v").cast("string"))
+    plain = df.select(F.col("v").try_cast(target).cast("string"))
+    assert rows(guarded) == rows(plain)
+
+
+def test_guarded_casts_of_whole_numbers(spark):
+    values = [(2**63 - 1,), (-(2**63),), (2**31 - 1,), (2**31,), (-(2**31) - 1,), (None,)]
+    df = spark.createDataFrame(values, "v bigint")
+    for target in ("int", "smallint", "bigint", "decimal(10,0)", "decimal(19,0)", "decimal(38,2)"):
+        guarded = C.cast_columns(df, {"v": target})
+        assert rows(guarded) == rows(df.select(F.col("v").try_cast(target)))
