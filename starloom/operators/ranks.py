@@ -11,11 +11,8 @@ result is the same for any of them.
 from __future__ import annotations
 
 import math
-import operator
 from bisect import bisect_right
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
 from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
@@ -108,10 +105,13 @@ def exact_quantiles(
     numbers = _numbers(df, columns)
     splits = splits or _split_points(numbers)
     ranged = _with_ranges(numbers, splits)
-    wanted = _wanted_rows(_range_totals(ranged, len(columns)), probs)
-    found = _values_at(ranged, splits, wanted)
+    totals = _range_totals(ranged, len(columns))
+    positions = {
+        c: [p * (sum(n for _, n in ranges) - 1) for p in probs] for c, ranges in totals.items()
+    }
+    found = _values_at(ranged, _targets(totals, positions))
     return [
-        [_interpolate(position, found.get(c, {})) for position in wanted.positions.get(c, [])]
+        [_interpolate(c, position, found) for position in positions.get(c, [])]
         or [None] * len(probs)
         for c in range(len(columns))
     ]
@@ -138,77 +138,54 @@ def _range_totals(ranged: DataFrame, columns: int) -> dict[int, list[tuple[int,
     return {c: sorted(ranges) for c, ranges in totals.items()}
 
 
-@dataclass(frozen=True)
-class _Wanted:
-    """Fractional row positions per column, and per column {range: {row: row in the range}}."""
-
-    positions: dict[int, list[float]]
-    rows: dict[int, dict[int, dict[int, int]]]
-
-
-def _wanted_rows(totals: dict[int, list[tuple[int, int]]], probs: Sequence[float]) -> _Wanted:
-    positions, rows = {}, {}
+def _targets(
+    totals: dict[int, list[tuple[int, int]]], positions: dict[int, list[float]]
+) -> list[tuple[int, int, float, int]]:
+    """The wanted rows as (column, row, range, row within the range)."""
+    result = []
     for c, ranges in totals.items():
         ends = list(accumulate(n for _, n in ranges))
-        positions[c] = [p * (ends[-1] - 1) for p in probs]
-        rows[c] = {}
         for row in {f(x) for x in positions[c] for f in (math.floor, math.ceil)}:
             at = bisect_right(ends, row)
             start = ends[at - 1] if at else 0
-            rows[c].setdefault(ranges[at][0], {})[row] = row - start
-    return _Wanted(positions, rows)
+            result.append((c, row, float(ranges[at][0]), row - start))
+    return result
 
 
 def _values_at(
-    ranged: DataFrame, splits: Sequence[Sequence[float]], wanted: _Wanted
-) -> dict[int, dict[int, float]]:
-    """Per column {row: value} for the wanted rows."""
-    if not wanted.rows:
+    ranged: DataFrame, targets: list[tuple[int, int, float, int]]
+) -> dict[tuple[int, int], float]:
+    """{(column, row): value} for the wanted rows, sorting only the ranges that hold one."""
+    if not targets:
         return {}
-    inside, hits = {}, []
-    for c, ranges in wanted.rows.items():
-        v = F.col(f"v{c}")
-        tests = []
-        for r, rows in ranges.items():
-            # Plain comparisons, so that a scan can skip row groups.
-            bounds = [v >= splits[c][r - 1]] if r > 0 else []
-            bounds += [v < splits[c][r]] if r < len(splits[c]) else []
-            tests.append(reduce(operator.and_, bounds))
-            here = (F.col("c") == c) & (F.col("range") == r)
-            hits += [
-                here & (F.col("before") <= row) & (F.lit(row) < F.col("before") + F.col("n"))
-                for row in rows.values()
-            ]
-        inside[c] = reduce(operator.or_, tests)
-    cells = [
-        F.when(
-            test,
-            F.struct(
-                F.lit(c).alias("c"), F.col(f"r{c}").alias("range"), F.col(f"v{c}").alias("value")
-            ),
+    cells = []
+    for c in sorted({target[0] for target in targets}):
+        ranges = sorted({target[2] for target in targets if target[0] == c})
+        cell = F.struct(
+            F.lit(c).alias("c"), F.col(f"r{c}").alias("range"), F.col(f"v{c}").alias("value")
         )
-        for c, test in inside.items()
-    ]
-    near = ranged.filter(reduce(operator.or_, inside.values()))
+        cells.append(F.when(F.col(f"v{c}").isNotNull() & F.col(f"r{c}").isin(ranges), cell))
     counts = (
-        near.select(F.inline(F.array_compact(F.array(*cells))))
+        ranged.select(F.inline(F.array_compact(F.array(*cells))))
         .groupBy("c", "range", "value")
         .agg(F.count("*").alias("n"))
     )
     in_order = Window.partitionBy("c", "range").orderBy("value")
     placed = counts.withColumn("before", F.sum("n").over(in_order) - F.col("n"))
-    found: dict[int, dict[int, float]] = {}
-    # At most two rows per column and probability.
-    for hit in placed.filter(reduce(operator.or_, hits)).collect():
-        for row, place in wanted.rows[hit["c"]][int(hit["range"])].items():
-            if hit["before"] <= place < hit["before"] + hit["n"]:
-                found.setdefault(hit["c"], {})[row] = hit["value"]
-    return found
-
-
-def _interpolate(position: float, values: dict[int, float]) -> float:
-    low, high = values[math.floor(position)], values[math.ceil(position)]
-    return low if low == high else low + (high - low) * (position - math.floor(position))
+    # Two rows per column and probability, at most.
+    wanted = ranged.sparkSession.createDataFrame(
+        targets, "column int, row long, in_range double, place long"
+    )
+    here = (F.col("c") == F.col("column")) & (F.col("range") == F.col("in_range"))
+    hit = "before <= place AND place < before + n"
+    found = placed.join(F.broadcast(wanted), here).filter(hit).select("c", "row", "value")
+    return {(c, row): value for c, row, value in found.collect()}
+
+
+def _interpolate(c: int, position: float, values: dict[tuple[int, int], float]) -> float:
+    below = math.floor(position)
+    low, high = values[c, below], values[c, math.ceil(position)]
+    return low if low == high else low + (high - low) * (position - below)
 
 
 def quantiles_and_mad(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from starloom.operators.quality import Rule, alert_rows, gate_report
 from starloom.operators.sampling import sample_by_key
-from starloom.operators.shape import conform
+from starloom.operators.shape import cast_failures, conform
 from starloom.schemas import Profile, STRING_PROFILE
 from starloom.session import scratch_path
 from starloom.sinks import ensure_table, layout, replace_partition, write_csv
@@ -65,8 +65,9 @@ def run_batch(
     """Load the batch if it passes the rules, else change nothing and return alerts.
 
     The batch is staged once, so the verdict is about the rows that get loaded and a failure
-    upstream happens before the table is touched. Only the verdict, one row per rule, comes to
-    the driver. Sampling is off unless asked for.
+    upstream happens before the table is touched. Values that do not fit the table's types raise
+    before it, too. Only verdicts, one row per rule and column, come to the driver. Sampling is
+    off unless asked for.
     """
     spark = df.sparkSession
     if sample:
@@ -77,7 +78,15 @@ def run_batch(
     report = spark.createDataFrame(verdict.collect(), verdict.schema)
     passed = not report.filter("not passed").head(1)
     if passed:
+        _check_types(staged, profile)
         ensure_table(spark, table, profile, location)
         batch = layout(conform(staged, profile), profile.sort_by)
         replace_partition(batch, table, process_date, profile.partition_by)
     return BatchResult(passed, report, alert_rows(report), staged, csv_path)
+
+
+def _check_types(staged: DataFrame, profile: Profile) -> None:
+    misfits = cast_failures(staged, dict(profile.columns)).filter("n_failed > 0").collect()
+    if misfits:
+        found = ", ".join(f"{row['column']} ({row['n_failed']} rows)" for row in misfits)
+        raise ValueError(f"values do not fit the table's types: {found}")

@@ -5,7 +5,8 @@ import data
 import pytest
 
 from starloom import schemas
-from starloom.operators.shape import conform, where_lt, with_batch_date
+from starloom.operators.quality import Rule
+from starloom.operators.shape import where_lt, with_batch_date
 from starloom.plans import tickets
 from starloom.plans.batch import Sample, run_batch
 from starloom.plans.profile_report import profile_report
@@ -18,6 +19,8 @@ PROFILE = schemas.Profile(
     partition_by="process_date",
 )
 
+NO_RULE = Rule("id", "id", "<", 0)
+
 
 @pytest.fixture
 def table(spark, tmp_path):
@@ -132,21 +135,16 @@ def test_failing_batch_makes_no_table(spark, table, tmp_path):
     assert not spark.catalog.tableExists(table)
 
 
-def test_value_that_does_not_fit_stops_the_load(spark, table, tmp_path):
-    big = spark.createDataFrame([(1, 1e12)], "id int, v double")
-    with pytest.raises(Exception, match="column v does not fit"):
-        run_batch(
-            with_batch_date(big, "2024-01-01"), table, "2024-01-01", rules=_no_rule(),
-            profile=PROFILE, location=str(tmp_path / "t"),
-        )
-    lenient = conform(with_batch_date(big, "2024-01-01"), PROFILE, strict=False)
-    assert lenient.first()["v"] is None
-
-
-def _no_rule():
-    from starloom.operators.quality import Rule
+def test_value_that_does_not_fit_leaves_the_table_alone(spark, table, tmp_path):
+    def load(rows):
+        df = with_batch_date(spark.createDataFrame(rows, "id int, v double"), "2024-01-01")
+        where = str(tmp_path / "t")
+        return run_batch(df, table, "2024-01-01", (NO_RULE,), PROFILE, location=where)
 
-    return (Rule("id", "id", "<", 0),)
+    load([(1, 1.0)])
+    with pytest.raises(ValueError, match=r"v \(1 rows\)"):
+        load([(1, 1e12), (2, 2.0)])
+    assert content(spark, table) == [(1, Decimal(1), "2024-01-01")]
 
 
 def test_sampled_batch_loads_the_sample(spark, table, tmp_path):
