@@ -1,74 +1,95 @@
-"""Dependence between columns."""
+"""Dependence between columns. Every method does all pairs of columns in one job."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.columns import col, numeric_columns, present
 from starloom.operators.ranks import spearman
 from starloom.operators.stats import rows_of
 
+Pairs = Sequence[tuple[str, str]]
+
 
 def correlations(
     df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson"
 ) -> DataFrame:
     """Rows (column_x, column_y, r) for every pair of columns.
 
-    ``pearson`` does all pairs in one pass. ``spearman`` ranks each pair on the rows where both
-    values are present, so it works pair by pair. ``cramers_v`` is for categories.
+    ``pearson`` and ``spearman`` are for numbers, ``cramers_v`` is for categories. Each pair uses
+    the rows where both values are present.
     """
-    names = list(columns or numeric_columns(df))
-    pairs = list(combinations(names, 2))
+    pairs = list(combinations(columns or numeric_columns(df), 2))
     if not pairs:
         raise ValueError("a correlation needs two columns or more")
     if method == "pearson":
-        return rows_of(
-            df,
-            [
-                F.struct(
-                    F.lit(x).alias("column_x"),
-                    F.lit(y).alias("column_y"),
-                    F.corr(present(df, x).cast("double"), present(df, y).cast("double")).alias("r"),
-                )
-                for x, y in pairs
-            ],
-        )
-    one = {"spearman": spearman, "cramers_v": _cramers_v_only}.get(method)
-    if one is None:
-        raise ValueError(f"unknown method {method!r}")
-    frames = [
-        one(df, x, y).select(F.lit(x).alias("column_x"), F.lit(y).alias("column_y"), "r")
-        for x, y in pairs
-    ]
-    return reduce(DataFrame.unionAll, frames)
+        return _pearson(df, pairs)
+    if method == "spearman":
+        return _named(spearman(df, pairs), pairs, "r")
+    if method == "cramers_v":
+        return _named(cramers_v_pairs(df, pairs).withColumnRenamed("v", "r"), pairs, "r")
+    raise ValueError(f"unknown method {method!r}")
+
+
+def _named(by_number: DataFrame, pairs: Pairs, *values: str) -> DataFrame:
+    """Names in place of pair numbers."""
+
+    def name(side: int) -> Column:
+        return F.array(*[F.lit(pair[side]) for pair in pairs])[F.col("pair")]
 
+    return by_number.select(name(0).alias("column_x"), name(1).alias("column_y"), *values)
 
-def _cramers_v_only(df: DataFrame, x: str, y: str) -> DataFrame:
-    return cramers_v(df, x, y).select(F.col("v").alias("r"))
+
+def _pearson(df: DataFrame, pairs: Pairs) -> DataFrame:
+    return rows_of(
+        df,
+        [
+            F.struct(
+                F.lit(x).alias("column_x"),
+                F.lit(y).alias("column_y"),
+                F.corr(present(df, x).cast("double"), present(df, y).cast("double")).alias("r"),
+            )
+            for x, y in pairs
+        ],
+    )
 
 
-def cramers_v(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row (v, v_corrected): Cramer's V of two categories, plain and bias-corrected.
+def cramers_v_pairs(df: DataFrame, pairs: Pairs) -> DataFrame:
+    """Rows (pair, v, v_corrected): Cramer's V of categories, plain and bias-corrected, per pair
+    number.
 
     Chi squared over n equals the sum of c^2 / (row total * column total) over the cells that
     occur, minus 1, so empty cells are never made. Marginals are joined on, as a window over a
     frequent category would put all its cells in one task.
     """
+    both = [
+        F.when(
+            col(x).isNotNull() & col(y).isNotNull(),
+            F.struct(
+                F.lit(number).alias("pair"),
+                col(x).cast("string").alias("x"),
+                col(y).cast("string").alias("y"),
+            ),
+        )
+        for number, (x, y) in enumerate(pairs)
+    ]
     cells = (
-        df.filter(col(x).isNotNull() & col(y).isNotNull())
-        .groupBy(col(x).alias("x"), col(y).alias("y"))
+        df.select(F.inline(F.array(*both)))
+        # All join keys, so that every use of the cells has the same plan and one shuffle.
+        .filter("pair IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
+        .groupBy("pair", "x", "y")
         .agg(F.count("*").cast("double").alias("c"))
     )
-    by_x = cells.groupBy(F.col("x").alias("x_key")).agg(F.sum("c").alias("x_total"))
-    by_y = cells.groupBy(F.col("y").alias("y_key")).agg(F.sum("c").alias("y_total"))
+    by_x = cells.groupBy("pair", "x").agg(F.sum("c").alias("x_total"))
+    by_y = cells.groupBy("pair", "y").agg(F.sum("c").alias("y_total"))
     c, xt, yt = F.col("c"), F.col("x_total"), F.col("y_total")
     sums = (
-        cells.join(by_x, F.col("x") == F.col("x_key"))
-        .join(by_y, F.col("y") == F.col("y_key"))
+        cells.join(by_x, ["pair", "x"])
+        .join(by_y, ["pair", "y"])
+        .groupBy("pair")
         .agg(
             F.greatest(F.sum(c * c / (xt * yt)) - 1, F.lit(0.0)).alias("phi2"),
             F.sum(c).alias("n"),
@@ -82,6 +103,13 @@ def cramers_v(df: DataFrame, x: str, y: str) -> DataFrame:
     fx = kx - F.try_divide((kx - 1) * (kx - 1), n - 1)
     fy = ky - F.try_divide((ky - 1) * (ky - 1), n - 1)
     return sums.select(
+        "pair",
         F.sqrt(F.try_divide(phi2, F.least(kx, ky) - 1)).alias("v"),
         F.sqrt(F.try_divide(corrected, F.least(fx, fy) - 1)).alias("v_corrected"),
     )
+
+
+def cramers_v(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column_x, column_y, v, v_corrected) for every pair of the columns."""
+    pairs = list(combinations(columns, 2))
+    return _named(cramers_v_pairs(df, pairs), pairs, "v", "v_corrected")

@@ -11,18 +11,30 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starloom.functions.columns import col, is_floating, is_missing, numeric_columns, present
 from starloom.operators.ranks import quantiles_and_mad
-from starloom.operators.stats import rows_of
+from starloom.operators.stats import rows_of, value_counts
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
-def _n_distinct(df: DataFrame, name: str, approx: bool, rsd: float = 0.01) -> Column:
+# Registers of a distinct-count sketch, as a power of two: a standard error of 0.8 %.
+SKETCH_SIZE = 14
+
+
+def _n_distinct(df: DataFrame, name: str, approx: bool) -> Column:
+    """Distinct values, exact or from a sketch of their hashes.
+
+    The sketch is one binary buffer; ``approx_count_distinct`` at this precision keeps its
+    registers in some 1,600 buffer columns per column, which makes wide tables slow to plan.
+    """
     value = present(df, name)
-    return F.approx_count_distinct(value, rsd) if approx else F.count_distinct(value)
+    if not approx:
+        return F.count_distinct(value)
+    hashes = F.when(value.isNotNull(), F.xxhash64(value))
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashes, SKETCH_SIZE)), F.lit(0))
 
 
 def _count_where(df: DataFrame, name: str, test) -> Column:
@@ -207,46 +219,88 @@ def profile_moments(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return rows_of(df, structs)
 
 
-def profile_histogram(
+def profile_histograms(
     df: DataFrame,
-    column: str,
+    columns: Sequence[str] | None = None,
     bins: int = 10,
     bounds: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """Rows (bin, bin_start, bin_end, n) of equal bins, the last one closed; empty bins too.
+    """Rows (column, bin, bin_start, bin_end, n): equal bins per column, the last one closed,
+    empty bins too. Two passes for all columns together.
 
-    The bounds are the least and greatest finite value unless given; values outside given
-    bounds are left out.
+    The bounds are the least and greatest finite value of the column unless given; values
+    outside given bounds are left out.
     """
-    value = present(df, column).cast("double")
-    values = df.select(value.alias("v")).filter(
+    names = list(columns or numeric_columns(df))
+    cells = [
+        F.struct(F.lit(c).alias("column"), present(df, c).cast("double").alias("v"))
+        for c in names
+    ]
+    values = df.select(F.inline(F.array(*cells))).filter(
         F.col("v").isNotNull() & (F.abs("v") != F.lit(float("inf")))
     )
     if bounds:
-        low, high = (F.lit(float(b)) for b in bounds)
         values = values.filter(F.col("v").between(*bounds))
+        low, high = (F.lit(float(b)) for b in bounds)
     else:
-        ends = values.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-        low, high = ends.select("low").scalar(), ends.select("high").scalar()
+        low, high = F.min("v"), F.max("v")
+    # One row per column.
+    ends = values.groupBy("column").agg(low.alias("low"), high.alias("high"))
+    # No bucket if all values are equal: they go to the first bin. The greatest value has a
+    # bucket of its own after the last bin, which it closes.
+    bucket = F.width_bucket("v", F.col("low"), F.col("high"), F.lit(bins))
     counts = (
-        values.select(
-            # No bucket if all values are equal: they go to the first bin. The greatest value
-            # has a bucket of its own after the last bin, which it closes.
-            F.least(F.coalesce(F.width_bucket("v", low, high, F.lit(bins)), F.lit(1)), F.lit(bins))
-            .cast("int")
-            .alias("__bin")
-        )
-        .groupBy("__bin")
-        .agg(F.count("*").alias("__n"))
+        values.join(F.broadcast(ends), "column")
+        .groupBy("column", F.least(F.coalesce(bucket, F.lit(1)), F.lit(bins)).alias("bin"))
+        .agg(F.count("*").alias("n"))
+    )
+    width = (F.col("high") - F.col("low")) / bins
+    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins)).cast("array<long>")))
+    return every.join(counts, ["column", "bin"], "left").select(
+        "column",
+        F.col("bin").cast("int").alias("bin"),
+        (F.col("low") + width * (F.col("bin") - 1)).alias("bin_start"),
+        (F.col("low") + width * F.col("bin")).alias("bin_end"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
-    numbers = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    width = (high - low) / bins
-    return numbers.join(counts, F.col("bin") == F.col("__bin"), "left").select(
-        "bin",
-        (low + width * (F.col("bin") - 1)).alias("bin_start"),
-        (low + width * F.col("bin")).alias("bin_end"),
-        F.coalesce("__n", F.lit(0)).alias("n"),
+
+
+def profile_histogram(
+    df: DataFrame, column: str, bins: int = 10, bounds: tuple[float, float] | None = None
+) -> DataFrame:
+    """The histogram of one column as (bin, bin_start, bin_end, n)."""
+    return profile_histograms(df, [column], bins, bounds).drop("column")
+
+
+def _first_per_column(counts: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first ``n`` rows of each column. Spark cuts to ``n`` rows per column in every task
+    before the shuffle, so a column with many values is never brought together."""
+    place = F.row_number().over(Window.partitionBy("column").orderBy(*order))
+    return counts.withColumn("__place", place).filter(F.col("__place") <= n).drop("__place")
+
+
+def top_values_by_column(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+    """The ``n`` most frequent values of every column as (column, value, n), values as text;
+    ties go to the smaller text. One job."""
+    return _first_per_column(value_counts(df, columns), n, F.desc("n"), F.asc("value"))
+
+
+def extreme_values_by_column(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+    """The ``n`` smallest and greatest distinct numbers of every column as (side, column, value,
+    n). One job."""
+    cells = [
+        F.struct(F.lit(c).alias("column"), present(df, c).cast("double").alias("value"))
+        for c in columns
+    ]
+    counts = (
+        df.select(F.inline(F.array(*cells)))
+        .filter("value IS NOT NULL")
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("n"))
     )
+    smallest = _first_per_column(counts, n, F.asc("value")).withColumn("side", F.lit("min"))
+    greatest = _first_per_column(counts, n, F.desc("value")).withColumn("side", F.lit("max"))
+    return smallest.unionByName(greatest).select("side", "column", "value", "n")
 
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:

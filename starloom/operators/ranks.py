@@ -51,41 +51,24 @@ def _with_ranges(numbers: DataFrame, splits: Sequence[Sequence[float]]) -> DataF
     return numbers
 
 
-def _counted(ranged: DataFrame, columns: int) -> DataFrame:
-    """Rows (c, range, value, n) from weighted rows: the weight of each value in column ``c``."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("c"), F.col(f"r{i}").alias("range"), F.col(f"v{i}").alias("value")
-            )
-            for i in range(columns)
-        ]
-    )
-    return ranged.select("w", F.inline(cells)).groupBy("c", "range", "value").agg(
-        F.sum("w").alias("n")
-    )
-
-
-def _positions(counts: DataFrame) -> DataFrame:
-    """Add n_before, the rows of the column with smaller values, and total, all its rows."""
-    totals = counts.groupBy("c", "range").agg(F.sum("n").alias("__in_range"))
-    # One row per range: at most MAX_RANGES + 1 per column, whatever the size of the data.
-    column, inside = Window.partitionBy("c"), Window.partitionBy("c", "range").orderBy("value")
+def _positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """From (keys, range, value, n): add n_before, the rows with smaller values under the same
+    keys, and total, all rows under them."""
+    totals = counts.groupBy(*keys, "range").agg(F.sum("n").alias("__in_range"))
+    # One row per key and range: at most MAX_RANGES + 1 per column, whatever the size of the data.
+    whole, inside = Window.partitionBy(*keys), Window.partitionBy(*keys, "range").orderBy("value")
     offsets = totals.select(
-        F.col("c").alias("__c"),
-        F.col("range").alias("__range"),
-        (F.sum("__in_range").over(column.orderBy("range")) - F.col("__in_range")).alias("__offset"),
-        F.sum("__in_range").over(column).alias("total"),
+        *keys,
+        "range",
+        (F.sum("__in_range").over(whole.orderBy("range")) - F.col("__in_range")).alias("__offset"),
+        F.sum("__in_range").over(whole).alias("total"),
     )
+    before = F.sum("n").over(inside) - F.col("n")
     return (
-        counts.withColumn("__before", F.sum("n").over(inside) - F.col("n"))
-        .join(
-            F.broadcast(offsets),
-            (F.col("c") == F.col("__c")) & (F.col("range") == F.col("__range")),
-        )
-        .select(
-            "c", "value", "n", (F.col("__before") + F.col("__offset")).alias("n_before"), "total"
-        )
+        counts.withColumn("__before", before)
+        .join(F.broadcast(offsets), [*keys, "range"])
+        .withColumn("n_before", F.col("__before") + F.col("__offset"))
+        .select(*keys, "value", "n", "n_before", "total")
     )
 
 
@@ -166,7 +149,8 @@ def _values_at(
         )
         cells.append(F.when(F.col(f"v{c}").isNotNull() & F.col(f"r{c}").isin(ranges), cell))
     counts = (
-        ranged.select(F.inline(F.array_compact(F.array(*cells))))
+        ranged.select(F.inline(F.array(*cells)))
+        .filter("c IS NOT NULL")
         .groupBy("c", "range", "value")
         .agg(F.count("*").alias("n"))
     )
@@ -213,29 +197,61 @@ def quantiles_and_mad(
     return [(quantiles[:-1], mad[0]) for quantiles, mad in zip(found, mads)]
 
 
-def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row (r): the correlation of average ranks over rows where both values are present.
+def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rows (pair, r): for each pair, by its number, the correlation of average ranks over the
+    rows where both values are present.
 
-    Equal pairs are counted first and carry their count as weight, so a frequent value costs
-    one row per partner value.
+    One job for all pairs, after one for the split points. Equal pairs of values are counted
+    first and carry their count as weight, so a frequent value costs one row per partner value.
     """
-    both = _numbers(df, [x, y]).filter("v0 IS NOT NULL AND v1 IS NOT NULL")
-    splits = _split_points(both)
-    pairs = both.groupBy("v0", "v1").agg(F.count("*").alias("w"))
-    positions = _positions(_counted(_with_ranges(pairs, splits), 2))
-    mean_rank = (F.col("total") + 1) / F.lit(2.0)
-    ranks = positions.select(
-        "c", "value", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0) - mean_rank).alias("rank")
-    )
-    rank_x, rank_y = (
-        ranks.filter(F.col("c") == c).select(
-            F.col("value").alias(f"value_{c}"), F.col("rank").alias(f"rank_{c}")
+    columns = sorted({c for pair in pairs for c in pair})
+    numbers = _numbers(df, columns)
+    ranged = _with_ranges(numbers, _split_points(numbers))
+
+    both = [
+        F.when(
+            F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull(),
+            F.struct(
+                F.lit(number).alias("pair"),
+                F.col(f"v{i}").alias("x"),
+                F.col(f"r{i}").alias("x_range"),
+                F.col(f"v{j}").alias("y"),
+                F.col(f"r{j}").alias("y_range"),
+            ),
         )
-        for c in (0, 1)
+        for number, (i, j) in enumerate((columns.index(x), columns.index(y)) for x, y in pairs)
+    ]
+    cells = (
+        ranged.select(F.inline(F.array(*both)))
+        # All join keys, so that every use of the cells has the same plan and one shuffle.
+        .filter("pair IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
+        .groupBy("pair", "x", "x_range", "y", "y_range")
+        .agg(F.count("*").alias("w"))
+    )
+    sides = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("side"),
+                F.col(f"{c}_range").alias("range"),
+                F.col(c).alias("value"),
+            )
+            for c in ("x", "y")
+        ]
     )
-    joined = pairs.join(rank_x, F.col("v0") == F.col("value_0")).join(
-        rank_y, F.col("v1") == F.col("value_1")
+    counts = (
+        cells.select("pair", "w", F.inline(sides))
+        .groupBy("pair", "side", "range", "value")
+        .agg(F.sum("w").alias("n"))
     )
-    rx, ry, w = F.col("rank_0"), F.col("rank_1"), F.col("w")
+    positions = _positions(counts, ["pair", "side"])
+    mean_rank = (F.col("total") + 1) / F.lit(2.0)
+    rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0) - mean_rank
+    joined = cells
+    for c in ("x", "y"):
+        ranks = positions.filter(F.col("side") == c).select(
+            "pair", F.col("value").alias(c), rank.alias(f"{c}_rank")
+        )
+        joined = joined.join(ranks, ["pair", c])
+    rx, ry, w = F.col("x_rank"), F.col("y_rank"), F.col("w")
     spread = F.sqrt(F.sum(w * rx * rx) * F.sum(w * ry * ry))
-    return joined.agg(F.try_divide(F.sum(w * rx * ry), spread).alias("r"))
+    return joined.groupBy("pair").agg(F.try_divide(F.sum(w * rx * ry), spread).alias("r"))

@@ -37,23 +37,20 @@ def profile_report(
         "missing_patterns": P.missing_patterns(df),
         "duplicates": duplicate_rows(df, n),
         "alerts": P.profile_alerts(df, approx=approx),
+        "top_values": P.top_values_by_column(df, df.columns, n),
         "head": P.head_rows(df, n, order or df.columns),
         "tail": P.tail_rows(df, n, order or df.columns),
     }
     if numbers:
         report["quantiles"] = P.profile_quantiles(df, numbers, approx)
         report["moments"] = P.profile_moments(df, numbers)
+        report["histograms"] = P.profile_histograms(df, numbers)
+        report["extremes"] = P.extreme_values_by_column(df, numbers, n)
     if texts:
         report["text_lengths"] = P.profile_text_lengths(df, texts)
     if len(numbers) > 1:
         report["pearson"] = correlations(df, numbers)
         report["spearman"] = correlations(df, numbers, "spearman")
-    for c in df.columns:
-        report[f"top_values:{c}"] = P.top_values(df, c, n)
-    for c in numbers:
-        report[f"histogram:{c}"] = P.profile_histogram(df, c)
-        report[f"extremes:{c}"] = P.extreme_values(df, c, n)
-    for i, x in enumerate(texts):
-        for y in texts[i + 1 :]:
-            report[f"cramers_v:{x}:{y}"] = cramers_v(df, x, y)
+    if len(texts) > 1:
+        report["cramers_v"] = cramers_v(df, texts)
     return report

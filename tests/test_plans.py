@@ -104,6 +104,11 @@ def test_no_global_sort(spark):
         assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
+def test_top_values_are_cut_before_the_shuffle(spark):
+    text = plan(Q.top_values_by_column(spark, SF_DIR))
+    assert re.search(r"WindowGroupLimit .*Partial", text)
+
+
 def test_partition_pruning(spark):
     table = Q.partition_replace(spark, SF_DIR)
     text = plan(table.filter("process_date = '2024-01-02'"))

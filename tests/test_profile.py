@@ -71,7 +71,7 @@ def test_spearman_with_ties_and_gaps(frame):
     df, pdf = frame
     found = {(r["column_x"], r["column_y"]): r["r"] for r in
              correlations(df, method="spearman").collect()}
-    wanted = pdf.rank()  # ranks per pair: drop rows that lack one of the two
+    assert len(found) == 3
     for x, y in found:
         both = pdf[[x, y]].dropna()
         wanted = both[x].rank().corr(both[y].rank())
@@ -112,10 +112,10 @@ def test_cramers_v_with_empty_cells(spark):
     pairs += [(r.choice(["a", "b", None]), r.choice(["x", "z", None])) for _ in range(200)]
     df = spark.createDataFrame(pairs, "x string, y string")
     v, corrected = brute_cramers_v([p for p in pairs])
-    found = cramers_v(df, "x", "y").first()
+    found = cramers_v(df, ["x", "y"]).first()
     assert found["v"] == pytest.approx(v) and found["v_corrected"] == pytest.approx(corrected)
     one = spark.createDataFrame([("a", "x"), ("a", "y")], "x string, y string")
-    assert cramers_v(one, "x", "y").first()["v"] is None
+    assert cramers_v(one, ["x", "y"]).first()["v"] is None
 
 
 def test_columns_overview_and_patterns(spark):
@@ -158,6 +158,7 @@ def test_histogram_matches_numpy(frame, spark):
     assert sum(r["n"] for r in inside) == ((s >= -10) & (s <= 10)).sum()
     same = spark.createDataFrame([(3.0,), (3.0,), (INF,), (NAN,)], "v double")
     assert [r["n"] for r in P.profile_histogram(same, "v", 3).orderBy("bin").collect()] == [2, 0, 0]
+    assert P.profile_histogram(same.filter("false"), "v", 3).collect() == []
 
 
 def test_types(spark):
@@ -178,6 +179,21 @@ def test_top_and_extreme_values(spark):
     assert extremes == {("min", 1, 2), ("min", 2, 1), ("max", 9, 1), ("max", 3, 2)}
 
 
+def test_top_and_extreme_values_by_column(frame):
+    df, pdf = frame
+    top = {(r["column"], r["value"]): r["n"] for r in
+           P.top_values_by_column(df, ["b", "c"], 3).collect()}
+    assert len(top) == 6
+    for c in "bc":
+        assert top[c, "7.0"] == (pdf[c] == 7.0).sum()
+    extremes = P.extreme_values_by_column(df, ["a", "b"], 4).collect()
+    for c in "ab":
+        counts = pdf[c].dropna().value_counts().sort_index()
+        for side, wanted in (("min", counts.head(4)), ("max", counts.tail(4))):
+            found = {r["value"]: r["n"] for r in extremes if (r["column"], r["side"]) == (c, side)}
+            assert found == wanted.to_dict()
+
+
 def test_text_lengths_count_characters(spark):
     df = spark.createDataFrame([("да",), ("",), (None,)], "t string")
     assert tuple(P.profile_text_lengths(df).first()) == ("t", 0, 1.0, 2)

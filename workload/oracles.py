@@ -81,6 +81,21 @@ def _spearman(x: str, y: str) -> str:
     )
 
 
+def _cramers_v(x: str, y: str) -> str:
+    """On the full grid of categories, empty cells included."""
+    return f"""SELECT * FROM (WITH t AS (SELECT {x} AS a, {y} AS b,
+  count(*)::DOUBLE AS c FROM lineitem GROUP BY 1, 2),
+ra AS (SELECT a, sum(c) AS x FROM t GROUP BY a), rb AS (SELECT b, sum(c) AS y FROM t GROUP BY b),
+z AS (SELECT sum(c) AS n FROM t),
+s AS (SELECT sum(power(coalesce(c, 0) - x * y / n, 2) / (x * y / n)) / max(n) AS phi2,
+  max(n) AS n, count(DISTINCT ra.a) AS r, count(DISTINCT rb.b) AS k
+  FROM ra CROSS JOIN rb CROSS JOIN z LEFT JOIN t ON t.a = ra.a AND t.b = rb.b)
+SELECT '{x}' AS column_x, '{y}' AS column_y, round(sqrt(phi2 / (least(r, k) - 1)), 6) AS v,
+  round(sqrt(greatest(0, phi2 - (r - 1) * (k - 1) / (n - 1))
+    / (least(r - power(r - 1, 2) / (n - 1), k - power(k - 1, 2) / (n - 1)) - 1)), 6) AS v_corrected
+FROM s)"""
+
+
 ORACLES: dict[str, str] = {
     "tickets_wide": WIDE,
     "tickets_explore": f"""SELECT found_at,
@@ -270,15 +285,29 @@ UNION ALL SELECT 'c_mktsegment', count(DISTINCT c_mktsegment), 0, 0, 0, 0 FROM c
 FROM lineitem, (SELECT avg({c}) AS m FROM lineitem)""",
         ("l_extendedprice", "l_quantity"),
     ),
-    "profile_histogram": """WITH e AS (SELECT min(l_quantity) AS lo,
-  (max(l_quantity) - min(l_quantity)) / 10 AS w FROM lineitem),
-h AS (SELECT least(CAST(floor((l_quantity - lo) / w) AS INT) + 1, 10) AS b, count(*) AS n
-  FROM lineitem, e GROUP BY 1)
-SELECT CAST(g AS INT) AS bin, round(lo + w * (g - 1), 4) AS bin_start,
+    "profile_histogram": _each(
+        """SELECT '{c}' AS "column", CAST(g AS INT) AS bin, round(lo + w * (g - 1), 4) AS bin_start,
   round(lo + w * g, 4) AS bin_end, coalesce(n, 0) AS n
-FROM e, range(1, 11) r(g) LEFT JOIN h ON b = g""",
+FROM (SELECT min({c}) AS lo, (max({c}) - min({c})) / 10.0 AS w FROM lineitem)
+CROSS JOIN range(1, 11) r(g)
+LEFT JOIN (SELECT least(CAST(floor(({c} - lo) / w) AS INT) + 1, 10) AS b, count(*) AS n
+  FROM lineitem, (SELECT min({c}) AS lo, (max({c}) - min({c})) / 10.0 AS w FROM lineitem)
+  GROUP BY 1) ON b = g""",
+        ("l_quantity", "l_linenumber"),
+    ),
     "top_values": """SELECT l_partkey AS value, count(*) AS n FROM lineitem GROUP BY 1
 ORDER BY n DESC, value LIMIT 10""",
+    "top_values_by_column": " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n "
+        "FROM lineitem GROUP BY 2 ORDER BY n DESC, value LIMIT 5)"
+        for c in ("l_returnflag", "l_partkey", "l_linenumber")
+    ),
+    "extreme_values_by_column": " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{side}' AS side, '{c}' AS \"column\", {c} AS value, "
+        f"count(*) AS n FROM lineitem GROUP BY {c} ORDER BY {c} {order} LIMIT 5)"
+        for side, order in (("min", "ASC"), ("max", "DESC"))
+        for c in ("l_extendedprice", "l_quantity")
+    ),
     "extreme_values": """SELECT * FROM (SELECT 'min' AS side, l_extendedprice AS value,
   count(*) AS n FROM lineitem GROUP BY 2 ORDER BY 2 LIMIT 5)
 UNION ALL SELECT * FROM (SELECT 'max' AS side, l_extendedprice AS value,
@@ -296,18 +325,22 @@ UNION ALL SELECT * FROM (SELECT 'max' AS side, l_extendedprice AS value,
             ("l_extendedprice", "l_linenumber"),
         )
     ),
-    "corr_spearman": _spearman("l_quantity", "l_extendedprice"),
-    "cramers_v": """WITH t AS (SELECT l_returnflag AS a, l_shipdate AS b,
-  count(*)::DOUBLE AS c FROM lineitem GROUP BY 1, 2),
-ra AS (SELECT a, sum(c) AS x FROM t GROUP BY a), rb AS (SELECT b, sum(c) AS y FROM t GROUP BY b),
-z AS (SELECT sum(c) AS n FROM t),
-s AS (SELECT sum(power(coalesce(c, 0) - x * y / n, 2) / (x * y / n)) / max(n) AS phi2,
-  max(n) AS n, count(DISTINCT ra.a) AS r, count(DISTINCT rb.b) AS k
-  FROM ra, rb, z LEFT JOIN t ON t.a = ra.a AND t.b = rb.b)
-SELECT round(sqrt(phi2 / (least(r, k) - 1)), 6) AS v,
-  round(sqrt(greatest(0, phi2 - (r - 1) * (k - 1) / (n - 1))
-    / (least(r - power(r - 1, 2) / (n - 1), k - power(k - 1, 2) / (n - 1)) - 1)), 6) AS v_corrected
-FROM s""",
+    "corr_spearman": " UNION ALL ".join(
+        _spearman(x, y)
+        for x, y in (
+            ("l_quantity", "l_extendedprice"),
+            ("l_quantity", "l_linenumber"),
+            ("l_extendedprice", "l_linenumber"),
+        )
+    ),
+    "cramers_v": " UNION ALL ".join(
+        _cramers_v(x, y)
+        for x, y in (
+            ("l_returnflag", "l_shipdate"),
+            ("l_returnflag", "l_linenumber"),
+            ("l_shipdate", "l_linenumber"),
+        )
+    ),
     "missing_patterns": f"""SELECT flag IS NULL AS l_returnflag_missing,
   num IS NULL AS l_linenumber_missing, count(*) AS n FROM {NULLED} GROUP BY 1, 2""",
     "profile_alerts": """SELECT 'o_orderkey' AS "column", NULL AS other, 'unique' AS alert,

@@ -464,7 +464,7 @@ def profile_moments(spark, sf_dir):
 
 @query
 def profile_histogram(spark, sf_dir):
-    found = P.profile_histogram(line(spark, sf_dir), "l_quantity", 10)
+    found = P.profile_histograms(line(spark, sf_dir), ["l_quantity", "l_linenumber"], 10)
     return rounded(found, 4, "bin_start", "bin_end")
 
 
@@ -473,11 +473,23 @@ def top_values(spark, sf_dir):
     return P.top_values(line(spark, sf_dir), "l_partkey", 10)
 
 
+@query
+def top_values_by_column(spark, sf_dir):
+    columns = ["l_returnflag", "l_partkey", "l_linenumber"]
+    return P.top_values_by_column(line(spark, sf_dir), columns, 5)
+
+
 @query
 def extreme_values(spark, sf_dir):
     return P.extreme_values(line(spark, sf_dir), "l_extendedprice", 5)
 
 
+@query
+def extreme_values_by_column(spark, sf_dir):
+    columns = ["l_extendedprice", "l_quantity"]
+    return P.extreme_values_by_column(line(spark, sf_dir), columns, 5)
+
+
 @query
 def profile_text_lengths(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents")
@@ -492,13 +504,13 @@ def corr_pearson(spark, sf_dir):
 
 @query
 def corr_spearman(spark, sf_dir):
-    columns = ["l_quantity", "l_extendedprice"]
+    columns = ["l_quantity", "l_extendedprice", "l_linenumber"]
     return rounded(correlations(line(spark, sf_dir), columns, "spearman"), 6, "r")
 
 
 @query
 def cramers_v_(spark, sf_dir):
-    found = cramers_v(line(spark, sf_dir), "l_returnflag", "l_shipdate")
+    found = cramers_v(line(spark, sf_dir), ["l_returnflag", "l_shipdate", "l_linenumber"])
     return rounded(found, 6, "v", "v_corrected")
 
 
