@@ -21,6 +21,8 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
         for field in data_type.fields:
             yield from leaves(value.getField(field.name), name + sep + field.name, field.dataType)
 
+    if not any(isinstance(f.dataType, T.StructType) for f in df.schema.fields):
+        return df
     pairs = [leaf for f in df.schema.fields for leaf in leaves(col(f.name), f.name, f.dataType)]
     names = [name for _, name in pairs]
     if len(set(names)) < len(names):

@@ -16,6 +16,8 @@ def local_session(cores: int | str = "*", app: str = "starloom", **conf: str) ->
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.memory": "8g",
         "spark.sql.session.timeZone": "UTC",
+        # Call sites of columns in error messages cost several calls to the JVM per column.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
