@@ -224,31 +224,18 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     cells = (
         ranged.select(F.inline(F.array(*both)))
         # All join keys, so that every use of the cells has the same plan and one shuffle.
-        .filter("pair IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
+        .filter(" AND ".join(f"{c} IS NOT NULL" for c in ("pair", "x", "x_range", "y", "y_range")))
         .groupBy("pair", "x", "x_range", "y", "y_range")
         .agg(F.count("*").alias("w"))
     )
-    sides = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("side"),
-                F.col(f"{c}_range").alias("range"),
-                F.col(c).alias("value"),
-            )
-            for c in ("x", "y")
-        ]
-    )
-    counts = (
-        cells.select("pair", "w", F.inline(sides))
-        .groupBy("pair", "side", "range", "value")
-        .agg(F.sum("w").alias("n"))
-    )
-    positions = _positions(counts, ["pair", "side"])
     mean_rank = (F.col("total") + 1) / F.lit(2.0)
     rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0) - mean_rank
     joined = cells
     for c in ("x", "y"):
-        ranks = positions.filter(F.col("side") == c).select(
+        counts = cells.groupBy(
+            "pair", F.col(f"{c}_range").alias("range"), F.col(c).alias("value")
+        ).agg(F.sum("w").alias("n"))
+        ranks = _positions(counts, ["pair"]).select(
             "pair", F.col("value").alias(c), rank.alias(f"{c}_rank")
         )
         joined = joined.join(ranks, ["pair", c])
