@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 
 #: Separators (fixed values): ASCII white space; every ASCII character but letters and digits.
 BLANKS = "[\\x20\\x09-\\x0D]+"
-NOT_ALNUM = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+NOT_ALNUM = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: Bytes of letters and digits in lower case, other ASCII as a blank; bytes above 127 stay.
+FOLD_ALNUM = bytes(
+    b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256)
+)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

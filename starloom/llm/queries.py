@@ -8,9 +8,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontaminate import contamination
+from .hnsw import nearest_neighbours
+from .jaccard import jaccard_components
+from .licenses import scan_licenses
 from .mixing import mix_documents
+from .quality import classify_quality
 from .sharding import shard_documents
+from .toxicity import classify_toxicity
+from .warc import archive_pages, read_bundles
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,12 +32,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(embeddings, embeddings.filter("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_documents(table(spark, sf_dir, "documents"), (5, 2, 1), share=1.5, most=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive_pages(table(spark, sf_dir, "pages"))
+    return read_bundles(index, payload=False).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = classify_quality(documents, table(spark, sf_dir, "labels"), least=0.3)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = classify_toxicity(documents, table(spark, sf_dir, "labels"), least=0.7)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
