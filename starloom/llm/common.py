@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import math
 import tempfile
 import uuid
@@ -53,11 +54,28 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, so that shuffle files that no table needs are removed."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it is seen to hold at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for further columns, made longer until ``df`` has no column of the name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, n_words, small, stored, words
+from .common import NOT_ALNUM, ascii_lower, free_names, n_words, small, stored, words
 
-#: Benchmark terms, windows and matches up to this many rows are broadcast; more are shuffled.
+#: Benchmark terms and windows up to this many rows are broadcast; more are shuffled.
 SMALL_ROWS = 200_000
+#: Likewise for candidates, of some 300 bytes each with their window's words.
+SMALL_CANDIDATES = 50_000
 
 
 def text_words(text: Column) -> Column:
@@ -130,7 +132,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, p
     lists are intersected, and what is left is compared with the document word by word.
 
     Defined cases: a null or empty text has no words; a null item text no windows; a null or
-    repeated doc_id, equal rows and extra columns stay as they are; items repeated under one id
+    repeated doc_id, equal rows and extra columns stay as they are, but for own columns of the added
+    names, which are replaced; items repeated under one id
     count once; without benchmark or documents nothing is hit.
     """
     windows, holders = benchmark_windows(benchmark, width)
@@ -139,29 +142,26 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, p
     index = stored(postings(documents, rarest.select("term")), "test-postings")
     items = holders.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     named = windows.join(items, "window")
-    candidates = phrase_candidates(index, rarest).join(small(named, SMALL_ROWS), "window")
-    per_document = candidates.groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("start", "length", "words", "items")).alias("_candidates")
+    candidates = stored(phrase_candidates(index, rarest), "test-candidates").join(small(named, SMALL_ROWS), "window")
+    kept = [c for c in documents.columns if c not in ("n_words", "n_hit", "item_ids", "spans")]
+    own, key, text, list_, exact_ = free_names(documents, "own_hash", "found_id", "found_hash", "candidates", "exact")
+    per_document = candidates.groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(text)).agg(
+        F.collect_list(F.struct("start", "length", "words", "items")).alias(list_)
     )
-    per_document = stored(
-        per_document.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), "test-candidates"
-    )
-    kept = documents.withColumn("_text_hash", F.xxhash64("text"))
-    found = kept.join(
-        small(per_document, SMALL_ROWS // 10),
-        kept["doc_id"].eqNullSafe(per_document["_id"]) & (kept["_text_hash"] == per_document["_hash"]),
-        "left",
+    if candidates.limit(SMALL_CANDIDATES + 1).count() <= SMALL_CANDIDATES:
+        per_document = F.broadcast(per_document)
+    found = documents.select(*kept).withColumn(own, F.xxhash64("text")).join(
+        per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(text)), "left"
     )
     exact = F.filter(
-        F.coalesce("_candidates", F.array()),
-        lambda c: F.slice(text_words(F.col("text")), c["start"] + 1, c["length"]) == c["words"],
+        list_, lambda c: F.slice(text_words(F.col("text")), c["start"] + 1, c["length"]) == c["words"]
     )
-    checked = found.withColumn("_found", F.when(F.col("_candidates").isNull(), F.array()).otherwise(exact))
-    spans = F.array_sort(F.transform("_found", lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"))))
+    checked = found.withColumn(exact_, F.when(F.col(list_).isNull(), F.array()).otherwise(exact))
+    spans = F.array_sort(F.transform(exact_, lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"))))
     return checked.select(
-        *documents.columns,
+        *kept,
         n_words(F.col("text"), NOT_ALNUM).alias("n_words"),
         covered_words(spans).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("_found", lambda c: c["items"])))).alias("item_ids"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform(exact_, lambda c: c["items"])))).alias("item_ids"),
         F.array_distinct(spans).alias("spans"),
     )

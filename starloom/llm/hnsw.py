@@ -251,7 +251,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, params: Params =
 
     def search(nodes: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
         if not len(nodes) or not len(some):
-            return pd.DataFrame({"query_id": [], "score": [], "ids": []})
+            return pd.DataFrame({"query_id": [], "score": [], "ids": []}).astype({"ids": object})
         nodes = nodes.sort_values("node", ignore_index=True)
         x = np.stack(nodes["v"].to_numpy())
         lifted = np.hstack([x, nodes[["lift"]].to_numpy()]).astype(np.float32)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, global_rank, n_words, random_key, running_totals, small, stored
+from .common import BLANKS, free_names, global_rank, n_words, random_key, running_totals, small, stored
 
 #: Sources up to this many are broadcast; more are joined by shuffle.
 SMALL_SOURCES = 100_000
@@ -101,11 +101,12 @@ def apply_mix(documents: DataFrame, mixed: DataFrame) -> DataFrame:
     )
     turns = turns.groupBy("doc_id", "source", "text_hash").agg(F.sum("_turns").alias("_turns"))
     columns = documents.columns
-    rows = documents.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_hash"])
+    own, n, turn = free_names(documents, "own_hash", "turns", "turn")
+    rows = documents.withColumn(own, F.xxhash64("text")).dropDuplicates(["doc_id", "source", own])
     match = (
         rows["doc_id"].eqNullSafe(turns["doc_id"])
         & rows["source"].eqNullSafe(turns["source"])
-        & (rows["_hash"] == turns["text_hash"])
+        & (rows[own] == turns["text_hash"])
     )
-    taken = rows.join(turns, match).select(*[rows[c] for c in columns], "_turns")
-    return taken.withColumn("_turn", F.explode(F.sequence(F.lit(1), "_turns"))).select(*columns)
+    taken = rows.join(turns, match).select(*[rows[c] for c in columns], turns["_turns"].alias(n))
+    return taken.withColumn(turn, F.explode(F.sequence(F.lit(1), n))).select(*columns)

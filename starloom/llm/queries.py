@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from .decontaminate import contamination
 from .hnsw import nearest_neighbours
 from .jaccard import jaccard_components
+from .katz import score_texts
 from .licenses import scan_licenses
 from .mixing import mix_documents
-from .quality import classify_quality
+from .quality import classify_quality, held_out
 from .sharding import shard_documents
 from .toxicity import classify_toxicity
 from .warc import archive_pages, read_bundles
@@ -57,6 +58,15 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept_out = held_out(F.col("doc_id"), 5, 1)
+    scores, _ = score_texts(table(spark, sf_dir, "documents"), ~kept_out)
+    return scores.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_pages(table(spark, sf_dir, "pages"))
