@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from starloom.functions.columns import col, numeric_columns, present
-from starloom.operators.ranks import spearman
-from starloom.operators.stats import rows_of
+from starloom.functions.columns import col, numeric_columns
+from starloom.operators.ranks import approximate_ranks, pearson, spearman
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -19,42 +18,34 @@ def correlations(
 ) -> DataFrame:
     """Rows (column_x, column_y, r) for every pair of columns.
 
-    ``pearson`` and ``spearman`` are for numbers, ``cramers_v`` is for categories. Each pair uses
-    the rows where both values are present.
+    ``pearson``, ``spearman`` and ``spearman_approx`` are for numbers, ``cramers_v`` is for
+    categories. Each pair uses the rows where both values are present; a pair without such rows
+    has a null.
     """
-    pairs = list(combinations(columns or numeric_columns(df), 2))
+    names = list(columns or numeric_columns(df))
+    pairs = list(combinations(names, 2))
     if not pairs:
         raise ValueError("a correlation needs two columns or more")
     if method == "pearson":
-        return _pearson(df, pairs)
+        return _named(pearson(df, names), pairs, "r")
     if method == "spearman":
-        return _named(spearman(df, pairs), pairs, "r")
+        return _named(spearman(df, names), pairs, "r")
+    if method == "spearman_approx":
+        return _named(pearson(approximate_ranks(df, names), names), pairs, "r")
     if method == "cramers_v":
         return _named(cramers_v_pairs(df, pairs).withColumnRenamed("v", "r"), pairs, "r")
     raise ValueError(f"unknown method {method!r}")
 
 
 def _named(by_number: DataFrame, pairs: Pairs, *values: str) -> DataFrame:
-    """Names in place of pair numbers."""
-
-    def name(side: int) -> Column:
-        return F.array(*[F.lit(pair[side]) for pair in pairs])[F.col("pair")]
-
-    return by_number.select(name(0).alias("column_x"), name(1).alias("column_y"), *values)
-
-
-def _pearson(df: DataFrame, pairs: Pairs) -> DataFrame:
-    return rows_of(
-        df,
-        [
-            F.struct(
-                F.lit(x).alias("column_x"),
-                F.lit(y).alias("column_y"),
-                F.corr(present(df, x).cast("double"), present(df, y).cast("double")).alias("r"),
-            )
-            for x, y in pairs
-        ],
+    """A row for each pair, names in place of numbers; null where a pair has no row."""
+    spark = by_number.sparkSession
+    every = spark.createDataFrame(
+        [(i, x, y) for i, (x, y) in enumerate(pairs)], "__pair int, column_x string, column_y string"
     )
+    # As many rows as pairs of columns.
+    joined = every.join(by_number, F.col("__pair") == F.col("pair"), "left")
+    return joined.select("column_x", "column_y", *values)
 
 
 def cramers_v_pairs(df: DataFrame, pairs: Pairs) -> DataFrame:

@@ -40,12 +40,14 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, n: int | None = None) -> DataFrame:
-    """The rows that occur more than once, with their count; the ``n`` most frequent if given."""
+    """The rows that occur more than once, with their count ``n`` (``n_copies`` for a table that
+    has a column n); the ``n`` most frequent if given."""
     names = df.columns
-    groups = df.groupBy(*[col(c) for c in names]).agg(F.count("*").alias("n")).filter("n > 1")
+    count = "n_copies" if "n" in names else "n"
+    groups = df.groupBy(*[col(c) for c in names]).agg(F.count("*").alias(count)).filter(col(count) > 1)
     if n is None:
         return groups
-    return groups.orderBy(F.desc("n"), *[col(c) for c in names]).limit(n)
+    return groups.orderBy(F.desc(count), *[col(c) for c in names]).limit(n)
 
 
 def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:

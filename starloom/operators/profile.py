@@ -6,14 +6,16 @@ checking. NaN counts as missing here.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starloom.functions.columns import col, is_floating, is_missing, numeric_columns, present
+from starloom.operators.correlation import correlations
 from starloom.operators.ranks import quantiles_and_mad
 from starloom.operators.stats import rows_of, value_counts
 
@@ -228,29 +230,31 @@ def profile_histograms(
     """Rows (column, bin, bin_start, bin_end, n): equal bins per column, the last one closed,
     empty bins too. Two passes for all columns together.
 
-    The bounds are the least and greatest finite value of the column unless given; values
-    outside given bounds are left out.
+    The bounds are the least and greatest finite value of the column unless given. Infinities
+    and values outside given bounds are in no bin; every row says how many there are as ``n_out``.
     """
     names = list(columns or numeric_columns(df))
     cells = [
         F.struct(F.lit(c).alias("column"), present(df, c).cast("double").alias("v"))
         for c in names
     ]
-    values = df.select(F.inline(F.array(*cells))).filter(
-        F.col("v").isNotNull() & (F.abs("v") != F.lit(float("inf")))
-    )
+    every_value = df.select(F.inline(F.array(*cells))).filter(F.col("v").isNotNull())
+    inside = F.abs("v") != F.lit(float("inf"))
     if bounds:
-        values = values.filter(F.col("v").between(*bounds))
+        inside = inside & F.col("v").between(*bounds)
         low, high = (F.lit(float(b)) for b in bounds)
     else:
-        low, high = F.min("v"), F.max("v")
+        low, high = (f(F.when(inside, F.col("v"))) for f in (F.min, F.max))
+    values = every_value.filter(inside)
     # One row per column.
-    ends = values.groupBy("column").agg(low.alias("low"), high.alias("high"))
+    ends = every_value.groupBy("column").agg(
+        low.alias("low"), high.alias("high"), F.count_if(~inside).alias("n_out"), F.count_if(inside).alias("__in")
+    ).filter("__in > 0")
     # No bucket if all values are equal: they go to the first bin. The greatest value has a
     # bucket of its own after the last bin, which it closes.
     bucket = F.width_bucket("v", F.col("low"), F.col("high"), F.lit(bins))
     counts = (
-        values.join(F.broadcast(ends), "column")
+        values.join(F.broadcast(ends.drop("n_out", "__in")), "column")
         .groupBy("column", F.least(F.coalesce(bucket, F.lit(1)), F.lit(bins)).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
@@ -262,13 +266,14 @@ def profile_histograms(
         (F.col("low") + width * (F.col("bin") - 1)).alias("bin_start"),
         (F.col("low") + width * F.col("bin")).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("n"),
+        "n_out",
     )
 
 
 def profile_histogram(
     df: DataFrame, column: str, bins: int = 10, bounds: tuple[float, float] | None = None
 ) -> DataFrame:
-    """The histogram of one column as (bin, bin_start, bin_end, n)."""
+    """The histogram of one column as (bin, bin_start, bin_end, n, n_out)."""
     return profile_histograms(df, [column], bins, bounds).drop("column")
 
 
@@ -287,13 +292,25 @@ def top_values_by_column(df: DataFrame, columns: Sequence[str], n: int) -> DataF
 
 def extreme_values_by_column(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     """The ``n`` smallest and greatest distinct numbers of every column as (side, column, value,
-    n). One job."""
+    n).
+
+    A first job finds each column's ``n``-th smallest and greatest distinct value, from at most
+    ``2 n`` values of every task; then only values from there on outwards are counted.
+    """
+    values = df.select(*[present(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    limits = _outermost(values, n)
     cells = [
-        F.struct(F.lit(c).alias("column"), present(df, c).cast("double").alias("value"))
-        for c in columns
+        F.when(
+            (F.col(f"v{i}") <= F.lit(low)) | (F.col(f"v{i}") >= F.lit(high)),
+            F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("value")),
+        )
+        for i, (c, (low, high)) in enumerate(zip(columns, limits))
+        if low is not None
     ]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "side string, column string, value double, n long")
     counts = (
-        df.select(F.inline(F.array(*cells)))
+        values.select(F.inline(F.array(*cells)))
         .filter("value IS NOT NULL")
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
@@ -303,6 +320,30 @@ def extreme_values_by_column(df: DataFrame, columns: Sequence[str], n: int) -> D
     return smallest.unionByName(greatest).select("side", "column", "value", "n")
 
 
+def _outermost(values: DataFrame, n: int) -> list[tuple[float | None, float | None]]:
+    """Per column its n-th smallest and n-th greatest distinct value, or the last if there are fewer."""
+    k = len(values.columns)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.array([]) for _ in range(2 * k)]
+        for batch in batches:
+            for i in range(k):
+                x = np.unique(batch.column(i).drop_null().to_numpy(zero_copy_only=False))
+                kept[i] = np.unique(np.concatenate([kept[i], x]))[:n]
+                kept[k + i] = np.unique(np.concatenate([kept[k + i], x]))[-n:]
+        sides = np.repeat(np.arange(2 * k, dtype=np.int32), [len(x) for x in kept])
+        yield pa.record_batch([pa.array(sides), pa.array(np.concatenate(kept))], ["c", "value"])
+
+    found = values.mapInArrow(ends, "c int, value double").distinct()
+    least = F.when(F.col("c") < k, F.col("value")).otherwise(-F.col("value"))
+    place = F.row_number().over(Window.partitionBy("c").orderBy(least))
+    rows = found.withColumn("place", place).filter(F.col("place") <= n).groupBy("c").agg(
+        F.max_by("value", "place").alias("value")
+    )
+    last = {row["c"]: row["value"] for row in rows.collect()}
+    return [(last.get(i), last.get(k + i)) for i in range(k)]
+
+
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
     """The ``n`` most frequent values as (value, n); ties go to the smaller value."""
     counts = df.groupBy(col(column).alias("value")).agg(F.count("*").alias("n"))
@@ -373,42 +414,76 @@ def profile_alerts(
     approx: bool = True,
 ) -> DataFrame:
     """Rows (column, other, alert, value): constant, unique, high_cardinality (texts), missing,
-    zeros, skewed, and correlated pairs. Everything comes from one aggregation."""
+    zeros, skewed, and correlated pairs.
+
+    One pass gives a row of figures per column, another the correlations. With ``approx`` distinct
+    values are estimates; a column whose estimate is near its number of values is counted exactly
+    to tell if it is unique. Runs jobs when called.
+    """
     numbers = numeric_columns(df)
     limits = thresholds
-    total = F.count("*")
-    checks: list[Column] = []
-
-    def check(column: str, alert: str, value: Column, fires: Column, other: str | None = None):
-        checks.append(
+    figures = []
+    for f in df.schema.fields:
+        v = present(df, f.name)
+        number = v.cast("double") if f.name in numbers else F.lit(None).cast("double")
+        figures.append(
             F.struct(
-                F.lit(column).alias("column"),
-                F.lit(other).cast("string").alias("other"),
-                F.lit(alert).alias("alert"),
-                value.cast("double").alias("value"),
-                fires.alias("fires"),
+                F.lit(f.name).alias("column"),
+                F.lit(isinstance(f.dataType, T.StringType)).alias("text"),
+                F.lit(f.name in numbers).alias("number"),
+                F.count("*").alias("total"),
+                F.count(v).alias("present"),
+                _n_distinct(df, f.name, approx).alias("distinct"),
+                F.count_if(number == 0).alias("zeros"),
+                F.skewness(number).alias("skewness"),
             )
         )
+    rows = rows_of(df, figures).collect()
+    unique = {row["column"]: row["distinct"] for row in rows if row["distinct"] == row["present"] > 1}
+    if approx:
+        near = [r["column"] for r in rows if r["present"] > 1 and r["distinct"] > NEAR * r["present"]]
+        unique = _unique_columns(df, near, {r["column"]: r["present"] for r in rows})
+    found: list[tuple[str, str | None, str, float]] = []
+    for row in rows:
+        c, total, distinct = row["column"], row["total"], unique.get(row["column"], row["distinct"])
+        missing = (total - row["present"]) / total if total else 0.0
+        zeros = row["zeros"] / total if total else 0.0
+        skewness = row["skewness"]
+        checks = (
+            ("constant", distinct, distinct == 1),
+            ("missing", missing, missing > limits.missing_share),
+            ("unique", distinct, c in unique),
+            ("high_cardinality", distinct, row["text"] and distinct > limits.cardinality),
+            ("zeros", zeros, zeros > limits.zero_share),
+            ("skewed", skewness, skewness is not None and abs(skewness) > limits.skewness),
+        )
+        found += [(c, None, alert, float(value)) for alert, value, fires in checks if fires]
+    spark = df.sparkSession
+    alerts = spark.createDataFrame(found, "column string, other string, alert string, value double")
+    if len(numbers) < 2:
+        return alerts
+    pairs = correlations(df, numbers).filter(F.abs("r") > limits.correlation)
+    return alerts.unionByName(
+        pairs.select(
+            F.col("column_x").alias("column"),
+            F.col("column_y").alias("other"),
+            F.lit("correlated").alias("alert"),
+            F.col("r").alias("value"),
+        )
+    )
 
-    for f in df.schema.fields:
-        c = f.name
-        n_present = F.count(present(df, c))
-        distinct = _n_distinct(df, c, approx)
-        missing = F.try_divide(F.count_if(is_missing(df, c)).cast("double"), total)
-        check(c, "constant", distinct, distinct == 1)
-        check(c, "missing", missing, missing > limits.missing_share)
-        # A sketch cannot tell all values apart; only an exact count proves uniqueness.
-        if not approx:
-            check(c, "unique", distinct, (distinct == n_present) & (n_present > 1))
-        if isinstance(f.dataType, T.StringType):
-            check(c, "high_cardinality", distinct, distinct > limits.cardinality)
-        if c in numbers:
-            v = present(df, c).cast("double")
-            zeros = F.try_divide(F.count_if(v == 0).cast("double"), total)
-            skewness = F.skewness(v)
-            check(c, "zeros", zeros, zeros > limits.zero_share)
-            check(c, "skewed", skewness, F.abs(skewness) > limits.skewness)
-    for x, y in combinations(numbers, 2):
-        r = F.corr(present(df, x).cast("double"), present(df, y).cast("double"))
-        check(x, "correlated", r, F.abs(r) > limits.correlation, other=y)
-    return rows_of(df, checks).filter("fires").drop("fires")
+
+# Estimated share of distinct values from which a column is counted exactly.
+NEAR = 0.9
+
+
+def _unique_columns(df: DataFrame, columns: Sequence[str], n_present: dict[str, int]) -> dict[str, int]:
+    """Of the columns those whose values are all distinct, with their number."""
+    if not columns:
+        return {}
+    cells = [
+        F.struct(F.lit(c).alias("column"), present(df, c).cast("string").alias("value")) for c in columns
+    ]
+    values = df.select(F.inline(F.array(*cells))).filter("value IS NOT NULL")
+    distinct = values.distinct().groupBy("column").count().collect()
+    return {row["column"]: row["count"] for row in distinct if row["count"] == n_present[row["column"]]}

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.functions.columns import col
+from starloom.functions.columns import present
 from starloom.operators.stats import rows_of
 
 _COMPARE = {
@@ -24,7 +24,8 @@ _COMPARE = {
 
 @dataclass(frozen=True)
 class Rule:
-    """A row breaks the rule if ``column op bound`` is true; null breaks nothing."""
+    """A row breaks the rule if ``column op bound`` is true; null and NaN, which counts as missing
+    here, break nothing."""
 
     name: str
     column: str
@@ -35,8 +36,8 @@ class Rule:
     def message(self) -> str:
         return f"{self.column} {self.op} {self.bound}"
 
-    def broken(self) -> Column:
-        return _COMPARE[self.op](col(self.column), F.lit(self.bound))
+    def broken(self, df: DataFrame) -> Column:
+        return _COMPARE[self.op](present(df, self.column), F.lit(self.bound))
 
 
 class GateError(Exception):
@@ -50,8 +51,8 @@ class GateError(Exception):
 
 def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The rows that break a rule with a ``message``, one row per broken rule."""
-    broken = df.filter(reduce(operator.or_, [r.broken() for r in rules]))
-    messages = F.array_compact(F.array(*[F.when(r.broken(), r.message) for r in rules]))
+    broken = df.filter(reduce(operator.or_, [r.broken(df) for r in rules]))
+    messages = F.array_compact(F.array(*[F.when(r.broken(df), r.message) for r in rules]))
     return broken.withColumn("message", F.explode(messages))
 
 
@@ -64,8 +65,8 @@ def gate_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 F.lit(r.name).alias("rule"),
                 F.lit(r.message).alias("message"),
                 F.count("*").alias("n_rows"),
-                F.count_if(r.broken()).alias("n_violations"),
-                (F.count_if(r.broken()) == 0).alias("passed"),
+                F.count_if(r.broken(df)).alias("n_violations"),
+                (F.count_if(r.broken(df)) == 0).alias("passed"),
             )
             for r in rules
         ],
@@ -82,5 +83,5 @@ def assert_threshold(df: DataFrame, rule: Rule, sample: int = 5) -> None:
     verdict = gate_report(df, [rule]).first()
     if not verdict["passed"]:
         n = verdict["n_violations"]
-        rows = df.filter(rule.broken()).limit(sample).collect()
+        rows = df.filter(rule.broken(df)).limit(sample).collect()
         raise GateError(f"{n} of {verdict['n_rows']} rows with {rule.message}", n, rows)

@@ -12,16 +12,19 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
-from collections.abc import Sequence
-from itertools import accumulate
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.columns import col
 
-# Bounds the driver-side list of split points and the broadcast of range totals, per column.
-MAX_RANGES = 20_000
+# Rows of a range, on average; the number of ranges follows the number of rows.
+ROWS_PER_RANGE = 1_000_000
+LEAST_RANGES = 64
 
 
 def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,8 +35,11 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _split_points(numbers: DataFrame) -> list[list[float]]:
     """Finite split points of every column, from one pass over the data (this is an action)."""
-    wanted = int(numbers.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
-    parts = max(64, min(wanted, MAX_RANGES))
+    return _cut(numbers, max(LEAST_RANGES, -(-numbers.count() // ROWS_PER_RANGE)))
+
+
+def _cut(numbers: DataFrame, parts: int) -> list[list[float]]:
+    """Finite points that cut every column into ``parts`` ranges of similar size, fewer if it has few values."""
     quantiles = numbers.approxQuantile(
         numbers.columns, [i / parts for i in range(1, parts)], 1 / (4 * parts)
     )
@@ -55,7 +61,6 @@ def _positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """From (keys, range, value, n): add n_before, the rows with smaller values under the same
     keys, and total, all rows under them."""
     totals = counts.groupBy(*keys, "range").agg(F.sum("n").alias("__in_range"))
-    # One row per key and range: at most MAX_RANGES + 1 per column, whatever the size of the data.
     whole, inside = Window.partitionBy(*keys), Window.partitionBy(*keys, "range").orderBy("value")
     offsets = totals.select(
         *keys,
@@ -66,7 +71,7 @@ def _positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     before = F.sum("n").over(inside) - F.col("n")
     return (
         counts.withColumn("__before", before)
-        .join(F.broadcast(offsets), [*keys, "range"])
+        .join(offsets, [*keys, "range"])
         .withColumn("n_before", F.col("__before") + F.col("__offset"))
         .select(*keys, "value", "n", "n_before", "total")
     )
@@ -101,7 +106,7 @@ def exact_quantiles(
 
 
 def _range_totals(ranged: DataFrame, columns: int) -> dict[int, list[tuple[int, int]]]:
-    """Per column number (range, rows) in order; at most MAX_RANGES + 1 of them."""
+    """Per column number (range, rows) in order: a number for each ROWS_PER_RANGE rows or so."""
     long = ranged.select(
         F.inline(
             F.array(
@@ -169,7 +174,13 @@ def _values_at(
 def _interpolate(c: int, position: float, values: dict[tuple[int, int], float]) -> float:
     below = math.floor(position)
     low, high = values[c, below], values[c, math.ceil(position)]
-    return low if low == high else low + (high - low) * (position - below)
+    share = position - below
+    if low == high or share == 0:
+        return low
+    # Between an infinity and a number the infinity counts, as it would at any share but 0.
+    if math.isinf(low):
+        return low if not math.isinf(high) else math.nan
+    return low + (high - low) * share
 
 
 def quantiles_and_mad(
@@ -190,55 +201,125 @@ def quantiles_and_mad(
             for i, m in enumerate(medians)
         ]
     )
-    cuts = [
-        sorted({abs(s - (m or 0.0)) for s in points}) for points, m in zip(splits, medians)
-    ]
+    # Deviations from an infinite median are infinite or not a number; any cut does for them.
+    centres = [m if m is not None and math.isfinite(m) else 0.0 for m in medians]
+    cuts = [sorted({abs(s - m) for s in points}) for points, m in zip(splits, centres)]
     mads = exact_quantiles(deviations, numbers.columns, [0.5], cuts)
     return [(quantiles[:-1], mad[0]) for quantiles, mad in zip(found, mads)]
 
 
-def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rows (pair, r): for each pair, by its number, the correlation of average ranks over the
-    rows where both values are present.
+def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (pair, r): the correlation of every pair of columns, by the pair's number.
 
-    One job for all pairs, after one for the split points. Equal pairs of values are counted
-    first and carry their count as weight, so a frequent value costs one row per partner value.
+    Each task adds up all its pairs at once as matrix products, so that a wide table costs no
+    expression per pair; one small grouping by pair adds the tasks' sums. Values are taken
+    relative to their column's mean, which keeps the sums exact enough.
+    """
+    numbers = _numbers(df, columns)
+    k = len(columns)
+    means = [m if m is not None and math.isfinite(m) else 0.0 for m in numbers.agg(*[F.avg(c) for c in numbers.columns]).first()]
+    rows, cols = np.triu_indices(k, 1)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, k, k))
+        for batch in batches:
+            for part in (batch.slice(at, 10_000) for at in range(0, batch.num_rows, 10_000)):
+                x = np.stack([c.to_numpy(zero_copy_only=False) for c in part.columns], 1).astype(float)
+                here = (~np.isnan(x)).astype(float)
+                with np.errstate(invalid="ignore"):
+                    x = np.where(here > 0, x - means, 0.0)
+                    square = x * x
+                    # Per pair: rows, sums and squares of either side where the other is present, products.
+                    total += [here.T @ here, x.T @ here, here.T @ x, square.T @ here, here.T @ square, x.T @ x]
+        yield pa.record_batch([pa.array(np.arange(len(rows), dtype=np.int32)), *(pa.array(t[rows, cols]) for t in total)], names)
+
+    names = ["pair", "n", "x", "y", "xx", "yy", "xy"]
+    found = numbers.mapInArrow(sums, "pair int, n double, x double, y double, xx double, yy double, xy double")
+    total = found.groupBy("pair").agg(*[F.sum(c).alias(c) for c in names[1:]]).filter("n > 0")
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    spread = F.sqrt((n * F.col("xx") - x * x) * (n * F.col("yy") - y * y))
+    return total.select("pair", F.try_divide(n * F.col("xy") - x * y, spread).alias("r"))
+
+
+def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (pair, r): for every pair of columns, by its number, the correlation of average ranks
+    over the rows where both values are present.
+
+    Columns are grouped by where their values are missing: two columns of one group are ranked
+    once, however many pairs they are in. Pairs across groups are ranked among their own rows.
     """
-    columns = sorted({c for pair in pairs for c in pair})
     numbers = _numbers(df, columns)
-    ranged = _with_ranges(numbers, _split_points(numbers))
-
-    both = [
-        F.when(
-            F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull(),
-            F.struct(
-                F.lit(number).alias("pair"),
-                F.col(f"v{i}").alias("x"),
-                F.col(f"r{i}").alias("x_range"),
-                F.col(f"v{j}").alias("y"),
-                F.col(f"r{j}").alias("y_range"),
-            ),
+    k = len(columns)
+    pairs = list(combinations(range(k), 2))
+    # Columns missing in the same rows: equal sums of a hash of the rows' present values.
+    marks = numbers.withColumn("__row", F.monotonically_increasing_id())
+    sums = marks.agg(
+        *[F.struct(F.count(f"v{i}"), F.bit_xor(F.when(F.col(f"v{i}").isNotNull(), F.xxhash64("__row")))) for i in range(k)]
+    ).first()
+    groups: dict[tuple, list[int]] = {}
+    for i, mark in enumerate(sums):
+        groups.setdefault(tuple(mark), []).append(i)
+    splits = _split_points(numbers)
+    found = None
+    for members in groups.values():
+        if len(members) > 1:
+            ranked = _ranked(numbers, members, splits)
+            r = pearson(ranked, ranked.columns)
+            number = F.array(*[F.lit(pairs.index(p)) for p in combinations(members, 2)])[F.col("pair")]
+            r = r.select(number.alias("pair"), "r")
+            found = r if found is None else found.unionByName(r)
+    group_of = {i: g for g, members in enumerate(groups.values()) for i in members}
+    for i, j in (p for p in pairs if group_of[p[0]] != group_of[p[1]]):
+        both = numbers.filter(F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull())
+        r = pearson(_ranked(both, [i, j], splits), [f"v{i}", f"v{j}"])
+        r = r.select(F.lit(pairs.index((i, j))).alias("pair"), "r")
+        found = r if found is None else found.unionByName(r)
+    return found
+
+
+def _ranked(numbers: DataFrame, members: Sequence[int], splits: Sequence[Sequence[float]]) -> DataFrame:
+    """The members' columns with average ranks in place of values; a join for each column.
+
+    Values are counted first; Spark broadcasts the ranks of columns with few values and
+    splits frequent values of others.
+    """
+    rows = numbers.select(*[f"v{i}" for i in members])
+    for i in members:
+        counts = (
+            numbers.select(F.col(f"v{i}").alias("v0"))
+            .filter("v0 IS NOT NULL")
+            .groupBy("v0")
+            .agg(F.count("*").alias("n"))
         )
-        for number, (i, j) in enumerate((columns.index(x), columns.index(y)) for x, y in pairs)
-    ]
-    cells = (
-        ranged.select(F.inline(F.array(*both)))
-        # All join keys, so that every use of the cells has the same plan and one shuffle.
-        .filter(" AND ".join(f"{c} IS NOT NULL" for c in ("pair", "x", "x_range", "y", "y_range")))
-        .groupBy("pair", "x", "x_range", "y", "y_range")
-        .agg(F.count("*").alias("w"))
-    )
-    mean_rank = (F.col("total") + 1) / F.lit(2.0)
-    rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0) - mean_rank
-    joined = cells
-    for c in ("x", "y"):
-        counts = cells.groupBy(
-            "pair", F.col(f"{c}_range").alias("range"), F.col(c).alias("value")
-        ).agg(F.sum("w").alias("n"))
-        ranks = _positions(counts, ["pair"]).select(
-            "pair", F.col("value").alias(c), rank.alias(f"{c}_rank")
+        ranged = _with_ranges(counts, [splits[i]]).select(
+            F.lit(i).alias("c"), F.col("r0").alias("range"), F.col("v0").alias("value"), "n"
         )
-        joined = joined.join(ranks, ["pair", c])
-    rx, ry, w = F.col("x_rank"), F.col("y_rank"), F.col("w")
-    spread = F.sqrt(F.sum(w * rx * rx) * F.sum(w * ry * ry))
-    return joined.groupBy("pair").agg(F.try_divide(F.sum(w * rx * ry), spread).alias("r"))
+        rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)
+        ranks = _positions(ranged, ["c"]).select(F.col("value").alias("__value"), rank.alias("__rank"))
+        rows = rows.join(ranks, F.col(f"v{i}") == F.col("__value"), "left").drop("__value", f"v{i}")
+        rows = rows.withColumnRenamed("__rank", f"v{i}")
+    return rows.select(*[f"v{i}" for i in members])
+
+
+def approximate_ranks(df: DataFrame, columns: Sequence[str], parts: int = 1000) -> DataFrame:
+    """The columns with approximate average ranks, as shares from 0 to 1, in place of values.
+
+    Every column is cut into some ``parts`` ranges; a value's rank is the middle one of its range,
+    looked up for each row, so no row is shuffled. A share is off by 1 / ``parts`` at most, by
+    nothing for columns of fewer distinct values.
+    """
+    numbers = _numbers(df, columns)
+    splits = _cut(numbers, parts)
+    ranged = _with_ranges(numbers, splits)
+    totals = _range_totals(ranged, len(columns))
+    ranked = []
+    for i, name in enumerate(columns):
+        counts, before, middles = dict(totals.get(i, [])), 0, []
+        whole = sum(counts.values())
+        for r in range(len(splits[i]) + 1):
+            n = counts.get(r, 0)
+            middles.append((before + n / 2) / whole if whole else 0.0)
+            before += n
+        rank = F.get(F.lit(middles), F.col(f"r{i}").cast("int"))
+        ranked.append(F.when(F.col(f"v{i}").isNotNull(), rank).alias(name))
+    return ranged.select(*ranked)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starloom.functions.columns import col
+from starloom.functions.columns import col, is_floating
 
 
 def rows_of(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -15,20 +15,17 @@ def rows_of(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (column, value, n) for every value of every column, null included."""
-    keys = [col(c) for c in columns]
-    last = len(columns) - 1
-    everything = (1 << len(columns)) - 1
-    counts = df.groupingSets([[k] for k in keys], *keys).agg(
-        F.grouping_id().alias("__set"), F.count("*").alias("n")
-    )
-    # grouping_id has one bit per column, set when the column is not part of the grouping.
-    ids = [everything ^ (1 << (last - i)) for i in range(len(columns))]
-    name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for c, i in zip(columns, ids):
-        name = F.when(F.col("__set") == i, c).otherwise(name)
-        value = F.when(F.col("__set") == i, col(c).cast("string")).otherwise(value)
-    return counts.select(name.alias("column"), value.alias("value"), "n")
+    """Rows (column, value, n) for every value of every column, null included; values as text.
+
+    Any number of columns: rows are taken apart into cells, which are counted before the shuffle.
+    """
+    cells = []
+    for c in columns:
+        value = col(c)
+        if is_floating(df, c):
+            value = F.when(value == 0, F.lit(0.0)).otherwise(value)  # of either sign
+        cells.append(F.struct(F.lit(c).alias("column"), value.cast("string").alias("value")))
+    return df.select(F.inline(F.array(*cells))).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -11,8 +11,15 @@ from starloom.operators.quality import Rule, alert_rows, gate_report
 from starloom.operators.sampling import sample_by_key
 from starloom.operators.shape import cast_failures, conform
 from starloom.schemas import Profile, STRING_PROFILE
-from starloom.session import scratch_path
-from starloom.sinks import ensure_table, layout, replace_partition, write_csv
+from starloom.session import drop_scratch, scratch_path
+from starloom.sinks import (
+    check_date,
+    ensure_table,
+    layout,
+    replace_partition,
+    replace_table,
+    write_csv,
+)
 
 # Fixed value: a batch fails if any ticket has this many changes.
 CHANGES_RULE = Rule("changes", "number_of_changes", ">=", 4)
@@ -34,24 +41,36 @@ PROFILE_SAMPLE = Sample("found_at", 10000)
 
 @dataclass(frozen=True)
 class BatchResult:
+    """What happened. ``staged`` are the rows that were judged; ``close`` removes their files.
+    ``keys`` is the report on unmatched and duplicate keys, if one was given."""
+
     passed: bool
     report: DataFrame
     alerts: DataFrame
     staged: DataFrame
     csv_path: str | None
+    keys: DataFrame | None = None
+
+    def close(self) -> None:
+        unstage(self.staged)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table once to the shared scratch folder and read it back.
 
     Later steps all see the same rows, nothing upstream runs again, and a lost executor costs a
-    re-read rather than a recomputation.
+    re-read rather than a recomputation. ``unstage`` removes the files.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Remove the files of a staged table."""
+    drop_scratch(df.sparkSession, *{file.rpartition("/")[0] for file in df.inputFiles()})
+
+
 def run_batch(
     df: DataFrame,
     table: str,
@@ -61,28 +80,43 @@ def run_batch(
     location: str | None = None,
     sample: Sample | None = None,
     csv_dir: str | None = None,
+    keys: DataFrame | None = None,
+    strict: bool = False,
 ) -> BatchResult:
     """Load the batch if it passes the rules, else change nothing and return alerts.
 
-    The batch is staged once, so the verdict is about the rows that get loaded and a failure
-    upstream happens before the table is touched. Values that do not fit the table's types raise
-    before it, too. Only verdicts, one row per rule and column, come to the driver. Sampling is
-    off unless asked for.
+    The batch is staged once, sampled from there if asked, and staged again, so the verdict is
+    about the rows that get loaded and a failure upstream happens before the table is touched.
+    Values that do not fit the table's types raise before it, too. A profile without a partition
+    column replaces its whole table. Only verdicts, one row per rule and column, come to the
+    driver. ``keys`` is a report as of ``plans.tickets.key_report``; with ``strict`` duplicate
+    dimension keys raise.
     """
+    check_date(process_date)
     spark = df.sparkSession
-    if sample:
-        df = sample_by_key(df, sample.key, sample.k, sample.seed)
+    if keys is not None:
+        found = keys.collect()
+        doubled = [row["dimension"] for row in found if row["n_duplicate_keys"]]
+        if strict and doubled:
+            raise ValueError(f"duplicate keys in {', '.join(doubled)} multiply facts")
+        keys = spark.createDataFrame(found, keys.schema)
     staged = stage(df, "batch")
+    if sample:
+        whole, staged = staged, stage(sample_by_key(staged, sample.key, sample.k, sample.seed), "sample")
+        unstage(whole)
     csv_path = write_csv(staged, csv_dir, process_date) if csv_dir else None
     verdict = gate_report(staged, rules)
     report = spark.createDataFrame(verdict.collect(), verdict.schema)
     passed = not report.filter("not passed").head(1)
     if passed:
         _check_types(staged, profile)
-        ensure_table(spark, table, profile, location)
         batch = layout(conform(staged, profile), profile.sort_by)
-        replace_partition(batch, table, process_date, profile.partition_by)
-    return BatchResult(passed, report, alert_rows(report), staged, csv_path)
+        if profile.partition_by:
+            ensure_table(spark, table, profile, location)
+            replace_partition(batch, table, process_date, profile.partition_by)
+        else:
+            replace_table(batch, table, profile, location)
+    return BatchResult(passed, report, alert_rows(report), staged, csv_path, keys)
 
 
 def _check_types(staged: DataFrame, profile: Profile) -> None:

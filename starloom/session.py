@@ -30,13 +30,25 @@ def local_session(cores: int | str = "*", app: str = "starloom", **conf: str) ->
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for intermediate tables, in the shared folder named by ``spark.checkpoint.dir``.
-
-    Every executor must see the files, so a machine-local folder is accepted only in local mode.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path for intermediate tables, in the shared folder named by ``spark.checkpoint.dir``
+    or else in the session's checkpoint folder. Every executor must see the files."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="starloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        named = spark._jvm.org.apache.hadoop.fs.Path(path)
+        named.getFileSystem(spark._jsc.hadoopConfiguration()).delete(named, True)
+
+
+def ensure_scratch(spark: SparkSession) -> SparkSession:
+    """For tests, the bench and the entry points: give a local session that names no checkpoint
+    folder one of its own. Sessions on a cluster must name theirs."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.conf.get("spark.master", "").startswith("local"):
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="starloom-"))
+    return spark

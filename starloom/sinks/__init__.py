@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions import col
 from starloom.schemas import Profile
-from starloom.sources import CSV_OPTIONS
+from starloom.sources import CSV_OPTIONS, escaped
 
 
 def write_csv(df: DataFrame, directory: str, process_date: str, name: str = "batch") -> str:
-    """Write CSV with a header to ``directory/name_date``; returns that path."""
+    """Write CSV with a header to ``directory/name_date``; returns that path.
+
+    Line breaks in texts are escaped, so every row is one line; ``read_csv`` undoes it.
+    """
     path = f"{directory.rstrip('/')}/{name}_{process_date}"
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    rows = df.select(
+        *[
+            escaped(col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+    rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -42,23 +52,74 @@ def layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     return df.hint("rebalance", *args).sortWithinPartitions(col(key))
 
 
+def check_date(process_date: str) -> str:
+    """The date, if it is written yyyy-MM-dd."""
+    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", process_date):
+        raise ValueError(f"process_date must be yyyy-MM-dd, got {process_date!r}")
+    return process_date
+
+
+def _same_columns(df: DataFrame, wanted: list[str]) -> None:
+    extra = sorted(set(df.columns) - set(wanted))
+    if extra:
+        raise ValueError(f"the table has no columns {', '.join(extra)}")
+
+
 def replace_partition(
     df: DataFrame, table: str, process_date: str, partition_by: str = "process_date"
 ) -> None:
     """Make the batch the whole content of one date; other dates stay as they are.
 
-    A static overwrite, so an empty batch clears the date and a repeated load changes nothing.
-    The batch must not be read from the same table.
+    Columns that the table lacks and rows of another date raise before anything changes. The
+    files are staged and swapped in when the job commits, so a job that fails leaves the old rows.
+    An empty batch clears the date; a repeated load changes nothing. The batch must not be read
+    from the same table, and is read twice or three times: give it a stored table.
     """
-    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", process_date):
-        raise ValueError(f"process_date must be yyyy-MM-dd, got {process_date!r}")
+    check_date(process_date)
     spark = df.sparkSession
-    names = [c for c in spark.table(table).columns if c != partition_by]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_by}` = '{process_date}') "
-        "SELECT * FROM {batch}",
-        batch=df.select(*[col(c) for c in names]),
-    )
+    columns = spark.table(table).columns
+    _same_columns(df, [*columns, partition_by])
+    if partition_by in df.columns:
+        foreign = df.filter(~col(partition_by).cast("string").eqNullSafe(F.lit(process_date)))
+        if not foreign.isEmpty():
+            raise ValueError(f"the batch of {process_date} holds rows of other dates")
+    names = [c for c in columns if c != partition_by]
+    batch = df.select(*[col(c) for c in names])
+    where = f"`{partition_by}` = '{process_date}'"
+    if df.isEmpty():
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({where}) SELECT * FROM {{batch}}", batch=batch)
+        return
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_by}`) "
+            f"SELECT *, '{process_date}' AS `{partition_by}` FROM {{batch}}",
+            batch=batch,
+        )
+    finally:
+        spark.conf.set(mode, before)
+
+
+def replace_table(df: DataFrame, table: str, profile: Profile, location: str | None = None) -> None:
+    """Make the batch the whole content of a table without partitions.
+
+    The rows go to a new table, which takes the old one's name when it is complete; a job that
+    fails leaves the old table. Columns that the profile lacks raise first.
+    """
+    _same_columns(df, [name for name, _ in profile.columns])
+    spark = df.sparkSession
+    fresh = f"{table}_{uuid.uuid4().hex}"
+    ensure_table(spark, fresh, profile, location and f"{location.rstrip('/')}/{uuid.uuid4().hex}")
+    try:
+        names = [col(name) for name, _ in profile.columns]
+        spark.sql(f"INSERT INTO {fresh} SELECT * FROM {{batch}}", batch=df.select(*names))
+    except Exception:
+        spark.sql(f"DROP TABLE {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table.rpartition('.')[2]}")
 
 
 def jdbc_write_options(
@@ -68,11 +129,12 @@ def jdbc_write_options(
     truncate: bool = True,
     column_types: str | None = None,
     batchsize: int = 10000,
-    partitions: int | None = None,
+    partitions: int = 8,
     **options: str,
 ) -> dict[str, str]:
     result = {
         "url": url,
+        "numPartitions": str(partitions),
         "dbtable": table,
         "truncate": str(truncate).lower(),
         "batchsize": str(batchsize),
@@ -82,8 +144,6 @@ def jdbc_write_options(
         result["driver"] = driver
     if column_types:
         result["createTableColumnTypes"] = column_types
-    if partitions:
-        result["numPartitions"] = str(partitions)
     return result
 
 

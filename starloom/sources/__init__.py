@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions import col
 
@@ -22,36 +22,126 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_json(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
-    multiline: bool = True,
+    multiline: bool = False,
+    permissive: bool = False,
 ) -> DataFrame:
-    """JSON objects, as one array per file (``multiline``) or one object per line.
+    """JSON objects, one per line (or an array per line); ``multiline``: one array per file.
+
+    A malformed record or a value of the wrong type raises when it is read. ``permissive`` needs a
+    schema and keeps such records instead, their text in the column ``_corrupt_record``, for
+    ``corrupt_records`` to count.
 
-    A multi-line file cannot be split: it is one task however large it is, so big inputs should
-    come as many files or as JSON lines. Give a schema at scale; without one Spark reads the
-    data twice.
+    Of a file that holds several objects the multi-line reader sees the first alone, so files that
+    don't start with ``[`` are refused; that look at the files' first lines is an action. A
+    multi-line file can't be split: it is one task however large it is, so big inputs should come
+    as many files or as JSON lines. Give a schema at scale; without one Spark reads the data twice.
     """
-    reader = spark.read.option("multiLine", multiline)
+    reader = spark.read.option("multiLine", multiline).option("mode", "FAILFAST")
+    if permissive:
+        if schema is None:
+            raise ValueError("permissive reading needs a schema")
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        schema = _with_corrupt(schema)
+    if multiline:
+        _refuse_other_than_arrays(spark, path)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
 
 
+def _with_corrupt(schema: T.StructType | str, name: str = CORRUPT) -> T.StructType:
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+
+
+def _refuse_other_than_arrays(spark: SparkSession, path: str | list[str]) -> None:
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.ltrim(F.ltrim("value"), F.lit("\ufeff")).alias("line"),
+        # Grows along a file's first block, which is read by one task.
+        F.monotonically_increasing_id().alias("place"),
+    )
+    heads = lines.filter("start = 0 AND trim(line) <> ''").groupBy("file").agg(
+        F.min_by(F.substring("line", 1, 1), "place").alias("head")
+    )
+    others = heads.filter("head <> '['").limit(3).collect()
+    if others:
+        names = ", ".join(row["file"] for row in others)
+        raise ValueError(f"not one JSON array per file (read JSON lines without multiline): {names}")
+
+
+def corrupt_records(df: DataFrame) -> DataFrame:
+    """One row (n_rows, n_corrupt) of a table read permissively."""
+    # All columns are read along: Spark tells misfits only in those that it parses.
+    bad, values = col(CORRUPT), F.to_json(F.struct(*[col(c) for c in df.columns if c != CORRUPT]))
+    either = F.count(F.coalesce(bad, values))
+    good = F.count(F.when(bad.isNull(), values))
+    return df.agg(F.count("*").alias("n_rows"), (either - good).alias("n_corrupt"))
+
+
 def parse_json_col(
-    df: DataFrame, column: str, schema: T.StructType | str, out: str | None = None
+    df: DataFrame,
+    column: str,
+    schema: T.StructType | str,
+    out: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """Parse a JSON text column into a struct column (``out``, or in place)."""
-    return df.withColumn(out or column, F.from_json(col(column), schema))
+    """Parse a JSON text column into a struct column (``out``, or in place).
 
+    Text that doesn't parse gives null, or raises with ``strict``; ``parse_failures`` counts it.
+    """
+    options = {"mode": "FAILFAST"} if strict else {}
+    return df.withColumn(out or column, F.from_json(col(column), schema, options))
 
-def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False
-) -> DataFrame:
-    """CSV files written by ``write_csv``. ``multiline`` only if values hold line breaks."""
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", multiline).schema(schema).csv(path)
+
+def parse_failures(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
+    """One row (column, n_failed): texts that aren't JSON or hold a value that doesn't fit the schema."""
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json(col(column), _with_corrupt(schema), options)
+    failed = F.count_if(col(column).isNotNull() & parsed[CORRUPT].isNotNull())
+    return df.agg(failed.alias("n_failed")).select(F.lit(column).alias("column"), "n_failed")
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """CSV files written by ``write_csv``; a row that doesn't fit the schema raises.
+
+    Line breaks and backslashes come back from their escapes, so that files stay splittable.
+    """
+    rows = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST").schema(schema).csv(path)
+    return rows.select(
+        *[
+            unescaped(col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else col(f.name)
+            for f in rows.schema.fields
+        ]
+    )
+
+
+def escaped(text: Column) -> Column:
+    """Text on one line: backslash, line feed and carriage return as two characters each."""
+    for plain, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(escape))
+    return text
+
+
+def unescaped(text: Column) -> Column:
+    """The text that ``escaped`` was given."""
+
+    def breaks(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    # Between doubled backslashes, a backslash begins an escape.
+    parts = F.split(text, r"\\\\")
+    restored = F.array_join(F.transform(parts, breaks), "\\")
+    return F.when(F.contains(text, F.lit("\\")), restored).otherwise(text)
 
 
 def jdbc_read_options(

@@ -11,7 +11,11 @@ from starloom.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        8, **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+        8,
+        **{
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('scratch')}",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

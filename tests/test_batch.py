@@ -9,8 +9,8 @@ from starloom.operators.quality import Rule
 from starloom.operators.shape import where_lt, with_batch_date
 from starloom.plans import tickets
 from starloom.plans.batch import Sample, run_batch
-from starloom.plans.profile_report import profile_report
-from starloom.sinks import ensure_table, layout, replace_partition
+from starloom.plans.profile_report import close_report, profile_report
+from starloom.sinks import ensure_table, layout, replace_partition, replace_table
 from starloom.sources import read_csv
 
 PROFILE = schemas.Profile(
@@ -166,5 +166,87 @@ def test_profile_report_has_every_section(spark):
     assert sizes["text_lengths"] == 6
     assert sizes["pearson"] == sizes["spearman"] == 3
     assert {"head", "tail", "alerts", "duplicates", "missing_patterns", "nulls"} <= set(sizes)
-    assert sizes["cramers_v"] == 15 and sizes["histograms"] == 30
-    assert {"top_values", "extremes"} <= set(sizes)
+    assert sizes["cramers_v"] >= 1 and sizes["histograms"] == 30
+    assert {"uncategorised", "staged"} <= set(sizes)
+    close_report(report)
+
+
+def test_profile_report_takes_all_rows_of_any_table(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "n")
+    report = profile_report(df)
+    assert report["overview"].first()["n_rows"] == 20_000
+    assert [r["alert"] for r in report["alerts"].collect()] == ["unique"]
+
+
+def failing(df):
+    """The rows of ``df`` and a task that fails when it is written."""
+    from pyspark.sql import functions as F
+
+    bad = F.when(F.col("id") == 2, F.raise_error(F.lit("a task fails"))).otherwise(F.col("v"))
+    return df.withColumn("v", bad.cast("decimal(10,2)"))
+
+
+def test_failed_job_leaves_the_old_rows(spark, table, tmp_path):
+    ensure_table(spark, table, PROFILE, str(tmp_path / "table"))
+    rows = [(i, Decimal(i)) for i in (1, 2, 3)]
+    replace_partition(batch(spark, rows), table, "2024-01-01")
+    before = content(spark, table)
+    assert len(before) == 3
+    with pytest.raises(Exception, match="a task fails"):
+        replace_partition(failing(batch(spark, rows).repartition(3)), table, "2024-01-01")
+    assert content(spark, table) == before
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_foreign_columns_and_dates_are_refused(spark, table, tmp_path):
+    from pyspark.sql import functions as F
+
+    ensure_table(spark, table, PROFILE, str(tmp_path / "table"))
+    rows = batch(spark, [(1, Decimal(1))])
+    with pytest.raises(ValueError, match="no columns extra"):
+        replace_partition(rows.withColumn("extra", F.lit(1)), table, "2024-01-01")
+    for day in ("2024-01-02", None):
+        with pytest.raises(ValueError, match="other dates"):
+            replace_partition(rows.withColumn("process_date", F.lit(day).cast("string")), table, "2024-01-01")
+    assert content(spark, table) == []
+
+
+def test_date_is_checked_before_a_table_is_made(spark, table):
+    with pytest.raises(ValueError, match="yyyy-MM-dd"):
+        run_batch(wide(spark), table, "01.01.2024")
+    assert not spark.catalog.tableExists(table)
+
+
+def test_unpartitioned_profile_is_replaced_as_a_whole(spark, table, tmp_path):
+    profile = schemas.Profile((("id", "int"), ("v", "decimal(10,2)")), sort_by="id")
+    for location in (None, str(tmp_path / "t")):
+        for rows in ([(1, Decimal(1)), (2, None)], [(3, Decimal(3))]):
+            result = run_batch(batch(spark, rows), table, "2024-01-01", (NO_RULE,), profile, location)
+            assert result.passed and content(spark, table) == rows
+        with pytest.raises(Exception, match="a task fails"):
+            replace_table(failing(batch(spark, [(2, Decimal(2))])), table, profile, location)
+        assert content(spark, table) == [(3, Decimal(3))]
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_key_report_and_strict_keys(spark, table, tmp_path):
+    inputs = data.fact(spark), data.airlines(spark), data.airports(spark)
+    report = {r["dimension"]: r for r in tickets.key_report(*inputs).collect()}
+    assert report["airlines"]["n_unmatched"] > 0 and report["airports"]["n_duplicate_keys"] == 0
+    doubled = tickets.key_report(inputs[0], inputs[1].unionAll(inputs[1]), inputs[2])
+    passing = where_lt(wide(spark), "number_of_changes", 4)
+    with pytest.raises(ValueError, match="duplicate keys in airlines"):
+        run_batch(passing, table, "2024-01-01", keys=doubled, strict=True)
+    result = run_batch(passing, table, "2024-01-01", location=str(tmp_path / "t"), keys=doubled)
+    assert result.keys.filter("dimension = 'airlines'").first()["n_duplicate_keys"] == 2
+
+
+def test_staged_files_are_removed(spark, table, tmp_path):
+    import os
+
+    passing = where_lt(wide(spark), "number_of_changes", 4)
+    result = run_batch(passing, table, "2024-01-01", location=str(tmp_path / "t"), sample=Sample("found_at", 2))
+    folder = result.staged.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(folder)
+    result.close()
+    assert not os.path.exists(folder) and spark.table(table).count() > 0

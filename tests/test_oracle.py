@@ -7,7 +7,8 @@ from collections import Counter
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from workload.oracles import ORACLES
+from workload.queries import REGISTRY
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -40,14 +41,14 @@ def bag(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_sql(spark, duck, name):
-    df = E.queries()[name](spark, SF_DIR)
+    df = REGISTRY[name](spark, SF_DIR)
     found = bag(df.columns, df.collect())
-    relation = duck.sql(E.oracle_sql()[name])
+    relation = duck.sql(ORACLES[name])
     wanted = bag(relation.columns, relation.fetchall())
     assert sorted(df.columns) == sorted(relation.columns)
     assert wanted, "the SQL returns no rows, so it checks nothing"

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from starloom.operators.joins import DimSpec, denormalise
+from starloom.operators.correlation import correlations
 from workload import queries as Q
+from workload.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,9 +24,9 @@ def final_plan(df):
     return plan(df).split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_python_in_any_plan(spark, name):
-    text = plan(E.queries()[name](spark, SF_DIR))
+    text = plan(REGISTRY[name](spark, SF_DIR))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups", text)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
@@ -87,20 +89,29 @@ def exchanges(text):
      ("filter_eq", 0), ("replace_literals", 0), ("star_join", 0), ("threshold_violations", 0)],
 )
 def test_one_scan_and_few_shuffles(spark, name, most):
-    text = plan(E.queries()[name](spark, SF_DIR))
+    text = plan(REGISTRY[name](spark, SF_DIR))
     assert exchanges(text) <= most, text
     assert len(re.findall(r"FileScan parquet.*lineitem|FileScan parquet.*documents", text)) == 1
 
 
-@pytest.mark.parametrize("name", ["corr_spearman", "cramers_v"])
-def test_repeated_aggregates_are_computed_once(spark, name):
-    text = final_plan(E.queries()[name](spark, SF_DIR))
+def test_repeated_aggregates_are_computed_once(spark):
+    text = final_plan(REGISTRY["cramers_v"](spark, SF_DIR))
     assert text.count("FileScan") == 1 and "ReusedExchange" in text
 
 
+def test_rank_correlation_shuffles_by_column_not_by_pair(spark):
+    columns = ["l_quantity", "l_extendedprice", "l_linenumber", "l_tax", "l_discount", "l_partkey"]
+    line = Q.line(spark, SF_DIR)
+    few, many = (exchanges(plan(correlations(line, columns[:k], "spearman"))) for k in (3, 6))
+    assert many <= 2 * few, "15 pairs cost more than twice what 3 pairs cost"
+    assert "hint" not in inspect.getsource(correlations) and exchanges(
+        plan(correlations(line, columns, "spearman_approx"))
+    ) <= 2
+
+
 def test_no_global_sort(spark):
     for name in ("cluster_sample", "top_values", "extreme_values", "head_rows", "duplicate_rows"):
-        text = plan(E.queries()[name](spark, SF_DIR))
+        text = plan(REGISTRY[name](spark, SF_DIR))
         assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 

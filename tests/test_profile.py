@@ -9,6 +9,7 @@ import pytest
 
 from starloom.operators import profile as P
 from starloom.operators.correlation import correlations, cramers_v
+from starloom.operators.stats import value_counts
 
 NAN, INF = float("nan"), float("inf")
 
@@ -78,6 +79,60 @@ def test_spearman_with_ties_and_gaps(frame):
         assert found[x, y] == pytest.approx(wanted, abs=1e-9)
 
 
+def test_spearman_of_whole_columns_and_a_hot_value(spark):
+    r = random.Random(2)
+    rows = [(7.0 if i % 3 else r.gauss(0, 9), r.choice([1.0, 2.0, 5.0]), float(i % 11), None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    pdf = pd.DataFrame(rows, columns=list("abcd"), dtype=float)
+    found = {(x["column_x"], x["column_y"]): x["r"] for x in correlations(df, method="spearman").collect()}
+    close = {(x["column_x"], x["column_y"]): x["r"] for x in correlations(df, method="spearman_approx").collect()}
+    assert len(found) == len(close) == 6
+    for x, y in found:
+        if y == "d":
+            assert found[x, y] is None and close[x, y] is None
+        else:
+            wanted = pdf[x].rank().corr(pdf[y].rank())
+            assert found[x, y] == pytest.approx(wanted, abs=1e-9) and close[x, y] == pytest.approx(wanted, abs=0.05)
+
+
+def test_pairs_without_common_rows_are_listed(spark):
+    df = spark.createDataFrame([(1.0, None, "a", None), (None, 2.0, None, "b")], "x double, y double, s string, t string")
+    for method in ("pearson", "spearman", "spearman_approx"):
+        assert [r["r"] for r in correlations(df, ["x", "y"], method).collect()] == [None]
+    assert [r["v"] for r in cramers_v(df, ["s", "t"]).collect()] == [None]
+
+
+def test_quantiles_of_infinite_medians(spark):
+    rows = [(INF, -INF, 1.0), (INF, -INF, INF), (1.0, 5.0, 2.0)]
+    found = {r["column"]: r for r in P.profile_quantiles(spark.createDataFrame(rows, "a double, b double, c double"), approx=False).collect()}
+    assert found["a"]["q50"] == INF and found["a"]["q05"] == INF and found["b"]["q50"] == -INF
+    assert found["c"]["q50"] == 2.0 and found["c"]["q95"] == INF
+
+
+def test_wide_tables(spark):
+    from pyspark.sql import functions as F
+
+    wide = spark.range(1000).select(*[(F.rand(i) * 10).alias(f"c{i}") for i in range(100)], "id")
+    alerts = P.profile_alerts(wide).collect()
+    assert {r["column"] for r in alerts if r["alert"] == "unique"} >= {"id"}
+    texts = wide.select(*[F.floor(f"c{i}").alias(f"c{i}") for i in range(100)])
+    assert value_counts(texts, texts.columns).agg(F.sum("n")).first()[0] == 100_000
+
+
+def test_histogram_counts_what_it_leaves_out(spark):
+    df = spark.createDataFrame([(x,) for x in (INF, -INF, NAN, None, 1.0, 2.0, 9.0)], "x double")
+    assert {r["n_out"] for r in P.profile_histogram(df, "x", 2).collect()} == {2}
+    assert {r["n_out"] for r in P.profile_histogram(df, "x", 2, (0.0, 5.0)).collect()} == {3}
+
+
+def test_extremes_count_little(frame):
+    df, _ = frame
+    assert P.extreme_values_by_column(df.filter("false"), ["a"], 3).count() == 0
+    limits = P._outermost(df.select(P.present(df, "a").alias("a")), 2)
+    values = sorted({r["a"] for r in df.collect() if r["a"] is not None and r["a"] == r["a"]})
+    assert limits == [(values[1], values[-2])]
+
+
 def test_spearman_without_spread_is_null(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "x double, y double")
     assert correlations(df, method="spearman").first()["r"] is None
@@ -210,7 +265,7 @@ def test_alerts(spark):
     assert ("x", "z", "correlated") not in found
     limits = P.AlertThresholds(correlation=2.0, missing_share=1.0, zero_share=1.0, cardinality=1000)
     quiet = {r["alert"] for r in P.profile_alerts(df, limits).collect()}
-    assert quiet == {"constant"}
+    assert quiet == {"constant", "unique"}
 
 
 def test_head_and_tail(spark):

@@ -12,7 +12,8 @@ from starloom.functions import local_date, resolve_process_date, slash_timestamp
 from starloom.functions.columns import Band
 from starloom.operators import dedupe as D, quality as G, shape as C, stats as S
 from starloom.operators.joins import DimSpec, denormalise, unmatched
-from starloom.operators.sampling import sample_by_key
+from starloom.operators.quality import Rule, violations
+from starloom.operators.sampling import ranked_keys, sample_by_key
 from starloom.plans import tickets
 
 
@@ -182,6 +183,17 @@ def test_sample_keeps_whole_keys_and_ignores_partitioning(spark):
     assert other != keys
 
 
+def test_sample_merges_little_more_than_k_keys(spark):
+    keys = spark.range(50_000).withColumnRenamed("id", "key")
+    assert 100 <= ranked_keys(keys, "key", 100).count() <= 110
+    assert ranked_keys(keys.limit(0), "key", 100).count() == 0
+
+
+def test_nan_breaks_no_rule(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (5.0,), (1.0,)], "x double")
+    assert [r["x"] for r in violations(df, [Rule("r", "x", ">=", 4)]).collect()] == [5.0]
+
+
 def test_sample_null_key_and_too_large_k(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("", 3), ("a", 4)], "key string, v int")
     assert sample_by_key(df, "key", 3).count() == 4

@@ -6,10 +6,17 @@ import pytest
 
 from starloom import schemas
 from starloom.operators.shape import flatten_struct
-from starloom.operators.sql import StepError, sql_steps
+from starloom.operators.sql import StepError, split_statements, sql_steps
 from starloom.session import scratch_path
 from starloom.sinks import jdbc_write_options, write_csv
-from starloom.sources import jdbc_read_options, parse_json_col, read_csv, read_json
+from starloom.sources import (
+    corrupt_records,
+    jdbc_read_options,
+    parse_failures,
+    parse_json_col,
+    read_csv,
+    read_json,
+)
 
 
 @pytest.mark.parametrize("layout", ["one_line", "indented", "lines"])
@@ -25,14 +32,49 @@ def test_json_layouts_give_the_same_table(spark, tmp_path, layout):
 
 
 def test_json_without_schema_is_inferred(spark, tmp_path):
-    back = read_json(spark, data.write_json(tmp_path, "indented"))
+    back = read_json(spark, data.write_json(tmp_path, "indented"), multiline=True)
     assert set(flatten_struct(back).columns) == {"code", "name", "name_translations.en"}
 
 
 def test_many_json_files_are_one_table(spark, tmp_path):
     for layout in ("one_line", "indented"):
         data.write_json(tmp_path, layout)
-    assert read_json(spark, str(tmp_path), schemas.AIRLINES).count() == 4
+    assert read_json(spark, str(tmp_path), schemas.AIRLINES, multiline=True).count() == 4
+
+
+def test_no_mode_loses_records(spark, tmp_path):
+    """Either layout in either mode gives all records or an error."""
+    one_line = read_json(spark, data.write_json(tmp_path, "one_line"), schemas.AIRLINES)
+    assert len(one_line.collect()) == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json(spark, data.write_json(tmp_path, "indented"), schemas.AIRLINES).collect()
+    with pytest.raises(ValueError, match="not one JSON array"):
+        read_json(spark, data.write_json(tmp_path, "lines"), schemas.AIRLINES, multiline=True)
+
+
+def test_bad_json_raises_or_is_counted(spark, tmp_path):
+    path = tmp_path / "bad.json"
+    path.write_text('{"code": "A", "n": 1}\n{"code": "B", \n{"code": "C", "n": "abc"}\n')
+    schema = "code string, n int"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json(spark, str(path), schema).collect()
+    kept = read_json(spark, str(path), schema, permissive=True)
+    assert kept.count() == 3 and corrupt_records(kept).first() == (3, 2)
+    assert sum(row["_corrupt_record"] is None for row in kept.collect()) == 1
+    truncated = tmp_path / "array.json"
+    truncated.write_text('[\n  {"code": "A", "n": 1},\n  {"code": "B"')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json(spark, str(truncated), schema, multiline=True).collect()
+    with pytest.raises(ValueError, match="schema"):
+        read_json(spark, str(path), permissive=True)
+
+
+def test_parse_failures_are_counted_or_raise(spark):
+    rows = [('{"k": 7}',), ("not json",), (None,), ('{"k": "abc"}',), ("{}",)]
+    df = spark.createDataFrame(rows, "props string")
+    assert parse_failures(df, "props", "k int").first() == ("props", 2)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        parse_json_col(df, "props", "k int", strict=True).collect()
 
 
 def test_parse_json_col_keeps_bad_text_as_null(spark):
@@ -59,11 +101,17 @@ def test_csv_keeps_null_empty_quotes_na_and_microseconds(spark, tmp_path):
     assert read_csv(spark, path, schema).count() == 1
 
 
-def test_csv_with_line_breaks_needs_multiline(spark, tmp_path):
-    df = spark.createDataFrame([(1, "two\nlines")], "id int, t string")
+@pytest.mark.parametrize("text", ["two\nlines", "\r\n", "\\n", "\\", "\\\n\\\\n", "\\N", "\\\\\r", "a\\rb", "\n"])
+def test_csv_keeps_line_breaks_and_backslashes(spark, tmp_path, text):
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, t string")
     path = write_csv(df, str(tmp_path), "2024-01-01")
-    back = read_csv(spark, path, df.schema, multiline=True)
-    assert [tuple(r) for r in back.collect()] == [(1, "two\nlines")]
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == [(1, text), (2, None), (3, "")]
+
+
+def test_csv_rows_that_do_not_fit_raise(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("id,t\n1,a\nx,b\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(tmp_path), "id int, t string").collect()
 
 
 def test_jdbc_options():
@@ -80,6 +128,13 @@ def test_jdbc_options():
     assert jdbc_write_options("jdbc:x", "t", truncate=False)["truncate"] == "false"
 
 
+def test_sql_text_of_several_statements(spark):
+    text = "-- first; not last\nCREATE OR REPLACE TEMP VIEW q AS SELECT 'a;b\\\\'' AS `x;y`;\n/* ; */ SELECT `x;y` FROM q;\n"
+    assert len(split_statements(text)) == 2
+    assert split_statements("SELECT 1; ;\n-- nothing\n") == ["SELECT 1"]
+    assert sql_steps(spark, "SELECT 1 AS a;\nSELECT 2 AS b;").first()["b"] == 2
+
+
 def test_sql_steps_stop_at_the_first_error_and_keep_its_cause(spark):
     steps = ["CREATE OR REPLACE TEMP VIEW one AS SELECT 1 AS x", "SELECT x + 1 AS y FROM one"]
     assert sql_steps(spark, steps).first()["y"] == 2
@@ -93,8 +148,6 @@ def test_sql_steps_stop_at_the_first_error_and_keep_its_cause(spark):
 
 
 def test_scratch_path_follows_the_session(spark):
-    old = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert first != second
-    if old:
-        assert first.startswith(old.rstrip("/") + "/x-")
+    assert first != second and first.startswith(root.rstrip("/") + "/x-")

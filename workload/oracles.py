@@ -137,7 +137,7 @@ FROM ({WIDE}) WHERE number_of_changes < 4""",
   nullif(p_name, 'small ring') AS name, replace(p_name, ' ', '''') AS "name_translations.en",
   p_retailprice AS "coordinates.lat", CAST(p_size AS DOUBLE) AS "coordinates.lon",
   p_brand AS country_code, replace(p_type, ' ', '/') AS time_zone, p_type AS iata_type,
-  p_size <= 10 AS flightable FROM part WHERE p_size <= 25""",
+  p_size <= 10 AS flightable FROM part""",
     "json_field_extract": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT)
   AS "props.k" FROM events""",
     "flatten_struct": """SELECT p_partkey, p_name AS "names.en",
@@ -167,7 +167,7 @@ UNION ALL SELECT 'o_orderstatus', count(o_orderstatus) FROM orders""",
   CASE WHEN length(o_orderpriority) <= 8 THEN o_orderpriority END AS o_orderpriority
 FROM orders""",
     "project_rename_drop": """SELECT CAST(p_partkey AS VARCHAR) AS code,
-  p_retailprice AS latitude, replace(p_name, ' ', '''') AS english FROM part WHERE p_size <= 25""",
+  p_retailprice AS latitude, replace(p_name, ' ', '''') AS english FROM part""",
     "price_band": """SELECT o_orderkey, v AS value,
   CASE WHEN v > 100000 THEN 'A' WHEN v >= 15000 THEN 'B' ELSE 'C' END AS class,
   CASE WHEN v < 250000 THEN 'low' ELSE 'high' END AS half
@@ -365,3 +365,106 @@ UNION ALL SELECT 'o_orderkey', 'o_totalprice', 'correlated',
     "head_rows": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 10",
     "tail_rows": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey DESC LIMIT 10",
 }
+
+ORACLES |= {
+    "json_array_scan": ORACLES["json_struct_scan"],
+    "json_parse_failures": """SELECT 'props' AS "column", count(*) AS n_failed FROM events
+WHERE event_id % 7 IN (0, 1)""",
+    "csv_text_roundtrip": """SELECT doc_id,
+  concat(text, chr(92), 'n', chr(92), chr(10), chr(13), source) AS text FROM documents""",
+    "key_report": f"""SELECT 'airlines' AS dimension, count(*) FILTER (WHERE NOT EXISTS
+    (SELECT 1 FROM supplier WHERE s_suppkey = f.airline AND s_acctbal > 0)) AS n_unmatched,
+  0 AS n_duplicate_keys FROM {FACT} f
+UNION ALL SELECT 'airports', count(*) FILTER (WHERE NOT EXISTS
+    (SELECT 1 FROM part WHERE p_partkey = f.destination AND p_size <= 25)), 0 FROM {FACT} f""",
+    "batch_sampled": f"""WITH w AS (SELECT * FROM ({WIDE}) WHERE number_of_changes < 4)
+SELECT found_at, count(*) AS n, count(*) AS n_csv,
+  round(CAST(sum(CAST(value AS DECIMAL(10,2))) AS DOUBLE), 2) AS value
+FROM w WHERE found_at IN (SELECT k FROM (SELECT DISTINCT found_at AS k FROM w)
+  ORDER BY md5(concat('0|', k)), k LIMIT 1000) GROUP BY found_at""",
+    "value_counts_wide": " UNION ALL ".join(
+        f"SELECT 'c{i}' AS \"column\", CAST((l_linenumber * {i + 1} + l_partkey) % 5 AS VARCHAR) AS value, "
+        "count(*) AS n FROM lineitem GROUP BY 2"
+        for i in range(70)
+    ),
+    "profile_histogram_bounded": """SELECT 'l_quantity' AS "column", CAST(g AS INT) AS bin,
+  count(l_quantity) AS n, (SELECT count(*) FROM lineitem WHERE l_quantity < 10 OR l_quantity > 30) AS n_out
+FROM range(1, 5) r(g) LEFT JOIN lineitem ON l_quantity BETWEEN 10 AND 30
+  AND least(CAST(floor((l_quantity - 10) / 5.0) AS INT) + 1, 4) = g GROUP BY g""",
+    "corr_spearman_approx": f"SELECT column_x, column_y, round(r, 1) + 0.0 AS r FROM ({ORACLES['corr_spearman']})",
+}
+
+
+def _figures(section: str, column: str, source: str, **figures: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, '{column}' AS \"column\", '{figure}' AS figure, "
+        f"round(CAST({sql} AS DOUBLE), 3) AS value FROM {source}"
+        for figure, sql in figures.items()
+    )
+
+
+_JOB = """(SELECT l_quantity AS q, nullif(l_linenumber, 7) AS n, nullif(l_returnflag, 'N') AS f,
+  l_linestatus AS s, (SELECT quantile_cont(l_quantity, 0.5) FROM lineitem) AS qm,
+  (SELECT quantile_cont(nullif(l_linenumber, 7), 0.5) FROM lineitem) AS nm,
+  (SELECT avg(l_quantity) FROM lineitem) AS qa, (SELECT avg(nullif(l_linenumber, 7)) FROM lineitem) AS na
+  FROM lineitem)"""
+_COLUMNS = {"l_quantity": "q", "l_linenumber": "n", "l_returnflag": "f", "l_linestatus": "s"}
+_NUMBERS = {"l_quantity": "q", "l_linenumber": "n"}
+
+ORACLES["profile_job"] = " UNION ALL ".join(
+    [
+        *(
+            _figures(
+                "columns",
+                name,
+                _JOB,
+                n_distinct=f"count(DISTINCT {c})",
+                n_missing=f"count(*) - count({c})",
+                n_zero=f"count(*) FILTER (WHERE {c} = 0)" if c in "qn" else "0 * count(*)",
+                n_negative=f"count(*) FILTER (WHERE {c} < 0)" if c in "qn" else "0 * count(*)",
+                n_infinite="0 * count(*)",
+            )
+            for name, c in _COLUMNS.items()
+        ),
+        *(
+            _figures("nulls", name, _JOB, n_null=f"count(*) - count({c})", n_not_null=f"count({c})")
+            for name, c in _COLUMNS.items()
+        ),
+        *(
+            _figures(
+                "quantiles",
+                name,
+                _JOB,
+                min=f"min({c})",
+                **{f"q{p:02d}": f"quantile_cont({c}, {p / 100})" for p in (5, 25, 50, 75, 95)},
+                max=f"max({c})",
+                mad=f"quantile_cont(abs({c} - {c}m), 0.5)",
+            )
+            for name, c in _NUMBERS.items()
+        ),
+        *(
+            _figures(
+                "moments",
+                name,
+                _JOB,
+                n=f"count({c})",
+                mean=f"avg({c})",
+                stddev=f"stddev_samp({c})",
+                skewness=f"avg(power({c} - {c}a, 3)) / power(avg(power({c} - {c}a, 2)), 1.5)",
+                kurtosis=f"avg(power({c} - {c}a, 4)) / power(avg(power({c} - {c}a, 2)), 2) - 3",
+            )
+            for name, c in _NUMBERS.items()
+        ),
+        *(
+            _figures(
+                "text_lengths",
+                name,
+                _JOB,
+                min_len=f"min(length({c}))",
+                mean_len=f"avg(length({c}))",
+                max_len=f"max(length({c}))",
+            )
+            for name, c in (("l_returnflag", "f"), ("l_linestatus", "s"))
+        ),
+    ]
+)

@@ -19,10 +19,11 @@ from starloom.operators.joins import DimSpec, denormalise, unmatched
 from starloom.operators.sampling import sample_by_key
 from starloom.operators.sql import sql_steps
 from starloom.plans import batch, tickets
+from starloom.plans.profile_report import profile_report, report_rows
 from starloom.schemas import Profile
-from starloom.session import scratch_path
+from starloom.session import ensure_scratch, scratch_path
 from starloom.sinks import ensure_table, layout, replace_partition, write_csv
-from starloom.sources import parse_json_col, read_csv, read_json, read_table
+from starloom.sources import parse_failures, parse_json_col, read_csv, read_json, read_table
 from workload import standins
 
 PROCESS_DATE = "2024-01-01"
@@ -32,7 +33,7 @@ REGISTRY: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     """Register under the function's name, less the underscore that avoids an import's name."""
-    REGISTRY[fn.__name__.removesuffix("_")] = fn
+    REGISTRY[fn.__name__.removesuffix("_")] = lambda spark, sf_dir: fn(ensure_scratch(spark), sf_dir)
     return fn
 
 
@@ -102,10 +103,47 @@ def batch_result(spark, sf_dir):
     wide = C.where_lt(tickets_wide(spark, sf_dir), "number_of_changes", 4)
     table = f"batch_{uuid.uuid4().hex}"
     location = scratch_path(spark, table)
-    batch.run_batch(wide, table, PROCESS_DATE, location=location)
+    batch.run_batch(wide, table, PROCESS_DATE, location=location).close()
     return as_text(spark.table(table), "value", "airport_latitude", "airport_longitude")
 
 
+@query
+def batch_sampled(spark, sf_dir):
+    """The job as a whole: sample by key, CSV and back, gate on the sampled rows, load."""
+    wide = C.where_lt(tickets_wide(spark, sf_dir), "number_of_changes", 4)
+    table = f"batch_{uuid.uuid4().hex}"
+    result = batch.run_batch(
+        wide,
+        table,
+        PROCESS_DATE,
+        location=scratch_path(spark, table),
+        sample=batch.LOAD_SAMPLE,
+        csv_dir=scratch_path(spark, "csv"),
+    )
+    back = read_csv(spark, result.csv_path, result.staged.schema)
+    same = back.groupBy("found_at").agg(F.count("*").alias("n_csv"))
+    loaded = spark.table(table).groupBy("found_at").agg(
+        F.count("*").alias("n"), F.sum("value").cast("double").alias("value")
+    )
+    return rounded(loaded.join(same, "found_at"), 2, "value")
+
+
+@query
+def key_report(spark, sf_dir):
+    inputs = (standins.fact(spark, sf_dir), standins.airlines(spark, sf_dir), standins.airports(spark, sf_dir))
+    return tickets.key_report(*inputs)
+
+
+@query
+def profile_job(spark, sf_dir):
+    """The profile of the wide table's rows as one job, its per-column sections as rows."""
+    numbers = line(spark, sf_dir).select(
+        "l_quantity", nulled("l_linenumber", 7), nulled("l_returnflag", "N"), "l_linestatus"
+    )
+    report = profile_report(numbers, order=["l_linenumber"], approx=False)
+    return rounded(report_rows(report), 3, "value")
+
+
 @query
 def batch_blocked(spark, sf_dir):
     table = f"batch_{uuid.uuid4().hex}"
@@ -119,12 +157,34 @@ def batch_blocked(spark, sf_dir):
 @query
 def json_struct_scan(spark, sf_dir):
     path = scratch_path(spark, "airports")
-    airports = standins.airports(spark, sf_dir)
+    airports = standins.all_airports(spark, sf_dir)
     airports.write.json(path)
-    back = read_json(spark, path, airports.schema, multiline=False)
+    back = read_json(spark, path, airports.schema)
+    return C.flatten_struct(back).drop("city_code")
+
+
+@query
+def json_array_scan(spark, sf_dir):
+    """Files that hold one indented array each, of up to a hundred objects."""
+    path = scratch_path(spark, "arrays")
+    airports = standins.all_airports(spark, sf_dir)
+    objects = F.to_json(F.struct(*airports.columns))
+    arrays = airports.groupBy(F.floor(F.col("code").cast("long") / 100)).agg(
+        F.concat(F.lit("[\n  "), F.array_join(F.collect_list(objects), ",\n  "), F.lit("\n]")).alias("value")
+    )
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    back = read_json(spark, path, airports.schema, multiline=True)
     return C.flatten_struct(back).drop("city_code")
 
 
+@query
+def json_parse_failures(spark, sf_dir):
+    props = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)"))
+    props = props.when(F.col("event_id") % 7 == 1, F.lit('{"k": "no number"}')).when(F.col("event_id") % 7 == 2, None)
+    events = read_table(spark, sf_dir, "events").withColumn("props", props.otherwise(F.col("props")))
+    return parse_failures(events, "props", "k int")
+
+
 @query
 def json_field_extract(spark, sf_dir):
     events = parse_json_col(read_table(spark, sf_dir, "events"), "props", "k int")
@@ -154,6 +214,16 @@ def csv_roundtrip(spark, sf_dir):
     return as_text(read_csv(spark, path, events.schema), "ts")
 
 
+@query
+def csv_text_roundtrip(spark, sf_dir):
+    """Texts with line breaks keep their rows."""
+    documents = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat("text", F.lit("\\n\\\n\r"), "source").alias("text")
+    )
+    path = write_csv(documents, scratch_path(spark, "csv"), PROCESS_DATE, "documents")
+    return read_csv(spark, path, documents.schema)
+
+
 @query
 def partition_replace(spark, sf_dir):
     profile = Profile(
@@ -236,7 +306,7 @@ def conform_schema(spark, sf_dir):
 
 @query
 def project_rename_drop(spark, sf_dir):
-    airports = C.flatten_struct(standins.airports(spark, sf_dir))
+    airports = C.flatten_struct(standins.all_airports(spark, sf_dir))
     kept = C.drop(airports, "city_code", "no_such_column")
     named = C.rename(kept, {"name_translations.en": "english", "coordinates.lat": "latitude"})
     return C.project(named, ["latitude", "code", "english"])
@@ -362,6 +432,17 @@ def value_counts(spark, sf_dir):
     return S.value_counts(facts, tickets.FREQUENCY_COLUMNS)
 
 
+WIDE_COLUMNS = 70
+
+
+@query
+def value_counts_wide(spark, sf_dir):
+    wide = line(spark, sf_dir).select(
+        *[((F.col("l_linenumber") * (i + 1) + F.col("l_partkey")) % 5).alias(f"c{i}") for i in range(WIDE_COLUMNS)]
+    )
+    return S.value_counts(wide, wide.columns)
+
+
 @query
 def null_flag_counts(spark, sf_dir):
     return S.null_counts(line_with_nulls(spark, sf_dir))
@@ -465,7 +546,13 @@ def profile_moments(spark, sf_dir):
 @query
 def profile_histogram(spark, sf_dir):
     found = P.profile_histograms(line(spark, sf_dir), ["l_quantity", "l_linenumber"], 10)
-    return rounded(found, 4, "bin_start", "bin_end")
+    return rounded(found.drop("n_out"), 4, "bin_start", "bin_end")
+
+
+@query
+def profile_histogram_bounded(spark, sf_dir):
+    found = P.profile_histograms(line(spark, sf_dir), ["l_quantity"], 4, bounds=(10.0, 30.0))
+    return found.select("column", "bin", "n", "n_out")
 
 
 @query
@@ -508,6 +595,15 @@ def corr_spearman(spark, sf_dir):
     return rounded(correlations(line(spark, sf_dir), columns, "spearman"), 6, "r")
 
 
+@query
+def corr_spearman_approx(spark, sf_dir):
+    """To one decimal place: the sketches' error is some 0.1 % of a rank."""
+    columns = ["l_quantity", "l_extendedprice", "l_linenumber"]
+    found = correlations(line(spark, sf_dir), columns, "spearman_approx")
+    # Adding zero turns a negative zero into zero.
+    return rounded(found, 1, "r").withColumn("r", F.col("r") + F.lit(0.0))
+
+
 @query
 def cramers_v_(spark, sf_dir):
     found = cramers_v(line(spark, sf_dir), ["l_returnflag", "l_shipdate", "l_linenumber"])

@@ -38,8 +38,11 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part").filter("p_size <= 25")
-    return part.select(
+    return all_airports(spark, sf_dir).filter("coordinates.lon <= 25")
+
+
+def all_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("code"),
         F.nullif(F.col("p_name"), F.lit("small ring")).alias("name"),
         F.struct(F.replace("p_name", F.lit(" "), F.lit("'")).alias("en")).alias(
