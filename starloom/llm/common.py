@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import functools
 import gc
 import math
-import tempfile
-import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starloom.session import drop_scratch, scratch_path
+
 #: Separators (fixed values): ASCII white space; every ASCII character but letters and digits.
 BLANKS = "[\\x20\\x09-\\x0D]+"
 NOT_ALNUM = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -21,37 +23,16 @@ FOLD_ALNUM = bytes(
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="starloom-llm-")
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; a folder of this machine only in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + _local_folder()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df``, written once to shared scratch and read from there: lineage ends here."""
-    path = scratch(df.sparkSession, label)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete the files of tables made by ``stored`` that no later step reads."""
-    for table in tables:
-        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_scratch(spark, *{file.rpartition("/")[0] for table in tables for file in table.inputFiles()})
 
 
 def release(spark: SparkSession) -> None:
@@ -76,6 +57,17 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """In a task: the words of all texts, A-Z in lower case, one after the other, and each text's number of them.
+
+    White space is ASCII white space; at a text's ends it leaves empty words. Null has none.
+    """
+    if texts.offset:  # the kernels misread some slices, so they get a copy
+        texts = texts.take(pa.array(np.arange(len(texts))))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    return lists.flatten(), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

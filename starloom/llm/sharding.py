@@ -174,4 +174,4 @@ def _fill(free: DataFrame, taken: DataFrame, shards: int, quota: int, part: floa
     middle = F.col("before") + F.col("size") / 2
     fits = F.filter("cuts", lambda c: c["upto"] > middle)
     shard = F.coalesce(F.get(fits, F.lit(0))["shard"], F.lit(shards - 1))
-    return laid.crossJoin(F.broadcast(cuts)).withColumn("shard", shard.cast("int")).drop("cuts")
+    return laid.withColumn("cuts", cuts.scalar()).withColumn("shard", shard.cast("int")).drop("cuts")

@@ -19,7 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, small, stored
+from starloom.session import scratch_path
+
+from .common import stored
 
 #: Fixed values of the seekable format: skippable frame, footer.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -302,4 +304,4 @@ def page_records(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
 
 def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write pages to bundles and return the index; ``path`` is a new folder of shared scratch unless given."""
-    return write_bundles(page_records(pages), path or scratch(pages.sparkSession, "warc"))
+    return write_bundles(page_records(pages), path or scratch_path(pages.sparkSession, "warc"))

@@ -200,7 +200,7 @@ def test_archives(spark):
 
 def test_seek_table(spark):
     page = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("repeat(md5(string(id)), 100)").alias("html"))
-    index = warc.write_bundles(warc.page_records(page), warc.scratch(spark, "warc"), frame_bytes=20_000, bundle_bytes=100_000)
+    index = warc.write_bundles(warc.page_records(page), warc.scratch_path(spark, "warc"), frame_bytes=20_000, bundle_bytes=100_000)
     assert index.select("bundle", "frame").distinct().count() > 20 and index.select("bundle").distinct().count() > 1
     some = warc.fetch_records(index.filter("record_id % 7 = 0")).collect()
     assert {r.record_id for r in some} == set(range(0, 300, 7))
@@ -250,3 +250,19 @@ def test_graph_recall():
     found, _ = again.search(q, 0, again.descend(q, 0, again.top, again.entry), 96)
     best = np.argsort(-(q @ x.T), axis=1)[:, :20]
     assert np.mean([len(set(f[:20]) & set(b)) / 20 for f, b in zip(found, best, strict=True)]) > 0.9
+
+
+def test_slices_of_texts_split_like_whole_ones():
+    import pyarrow as pa
+
+    from starloom.llm.common import split_texts
+
+    texts = [t for i in range(400) for t in (f"Ünï {i}  cià\t", None, "", "x é à\n" * (i % 7))]
+    whole = pa.array(texts)
+    for at, n in ((0, 1600), (400, 700), (1201, 300)):
+        words, counts = split_texts(whole.slice(at, n))
+        words, rows = words.to_pylist(), []
+        for count in counts:
+            rows.append([w for w in words[:count] if w])
+            words = words[count:]
+        assert rows == [brute.solid_words(t) for t in texts[at : at + n]]
