@@ -21,18 +21,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, stored
+from .common import discard, release, split_texts, stored
 
 #: Counts up to K are discounted; larger ones are taken as reliable.
 K = 5
 #: Tokens of a chunk, and words or pairs of a bucket, on average.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 #: The number of the mark before a text's first token; words are numbered from 1.
 START = 0
 #: A word's name is its hash; the end of a text has this one.
@@ -132,8 +131,8 @@ def chunk_texts(documents: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataF
     """Chunks of whole texts: documents hold doc_id, train and text; a chunk is one row.
 
     A token is a run without ASCII white space, A-Z in lower case; each text ends with one more
-    token. ``names`` are the chunk's words by hash, frequent ones first, ``seen`` their training
-    counts, ``codes`` the texts as places in ``names``.
+    token. ``names`` are the hashes of the chunk's words in order, ``seen`` their training counts,
+    ``codes`` the texts as places in ``names``.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,16 +155,14 @@ def chunk_texts(documents: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataF
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Tokens per text, and all tokens as hashes, each text's end included."""
-    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
-    offsets = words.offsets.to_numpy()
-    flat = words.values.slice(offsets[0], offsets[-1] - offsets[0])
+    flat, counts = split_texts(texts)
     coded = flat.dictionary_encode()
     names = coded.dictionary.to_numpy(zero_copy_only=False)
     hashes = pd.util.hash_array(names, categorize=False) if len(names) else np.array([], np.uint64)
     hashes = np.maximum(hashes, np.uint64(2))
     hashes[names == ""] = 0  # what stands before leading and after trailing blanks
     tokens = hashes[coded.indices.to_numpy(zero_copy_only=False)]
-    row = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    row = np.repeat(np.arange(len(texts)), counts)
     row, tokens = row[tokens != 0], tokens[tokens != 0]
     lengths = np.bincount(row, minlength=len(texts)) + 1
     out = np.full(int(lengths.sum()), END, np.uint64)
@@ -180,13 +177,10 @@ def _chunk(number: int, held: list[tuple]) -> pa.RecordBatch:
     train = np.array([t for h in held for t in h[1]], bool)
     lengths = np.concatenate([h[2] for h in held])
     tokens = np.concatenate([h[3] for h in held])
-    names, codes, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    place = np.empty(len(order), np.uint32)
-    place[order] = np.arange(len(order))
-    codes = place[codes]
+    names, codes = np.unique(tokens, return_inverse=True)
+    codes = codes.astype(np.uint32)
     seen = np.bincount(codes[np.repeat(train, lengths)], minlength=len(names)).astype(np.uint32)
-    binary = [pack(lengths), pack(train.astype(np.uint8)), pack(codes), pack(names[order]), pack(seen)]
+    binary = [pack(lengths), pack(train.astype(np.uint8)), pack(codes), pack(names), pack(seen)]
     return pa.record_batch(
         [pa.array([number]), pa.array([len(doc_ids)], pa.int32()), pa.array([doc_ids], pa.list_(pa.int64())),
          *(pa.array([b], pa.binary()) for b in binary)],
@@ -219,13 +213,11 @@ def count_words(chunks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for chunk, names, seen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 names, seen = unpack(names, np.uint64), unpack(seen, np.uint32)
-                own = bucket_of(names, buckets)
-                parts = _split(own, buckets)
-                kept = [b for b in range(buckets) if len(parts[b])]
+                parts = list(_slices(bucket_of(names, buckets)))
                 yield pa.record_batch(
-                    [pa.array(kept, pa.int32()), pa.array([chunk] * len(kept), pa.int64()),
-                     pa.array([pack(names[parts[b]]) for b in kept], pa.binary()),
-                     pa.array([pack(seen[parts[b]]) for b in kept], pa.binary())],
+                    [pa.array([b for b, _ in parts], pa.int32()), pa.array([chunk] * len(parts), pa.int64()),
+                     pa.array([pack(names[own]) for _, own in parts], pa.binary()),
+                     pa.array([pack(seen[own]) for _, own in parts], pa.binary())],
                     ["bucket", "chunk", "names", "seen"],
                 )
 
@@ -247,10 +239,11 @@ def count_words(chunks: DataFrame, buckets: int) -> DataFrame:
     return asked.groupBy("bucket").applyInPandas(add, _WORDS)
 
 
-def _split(own: np.ndarray, buckets: int) -> list[np.ndarray]:
-    """The places of each bucket, in order."""
-    order = np.argsort(own, kind="stable")
-    return np.split(order, np.cumsum(np.bincount(own, minlength=buckets))[:-1])
+def _slices(own: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The runs of an array of buckets in order: bucket, places."""
+    edges = [int(at) for at in _runs(own)] if len(own) else []
+    for a, b in zip(edges, [*edges[1:], len(own)]):
+        yield int(own[a]), slice(a, b)
 
 
 # --- pairs ---------------------------------------------------------------------------------------
@@ -288,23 +281,22 @@ class _Chunk:
 
     def __init__(self, row: dict, layout: Layout):
         self.lengths, self.train = unpack(row["lengths"], np.int32), unpack(row["train"], np.uint8).astype(bool)
-        codes, names = unpack(row["codes"], np.uint32).astype(np.int64), unpack(row["names"], np.uint64)
-        parts = _split(bucket_of(names, layout.buckets), layout.buckets)
-        # Place 0 stands for the mark before a text; words follow.
-        self.counts, numbers = np.empty(len(names) + 1, np.int64), np.empty(len(names) + 1, np.int64)
-        self.counts[0], numbers[0] = layout.n_texts, START
-        for answer in row["words"]:
-            at = parts[answer["bucket"]] + 1
-            self.counts[at] = unpack(answer["counts"], np.int64)
-            numbers[at] = unpack(answer["numbers"], np.int64) + layout.first[answer["bucket"]] + 1
+        codes = unpack(row["codes"], np.uint32).astype(np.int64)
+        # The chunk's words are in order of buckets. Place 0 stands for the mark before a text.
+        answers = sorted(row["words"], key=lambda a: a["bucket"])
+        self.counts = np.concatenate([[layout.n_texts], *(unpack(a["counts"], np.int64) for a in answers)])
+        numbers = np.concatenate(
+            [[START], *(unpack(a["numbers"], np.int64) + layout.first[a["bucket"]] + 1 for a in answers)]
+        )
+        n_places = len(numbers)
         self.word = codes + 1
         before = np.concatenate([[0], self.word[:-1]])
         before[np.concatenate([[0], np.cumsum(self.lengths)[:-1]])] = 0
         self.before = before
         # A context never seen in training has no pairs to ask for.
         asks = self.counts[before] > 0
-        keys, pair = np.unique(before[asks] * (len(names) + 1) + self.word[asks], return_inverse=True)
-        context, word = np.divmod(keys, len(names) + 1)
+        keys, pair = np.unique(before[asks] * n_places + self.word[asks], return_inverse=True)
+        context, word = np.divmod(keys, n_places)
         own = layout.deal(numbers[context], self.counts[context], numbers[word])
         order = np.lexsort((numbers[word], numbers[context], own))
         place = np.empty(len(order), np.int64)
@@ -316,16 +308,10 @@ class _Chunk:
         trained = self.pair[asks & np.repeat(self.train, self.lengths)]
         self.seen = np.bincount(trained, minlength=len(order)).astype(np.uint32)
 
-    def slices(self) -> Iterator[tuple[int, slice]]:
-        edges = np.flatnonzero(np.diff(self.bucket)) + 1
-        for a, b in zip(np.concatenate([[0], edges]), np.concatenate([edges, [len(self.bucket)]]), strict=True):
-            if b > a:
-                yield int(self.bucket[a]), slice(int(a), int(b))
 
-
-def _runs(contexts: np.ndarray) -> np.ndarray:
-    """Where each run of one context begins."""
-    return np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))
+def _runs(a: np.ndarray) -> np.ndarray:
+    """Where each run of one value begins."""
+    return np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
 
 
 def count_pairs(chunks: DataFrame, layout: Layout) -> DataFrame:
@@ -341,7 +327,7 @@ def count_pairs(chunks: DataFrame, layout: Layout) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 chunk, out = _Chunk(row, layout), []
-                for bucket, own in chunk.slices():
+                for bucket, own in _slices(chunk.bucket):
                     contexts = chunk.contexts[own]
                     starts = _runs(contexts)
                     steps = np.diff(chunk.words[own], prepend=0)
@@ -413,12 +399,15 @@ def count_pairs(chunks: DataFrame, layout: Layout) -> DataFrame:
 _SCORES = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def evaluate(chunks: DataFrame, layout: Layout, d: np.ndarray, shared: pd.DataFrame) -> DataFrame:
-    """Scores of all texts, from chunks with their ``words`` and ``pairs`` answers."""
+def evaluate(chunks: DataFrame, layout: Layout, d: np.ndarray, shared: list[tuple[int, list[int], float]]) -> DataFrame:
+    """Scores of all texts, from chunks with their ``words`` and ``pairs`` answers.
+
+    ``shared`` holds context, few and lower of the contexts dealt over several buckets, in order.
+    """
     unigrams = layout.unigrams
-    frequent = np.array(shared["context"], np.int64)
-    few_of = np.array([list(x) for x in shared["few"]], np.int64).reshape(-1, K)
-    lower_of = np.array(shared["lower"], float)
+    frequent = np.array([s[0] for s in shared], np.int64)
+    few_of = np.array([s[1] for s in shared], np.int64).reshape(-1, K)
+    lower_of = np.array([s[2] for s in shared], float)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -428,7 +417,7 @@ def evaluate(chunks: DataFrame, layout: Layout, d: np.ndarray, shared: pd.DataFr
                 answers = {a["bucket"]: a for a in row["pairs"] or ()}
                 counts = np.zeros(len(chunk.bucket), np.int64)
                 of_place = np.zeros((len(chunk.counts), K + 1))  # few and lower of each context
-                for bucket, own in chunk.slices():
+                for bucket, own in _slices(chunk.bucket):
                     answer = answers[bucket]
                     counts[own] = unpack(answer["counts"], np.uint32)
                     at = chunk.pair_context[own][_runs(chunk.contexts[own])]
@@ -496,7 +485,9 @@ def score_texts(documents: DataFrame, train: Column, chunk_tokens: int = CHUNK_T
     answers = words.filter("chunk >= 0").groupBy("chunk").agg(
         F.collect_list(F.struct("bucket", "counts", "numbers")).alias("words")
     )
-    named = chunks.join(answers, "chunk").select("chunk", "doc_ids", "lengths", "train", "codes", "names", "words")
+    bare = stored(chunks.select("chunk", "doc_ids", "lengths", "train", "codes"), "katz-texts")
+    discard(spark, chunks)
+    named = bare.join(answers, "chunk")
     pairs = stored(count_pairs(named, layout), "katz-pairs")
     tables = pairs.filter("chunk = -1").agg(*[F.sum(F.col("seen")[r]) for r in range(K + 1)]).first()
     d = discounts([x or 0 for x in tables])
@@ -504,7 +495,7 @@ def score_texts(documents: DataFrame, train: Column, chunk_tokens: int = CHUNK_T
         F.array(*[F.sum(F.col("s.few")[r]) for r in range(K)]).alias("few"), F.sum("s.lower").alias("lower")
     )
     # A frequent context holds a bucket's share of all tokens or more, so there are at most as many as buckets.
-    shared = several.orderBy("context").toPandas()
+    shared = sorted((r["context"], list(r["few"]), r["lower"]) for r in several.collect())
     release(spark)
     replies = pairs.filter("chunk >= 0").groupBy("chunk").agg(
         F.collect_list(F.struct("bucket", "counts", "few", "lower")).alias("pairs")
