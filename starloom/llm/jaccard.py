@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import discard, free_names, release, small, split_texts, stored
 from .components import connected_components
 
 #: Words of a shingle; similarity in hundredths.
@@ -51,9 +51,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, width: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; a shorter text's words are one shingle."""
-    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
-    flat, lengths = words.values, np.diff(words.offsets.to_numpy())
-    flat = flat.slice(words.offsets[0].as_py(), int(lengths.sum()))
+    flat, lengths = split_texts(texts)
     coded = flat.dictionary_encode()
     names = coded.dictionary.to_numpy(zero_copy_only=False)
     by_code = pd.util.hash_array(names, categorize=False) if len(names) else np.array([], np.uint64)
@@ -67,10 +65,10 @@ def shingle_sets(texts: pa.Array, width: int = WORDS) -> list[np.ndarray]:
         if len(h) == 0:
             out.append(np.array([], np.uint64))
         elif len(h) < width:
-            short = np.uint64(len(h))
-            for x in h:
-                short = _mixed(np.array([short * _ODD[0] + x], np.uint64))[0]
-            out.append(np.array([short], np.uint64))
+            short = np.array([len(h)], np.uint64)
+            for i in range(len(h)):
+                short = _mixed(short * _ODD[0] + h[i : i + 1])
+            out.append(short)
         else:
             total = np.zeros(len(h) - width + 1, np.uint64)
             for i in range(width):
@@ -191,40 +189,56 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
     return ends.filter("least != most").drop("most").withColumnRenamed("least", "leader")
 
 
-def can_reach(n: Column, m: Column, percent: int = PERCENT) -> Column:
-    """Whether sets of sizes ``n`` and ``m`` can reach the similarity."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def can_follow(n: Column, place_a: Column, m: Column, place_b: Column, percent: int = PERCENT) -> Column:
+    """Whether sets may link whose first shared token is this one.
+
+    Tokens before the first shared one are in one set alone, so the overlap is at most what is
+    left from here on in either. A pair that links passes at its first shared token, and that lies
+    in both prefixes.
+    """
+    return F.least(n - place_a, m - place_b) * (100 + percent) >= (n + m) * percent
 
 
 def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The shingles of the classes in ``wanted`` (class, doc_id, text_hash of a row): class, tokens."""
+    """The shingles of the classes in ``wanted`` (class, doc_id, text_hash of a row): class, tokens.
+
+    Rows equal in id and text give their class once a task.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
-            sets = shingle_sets(batch.column(2))
-            for i in range(0, len(sets), 256):
-                some = sets[i : i + 256]
-                offsets = np.cumsum([0, *map(len, some)], dtype=np.int32)
-                tokens = np.concatenate(some) if some else np.array([], np.uint64)
+            for at in range(0, batch.num_rows, 256):
+                some = {_class_of(s): s for s in shingle_sets(batch.column(2).slice(at, 256))}
+                some = {name: s for name, s in some.items() if name not in done}
+                done.update(some)
+                offsets = np.cumsum([0, *map(len, some.values())], dtype=np.int32)
+                tokens = np.concatenate([*some.values(), np.array([], np.uint64)])
                 yield pa.record_batch(
-                    [pa.array([_class_of(s) for s in some], pa.int64()), pa.ListArray.from_arrays(offsets, tokens.view(np.int64))],
+                    [pa.array(list(some), pa.int64()), pa.ListArray.from_arrays(offsets, tokens.view(np.int64))],
                     ["class", "tokens"],
                 )
 
     keys = small(wanted.select("doc_id", "text_hash").distinct(), SMALL_ROWS)
     chosen = _hashed(documents).join(keys, ["doc_id", "text_hash"], "left_semi")
-    return chosen.mapInArrow(read, "class long, tokens array<long>").dropDuplicates(["class"])
+    return chosen.mapInArrow(read, "class long, tokens array<long>")
 
 
 def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of classes whose sets reach the similarity, compared in full."""
+    spark = documents.sparkSession
     nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     sets = stored(sets_of(documents, classes.join(nodes, "class", "left_semi")), "shingle-sets")
-    side = lambda name: sets.select(F.col("class").alias(name), F.col("tokens").alias(f"tokens_{name}"))
+    side = lambda name: sets.join(small(pairs.select(F.col(name).alias("class")).distinct(), SMALL_ROWS), "class", "left_semi").select(
+        F.col("class").alias(name), F.col("tokens").alias(f"tokens_{name}")
+    )
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - common
-    return both.filter(common * 100 >= union * percent).select("a", "b")
+    links = stored(both.filter(common * 100 >= union * percent).select("a", "b").distinct(), "shingle-links")
+    discard(spark, sets)
+    release(spark)
+    return links
 
 
 def group_candidates(shared: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -238,21 +252,31 @@ def group_candidates(shared: DataFrame, groups: DataFrame, percent: int = PERCEN
         {"least": F.min("group").over(by_token), "most": F.max("group").over(by_token)}
     ).filter("least != most")
     rows = stored(several.select("token", "class", "n", "place", "group"), "shingle-matrix")
-    unions = rows.groupBy("token", "group").agg(F.min("n").alias("shortest"), F.max("n").alias("longest"))
+    left = F.col("n") - F.col("place")
+    unions = rows.groupBy("token", "group").agg(
+        F.min("n").alias("shortest"), F.max("n").alias("longest"), F.max(left).alias("most_left")
+    )
     q, u = rows.alias("q"), unions.alias("u")
-    fits = (F.col("u.longest") * 100 >= F.col("q.n") * percent) & (F.col("q.n") * 100 >= F.col("u.shortest") * percent)
+    fits = (
+        (F.col("u.longest") * 100 >= F.col("q.n") * percent)
+        & (F.col("q.n") * 100 >= F.col("u.shortest") * percent)
+        # The bound of ``can_follow`` for the member that would allow the largest overlap.
+        & (
+            F.least(F.col("q.n") - F.col("q.place"), F.col("u.most_left")) * (100 + percent)
+            >= (F.col("q.n") + F.col("u.shortest")) * percent
+        )
+    )
     # A pair is looked at from its lesser group.
     opened = q.join(u, (F.col("q.token") == F.col("u.token")) & (F.col("q.group") < F.col("u.group")) & fits).select(
         "q.token", "q.class", "q.n", "q.place", F.col("u.group").alias("group")
     )
     members = rows.select(
         "token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("place").alias("place_b"), "group"
-    )
-    n, m = F.col("n"), F.col("m")
-    # What the sets can share before, at and after this token.
-    most = F.least("place", "place_b") + F.least(n - F.col("place"), m - F.col("place_b"))
-    met = opened.join(members, ["token", "group"]).filter(can_reach(n, m, percent))
-    return met.filter(most * (100 + percent) >= (n + m) * percent).select(F.col("class").alias("a"), "b").distinct()
+    ).alias("s")
+    o = opened.alias("o")
+    same = (F.col("o.token") == F.col("s.token")) & (F.col("o.group") == F.col("s.group"))
+    bound = can_follow(F.col("o.n"), F.col("o.place"), F.col("s.m"), F.col("s.place_b"), percent)
+    return o.join(members, same & bound).select(F.col("o.class").alias("a"), "s.b").distinct()
 
 
 def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -266,24 +290,29 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     always link; rows of one doc_id are one node for linking, whatever their texts; a null doc_id
     has a null component; an empty table gives an empty table; other columns are ignored.
     """
+    spark = documents.sparkSession
     signed, sketch = signatures(documents)
     named = signed.filter("class is not null and doc_id is not null")
     classes = stored(
         named.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("class", "row.*"), "shingle-classes"
     )
     shared = stored(shared_tokens(prefix_tokens(documents, sketch, percent)), "shingle-shared")
-    leaders = shared.select(F.col("class").alias("leader"), F.col("n").alias("m"), "token")
+    release(spark)
+    leaders = shared.filter(F.col("class") == F.col("leader")).select(
+        F.col("class").alias("b"), F.col("n").alias("m"), F.col("place").alias("place_b"), "token"
+    )
     first = (
         shared.filter(F.col("class") != F.col("leader"))
-        .join(leaders, ["token", "leader"])
-        .filter(can_reach(F.col("n"), F.col("m"), percent))
-        .select(F.col("class").alias("a"), F.col("leader").alias("b"))
+        .select(F.col("class").alias("a"), "n", "place", F.col("leader").alias("b"), "token")
+        .join(leaders, ["token", "b"])
+        .filter(can_follow(F.col("n"), F.col("place"), F.col("m"), F.col("place_b"), percent))
+        .select("a", "b")
         .distinct()
     )
-    links = stored(verified(stored(first, "shingle-first"), documents, classes, percent), "shingle-links")
+    links = verified(stored(first, "shingle-first"), documents, classes, percent)
     groups = connected_components(links)
     rest = stored(group_candidates(shared, groups, percent), "shingle-rest")
-    more = stored(verified(rest, documents, classes, percent), "shingle-links")
+    more = verified(rest, documents, classes, percent)
     # Rows of one doc_id tie their classes together.
     several = named.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a != b")
     ties = named.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("class").alias("b"))
@@ -314,14 +343,15 @@ def keep_first(documents: DataFrame, components: DataFrame) -> DataFrame:
     )
     first = stored(first, "shingle-kept")
     kept = stored(components.filter(loose).select("doc_id", "text_hash").distinct(), "shingle-loose")
-    hashed = documents.withColumn("_hash", F.xxhash64("text"))
+    own, key, text = free_names(documents, "own_hash", "kept_id", "kept_hash")
+    hashed = documents.withColumn(own, F.xxhash64("text"))
 
     def among(keys: DataFrame) -> DataFrame:
-        named = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"))
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
+        named = keys.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text))
+        same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(text))
         return hashed.join(small(named, SMALL_ROWS), same, "left_semi")
 
     chosen = among(first)
     if not first.filter("rows > 1").isEmpty():  # some id has several rows
         chosen = chosen.dropDuplicates(["doc_id"])
-    return chosen.unionByName(among(kept)).drop("_hash")
+    return chosen.unionByName(among(kept)).drop(own)
