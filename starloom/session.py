@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: The folder that holds this package.
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def local_session(cores: int | str = "*", app: str = "starloom", **conf: str) -> SparkSession:
     """A local session for tests and the bench: adaptive execution on, UTC, no web page."""
@@ -45,10 +49,17 @@ def drop_scratch(spark: SparkSession, *paths: str) -> None:
         named.getFileSystem(spark._jsc.hadoopConfiguration()).delete(named, True)
 
 
-def ensure_scratch(spark: SparkSession) -> SparkSession:
-    """For tests, the bench and the entry points: give a local session that names no checkpoint
-    folder one of its own. Sessions on a cluster must name theirs."""
+def prepared(spark: SparkSession) -> SparkSession:
+    """For tests, the bench and the entry points: the session, able to run the library's jobs.
+
+    A local session that names no checkpoint folder gets one of its own; sessions on a cluster must
+    name theirs. Python workers look for this package where the driver found it, besides what
+    ``--py-files`` ships.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named and spark.conf.get("spark.master", "").startswith("local"):
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="starloom-"))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), ROOT])
     return spark

@@ -21,7 +21,7 @@ from starloom.operators.sql import sql_steps
 from starloom.plans import batch, tickets
 from starloom.plans.profile_report import profile_report, report_rows
 from starloom.schemas import Profile
-from starloom.session import ensure_scratch, scratch_path
+from starloom.session import prepared, scratch_path
 from starloom.sinks import ensure_table, layout, replace_partition, write_csv
 from starloom.sources import parse_failures, parse_json_col, read_csv, read_json, read_table
 from workload import standins
@@ -33,7 +33,7 @@ REGISTRY: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     """Register under the function's name, less the underscore that avoids an import's name."""
-    REGISTRY[fn.__name__.removesuffix("_")] = lambda spark, sf_dir: fn(ensure_scratch(spark), sf_dir)
+    REGISTRY[fn.__name__.removesuffix("_")] = lambda spark, sf_dir: fn(prepared(spark), sf_dir)
     return fn
 
 
