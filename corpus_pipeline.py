@@ -12,38 +12,38 @@ from starloom.llm.jaccard import jaccard_components, keep_first
 from starloom.llm.mixing import apply_mix, mix_documents
 from starloom.llm.quality import classify_quality
 from starloom.llm.sharding import shard_documents
-from starloom.session import ensure_scratch
+from starloom.session import prepared
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
-    ensure_scratch(spark)
+    prepared(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return classify_quality(docs, labels).filter("predicted = 1").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component; those without words have none and stay."""
-    ensure_scratch(spark)
+    prepared(spark)
     return keep_first(docs, jaccard_components(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without an occurrence of a benchmark window."""
-    ensure_scratch(spark)
+    prepared(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(docs, benchmark).filter("n_hit = 0").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their sources' targets take them."""
-    ensure_scratch(spark)
+    prepared(spark)
     return apply_mix(docs, mix_documents(docs))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of every document of the mix."""
-    ensure_scratch(spark)
+    prepared(spark)
     return shard_documents(docs)
 
 
@@ -60,7 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn, from the documents; each result is written and read again."""
-    ensure_scratch(spark)
+    prepared(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

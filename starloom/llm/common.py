@@ -88,9 +88,9 @@ def n_words(text: Column, separators: str) -> Column:
     return (F.size(parts) - both).cast("long")
 
 
-def random_key(seed: str, *columns: str) -> Column:
+def random_key(seed: str, *values: Column) -> Column:
     """32 evenly spread hexadecimal digits that depend on the seed and the row's values alone."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]
+    parts = [F.coalesce(v.cast("string"), F.lit("\x00")) for v in values]
     return F.md5(F.concat_ws("\x1f", F.lit(seed), *parts).cast("binary"))
 
 

@@ -66,9 +66,9 @@ def mix_documents(
             "doc_id",
             "source",
             (n_words(F.col("text"), BLANKS) if size is None else size).alias("size"),
-            random_key(seed, "doc_id").alias("_id_key"),
+            random_key(seed, F.col("doc_id"), F.md5(F.col("text").cast("binary"))).alias("_key"),
             F.xxhash64("text").alias("_text"),
-        ).withColumn("_key", random_key(seed, "_id_key", "_text")),
+        ),
         "mix-sizes",
     )
     targets = stored(source_targets(sized, weights, share, most), "mix-targets")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import ensure_scratch
+from starloom.session import prepared
 
 from .decontaminate import contamination
 from .hnsw import nearest_neighbours
@@ -27,7 +27,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    REGISTRY[fn.__name__] = lambda spark, sf_dir: fn(ensure_scratch(spark), sf_dir)
+    REGISTRY[fn.__name__] = lambda spark, sf_dir: fn(prepared(spark), sf_dir)
     return fn
 
 

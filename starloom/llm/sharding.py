@@ -101,7 +101,7 @@ def shard_documents(
             (F.octet_length(bytes_of) + OVERHEAD).cast("long").alias("size"),
             F.crc32(bytes_of).alias("text_crc32"),
             link_by.alias("link"),
-        ).withColumn("key", random_key(seed, "doc_id", "link", "text_crc32")),
+        ).withColumn("key", random_key(seed, F.col("doc_id"), F.col("link"), F.col("text_crc32"))),
         "shard-rows",
     )
     total = rows.agg(F.sum("size")).first()[0] or 0
