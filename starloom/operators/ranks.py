@@ -217,7 +217,8 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     numbers = _numbers(df, columns)
     k = len(columns)
-    means = [m if m is not None and math.isfinite(m) else 0.0 for m in numbers.agg(*[F.avg(c) for c in numbers.columns]).first()]
+    found = numbers.agg(*[F.avg(c) for c in numbers.columns]).first()
+    means = [m if m is not None and math.isfinite(m) else 0.0 for m in found]
     rows, cols = np.triu_indices(k, 1)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +232,8 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                     square = x * x
                     # Per pair: rows, sums and squares of either side where the other is present, products.
                     total += [here.T @ here, x.T @ here, here.T @ x, square.T @ here, here.T @ square, x.T @ x]
-        yield pa.record_batch([pa.array(np.arange(len(rows), dtype=np.int32)), *(pa.array(t[rows, cols]) for t in total)], names)
+        numbered = pa.array(np.arange(len(rows), dtype=np.int32))
+        yield pa.record_batch([numbered, *(pa.array(t[rows, cols]) for t in total)], names)
 
     names = ["pair", "n", "x", "y", "xx", "yy", "xy"]
     found = numbers.mapInArrow(sums, "pair int, n double, x double, y double, xx double, yy double, xy double")

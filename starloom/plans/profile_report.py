@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starloom.functions.columns import numeric_columns
 from starloom.operators import profile as P
@@ -87,13 +87,17 @@ _FIGURES = {
 }
 
 
+def _figure(name: str) -> Column:
+    return F.struct(F.lit(name).alias("figure"), F.col(name).cast("double").alias("value"))
+
+
 def report_rows(report: dict[str, DataFrame]) -> DataFrame:
     """The per-column sections as rows (section, column, figure, value)."""
     parts = [
         report[section].select(
             F.lit(section).alias("section"),
             "column",
-            F.inline(F.array(*[F.struct(F.lit(f).alias("figure"), F.col(f).cast("double").alias("value")) for f in figures])),
+            F.inline(F.array(*[_figure(f) for f in figures])),
         )
         for section, figures in _FIGURES.items()
         if section in report
