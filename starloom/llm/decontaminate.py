@@ -52,9 +52,8 @@ def rarest_terms(documents: DataFrame, windows: DataFrame, probes: int) -> DataF
     """
     places = windows.select("window", "length", F.posexplode("words").alias("shift", "term"))
     terms = stored(places.select("term").distinct(), "test-terms")
-    counts = (
-        _tokens(documents).select("term").join(small(terms, SMALL_ROWS), "term").groupBy("term").agg(F.count("*").alias("n"))
-    )
+    tokens = _tokens(documents).select("term").join(small(terms, SMALL_ROWS), "term")
+    counts = tokens.groupBy("term").agg(F.count("*").alias("n"))
     ranked = places.join(counts, "term", "left").withColumn(
         "probe",
         F.row_number().over(Window.partitionBy("window").orderBy(F.coalesce("n", F.lit(0)), "term", "shift")) - 1,
@@ -112,13 +111,16 @@ def proximity_matches(index: DataFrame, probes: DataFrame, slack: int) -> DataFr
 
 def covered_words(spans: Column) -> Column:
     """How many words the spans (start, length) cover, each word once; ``spans`` is sorted."""
+
+    def add(s: Column, x: Column) -> Column:
+        end = (x["start"] + x["length"]).cast("long")
+        fresh = F.greatest(F.lit(0), end - F.greatest(s["upto"], x["start"]))
+        return F.struct(F.greatest(s["upto"], end).alias("upto"), (s["n"] + fresh).cast("long").alias("n"))
+
     state = F.aggregate(
         spans,
         F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("n")),
-        lambda s, x: F.struct(
-            F.greatest(s["upto"], (x["start"] + x["length"]).cast("long")).alias("upto"),
-            (s["n"] + F.greatest(F.lit(0), x["start"] + x["length"] - F.greatest(s["upto"], x["start"]))).cast("long").alias("n"),
-        ),
+        add,
     )
     return state["n"]
 

@@ -8,7 +8,6 @@ Many insertions and searches walk the graph in step, so that numpy does the work
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +39,9 @@ class Graph:
         self.near = [np.full((len(x), params.links * (1 if level else 2)), -1, np.int32) for level in range(self.top + 1)]
         self.entry = int(np.argmax(levels)) if len(levels) else -1
 
-    def search(self, q: np.ndarray, level: int, starts: np.ndarray, width: int, step: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    def search(
+        self, q: np.ndarray, level: int, starts: np.ndarray, width: int, step: int = 4
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` most similar nodes found from ``starts`` (a row per query): nodes, similarities.
 
         In every round each query opens its ``step`` best unopened nodes. Empty places are -1.
@@ -195,7 +196,10 @@ def build_index(embeddings: DataFrame, keep: int, params: Params = Params()) ->
     least = Window.partitionBy("v").orderBy("vec_id")
     copies = rows.withColumn("_n", F.row_number().over(least)).filter(F.col("_n") <= keep)
     nodes = stored(
-        copies.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("dim", F.size("v")), "ann-nodes"
+        copies.groupBy("v")
+        .agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+        .withColumn("dim", F.size("v")),
+        "ann-nodes",
     )
     n = nodes.count()
     shards = max(1, -(-n // params.shard_rows))

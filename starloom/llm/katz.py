@@ -190,7 +190,10 @@ def _chunk(number: int, held: list[tuple]) -> pa.RecordBatch:
 
 # --- words ---------------------------------------------------------------------------------------
 
-_WORDS = "bucket int, chunk long, names binary, counts binary, numbers binary, n_tokens long, n_types long, n_names long, seen array<long>"
+_WORDS = (
+    "bucket int, chunk long, names binary, counts binary, numbers binary, "
+    "n_tokens long, n_types long, n_names long, seen array<long>"
+)
 
 
 def bucket_of(names: np.ndarray, buckets: int) -> np.ndarray:
@@ -224,7 +227,8 @@ def count_words(chunks: DataFrame, buckets: int) -> DataFrame:
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         lists = [unpack(x, np.uint64) for x in rows["names"]]
         names, at = np.unique(np.concatenate(lists), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([unpack(x, np.uint32) for x in rows["seen"]]), len(names)).astype(np.int64)
+        seen = np.concatenate([unpack(x, np.uint32) for x in rows["seen"]])
+        counts = np.bincount(at, seen, len(names)).astype(np.int64)
         out, start = [], 0
         bucket = int(rows["bucket"].iat[0])
         for chunk, own in zip(rows["chunk"], lists, strict=True):
@@ -271,7 +275,8 @@ class Layout:
     def deal(self, context: np.ndarray, of_context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The bucket of each pair."""
         salts = of_context // self.frequent + 1
-        key = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (word % salts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        key = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        key += (word % salts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
         key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         return bucket_of(key ^ (key >> np.uint64(32)), self.buckets)
 
@@ -350,7 +355,9 @@ def count_pairs(chunks: DataFrame, layout: Layout) -> DataFrame:
         runs = [unpack(x, np.uint32).astype(np.int64) for x in rows["runs"]]
         heads = [np.cumsum(unpack(x, np.int64)) for x in rows["contexts"]]
         context = np.concatenate([np.repeat(h, r) for h, r in zip(heads, runs, strict=True)])
-        of_context = np.concatenate([np.repeat(unpack(x, np.int64), r) for x, r in zip(rows["of_context"], runs, strict=True)])
+        of_context = np.concatenate(
+            [np.repeat(unpack(x, np.int64), r) for x, r in zip(rows["of_context"], runs, strict=True)]
+        )
         words = []
         for steps, run in zip(rows["words"], runs, strict=True):
             total = np.cumsum(unpack(steps, np.int64))
@@ -381,16 +388,20 @@ def count_pairs(chunks: DataFrame, layout: Layout) -> DataFrame:
                         pack(few[place].reshape(-1)), pack(lower[place]), None, None, None))
             start += n
         shared = [
-            {"context": int(own[i]), "few": [int(x) for x in few[i]], "lower": float(lower[i])} for i in np.flatnonzero(many)
+            {"context": int(own[i]), "few": [int(x) for x in few[i]], "lower": float(lower[i])}
+            for i in np.flatnonzero(many)
         ]
         kept = counts > 0
         starts = _runs(context[one][kept]) if kept.any() else np.array([], np.int64)
-        table = (bucket, -1, pack(context[one][kept][starts]), pack(np.diff(np.append(starts, kept.sum())).astype(np.uint32)),
-                 pack(word[one][kept]), pack(counts[kept].astype(np.uint32)), None, None, int(kept.sum()),
+        lengths = np.diff(np.append(starts, kept.sum())).astype(np.uint32)
+        table = (bucket, -1, pack(context[one][kept][starts]), pack(lengths), pack(word[one][kept]), pack(counts[kept].astype(np.uint32)), None, None, int(kept.sum()),
                  _count_of_counts(counts[kept]), shared)
         return pd.DataFrame([*out, table], columns=[c.split()[0] for c in _PAIRS.split(", ")])
 
-    schema = "bucket int, chunk long, contexts binary, runs binary, words binary, seen binary, of_context binary, of_word binary"
+    schema = (
+        "bucket int, chunk long, contexts binary, runs binary, words binary, "
+        "seen binary, of_context binary, of_word binary"
+    )
     return chunks.mapInArrow(ask, schema).groupBy("bucket").applyInPandas(add, _PAIRS)
 
 
@@ -441,9 +452,10 @@ def evaluate(chunks: DataFrame, layout: Layout, d: np.ndarray, shared: list[tupl
                 starts = np.concatenate([[0], np.cumsum(chunk.lengths)[:-1]]).astype(np.int64)
                 total = lambda x: np.add.reduceat(x, starts) if len(starts) else x
                 yield pa.record_batch(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.train), pa.array(chunk.lengths.astype(np.int64)),
-                     pa.array(total((chunk.counts[chunk.word] > 0).astype(np.int64))), pa.array(total(np.log10(base[chunk.word]))),
-                     pa.array(total(np.log10(p)))],
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.train),
+                     pa.array(chunk.lengths.astype(np.int64)),
+                     pa.array(total((chunk.counts[chunk.word] > 0).astype(np.int64))),
+                     pa.array(total(np.log10(base[chunk.word]))), pa.array(total(np.log10(p)))],
                     ["doc_id", "train", "n_tokens", "n_known", "base_score", "score"],
                 )
 

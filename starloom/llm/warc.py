@@ -276,7 +276,8 @@ def page_records(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     page_id is never the smallest unless all are null; a null url is left out.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long").alias("record_id"), F.col("url").alias("uri"), payload.alias("payload"))
+    record_id = F.col("page_id").cast("long").alias("record_id")
+    rows = pages.select(record_id, F.col("url").alias("uri"), payload.alias("payload"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn(
         "payload_digest", F.sha2("payload", 256)
     )
@@ -290,7 +291,8 @@ def page_records(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
         copies = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64("record_id", "uri"), F.lit(SALTS)).cast("int")
         joined = rows.withColumn("_salt", salt).join(copies, ["payload_digest", "_salt"], "left")
-    revisit = (F.col("payload_bytes") >= least_bytes) & F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("record_id"))
+    later = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("record_id"))
+    revisit = (F.col("payload_bytes") >= least_bytes) & later
     return joined.select(
         "record_id",
         "uri",
