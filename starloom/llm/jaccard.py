@@ -39,7 +39,10 @@ SALTS = 16
 #: Rows of a batch sent back to Spark.
 CHUNK = 1 << 18
 
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+#: Odd multipliers, one for each place of a shingle.
+_ODD = np.array(
+    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
+)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -77,6 +80,12 @@ def shingle_sets(texts: pa.Array, width: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+def sets_in(texts: pa.Array, rows: int = 1024) -> Iterator[np.ndarray]:
+    """The sets of all texts, made for some rows at a time to keep memory low."""
+    for at in range(0, len(texts), rows):
+        yield from shingle_sets(texts.slice(at, rows))
+
+
 def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.md5(tokens.tobytes()).digest()
 
@@ -94,7 +103,7 @@ def signatures(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column(2))
+            sets = list(sets_in(batch.column(2)))
             names = [_class_of(s) if len(s) else None for s in sets]
             distinct = {name: s for name, s in zip(names, sets, strict=True) if name is not None}
             buckets, counts = np.array([], np.uint64), np.array([], np.int64)
@@ -148,7 +157,7 @@ def prefix_tokens(documents: DataFrame, sketch: DataFrame, percent: int = PERCEN
         done: set[int] = set()  # classes of this task
         for batch in batches:
             held, size = [], 0
-            for tokens in shingle_sets(batch.column(2)):
+            for tokens in sets_in(batch.column(2)):
                 if not len(tokens) or (name := _class_of(tokens)) in done:
                     continue
                 done.add(name)
@@ -183,10 +192,32 @@ def _prefix_batch(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
 
 
 def shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """The prefix rows whose token stands in prefixes of several classes."""
+    """Prefix tokens that stand in several classes, those in the same classes taken together.
+
+    Rows are token (a name for all tokens that stand in the same classes, such as the shingles of
+    one passage), class, n, place (of the first of the tokens), weight (their number, at least) and
+    leader: the class with the token at the foremost place. Rare tokens stand in front, so a text
+    from which others were made by small changes has its tokens in front of theirs, and leads them.
+    Tokens that wrongly share a name add candidates, no links.
+    """
     by_token = Window.partitionBy("token")
-    ends = prefixes.withColumns({"least": F.min("class").over(by_token), "most": F.max("class").over(by_token)})
-    return ends.filter("least != most").drop("most").withColumnRenamed("least", "leader")
+    name = F.xxhash64("class")
+    listed = prefixes.withColumns(
+        {
+            "least": F.min("class").over(by_token),
+            "most": F.max("class").over(by_token),
+            "xor": F.bit_xor(name).over(by_token),
+            "sum": F.sum(name.bitwiseAND(F.lit(0xFFFFFFFF))).over(by_token),
+        }
+    )
+    together = F.xxhash64("least", "most", "xor", "sum").alias("token")
+    rows = (
+        listed.filter("least != most")
+        .groupBy(together, "class", "n")
+        .agg(F.min("place").alias("place"), F.count("*").alias("weight"))
+    )
+    foremost = F.min(F.struct("place", "class")).over(by_token)
+    return rows.withColumn("leader", foremost["class"])
 
 
 def can_follow(n: Column, place_a: Column, m: Column, place_b: Column, percent: int = PERCENT) -> Column:
@@ -199,6 +230,30 @@ def can_follow(n: Column, place_a: Column, m: Column, place_b: Column, percent:
     return F.least(n - place_a, m - place_b) * (100 + percent) >= (n + m) * percent
 
 
+def may_link(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that may link by all prefix tokens they share, looked up in ``rows``.
+
+    A shared token bounds the overlap by what can lie before, at and after it. All shared prefix
+    tokens together bound it by their number and the longer rest behind a prefix.
+    """
+    side = lambda name, size: rows.select(
+        F.col("class").alias(name),
+        "token",
+        F.col("n").alias(size),
+        F.col("place").alias(f"place_{name}"),
+        F.col("weight").alias(f"weight_{name}"),
+    )
+    shared = pairs.join(side("a", "n"), "a").join(side("b", "m"), ["b", "token"])
+    n, m = F.col("n"), F.col("m")
+    around = F.least("place_a", "place_b") + F.least(n - F.col("place_a"), m - F.col("place_b"))
+    met = shared.groupBy("a", "b", "n", "m").agg(
+        F.sum(F.least("weight_a", "weight_b")).alias("met"), F.min(around).alias("around")
+    )
+    behind = F.ceil(F.greatest(n, m) * percent / 100) - 1
+    most = F.least("around", F.col("met") + behind)
+    return met.filter(most * (100 + percent) >= (n + m) * percent).select("a", "b")
+
+
 def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The shingles of the classes in ``wanted`` (class, doc_id, text_hash of a row): class, tokens.
 
@@ -229,10 +284,14 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, percent
     spark = documents.sparkSession
     nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     sets = stored(sets_of(documents, classes.join(nodes, "class", "left_semi")), "shingle-sets")
-    side = lambda name: sets.join(small(pairs.select(F.col(name).alias("class")).distinct(), SMALL_ROWS), "class", "left_semi").select(
-        F.col("class").alias(name), F.col("tokens").alias(f"tokens_{name}")
-    )
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def side(name: str) -> DataFrame:
+        of_side = small(pairs.select(F.col(name).alias("class")).distinct(), SMALL_ROWS)
+        chosen = sets.join(of_side, "class", "left_semi")
+        return chosen.select(F.col("class").alias(name), F.col("tokens").alias(f"tokens_{name}"))
+
+    # Pairs that are few go to the sets; else the sets are shuffled to the pairs.
+    both = side("a").join(small(pairs, SMALL_ROWS), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - common
     links = stored(both.filter(common * 100 >= union * percent).select("a", "b").distinct(), "shingle-links")
@@ -244,14 +303,14 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, percent
 def group_candidates(shared: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of classes (a, b) from different groups that the token-group matrix can't rule out."""
     matrix_rows = shared.join(groups, shared["class"] == groups["node"], "left").select(
-        "token", "class", "n", "place", F.coalesce("component", "class").alias("group")
+        "token", "class", "n", "place", "weight", F.coalesce("component", "class").alias("group")
     )
     by_token = Window.partitionBy("token")
     # Tokens of one group's union alone can't tell of another group.
     several = matrix_rows.withColumns(
         {"least": F.min("group").over(by_token), "most": F.max("group").over(by_token)}
     ).filter("least != most")
-    rows = stored(several.select("token", "class", "n", "place", "group"), "shingle-matrix")
+    rows = stored(several.select("token", "class", "n", "place", "weight", "group"), "shingle-matrix")
     left = F.col("n") - F.col("place")
     unions = rows.groupBy("token", "group").agg(
         F.min("n").alias("shortest"), F.max("n").alias("longest"), F.max(left).alias("most_left")
@@ -276,7 +335,11 @@ def group_candidates(shared: DataFrame, groups: DataFrame, percent: int = PERCEN
     o = opened.alias("o")
     same = (F.col("o.token") == F.col("s.token")) & (F.col("o.group") == F.col("s.group"))
     bound = can_follow(F.col("o.n"), F.col("o.place"), F.col("s.m"), F.col("s.place_b"), percent)
-    return o.join(members, same & bound).select(F.col("o.class").alias("a"), "s.b").distinct()
+    pairs = o.join(members, same & bound).select(F.col("o.class").alias("a"), "s.b").distinct()
+    pairs = stored(pairs, "shingle-opened")
+    found = stored(may_link(pairs, rows, percent), "shingle-rest")
+    discard(shared.sparkSession, pairs, rows)
+    return found
 
 
 def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -294,7 +357,8 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     signed, sketch = signatures(documents)
     named = signed.filter("class is not null and doc_id is not null")
     classes = stored(
-        named.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("class", "row.*"), "shingle-classes"
+        named.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("class", "row.*"),
+        "shingle-classes",
     )
     shared = stored(shared_tokens(prefix_tokens(documents, sketch, percent)), "shingle-shared")
     release(spark)
@@ -309,10 +373,13 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
         .select("a", "b")
         .distinct()
     )
-    links = verified(stored(first, "shingle-first"), documents, classes, percent)
+    starred = stored(first, "shingle-starred")
+    first = stored(may_link(starred, shared, percent), "shingle-first")
+    links = verified(first, documents, classes, percent)
     groups = connected_components(links)
-    rest = stored(group_candidates(shared, groups, percent), "shingle-rest")
+    rest = group_candidates(shared, groups, percent)
     more = verified(rest, documents, classes, percent)
+    discard(spark, starred, first, rest, shared, groups)
     # Rows of one doc_id tie their classes together.
     several = named.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a != b")
     ties = named.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("class").alias("b"))
@@ -324,7 +391,9 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     of_class = tops.join(least, "component").select("class", "doc_id", "component_id")
     # Most rows are their own component; classes that aren't are few and are copied over salts.
     copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    by_class = stored(of_class.select("class", "component_id"), "shingle-components").withColumn("_salt", copies)
+    by_class = stored(of_class.select("class", "component_id"), "shingle-components")
+    discard(spark, links, more, joined, classes)
+    by_class = by_class.withColumn("_salt", copies)
     salted = signed.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return salted.join(by_class, ["class", "_salt"], "left").select(
