@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, free_names, n_words, small, stored, words
+from .common import NOT_ALNUM, ascii_lower, discard, free_names, n_words, small, stored, words
 
 #: Benchmark terms and windows up to this many rows are broadcast; more are shuffled.
 SMALL_ROWS = 200_000
@@ -144,7 +144,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, p
     index = stored(postings(documents, rarest.select("term")), "test-postings")
     items = holders.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     named = windows.join(items, "window")
-    candidates = stored(phrase_candidates(index, rarest), "test-candidates").join(small(named, SMALL_ROWS), "window")
+    starts = stored(phrase_candidates(index, rarest), "test-candidates")
+    discard(documents.sparkSession, index)
+    candidates = starts.join(small(named, SMALL_ROWS), "window")
     kept = [c for c in documents.columns if c not in ("n_words", "n_hit", "item_ids", "spans")]
     own, key, text, list_, exact_ = free_names(documents, "own_hash", "found_id", "found_hash", "candidates", "exact")
     per_document = candidates.groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(text)).agg(
