@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import stored
+from .common import discard, stored
 
 #: Words (letters, bytes above 127), numbers, and runs of signs.
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 #: Words of a text that are hashed and pooled at a time, which bounds memory for long texts.
 PIECE = 1 << 18
+#: Average words that are added to every text.
+PRIOR = 8
 
 
 @dataclass(frozen=True)
@@ -50,9 +52,10 @@ class QualityModel:
     mean: np.ndarray
     scale: np.ndarray
     temperature: float
+    centre: np.ndarray
 
     def scores(self, pooled: np.ndarray) -> np.ndarray:
-        x = (pooled - self.mean) / self.scale
+        x = (steadied(pooled, self.centre) - self.mean) / self.scale
         z = np.tanh(x @ self.w1 + self.b1) @ self.w2 + self.b2
         return 1 / (1 + np.exp(-np.clip(z / self.temperature, -40, 40)))
 
@@ -121,6 +124,12 @@ def pooled(text: bytes, vectors: np.ndarray, shape: Shape) -> np.ndarray:
     return np.concatenate([total / max(n, 1), [repeats / max(n, 1), np.log1p(n)]])
 
 
+def steadied(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Pooled rows with PRIOR average words added, so that a few odd words don't decide on a short text."""
+    n = np.expm1(x[:, -1:])
+    return np.hstack([(x[:, :-1] * n + PRIOR * centre) / (n + PRIOR), x[:, -1:]])
+
+
 def fit_network(x: np.ndarray, y: np.ndarray, hidden: int, epochs: int = 60, decay: float = 1e-3) -> dict:
     """Adam on the logistic loss; a fifth of the rows is kept out to calibrate the temperature."""
     rng = np.random.default_rng(11)
@@ -167,7 +176,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int, seed:
     ``labels`` holds doc_id and label; rows with a null in either are left out, and those with the
     least hash of the id are taken. Of texts that share an id the least is used.
     """
-    known = labels.filter("label is not null and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label"))
+    known = labels.filter("label is not null and doc_id is not null")
+    known = known.select("doc_id", F.col("label").cast("int").alias("label"))
     order = F.xxhash64(F.lit(seed), "doc_id")
     chosen = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(order, "doc_id").limit(sample)
     # At most ``sample`` rows, so the broadcast is bounded.
@@ -183,7 +193,8 @@ def fit_quality(
 
     Without rows, or with one label alone, scores are that label's share.
     """
-    chosen = labelled_sample(documents, labels, sample, "quality").repartition(tasks, "doc_id")
+    # In few tasks, as each sends a table of the model's size to the driver.
+    chosen = labelled_sample(documents, labels, sample, "quality").coalesce(tasks)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = (value.as_py() or b"" for batch in batches for value in batch.column(1))
@@ -202,6 +213,9 @@ def fit_quality(
     rows = sorted((bytes(r.x), r.label) for r in chosen.mapInArrow(features, "x binary, label int").collect())
     x = np.array([np.frombuffer(r[0]) for r in rows]).reshape(len(rows), shape.dims + 2)
     y = np.array([r[1] for r in rows], float)
+    n = np.expm1(x[:, -1:])
+    centre = (x[:, :-1] * n).sum(0) / max(n.sum(), 1)
+    x = steadied(x, centre)
     if len(set(y)) < 2:  # nothing to tell apart
         share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
         n, h = shape.dims + 2, shape.hidden
@@ -216,7 +230,8 @@ def fit_quality(
         }
     else:
         fitted = fit_network(x, y, shape.hidden)
-    return QualityModel(shape=shape, vectors=vectors, **fitted)
+    discard(documents.sparkSession, chosen)
+    return QualityModel(shape=shape, vectors=vectors, centre=centre, **fitted)
 
 
 def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
