@@ -8,7 +8,8 @@ of a group alone moves no score, however often it stood in toxic examples.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import FOLD_ALNUM
+from .common import FOLD_ALNUM, discard
 from .quality import held_out, labelled_sample
 
 #: Identity terms by kind; a term is swapped for the others of its kind.
@@ -32,9 +33,9 @@ IDENTITIES = {
 #: Hashed features. A text's distinct features are at most this many.
 SPACE = 1 << 18
 #: First letters (bytes) of longer words that count as features of their own.
-STEMS = (5, 7)
-#: Words of a text that are hashed at a time.
-PIECE = 1 << 18
+STEMS = (4, 5, 6, 7)
+#: Counts from which a word or stem is a feature once more.
+LEVELS = (1, 2, 4, 8)
 
 _SWAPS = {term.encode(): tuple(t.encode() for t in terms if t != term) for terms in IDENTITIES.values() for term in terms}
 
@@ -55,22 +56,25 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def word_features(words: list[bytes]) -> np.ndarray:
-    """Distinct hashed words and stems."""
-    crc = zlib.crc32
-    words = list(set(words))
-    ids = [crc(w) % SPACE for w in words]
-    for n in STEMS:
-        ids += [crc(w[:n], n) % SPACE for w in words if len(w) > n]
+def word_features(words: Iterable[bytes]) -> np.ndarray:
+    """Distinct hashed words and stems, each once for every level that its count reaches."""
+    crc, ids = zlib.crc32, []
+    counts = Counter(words)
+    for n in (0, *STEMS):
+        own = counts
+        if n:
+            own = Counter()
+            for word, k in counts.items():
+                if len(word) > n:
+                    own[word[:n]] += k
+        for level, least in enumerate(LEVELS):
+            ids += [(crc(w, n) + level * 40_503) % SPACE for w, k in own.items() if k >= least]
     return np.unique(np.array(ids, np.int32))
 
 
 def text_features(text: bytes) -> np.ndarray:
     """Distinct features of a whole text."""
-    words = text.translate(FOLD_ALNUM).split()
-    if len(words) <= PIECE:
-        return word_features(words)
-    return np.unique(np.concatenate([word_features(words[i : i + PIECE]) for i in range(0, len(words), PIECE)]))
+    return word_features(text.translate(FOLD_ALNUM).split())
 
 
 def swapped(text: bytes, turn: int) -> list[bytes] | None:
@@ -93,7 +97,8 @@ def _selected(rows: list[np.ndarray], y: np.ndarray, least: int, most: int) -> n
     rate = seen / (n1 + n0)
 
     def part(count: np.ndarray, n: float) -> np.ndarray:
-        return count * np.log((count + 1e-9) / (n * rate + 1e-9)) + (n - count) * np.log((n - count + 1e-9) / (n * (1 - rate) + 1e-9))
+        inside = count * np.log((count + 1e-9) / (n * rate + 1e-9))
+        return inside + (n - count) * np.log((n - count + 1e-9) / (n * (1 - rate) + 1e-9))
 
     g = np.where(seen >= least, 2 * (part(with_1, n1) + part(with_0, n0)), 0)
     best = np.argsort(-g, kind="stable")[:most]
@@ -106,7 +111,7 @@ def fit_toxicity(
     sample: int = 20_000,
     most_features: int = 3_000,
     swap_penalty: float = 5.0,
-    decay: float = 2e-4,
+    decay: float = 3e-5,
     turns: int = 2,
 ) -> ToxicityModel:
     """Fit on at most ``sample`` labelled documents; ``labels`` holds doc_id and label (0 or 1).
@@ -114,7 +119,8 @@ def fit_toxicity(
     Without both labels the score is the label's share. What comes to the driver is a row of at
     most SPACE feature numbers for each sampled text and swap.
     """
-    chosen = labelled_sample(documents, labels, sample, "toxicity").repartition(16, "doc_id")
+    sampled = labelled_sample(documents, labels, sample, "toxicity")
+    chosen = sampled.repartition(16, "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,14 +131,17 @@ def fit_toxicity(
                 out.append((label, text_features(text).tobytes(), [word_features(s).tobytes() for s in swaps]))
             columns = list(zip(*out, strict=True)) or [[], [], []]
             yield pa.record_batch(
-                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.list_(pa.binary()))],
+                [
+                    pa.array(columns[0], pa.int32()),
+                    pa.array(columns[1], pa.binary()),
+                    pa.array(columns[2], pa.list_(pa.binary())),
+                ],
                 ["label", "x", "swaps"],
             )
 
-    collected = sorted(
-        ((bytes(r.x), r.label, [bytes(s) for s in r.swaps]) for r in chosen.mapInArrow(features, "label int, x binary, swaps array<binary>").collect()),
-        key=lambda r: r[:2],
-    )
+    found = chosen.mapInArrow(features, "label int, x binary, swaps array<binary>").collect()
+    collected = sorted(((bytes(r.x), r.label, [bytes(s) for s in r.swaps]) for r in found), key=lambda r: r[:2])
+    discard(documents.sparkSession, sampled)
     rows = [np.frombuffer(r[0], np.int32) for r in collected]
     y = np.array([r[1] for r in collected], float)
     pairs = [(i, np.frombuffer(s, np.int32)) for i, r in enumerate(collected) for s in r[2]]
@@ -140,7 +149,12 @@ def fit_toxicity(
 
 
 def fit_rows(
-    rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[int, np.ndarray]], most_features: int, swap_penalty: float, decay: float
+    rows: list[np.ndarray],
+    y: np.ndarray,
+    pairs: list[tuple[int, np.ndarray]],
+    most_features: int,
+    swap_penalty: float,
+    decay: float,
 ) -> ToxicityModel:
     """Gradient descent on the logistic loss, weight decay, and the squared score changes of ``pairs``."""
     if len(set(y)) < 2:
@@ -152,7 +166,8 @@ def fit_rows(
     def sparse(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Row and column numbers of the features that count."""
         hits = [np.flatnonzero(np.isin(features, x, assume_unique=True)) for x in lists]
-        return np.repeat(np.arange(len(hits)), [len(h) for h in hits]), np.concatenate([*hits, np.array([], int)]).astype(int)
+        row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
+        return row, np.concatenate([*hits, np.array([], int)]).astype(int)
 
     r, c = sparse(rows)
     plain = [rows[i] for i, _ in pairs]
