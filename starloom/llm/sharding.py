@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,9 +85,9 @@ def shard_documents(
 
     Documents with the same ``link`` (the text's digest unless given) are linked. They start in a
     shard by hash and move by balanced label propagation under a quota of an equal share of all
-    bytes; what doesn't fit stays apart. Documents without links then fill up the shards: laid end
-    to end in random order, they are cut at the shards' remaining room, so that shards differ by
-    about the size of a document. The law is ``bytes``. Slots count from 0 in each shard without
+    bytes. What then exceeds a shard's quota and the documents without links fill up the shards:
+    laid end to end, they are cut at the shards' remaining room, so that shards differ by about the
+    size of a document. The law is ``bytes``. Slots count from 0 in each shard without
     gaps.
 
     Defined cases: a null text has no bytes (size 16, checksum 0) and no links; an empty text is a
@@ -127,26 +129,39 @@ def shard_documents(
         quota,
         rounds,
     )
-    # The larger half of the free rows first, by the shards' share of the room; the smaller half
-    # then evens out what was cut at large documents.
-    free = tied.filter("tied is null").select("doc_id", "text_crc32", "key", "size")
+    # What exceeds a shard's quota leaves it, whole groups first to last by digest, and is laid out
+    # with the free rows, a group's rows side by side.
+    queued = running_totals(moved.withColumn("lay", F.md5(F.col("link").cast("binary"))), "shard", "lay", "size", "before")
+    queued = stored(queued.select("key", "size", "lay", "shard", "before"), "shard-queued")
+    fits = F.col("before") + F.col("size") <= quota
+    kept = queued.filter(fits)
+    free = stored(
+        tied.filter("tied is null")
+        .select("doc_id", "text_crc32", "key", "size", F.col("key").alias("lay"), F.lit(False).alias("linked"))
+        .unionByName(
+            queued.filter(~fits).select("key", "size", "lay", F.lit(True).alias("linked")), allowMissingColumns=True
+        ),
+        "shard-free",
+    )
+    # The larger half of the free rows first; the smaller half then evens out what was cut at large
+    # documents.
     held, n_free = free.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     is_large = F.col("size") > held / max(1, n_free)
-    large_bytes = free.filter(is_large).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     columns = ["doc_id", "text_crc32", "key", "size", "shard"]
-    large = stored(
-        _fill(free.filter(is_large), moved, shards, quota, large_bytes / max(1, held)).select(*columns), "shard-large"
-    )
-    taken = moved.select("shard", "size").unionByName(large.select("shard", "size"))
-    placed = large.unionByName(_fill(free.filter(~is_large), taken, shards, quota, 1.0).select(*columns))
+    large = stored(_fill(free.filter(is_large), kept, shards, quota), "shard-large")
+    taken = kept.select("shard", "size").unionByName(large.select("shard", "size"))
+    placed = stored(large.unionByName(_fill(free.filter(~is_large), taken, shards, quota)), "shard-filled")
     # A key names its rows' doc_id, link and checksum, so what has one key is interchangeable.
     names = tied.filter("tied").select("doc_id", "text_crc32", "key", "size")
+    shard_of = kept.select("key", "shard").unionByName(placed.filter("linked").select("key", "shard"))
     numbered = lambda df: df.withColumn(
         "_copy", F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
     )
-    linked = numbered(names).join(numbered(moved.select("key", "shard")), ["key", "_copy"]).drop("_copy")
-    both = stored(linked.select(*columns).unionByName(placed.select(*columns)), "shard-placed")
-    discard(spark, rows, tied, moved, large)
+    linked = numbered(names).join(numbered(shard_of), ["key", "_copy"]).drop("_copy")
+    both = stored(
+        linked.select(*columns).unionByName(placed.filter("not linked").select(*columns)), "shard-placed"
+    )
+    discard(spark, rows, tied, moved, queued, free, large, placed)
     slots = running_totals(both.withColumn("_one", F.lit(1)), "shard", "key", "_one", "slot")
     return slots.select(
         "doc_id",
@@ -159,19 +174,22 @@ def shard_documents(
     )
 
 
-def _fill(free: DataFrame, taken: DataFrame, shards: int, quota: int, part: float) -> DataFrame:
-    """Lay the free rows end to end and cut them at a part of the room that taken rows leave in each shard."""
-    spark = free.sparkSession
-    load = taken.groupBy("shard").agg(F.sum("size").alias("load"))
-    every = spark.range(shards).select(F.col("id").cast("int").alias("shard")).join(load, "shard", "left")
-    left = F.greatest(F.lit(quota) - F.coalesce("load", F.lit(0)), F.lit(0))
-    room = every.select("shard", (left * part).alias("room"))
-    # One row per shard: their number is a parameter, so these sums are bounded.
-    upto = F.sum("room").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
-    ends = room.select("shard", upto.alias("upto"))
-    cuts = ends.agg(F.array_sort(F.collect_list(F.struct("upto", "shard"))).alias("cuts"))
-    laid = running_totals(free.withColumn("_all", F.lit("all")), "_all", "key", "size", "before").drop("_all")
+def _fill(free: DataFrame, taken: DataFrame, shards: int, quota: int) -> DataFrame:
+    """Lay the free rows end to end and cut them in proportion to the room that taken rows leave in each shard.
+
+    A row at a cut goes where its middle lies, so half the largest row is kept back of each room. What
+    comes to the driver is a sum for each shard, whose number is a parameter.
+    """
+    free_bytes, largest = free.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+    load = {r["shard"]: r["load"] for r in taken.groupBy("shard").agg(F.sum("size").alias("load")).collect()}
+    for margin in (largest / 2, 0):
+        room = [max(0, quota - load.get(shard, 0) - margin) for shard in range(shards)]
+        if sum(room) > 0:
+            break
+    else:
+        room = [1] * shards
+    cuts = [free_bytes * upto / sum(room) for upto in accumulate(room)]
+    laid = running_totals(free.withColumn("_all", F.lit("all")), "_all", "lay", "size", "before").drop("_all")
     middle = F.col("before") + F.col("size") / 2
-    fits = F.filter("cuts", lambda c: c["upto"] > middle)
-    shard = F.coalesce(F.get(fits, F.lit(0))["shard"], F.lit(shards - 1))
-    return laid.withColumn("cuts", cuts.scalar()).withColumn("shard", shard.cast("int")).drop("cuts")
+    passed = F.size(F.filter(F.lit(cuts), lambda cut: cut <= middle))
+    return laid.withColumn("shard", F.least(passed, F.lit(shards - 1))).drop("before")
