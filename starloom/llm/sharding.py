@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, random_key, running_totals, stored
@@ -15,84 +17,121 @@ OVERHEAD = 16
 SALTS = 16
 
 
-def _spread_join(rows: DataFrame, per_link: DataFrame) -> DataFrame:
-    """Join rows to one row per link, with the links copied over salts and the rows dealt to them."""
+def _spread_join(rows: DataFrame, per_key: DataFrame, by: list[str]) -> DataFrame:
+    """Left join of rows to one row per key, with the keys copied over salts and the rows dealt to them."""
     salted = rows.withColumn("_salt", F.conv(F.substring("key", 1, 1), 16, 10).cast("int") % SALTS)
-    copies = per_link.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, ["link", "_salt"]).drop("_salt")
+    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*by, "_salt"], "left").drop("_salt")
 
 
-def propagate(linked: DataFrame, shards: int, quota: int, rounds: int) -> DataFrame:
-    """Move linked rows (key, size, link, shard) towards the shard in which most of their link is.
+def units(linked: DataFrame, quota: int) -> DataFrame:
+    """Add ``piece`` to linked rows (key, size, link): what has one link and piece is to be in one shard.
 
-    In a round every row looks at the shards that hold rows of its link and have room, takes the
-    one with most rows, and moves there if more of its link are there than where it is. Movers to
-    a shard are let in by key, as long as their bytes fit into what the quota leaves. Rounds end
-    early when nothing moves.
+    A link within the quota is one piece. A larger one is cut by key into pieces of nearly the quota,
+    so it wishes for as many shards at once as its bytes need.
+    """
+    sums = linked.groupBy("link").agg(F.sum("size").alias("bytes"), F.max("size").alias("largest"))
+    # Each such link holds more than a shard, so there are fewer of them than shards.
+    hot = F.broadcast(sums.filter(F.col("bytes") > quota).select("link", "largest"))
+    rows = linked.join(hot, "link", "left")
+    queued = running_totals(
+        stored(rows.filter("largest is not null"), "shard-hot"), "link", "key", "size", "before"
+    )
+    width = F.greatest(F.lit(quota) - F.col("largest"), F.lit(quota) / 2, F.lit(1))
+    cut = queued.withColumn("piece", F.floor(F.col("before") / width).cast("int"))
+    whole = rows.filter("largest is null").withColumn("piece", F.lit(0))
+    return whole.drop("largest").unionByName(cut.drop("largest", "before"))
+
+
+def wish(room: list[int]) -> Column:
+    """The shard in which most of a unit's rows are, of those with room for all of it; null without any.
+
+    Among equals a digit string decides, weighted by room, so that units without a place of their own
+    are dealt to the shards in proportion to what these can take.
+    """
+    rooms = F.lit(room)
+
+    def named(shard: Column, here: Column) -> Column:
+        drawn = (F.pmod(F.xxhash64("link", "piece", shard), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
+        # The larger the room, the closer to 0.
+        return F.struct(here.alias("here"), (F.log(drawn) / F.element_at(rooms, shard + 1)).alias("tie"), shard.alias("shard"))
+
+    fits = lambda shard: F.element_at(rooms, shard + 1) >= F.col("bytes")
+    own = F.filter("counts", lambda c: fits(c["shard"]))
+    others = F.filter(F.sequence(F.lit(0), F.lit(len(room) - 1)), fits)
+    return F.coalesce(
+        F.array_max(F.transform(own, lambda c: named(c["shard"], c["here"])))["shard"],
+        F.array_max(F.transform(others, lambda shard: named(shard, F.lit(0))))["shard"],
+    )
+
+
+def propagate(linked: DataFrame, shards: int, quota: int) -> DataFrame:
+    """The shard of every unit (link, piece) of the linked rows (key, size, link, piece, shard).
+
+    In a round every unit without a place takes the label that most of its rows carry, of the shards
+    that have room for the whole unit. Those that wish for a shard are let in by key as long as
+    their bytes fit; the first in line always does. The others wish again, among the rooms that are
+    left. Rounds go on until no unit finds a shard with room; such units are not returned. Units of
+    more than a sixteenth of a shard, 16 times as many as shards at most, go first, the largest
+    before the others, so that the small ones fill what these leave.
     """
     spark = linked.sparkSession
-    for _ in range(rounds):
-        load = linked.groupBy("shard").agg(F.sum("size").alias("load"))
-        room = spark.range(shards).select(F.col("id").cast("int").alias("shard")).join(load, "shard", "left")
-        room = room.select("shard", (F.lit(quota) - F.coalesce("load", F.lit(0))).alias("room"))
-        tally = linked.groupBy("link", "shard").agg(F.count("*").alias("here"), F.max("size").alias("largest"))
-        # A shard is named by its rows of the link, then by a digit string, so that all rows agree.
-        rank = F.struct("here", F.md5(F.concat_ws(":", "link", "shard")).alias("tie"), "shard")
-        best = (
-            tally.join(F.broadcast(room), "shard")
-            .groupBy("link")
-            .agg(
-                F.max(F.when(F.col("room") >= F.col("largest"), rank)).alias("best"),
-                F.map_from_entries(F.collect_list(F.struct("shard", "here"))).alias("counts"),
-            )
-        )
-        wished = _spread_join(linked, best).select(
-            "key",
-            "size",
-            "link",
-            "shard",
-            F.when(
-                (F.col("best.shard") != F.col("shard"))
-                & (F.struct("best.here", "best.tie") > F.struct(
-                    F.element_at("counts", F.col("shard")).alias("here"),
-                    F.md5(F.concat_ws(":", "link", "shard")).alias("tie"),
-                )),
-                F.col("best.shard"),
-            ).alias("to"),
-        )
-        wished = stored(wished, "shard-wishes")
-        movers = wished.filter("to is not null")
-        if movers.isEmpty():
+    by = ["link", "piece"]
+    tally = linked.groupBy(*by, "shard").agg(F.count("*").alias("here"), F.sum("size").alias("bytes"))
+    waiting = stored(
+        tally.groupBy(*by).agg(
+            F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("shard", "here"))).alias("counts")
+        ).withColumn("lay", F.md5(F.concat_ws(":", *by))),
+        "shard-units",
+    )
+    room = [quota] * shards
+    placed: list[dict] = []
+    is_large = F.col("bytes") > quota / 16
+    for unit in sorted(waiting.filter(is_large).collect(), key=lambda u: (-u["bytes"], u["lay"])):
+        here = {c["shard"]: c["here"] for c in unit["counts"]}
+        free = [s for s in range(shards) if room[s] >= unit["bytes"]]
+        if free:
+            best = max(free, key=lambda s: (here.get(s, 0), room[s], s))
+            room[best] -= unit["bytes"]
+            placed.append({"link": unit["link"], "piece": unit["piece"], "shard": best})
+    rows = F.from_json(F.lit(json.dumps(placed)), "array<struct<link: string, piece: int, shard: int>>")
+    settled, used = [spark.range(1).select(F.inline(rows))], [waiting]
+    waiting = waiting.filter(~is_large)
+    while True:
+        wished = stored(waiting.withColumn("to", wish(room)).filter("to is not null"), "shard-wishes")
+        used.append(wished)
+        if wished.isEmpty():
             break
-        queued = running_totals(movers, "to", "key", "size", "before")
-        let_in = queued.join(F.broadcast(room.withColumnRenamed("shard", "to")), "to").withColumn(
-            "shard",
-            F.when(F.col("before") + F.col("size") <= F.col("room"), F.col("to")).otherwise(F.col("shard")),
-        )
-        columns = ["key", "size", "link", "shard"]
-        after = stored(
-            wished.filter("to is null").select(*columns).unionByName(let_in.select(*columns)), "shard-labels"
-        )
-        discard(spark, wished, linked)
-        linked = after
-    return linked
+        queued = running_totals(wished, "to", "lay", "bytes", "before")
+        let_in = F.col("before") + F.col("bytes") <= F.element_at(F.lit(room), F.col("to") + 1)
+        queued = stored(queued.withColumn("let_in", let_in), "shard-labels")
+        settled.append(queued.filter("let_in").select(*by, F.col("to").alias("shard")))
+        for r in queued.filter("let_in").groupBy("to").agg(F.sum("bytes").alias("bytes")).collect():
+            room[r["to"]] -= r["bytes"]
+        used.append(queued)
+        waiting = queued.filter("not let_in").drop("to", "before", "let_in")
+    found = stored(reduce(DataFrame.unionByName, settled), "shard-settled")
+    discard(spark, *used)
+    return found
 
 
 def shard_documents(
-    documents: DataFrame, shards: int = 40, rounds: int = 4, link: Column | None = None, seed: str = "shard"
+    documents: DataFrame, shards: int = 40, link: Column | None = None, seed: str = "shard"
 ) -> DataFrame:
     """Shard and slot of every document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Documents with the same ``link`` (the text's digest unless given) are linked. They start in a
     shard by hash and move by balanced label propagation under a quota of an equal share of all
-    bytes. What then exceeds a shard's quota and the documents without links fill up the shards:
-    laid end to end, they are cut at the shards' remaining room, so that shards differ by about the
-    size of a document. The law is ``bytes``. Slots count from 0 in each shard without
-    gaps.
+    bytes, until nothing moves. The documents without links, and what fits whole into no shard,
+    fill up the shards: laid end to end, they are cut at the shards' remaining room, so that shards
+    differ by about the size of a document. The law is ``bytes``. Slots count from 0 in each shard
+    without gaps.
 
     Defined cases: a null text has no bytes (size 16, checksum 0) and no links; an empty text is a
     text like others; null and repeated doc_ids are ordinary rows; a link that exceeds a shard is
-    split; an empty table gives an empty table. Other columns are ignored.
+    split into as many pieces as its bytes need shards; a link within the quota is split only if
+    no shard has room for the whole of it; an empty table gives an empty table. Other columns are
+    ignored.
     """
     spark = documents.sparkSession
     link_by = F.md5(F.col("text").cast("binary")) if link is None else link.cast("string")
@@ -119,27 +158,19 @@ def shard_documents(
         "shard-tied",
     )
     start = F.conv(F.substring("key", 3, 8), 16, 10).cast("long") % shards
-    moved = propagate(
-        stored(
-            tied.filter("tied").select("doc_id", "text_crc32", "key", "size", "link", start.cast("int").alias("shard"))
-            .select("key", "size", "link", "shard"),
-            "shard-start",
-        ),
-        shards,
-        quota,
-        rounds,
-    )
-    # What exceeds a shard's quota leaves it, whole groups first to last by digest, and is laid out
-    # with the free rows, a group's rows side by side.
-    queued = running_totals(moved.withColumn("lay", F.md5(F.col("link").cast("binary"))), "shard", "lay", "size", "before")
-    queued = stored(queued.select("key", "size", "lay", "shard", "before"), "shard-queued")
-    fits = F.col("before") + F.col("size") <= quota
-    kept = queued.filter(fits)
+    linked = tied.filter("tied").drop("tied").withColumn("shard", start.cast("int"))
+    pieces = stored(units(linked, quota), "shard-pieces")
+    settled = propagate(pieces, shards, quota)
+    gathered = stored(_spread_join(pieces.drop("shard"), settled, ["link", "piece"]), "shard-gathered")
+    kept = gathered.filter("shard is not null")
+    # What found no room is laid out with the free rows, a unit's rows side by side.
     free = stored(
         tied.filter("tied is null")
-        .select("doc_id", "text_crc32", "key", "size", F.col("key").alias("lay"), F.lit(False).alias("linked"))
+        .select("doc_id", "text_crc32", "key", "size", F.col("key").alias("lay"))
         .unionByName(
-            queued.filter(~fits).select("key", "size", "lay", F.lit(True).alias("linked")), allowMissingColumns=True
+            gathered.filter("shard is null").select(
+                "doc_id", "text_crc32", "key", "size", F.md5(F.concat_ws(":", "link", "piece")).alias("lay")
+            )
         ),
         "shard-free",
     )
@@ -151,17 +182,8 @@ def shard_documents(
     large = stored(_fill(free.filter(is_large), kept, shards, quota), "shard-large")
     taken = kept.select("shard", "size").unionByName(large.select("shard", "size"))
     placed = stored(large.unionByName(_fill(free.filter(~is_large), taken, shards, quota)), "shard-filled")
-    # A key names its rows' doc_id, link and checksum, so what has one key is interchangeable.
-    names = tied.filter("tied").select("doc_id", "text_crc32", "key", "size")
-    shard_of = kept.select("key", "shard").unionByName(placed.filter("linked").select("key", "shard"))
-    numbered = lambda df: df.withColumn(
-        "_copy", F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
-    )
-    linked = numbered(names).join(numbered(shard_of), ["key", "_copy"]).drop("_copy")
-    both = stored(
-        linked.select(*columns).unionByName(placed.filter("not linked").select(*columns)), "shard-placed"
-    )
-    discard(spark, rows, tied, moved, queued, free, large, placed)
+    both = stored(kept.select(*columns).unionByName(placed.select(*columns)), "shard-placed")
+    discard(spark, rows, tied, pieces, settled, gathered, free, large, placed)
     slots = running_totals(both.withColumn("_one", F.lit(1)), "shard", "key", "_one", "slot")
     return slots.select(
         "doc_id",

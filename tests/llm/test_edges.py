@@ -139,6 +139,22 @@ def test_sharding_splits_a_huge_group(spark):
     assert max(load.values()) - min(load.values()) < 0.02 * np.mean(list(load.values()))
 
 
+def test_sharding_gathers_every_group(spark):
+    # A third of the rows in one text, the others in groups of 2 to 60 (30 % of them) or alone.
+    texts = ["hot " * 10] * 4000 + [f"group {g} " * 4 for g in range(120) for _ in range(2 + g % 59)]
+    texts += [f"own text number {i} of its kind" for i in range(12_000 - len(texts))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    load, shards_of = Counter(), defaultdict(set)
+    for r in sharding.shard_documents(df, shards=20).collect():
+        load[r.shard] += r.size
+        shards_of[texts[r.doc_id]].add(r.shard)
+    quota = sum(load.values()) / 20
+    assert max(load.values()) - min(load.values()) < 0.05 * quota
+    hot = shards_of.pop(texts[0])
+    assert len(hot) <= 4000 * (len(texts[0]) + 16) / quota + 1.5
+    assert all(len(s) == 1 for s in shards_of.values())
+
+
 def test_classifiers(spark, documents):
     labels = spark.createDataFrame(
         [(i, i % 2, i % 2) for i in (1, 2, 3, 4, 6, 7, 8, 9, 10)] + [(None, 1, 1), (11, None, None)], "doc_id long, quality int, toxic int"
