@@ -34,8 +34,8 @@ TAGS = ("spdx license identifier",)
 #: Identifiers whose terms allow reuse with notice alone; others count as restricted.
 PERMISSIVE = ("mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "zlib", "unlicense", "cc0-1.0", "0bsd")
 
-_EXPRESSION = re.compile(rb"[ \t]*:[ \t]*([A-Za-z0-9.+()\-: \t]{1,512})")
-_TAG_AT = re.compile(rb"spdx-license-identifier", re.I)
+_EXPRESSION = re.compile(rb"[A-Za-z0-9.+()\-: \t]+")
+_TAG_AT = re.compile(rb"spdx-license-identifier[ \t]*:", re.I)
 _PIECE = re.compile(r"[()]|[A-Za-z0-9.+:\-]+")
 #: Binding strength of the operators.
 _BINDS = {"or": 1, "and": 2, "with": 3}
@@ -81,12 +81,27 @@ def to_postfix(expression: str) -> list[str] | None:
 
 
 def leading_expression(text: str) -> tuple[str, list[str]] | None:
-    """The longest start of a line, in pieces, that is a well-formed expression, and its postfix form."""
+    """The longest start of a line, in pieces, that is a well-formed expression, and its postfix form.
+
+    One pass finds the last place at which what is read is well formed; no later one can be after the
+    first piece that cannot stand where it does.
+    """
     pieces = _PIECE.findall(text)
-    for end in range(min(len(pieces), 64), 0, -1):
-        if (postfix := to_postfix(" ".join(pieces[:end]))) is not None:
-            return " ".join(pieces[:end]), postfix
-    return None
+    end = depth = 0
+    want_name = True
+    for at, piece in enumerate(pieces, 1):
+        # A name and an opening bracket stand where a name is wanted, all else where none is.
+        starts = piece == "(" or piece != ")" and piece.lower() not in _BINDS
+        if starts != want_name or piece == ")" and not depth:
+            break
+        depth += (piece == "(") - (piece == ")")
+        want_name = piece == "(" or piece.lower() in _BINDS
+        if not want_name and not depth:
+            end = at
+    if not end:
+        return None
+    expression = " ".join(pieces[:end])
+    return expression, to_postfix(expression)
 
 
 def is_permissive(postfix: list[str], allowed: frozenset[str] = frozenset(PERMISSIVE)) -> bool:
@@ -131,9 +146,11 @@ def scan_text(data: bytes, machine: ahocorasick.Automaton) -> tuple[int, list[tu
             found.append((phrase, place - n))
     expressions = []
     if tagged:
-        for tag in _TAG_AT.finditer(data):
-            if (after := _EXPRESSION.match(data, tag.end())) and (
-                read := leading_expression(after[1].decode("ascii"))
+        tags = [(tag.start(), tag.end()) for tag in _TAG_AT.finditer(data)]
+        # An expression ends at the next tag, so every byte is read once.
+        for (_, start), (end, _) in zip(tags, [*tags[1:], (len(data), None)], strict=True):
+            if (after := _EXPRESSION.match(data, start, end)) and (
+                read := leading_expression(after[0].decode("ascii"))
             ):
                 expressions.append(read[0])
     return len(words), found, expressions
@@ -156,9 +173,10 @@ def scan_licenses(
     expression, else whether all can be met by permissive licences. The score is 0 without any
     notice, 0.5 with a phrase, 1 with a well-formed expression.
 
-    Defined cases: a null text is an empty one; malformed expressions add no label; a null or
-    repeated doc_id is an ordinary row; whole texts are read; other columns are ignored; an empty
-    table gives an empty table.
+    Defined cases: a null text is an empty one; malformed expressions add no label; an expression of
+    any length is read to the end of its line or the next tag; a null or repeated doc_id is an
+    ordinary row; whole texts are read; other columns are ignored; an empty table gives an empty
+    table.
     """
     phrases = {**base, **more}
     columns = [field.split()[0] for field in SCHEMA.replace("array<string>", "list").split(", ")]

@@ -240,6 +240,34 @@ def test_licenses(spark, documents):
     assert found.count() == len(TEXTS) and licenses.scan_licenses(documents.limit(0)).count() == 0
 
 
+def test_long_license_expressions(spark):
+    names = [f"LicenseRef-{i}" for i in range(200)]
+    nested = "(" * 300 + "MIT" + ")" * 300
+    texts = [
+        "SPDX-License-Identifier: " + " OR ".join(names),
+        "SPDX-License-Identifier: " + "MIT AND " * 199 + "GPL-3.0 is the licence",
+        f"SPDX-License-Identifier: {nested} AND (",
+        "SPDX-License-Identifier: MIT OR SPDX-License-Identifier: ISC",
+        "SPDX-License-Identifier:a or " * 20_000,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [r for r in licenses.scan_licenses(df).orderBy("doc_id").collect()]
+    assert rows[0].labels == ",".join(sorted(x.lower() for x in names))
+    assert (rows[1].labels, rows[1].permissive) == ("gpl-3.0,mit", False)
+    assert (rows[2].labels, rows[2].permissive) == ("mit", True)
+    assert (rows[3].labels, rows[3].expressions) == ("isc,mit", ["MIT", "ISC"])
+    assert rows[4].expressions == ["a"] * 20_000
+
+
+def test_leading_expression_is_the_longest_well_formed_start():
+    rng = np.random.default_rng(7)
+    for _ in range(3000):
+        pieces = list(rng.choice(["MIT", "ISC", "AND", "or", "WITH", "(", ")"], rng.integers(0, 9)))
+        ends = [n for n in range(len(pieces), 0, -1) if licenses.to_postfix(" ".join(pieces[:n])) is not None]
+        found = licenses.leading_expression(" ".join(pieces))
+        assert (found and found[0]) == (" ".join(pieces[: ends[0]]) if ends else None)
+
+
 def test_nearest(spark):
     same = [1.0, 2.0, 3.0]
     rows = [(i, same) for i in range(40)] + [(40, None), (41, [0.0, 0.0, 0.0]), (42, [float("nan"), 1.0, 1.0]), (43, [None, 1.0, 1.0]),
