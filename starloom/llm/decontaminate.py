@@ -46,7 +46,7 @@ def _tokens(documents: DataFrame, *positions: str) -> DataFrame:
 
 
 def rarest_terms(documents: DataFrame, windows: DataFrame, probes: int) -> DataFrame:
-    """The ``probes`` rarest terms of each window: window, term, shift, probe (from 0), n_probes.
+    """The ``probes`` rarest terms of each window: window, length, term, shift, probe (from 0), n_probes.
 
     Rarity is the term's count over all documents; ``shift`` its place in the window.
     """
@@ -59,7 +59,7 @@ def rarest_terms(documents: DataFrame, windows: DataFrame, probes: int) -> DataF
         F.row_number().over(Window.partitionBy("window").orderBy(F.coalesce("n", F.lit(0)), "term", "shift")) - 1,
     )
     return ranked.filter(F.col("probe") < probes).select(
-        "window", "term", "shift", "probe", F.least("length", F.lit(probes)).alias("n_probes")
+        "window", "length", "term", "shift", "probe", F.least("length", F.lit(probes)).alias("n_probes")
     )
 
 
@@ -109,6 +109,94 @@ def proximity_matches(index: DataFrame, probes: DataFrame, slack: int) -> DataFr
     ).distinct()
 
 
+def slack_of(length: Column, slack: int) -> Column:
+    """What a near match of a window allows: a word in five, ``slack`` at most."""
+    return F.least(F.lit(slack), F.floor(length / 5)).cast("int")
+
+
+def near_candidates(documents: DataFrame, rarest: DataFrame, width: int, slack: int) -> DataFrame:
+    """Where a near match may be: doc_id, text_hash, window, and the range lo to hi of its start.
+
+    A match lacks ``k = slack_of(length)`` words at most, so of the k + 2 rarest two are there (a
+    window of one word has that one twice), each within k words of its place. Every two of them are
+    a key; a document's words meet the keys with the words around them, so that nothing but pairs of
+    a window leaves the task. Words are named by 64-bit hashes here, which can only add candidates.
+    """
+    k = slack_of(F.col("length"), slack)
+    probes = rarest.filter(F.col("probe") < k + 2).select("window", "length", F.xxhash64("term").alias("term"), "shift", k.alias("k"))
+    other = probes.select("window", F.col("term").alias("term2"), F.col("shift").alias("shift2"))
+    pairs = stored(
+        probes.join(other, "window")
+        .filter("shift < shift2 or length = 1")
+        .select(F.xxhash64("term", "term2").alias("pair"), "term", "window", "shift", "shift2", "k"),
+        "test-pairs",
+    )
+    hashes = F.transform(text_words(F.col("text")), lambda w: F.xxhash64(w))
+    tokens = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), hashes.alias("w")).select(
+        "*", F.posexplode("w").alias("pos", "term")
+    )
+    opened = tokens.join(small(pairs.select("term").distinct(), SMALL_ROWS), "term", "left_semi")
+    first = F.greatest(F.col("pos") + 1 - 2 * slack, F.lit(0))
+    around = opened.select(
+        "doc_id", "text_hash", "pos", "term", first.alias("first"),
+        F.posexplode(F.slice("w", first + 1, F.col("pos") + width + 2 * slack - first)).alias("at", "term2"),
+    )
+    met = around.withColumn("pair", F.xxhash64("term", "term2")).join(small(pairs.drop("term"), SMALL_ROWS), "pair")
+    here, there = F.col("pos") - F.col("shift"), F.col("first") + F.col("at") - F.col("shift2")
+    return (
+        met.filter(F.abs(here - there) <= 2 * F.col("k"))
+        .select(
+            "doc_id",
+            "text_hash",
+            "window",
+            (F.greatest(here, there) - F.col("k")).alias("lo"),
+            (F.least(here, there) + F.col("k")).alias("hi"),
+        )
+        .distinct()
+    )
+
+
+def near_windows(documents: DataFrame, candidates: DataFrame, windows: DataFrame, slack: int) -> DataFrame:
+    """The distinct doc_id, text_hash, window of near matches, verified on all words of the window.
+
+    With ``k = slack_of(length)``, a window is near a start if all its words but k stand within k
+    words of their places: a passage with k words put in, dropped or changed in any ten still is.
+    """
+    list_, key, text = "candidates", "found_id", "found_hash"
+    per_document = candidates.join(small(windows, SMALL_ROWS), "window").groupBy(
+        F.col("doc_id").alias(key), F.col("text_hash").alias(text)
+    ).agg(F.collect_list(F.struct("window", "lo", "hi", "words", "length", slack_of(F.col("length"), slack).alias("k"))).alias(list_))
+    if candidates.limit(SMALL_CANDIDATES + 1).count() <= SMALL_CANDIDATES:
+        per_document = F.broadcast(per_document)
+    found = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
+        per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("text_hash") == F.col(text))
+    )
+
+    def is_near(w: Column, c: Column) -> Column:
+        k, step = c["k"], 2 * c["k"] + 1
+
+        def stands(start: Column, shift: Column) -> Column:
+            first = start + shift - k
+            near = F.slice(w, F.greatest(first, F.lit(0)) + 1, F.greatest(F.least(first, F.lit(0)) + step, F.lit(0)))
+            return F.array_contains(near, F.element_at(c["words"], shift + 1))
+
+        starts = F.sequence(c["lo"], c["hi"])
+        shifts = F.sequence(F.lit(0), c["length"] - 1)
+        return F.exists(starts, lambda start: F.size(F.filter(shifts, lambda j: stands(start, j))) >= c["length"] - k)
+
+    # The words as a variable of the lambda are split once, not for each candidate.
+    near = F.transform(F.array(text_words(F.col("text"))), lambda w: F.filter(list_, lambda c: is_near(w, c)))[0]
+    return found.select("doc_id", "text_hash", F.explode(near["window"]).alias("window")).distinct()
+
+
+def holding_items(pairs: DataFrame, holders: DataFrame, out: str) -> DataFrame:
+    """The items that hold the windows of each document, as sorted strings: doc_id, text_hash, ``out``, n_windows."""
+    item = F.col("item_id").cast("string")
+    return pairs.join(small(holders, SMALL_ROWS), "window").groupBy("doc_id", "text_hash").agg(
+        F.array_sort(F.collect_set(item)).alias(out), F.count_distinct("window").alias("n_windows")
+    )
+
+
 def covered_words(spans: Column) -> Column:
     """How many words the spans (start, length) cover, each word once; ``spans`` is sorted."""
 
@@ -125,7 +213,9 @@ def covered_words(spans: Column) -> Column:
     return state["n"]
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, probes: int = 2) -> DataFrame:
+def contamination(
+    documents: DataFrame, benchmark: DataFrame, width: int = 10, probes: int = 2, slack: int = 0
+) -> DataFrame:
     """Every row of ``documents`` with the benchmark windows found in it.
 
     Adds n_words, n_hit (words inside an occurrence of a window), item_ids (items with occurring
@@ -133,6 +223,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, p
     postings of the windows' rarest terms, the only ones a search opens; their offset-adjusted
     lists are intersected, and what is left is compared with the document word by word.
 
+    With ``slack``, adds also n_near (distinct windows found exactly or nearly, see ``near_windows``)
+    and near_ids (items that hold them, as sorted strings); the other columns stay as they are.
+
     Defined cases: a null or empty text has no words; a null item text no windows; a null or
     repeated doc_id, equal rows and extra columns stay as they are, but for own columns of the added
     names, which are replaced; items repeated under one id
@@ -140,14 +233,16 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, p
     """
     windows, holders = benchmark_windows(benchmark, width)
     windows, holders = stored(windows, "test-windows"), stored(holders, "test-items")
-    rarest = stored(rarest_terms(documents, windows, probes), "test-probes")
-    index = stored(postings(documents, rarest.select("term")), "test-postings")
+    rarest = stored(rarest_terms(documents, windows, max(probes, slack + 2) if slack else probes), "test-probes")
+    first = rarest.filter(F.col("probe") < probes).withColumn("n_probes", F.least("n_probes", F.lit(probes)))
+    index = stored(postings(documents, first.select("term")), "test-postings")
     items = holders.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     named = windows.join(items, "window")
-    starts = stored(phrase_candidates(index, rarest), "test-candidates")
+    starts = stored(phrase_candidates(index, first), "test-candidates")
     discard(documents.sparkSession, index)
     candidates = starts.join(small(named, SMALL_ROWS), "window")
-    kept = [c for c in documents.columns if c not in ("n_words", "n_hit", "item_ids", "spans")]
+    added = ["n_words", "n_hit", "item_ids", "spans"] + ["n_near", "near_ids"] * bool(slack)
+    kept = [c for c in documents.columns if c not in added]
     own, key, text, list_, exact_ = free_names(documents, "own_hash", "found_id", "found_hash", "candidates", "exact")
     per_document = candidates.groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(text)).agg(
         F.collect_list(F.struct("start", "length", "words", "items")).alias(list_)
@@ -162,10 +257,27 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, p
     )
     checked = found.withColumn(exact_, F.when(F.col(list_).isNull(), F.array()).otherwise(exact))
     spans = F.array_sort(F.transform(exact_, lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"))))
-    return checked.select(
+    exactly = checked.select(
         *kept,
+        own,
         n_words(F.col("text"), NOT_ALNUM).alias("n_words"),
         covered_words(spans).alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.transform(exact_, lambda c: c["items"])))).alias("item_ids"),
         F.array_distinct(spans).alias("spans"),
     )
+    if not slack:
+        return exactly.drop(own)
+    close = stored(near_candidates(documents, rarest, width, slack), "test-near")
+    pairs = stored(near_windows(documents, close, windows, slack), "test-near-windows")
+    discard(documents.sparkSession, close)
+    # Stored, so that Spark knows the bytes and broadcasts by these.
+    near = stored(holding_items(pairs, holders, "near_ids"), "test-near-items").select(
+        F.col("doc_id").alias(key), F.col("text_hash").alias(text), "n_windows", "near_ids"
+    )
+    joined = exactly.join(near, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(text)), "left")
+    return joined.select(
+        *kept,
+        *added[:4],
+        F.coalesce("n_windows", F.lit(0)).cast("long").alias("n_near"),
+        F.coalesce("near_ids", F.array().cast("array<string>")).alias("near_ids"),
+    )

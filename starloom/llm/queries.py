@@ -48,6 +48,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op1_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10, slack=2)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
+        "near_ids",
+    )
+
+
 @query
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")

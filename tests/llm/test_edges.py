@@ -62,6 +62,55 @@ def test_proximity(spark):
     assert near == {1, 2, 4} and {r.doc_id for r in decontaminate.phrase_candidates(index, probes).collect()} == {2}
 
 
+def near_windows_of(text, benchmark, width, slack):
+    """The windows near any start of the text, by brute force, and the items that hold them."""
+    w, windows, items = brute.alnum_words(text), set(), set()
+    for item, passage in benchmark:
+        p = brute.alnum_words(passage)
+        for i in range(max(1, len(p) - width + 1) if p else 0):
+            window = tuple(p[i : i + width])
+            k = min(slack, len(window) // 5)
+            for s in range(-2 * width, len(w) + 2 * width):
+                there = sum(x in w[max(0, s + j - k) : max(0, s + j + k + 1)] for j, x in enumerate(window))
+                if there >= len(window) - k:
+                    windows.add(window)
+                    items.add(str(item))
+                    break
+    return len(windows), sorted(items)
+
+
+def test_near_passages(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"v{i}" for i in range(60)]
+    benchmark = [(i, " ".join(rng.choice(vocabulary, n))) for i, n in enumerate([30, 25, 12, 10, 7, 5, 3, 1])]
+    rows = [(900, ""), (901, None), (902, "v1 v2")]
+    for i in range(150):
+        text = list(rng.choice(vocabulary, rng.integers(0, 40)))
+        passage = benchmark[i % 6][1].split()
+        for at in range(len(passage) - 1, int(rng.integers(2, 7)), -int(rng.integers(3, 9))):
+            passage[at : at + 1] = [["x", passage[at]], [], ["changed"]][i % 3]
+        at = int(rng.integers(len(text) + 1))
+        rows.append((i, " ".join(text[:at] + passage + text[at:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame(benchmark, "item_id long, text string")
+    found = decontaminate.contamination(docs, items, slack=2)
+    got = {r.doc_id: r for r in found.collect()}
+    plain = {r.doc_id: r for r in decontaminate.contamination(docs, items).collect()}
+    wanted = {d: near_windows_of(t, benchmark, 10, 2) for d, t in rows}
+    assert {d: (r.n_near, r.near_ids) for d, r in got.items()} == wanted
+    assert sum(not r.item_ids and r.near_ids != [] for r in got.values()) > 0 and len(got) == len(rows)
+    assert all((r.n_hit, r.item_ids) == (plain[d].n_hit, plain[d].item_ids) for d, r in got.items())
+
+
+def test_near_passages_are_in_a_query(spark):
+    from starloom.llm.queries import REGISTRY
+
+    found = REGISTRY["op1_proximity"](spark, "/root/testdata/sf0.01")
+    same = REGISTRY["op1_decontamination"](spark, "/root/testdata/sf0.01")
+    assert Counter(found.drop("n_near", "near_ids").collect()) == Counter(same.collect())
+    assert found.filter("contaminated and n_near = 0").count() == 0 and found.filter("n_near > 0").count() > 0
+
+
 def test_jaccard(spark, documents):
     found = jaccard.jaccard_components(documents)
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in found.collect())
