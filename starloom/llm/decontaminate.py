@@ -189,6 +189,32 @@ def near_windows(documents: DataFrame, candidates: DataFrame, windows: DataFrame
     return found.select("doc_id", "text_hash", F.explode(near["window"]).alias("window")).distinct()
 
 
+def exact_hits(documents: DataFrame, starts: DataFrame, windows: DataFrame) -> DataFrame:
+    """Candidates that hold word by word: doc_id, text_hash, found (window, start, length), a row per document.
+
+    A candidate carries its window's words, but not the items that hold it, however many.
+    """
+    list_, key, text = "candidates", "found_id", "found_hash"
+    per_document = starts.join(small(windows, SMALL_ROWS), "window").groupBy(
+        F.col("doc_id").alias(key), F.col("text_hash").alias(text)
+    ).agg(F.collect_list(F.struct("window", "start", "length", "words")).alias(list_))
+    if starts.limit(SMALL_CANDIDATES + 1).count() <= SMALL_CANDIDATES:
+        per_document = F.broadcast(per_document)
+    found = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
+        per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("text_hash") == F.col(text))
+    )
+    # The words as a variable of the lambda are split once, not for each candidate.
+    exact = F.transform(
+        F.array(text_words(F.col("text"))),
+        lambda w: F.filter(list_, lambda c: F.slice(w, c["start"] + 1, c["length"]) == c["words"]),
+    )[0]
+    kept = F.transform(exact, lambda c: c.dropFields("words"))
+    # Equal rows of one id and text have one entry.
+    return found.select("doc_id", "text_hash", kept.alias("found")).filter(F.size("found") > 0).dropDuplicates(
+        ["doc_id", "text_hash"]
+    )
+
+
 def holding_items(pairs: DataFrame, holders: DataFrame, out: str) -> DataFrame:
     """The items that hold the windows of each document, as sorted strings: doc_id, text_hash, ``out``, n_windows."""
     item = F.col("item_id").cast("string")
@@ -236,34 +262,33 @@ def contamination(
     rarest = stored(rarest_terms(documents, windows, max(probes, slack + 2) if slack else probes), "test-probes")
     first = rarest.filter(F.col("probe") < probes).withColumn("n_probes", F.least("n_probes", F.lit(probes)))
     index = stored(postings(documents, first.select("term")), "test-postings")
-    items = holders.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-    named = windows.join(items, "window")
     starts = stored(phrase_candidates(index, first), "test-candidates")
     discard(documents.sparkSession, index)
-    candidates = starts.join(small(named, SMALL_ROWS), "window")
     added = ["n_words", "n_hit", "item_ids", "spans"] + ["n_near", "near_ids"] * bool(slack)
     kept = [c for c in documents.columns if c not in added]
-    own, key, text, list_, exact_ = free_names(documents, "own_hash", "found_id", "found_hash", "candidates", "exact")
-    per_document = candidates.groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(text)).agg(
-        F.collect_list(F.struct("start", "length", "words", "items")).alias(list_)
-    )
-    if candidates.limit(SMALL_CANDIDATES + 1).count() <= SMALL_CANDIDATES:
-        per_document = F.broadcast(per_document)
-    found = documents.select(*kept).withColumn(own, F.xxhash64("text")).join(
-        per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(text)), "left"
-    )
-    exact = F.filter(
-        list_, lambda c: F.slice(text_words(F.col("text")), c["start"] + 1, c["length"]) == c["words"]
+    own, key, text = free_names(documents, "own_hash", "found_id", "found_hash")
+    hits = stored(exact_hits(documents, starts, windows), "test-hits")
+    pairs = hits.select("doc_id", "text_hash", F.explode("found.window").alias("window")).distinct()
+    spans = F.array_sort(F.transform("found", lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"))))
+    covered = hits.select("doc_id", "text_hash", covered_words(spans).alias("n_hit"), F.array_distinct(spans).alias("spans"))
+    # Stored, so that Spark knows the bytes and broadcasts by these.
+    found = stored(
+        covered.withColumnRenamed("doc_id", "hit_id").join(
+            holding_items(pairs, holders, "item_ids").drop("n_windows").withColumnRenamed("text_hash", "items_hash"),
+            F.col("hit_id").eqNullSafe(F.col("doc_id")) & (F.col("text_hash") == F.col("items_hash")),
+            "left",
+        ).select(F.col("hit_id").alias(key), F.col("text_hash").alias(text), "n_hit", "item_ids", "spans"),
+        "test-found",
     )
-    checked = found.withColumn(exact_, F.when(F.col(list_).isNull(), F.array()).otherwise(exact))
-    spans = F.array_sort(F.transform(exact_, lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"))))
-    exactly = checked.select(
+    # The words are counted before the join, which then needs no text unless the caller does.
+    sized = documents.select(*kept, F.xxhash64("text").alias(own), n_words(F.col("text"), NOT_ALNUM).alias("n_words"))
+    exactly = sized.join(found, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(text)), "left").select(
         *kept,
         own,
-        n_words(F.col("text"), NOT_ALNUM).alias("n_words"),
-        covered_words(spans).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform(exact_, lambda c: c["items"])))).alias("item_ids"),
-        F.array_distinct(spans).alias("spans"),
+        "n_words",
+        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)).alias("spans"),
     )
     if not slack:
         return exactly.drop(own)

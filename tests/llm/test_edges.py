@@ -102,6 +102,23 @@ def test_near_passages(spark):
     assert all((r.n_hit, r.item_ids) == (plain[d].n_hit, plain[d].item_ids) for d, r in got.items())
 
 
+def test_candidates_carry_no_items(spark, monkeypatch):
+    tables = {}
+
+    def keep(df, label):
+        tables[label] = stored(df, label)
+        return tables[label]
+
+    stored = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", keep)
+    shared = "one two three four five six seven eight nine ten"
+    items = spark.range(300).select(F.col("id").alias("item_id"), F.lit(shared).alias("text"))
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit(shared + " "), F.col("id")).alias("text"))
+    found = decontaminate.contamination(docs, items).collect()
+    assert all(r.n_hit == 10 and len(r.item_ids) == 300 for r in found) and len(found) == 50
+    assert "item" not in tables["test-hits"].schema.simpleString() and tables["test-hits"].count() == 50
+
+
 def test_near_passages_are_in_a_query(spark):
     from starloom.llm.queries import REGISTRY
 
