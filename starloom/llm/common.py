@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,24 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def bounded_slices(
+    batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 23
+) -> Iterator[pa.RecordBatch]:
+    """In a task: the batches in slices of some ``most_bytes`` of a binary column; a longer value is alone.
+
+    Every slice is a copy with arrays that begin at their first row, as some kernels need.
+    """
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+            yield batch.take(pa.array(np.arange(start, stop)))
+            start = stop
+
+
 def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """In a task: the words of all texts, A-Z in lower case, one after the other, and each text's number of them.
 

@@ -1,7 +1,8 @@
 """DuckDB SQL that gives the same rows as the queries that SQL can express.
 
 There is none for op2 (approximate search), op4 (back-off weights), op6 and op7 (fitted models),
-op9 (tagged expressions) and op10 (label propagation); tests hold these against plain versions.
+op9 (tagged expressions), op10 (label propagation), op11 (places of matches) and op13 (runs of any
+period); tests hold these against plain versions.
 """
 
 from __future__ import annotations
@@ -62,4 +63,21 @@ edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(node, top) AS (SELECT doc_id, doc_id FROM docs UNION SELECT edges.b, top FROM reach JOIN edges ON edges.a = node)
 SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(top) FROM reach WHERE node = docs.doc_id) AS component_id
 FROM docs LEFT JOIN sizes ON sizes.doc_id = docs.doc_id""",
+    "op12_infill": """WITH cut AS (SELECT doc_id, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+  sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT doc_id, text, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS one,
+  CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS other, CAST('0x' || h[17:24] AS BIGINT) % 100 AS rate,
+  CAST('0x' || h[25:32] AS BIGINT) % 100 AS turn FROM cut),
+parts AS (SELECT doc_id, text, n, array_to_string(u[1:least(one, other)], '') AS prefix,
+  array_to_string(u[least(one, other) + 1:greatest(one, other)], '') AS middle,
+  array_to_string(u[greatest(one, other) + 1:n], '') AS suffix,
+  CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR rate >= 50 THEN 'plain'
+    WHEN turn < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN concat('<S>', suffix, '<P>', prefix, '<M>', middle)
+    ELSE concat('<P>', prefix, '<S>', suffix, '<M>', middle) END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM parts""",
 }

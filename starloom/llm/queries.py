@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from starloom.session import prepared
 
+from .credentials import scan_credentials
 from .decontaminate import contamination
 from .hnsw import nearest_neighbours
+from .infill import fill_in_middle, restore_texts
 from .jaccard import jaccard_components
 from .katz import score_texts
 from .licenses import scan_licenses
 from .mixing import mix_documents
+from .periodic import longest, periodic_runs, with_periodic_tails
 from .quality import classify_quality, held_out
 from .sharding import shard_documents
 from .toxicity import classify_toxicity
@@ -123,3 +126,47 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
+
+
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_credentials(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
+@query
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = restore_texts(fill_in_middle(table(spark, sf_dir, "documents"), seed=42, rate=50, suffix_first=80))
+    return changed.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    best = longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
