@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions import col
+from starloom.sources.arrays import array_records, parse_records
 
 # One set of options for writing and reading CSV. The null marker keeps null, the empty string
 # and the text NA apart; the timestamp patterns keep microseconds.
@@ -38,19 +39,26 @@ def read_json(
     schema and keeps such records instead, their text in the column ``_corrupt_record``, for
     ``corrupt_records`` to count.
 
-    Of a file that holds several objects the multi-line reader sees the first alone, so files that
-    don't start with ``[`` are refused; that look at the files' first lines is an action. A
-    multi-line file can't be split: it is one task however large it is, so big inputs should come
-    as many files or as JSON lines. Give a schema at scale; without one Spark reads the data twice.
+    Arrays are read by all tasks: a file is split by bytes, however it is laid out, and files larger
+    than ``spark.sql.files.openCostInBytes`` are read twice, first to learn what each split begins
+    with. A file that holds anything but one array raises when it is read; of a cut off one the last
+    record is malformed. Without a schema Spark infers it with its own reader, one task per file.
     """
-    reader = spark.read.option("multiLine", multiline).option("mode", "FAILFAST")
     if permissive:
         if schema is None:
             raise ValueError("permissive reading needs a schema")
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         schema = _with_corrupt(schema)
     if multiline:
-        _refuse_other_than_arrays(spark, path)
+        if schema is None:
+            schema = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path).schema
+        records = array_records(spark, path)
+        parts = [c for c in records.columns if c not in ("text", "is_object")]
+        fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+        fields = [f for f in fields if f.name not in parts]
+        return parse_records(records, T.StructType(fields), CORRUPT if permissive else None)
+    reader = spark.read.option("mode", "FAILFAST")
+    if permissive:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -62,23 +70,6 @@ def _with_corrupt(schema: T.StructType | str, name: str = CORRUPT) -> T.StructTy
     return T.StructType([*schema.fields, T.StructField(name, T.StringType())])
 
 
-def _refuse_other_than_arrays(spark: SparkSession, path: str | list[str]) -> None:
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.ltrim(F.ltrim("value"), F.lit("\ufeff")).alias("line"),
-        # Grows along a file's first block, which is read by one task.
-        F.monotonically_increasing_id().alias("place"),
-    )
-    heads = lines.filter("start = 0 AND trim(line) <> ''").groupBy("file").agg(
-        F.min_by(F.substring("line", 1, 1), "place").alias("head")
-    )
-    others = heads.filter("head <> '['").limit(3).collect()
-    if others:
-        names = ", ".join(row["file"] for row in others)
-        raise ValueError(f"not one JSON array per file (read JSON lines without multiline): {names}")
-
-
 def corrupt_records(df: DataFrame) -> DataFrame:
     """One row (n_rows, n_corrupt) of a table read permissively."""
     # All columns are read along: Spark tells misfits only in those that it parses.

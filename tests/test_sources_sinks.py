@@ -48,8 +48,8 @@ def test_no_mode_loses_records(spark, tmp_path):
     assert len(one_line.collect()) == 2
     with pytest.raises(Exception, match="(?i)malformed"):
         read_json(spark, data.write_json(tmp_path, "indented"), schemas.AIRLINES).collect()
-    with pytest.raises(ValueError, match="not one JSON array"):
-        read_json(spark, data.write_json(tmp_path, "lines"), schemas.AIRLINES, multiline=True)
+    with pytest.raises(Exception, match="not one JSON array"):
+        read_json(spark, data.write_json(tmp_path, "lines"), schemas.AIRLINES, multiline=True).collect()
 
 
 def test_bad_json_raises_or_is_counted(spark, tmp_path):
