@@ -19,11 +19,16 @@ AIRLINES = "code string, name string, name_translations struct<en: string>"
 
 @dataclass(frozen=True)
 class Profile:
-    """Ordered output columns with declared types, and how the table is laid out."""
+    """Ordered output columns with declared types, and how the table is laid out.
+
+    With ``distribute_by`` the table keeps its rows in ``buckets`` by that column's hash.
+    """
 
     columns: tuple[tuple[str, str], ...]
     sort_by: str
     partition_by: str | None = None
+    distribute_by: str | None = None
+    buckets: int = 0
 
     @property
     def names(self) -> list[str]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -31,15 +32,69 @@ def write_csv(df: DataFrame, directory: str, process_date: str, name: str = "bat
 def ensure_table(
     spark: SparkSession, table: str, profile: Profile, location: str | None = None
 ) -> None:
-    """Create the Parquet table if it is missing, partitioned by the profile's batch column."""
+    """Create the Parquet table if it is missing, partitioned by the profile's batch column.
+
+    The catalog remembers the sort key and, if the profile has one, the distribution key: rows are
+    then kept in buckets, and joins and groupings by that key need no shuffle. ``arranged`` and the
+    loads follow what the catalog says, so later batches need no profile. A table that exists with
+    another layout raises: its files would not fit.
+    """
+    if profile.distribute_by and profile.buckets < 1:
+        raise ValueError("a distribution key needs a number of buckets")
+    if spark.catalog.tableExists(table):
+        found = table_layout(spark, table)
+        if (found.distribute_by, found.buckets) != (profile.distribute_by, profile.buckets):
+            raise ValueError(f"{table} is distributed by {found.distribute_by} in {found.buckets} buckets")
+        return
     columns = ", ".join(f"`{name}` {ddl}" for name, ddl in profile.columns)
     statement = f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
     if profile.partition_by:
         statement += f" PARTITIONED BY (`{profile.partition_by}`)"
+    if profile.distribute_by:
+        statement += (
+            f" CLUSTERED BY (`{profile.distribute_by}`) SORTED BY (`{profile.sort_by}`) INTO {profile.buckets} BUCKETS"
+        )
     if location:
         quoted = location.replace("\\", "\\\\").replace("'", "\\'")
         statement += f" LOCATION '{quoted}'"
-    spark.sql(statement)
+    spark.sql(f"{statement} TBLPROPERTIES ('{SORT_KEY}' = '{profile.sort_by}')")
+
+
+@dataclass(frozen=True)
+class TableLayout:
+    """What the catalog remembers of a table's layout."""
+
+    sort_by: str | None
+    distribute_by: str | None = None
+    buckets: int = 0
+
+
+def table_layout(spark: SparkSession, table: str) -> TableLayout:
+    """The layout that ``ensure_table`` gave the table."""
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    buckets = int(about.get("Num Buckets") or 0)
+    key = about["Bucket Columns"].strip("[]`") if buckets else None
+    return TableLayout(properties.get(SORT_KEY), key, buckets)
+
+
+def arranged(df: DataFrame, table: str) -> DataFrame:
+    """The rows as the table's layout wants them written: dealt by its distribution key, sorted by its sort key.
+
+    A key that holds a large part of the rows still goes to several tasks, each of which writes a
+    file of its own for the bucket.
+    """
+    found = table_layout(df.sparkSession, table)
+    if found.distribute_by is None:
+        return layout(df, found.sort_by) if found.sort_by in df.columns else df
+    dealt = df.hint("rebalance", found.buckets, col(found.distribute_by))
+    # The writer wants the rows of a task by bucket, then by sort key.
+    bucket = F.pmod(F.hash(col(found.distribute_by)), F.lit(found.buckets))
+    return dealt.sortWithinPartitions(bucket, *([col(found.sort_by)] if found.sort_by else []))
+
+
+#: The table property that names the sort key.
+SORT_KEY = "starloom.sort_by"
 
 
 def layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -85,6 +140,8 @@ def replace_partition(
             raise ValueError(f"the batch of {process_date} holds rows of other dates")
     names = [c for c in columns if c != partition_by]
     batch = df.select(*[col(c) for c in names])
+    if table_layout(spark, table).buckets:
+        batch = arranged(batch, table)
     where = f"`{partition_by}` = '{process_date}'"
     if df.isEmpty():
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({where}) SELECT * FROM {{batch}}", batch=batch)
@@ -106,7 +163,9 @@ def replace_table(df: DataFrame, table: str, profile: Profile, location: str | N
     """Make the batch the whole content of a table without partitions.
 
     The rows go to a new table, which takes the old one's name when it is complete; a job that
-    fails leaves the old table. Columns that the profile lacks raise first.
+    fails leaves the old table. Columns that the profile lacks raise first. Between two renamings no
+    table has the name; if the second fails the old one gets it back, and a driver lost just then
+    leaves the old rows whole as ``<table>_old_...``.
     """
     _same_columns(df, [name for name, _ in profile.columns])
     spark = df.sparkSession
@@ -114,12 +173,25 @@ def replace_table(df: DataFrame, table: str, profile: Profile, location: str | N
     ensure_table(spark, fresh, profile, location and f"{location.rstrip('/')}/{uuid.uuid4().hex}")
     try:
         names = [col(name) for name, _ in profile.columns]
-        spark.sql(f"INSERT INTO {fresh} SELECT * FROM {{batch}}", batch=df.select(*names))
+        spark.sql(f"INSERT INTO {fresh} SELECT * FROM {{batch}}", batch=arranged(df.select(*names), fresh))
+    except Exception:
+        spark.sql(f"DROP TABLE {fresh}")
+        raise
+    # Names alone change from here on; the old rows stay until the new ones have the name.
+    old = f"{table}_old_{uuid.uuid4().hex}"
+    bare = table.rpartition(".")[2]
+    existed = spark.catalog.tableExists(table)
+    if existed:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old.rpartition('.')[2]}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {bare}")
     except Exception:
+        if existed:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {bare}")
         spark.sql(f"DROP TABLE {fresh}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table.rpartition('.')[2]}")
+    if existed:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def jdbc_write_options(

@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -55,7 +54,6 @@ def marks(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 SUMS = "file long, start long, odd boolean, " + ", ".join(
     f"{name}{state} long" for state in (0, 1) for name in ("change", "comma", "least", "most")
 )
-_NEUTRAL = (0, NEVER, 0, 0)
 
 
 def _summed(data: bytes) -> tuple[bool, list[tuple[int, int, int, int]]]:
@@ -120,17 +118,30 @@ def split_sums(pieces: DataFrame) -> DataFrame:
 BEGINNINGS = "file long, start long, inside boolean, depth long, opened long"
 
 
-def _beginnings(sums: pd.DataFrame) -> pd.DataFrame:
+def beginnings(sums: DataFrame) -> DataFrame:
     """What each split of a file begins with; ``opened`` is the split in which the record at hand began."""
-    inside, depth, opened, rows = False, 0, 0, []
-    for row in sums.sort_values("start").itertuples():
-        rows.append((row.file, row.start, inside, depth, opened))
-        state = int(inside)
-        change, comma, least, most = (getattr(row, f"{n}{state}") for n in ("change", "comma", "least", "most"))
-        if depth + comma <= 1 or depth + least <= 0 and depth > 0 or depth == 0 and most > 0:
-            opened = row.start
-        inside, depth = inside ^ row.odd, depth + change
-    return pd.DataFrame(rows, columns=[f.split()[0] for f in BEGINNINGS.split(", ")])
+    names = [f.split()[0] for f in SUMS.split(", ")]
+    # A file's splits, as many as the driver lists of it, meet in one row.
+    files = sums.groupBy("file").agg(F.sort_array(F.collect_list(F.struct(*names[1:]))).alias("splits"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for file, splits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                inside, depth, opened = False, 0, 0
+                for s in splits:
+                    rows.append((file, s["start"], inside, depth, opened))
+                    change, comma, least, most = (s[f"{n}{int(inside)}"] for n in ("change", "comma", "least", "most"))
+                    if depth + comma <= 1 or depth + least <= 0 < depth or depth == 0 < most:
+                        opened = s["start"]
+                    inside, depth = inside ^ s["odd"], depth + change
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                [f.split()[0] for f in BEGINNINGS.split(", ")],
+            )
+
+    return files.mapInArrow(run, BEGINNINGS)
 
 
 # --- second pass: records --------------------------------------------------------------------------
@@ -283,7 +294,7 @@ def array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     least = min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes())
     # Smaller files are one split each and begin as all files do; Spark leaves them out by their size.
     large = text.filter(F.col("_metadata.file_size") > least)
-    begun = split_sums(_pieces(large)).groupBy("file").applyInPandas(_beginnings, BEGINNINGS)
+    begun = beginnings(split_sums(_pieces(large)))
 
     def cut(files: DataFrame, fragments: bool) -> DataFrame:
         # One short row for each split, of which the driver holds a list anyway.

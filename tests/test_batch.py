@@ -10,7 +10,7 @@ from starloom.operators.shape import where_lt, with_batch_date
 from starloom.plans import tickets
 from starloom.plans.batch import Sample, run_batch
 from starloom.plans.profile_report import close_report, profile_report
-from starloom.sinks import ensure_table, layout, replace_partition, replace_table
+from starloom.sinks import TableLayout, ensure_table, layout, replace_partition, replace_table, table_layout
 from starloom.sources import read_csv
 
 PROFILE = schemas.Profile(
@@ -66,6 +66,59 @@ def test_an_empty_batch_clears_in_either_overwrite_mode(spark, table, tmp_path,
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
+BUCKETED = schemas.Profile(PROFILE.columns, sort_by="v", partition_by="process_date", distribute_by="id", buckets=4)
+
+
+def bucket_files(path):
+    """Bucket number and rows of each data file."""
+    import pyarrow.parquet as pq
+
+    return [(int(p.name.split("_")[1].split(".")[0]), pq.ParquetFile(p).read()) for p in path.rglob("*.parquet")]
+
+
+def test_loads_keep_the_distribution_that_the_table_remembers(spark, table, tmp_path):
+    ensure_table(spark, table, BUCKETED, str(tmp_path / "table"))
+    assert table_layout(spark, table) == TableLayout("v", "id", 4)
+    for day in ("2024-01-01", "2024-01-02"):
+        rows = batch(spark, [(i % 50, Decimal(i * 7 % 100)) for i in range(400)]).repartition(6)
+        replace_partition(rows, table, day)
+    assert spark.table(table).count() == 800
+    files = bucket_files(tmp_path / "table")
+    homes = {}
+    for bucket, rows in files:
+        assert rows["v"].to_pylist() == sorted(rows["v"].to_pylist())
+        for i in rows["id"].to_pylist():
+            homes.setdefault(i, set()).add(bucket)
+    assert len(homes) == 50 and all(len(b) == 1 for b in homes.values())
+    assert len(files) <= 8, "more files than buckets per date"
+    ensure_table(spark, table, BUCKETED)
+    with pytest.raises(ValueError, match="distributed by id in 4"):
+        ensure_table(spark, table, PROFILE)
+    with pytest.raises(ValueError, match="number of buckets"):
+        ensure_table(spark, table, schemas.Profile(PROFILE.columns, sort_by="v", distribute_by="id"))
+
+
+def test_replacing_keeps_old_rows_until_the_new_have_the_name(spark, table, tmp_path, monkeypatch):
+    profile = schemas.Profile(PROFILE.columns[:2], sort_by="id", distribute_by="id", buckets=2)
+    replace_table(batch(spark, [(1, Decimal(1))]), table, profile)
+    replace_table(batch(spark, [(2, Decimal(2))]), table, profile)
+    assert content(spark, table) == [(2, Decimal(2))] and table_layout(spark, table).buckets == 2
+    asked, run = [], type(spark).sql
+
+    def failing(self, query, *args, **kwargs):
+        asked.append(query)
+        if "RENAME TO" in query and sum("RENAME TO" in q for q in asked) == 2:
+            raise RuntimeError("lost")
+        return run(self, query, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        replace_table(batch(spark, [(3, Decimal(3))]), table, profile)
+    monkeypatch.undo()
+    assert content(spark, table) == [(2, Decimal(2))]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(table)] == [table]
+
+
 def test_too_long_text_is_refused_on_write(spark, table, tmp_path):
     profile = schemas.Profile((("t", "varchar(3)"),), sort_by="t")
     ensure_table(spark, table, profile, str(tmp_path / "table"))

@@ -126,6 +126,17 @@ def test_partition_pruning(spark):
     assert re.search(r"PartitionFilters: \[.*process_date", text)
 
 
+def test_bucketed_tables_join_and_group_without_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = final_plan(Q.bucketed_join(spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in text and "Exchange" not in text
+    assert re.search(r"SelectedBucketsCount: 8 out of 8", text)
+
+
 def test_entry_has_rows(spark):
     df = E.entry(spark)
     assert df.count() > 0 and len(df.columns) == 18

@@ -149,6 +149,9 @@ FROM ({WIDE}) WHERE number_of_changes < 4""",
   CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS o_totalprice,
   CASE o_orderstatus WHEN 'P' THEN '2024-01-01' ELSE '2024-01-02' END AS process_date
 FROM orders WHERE o_orderstatus IN ('O', 'P')""",
+    "bucketed_join": """SELECT o_orderkey, o_orderstatus, o_custkey, count(*) AS n_lines,
+  CAST(sum(l_suppkey) AS BIGINT) AS suppliers, max(l_linenumber) AS last_line
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""",
     "sql_steps": """SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 0
 GROUP BY c_mktsegment""",
     "replace_literals": """SELECT doc_id, replace(replace(text, '''', ' '), '-', '/') AS text,

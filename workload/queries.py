@@ -22,7 +22,7 @@ from starloom.plans import batch, tickets
 from starloom.plans.profile_report import profile_report, report_rows
 from starloom.schemas import Profile
 from starloom.session import prepared, scratch_path
-from starloom.sinks import ensure_table, layout, replace_partition, write_csv
+from starloom.sinks import ensure_table, layout, replace_partition, replace_table, write_csv
 from starloom.sources import parse_failures, parse_json_col, read_csv, read_json, read_table
 from workload import standins
 
@@ -240,6 +240,24 @@ def partition_replace(spark, sf_dir):
     return as_text(spark.table(table), "o_totalprice")
 
 
+@query
+def bucketed_join(spark, sf_dir):
+    """Two tables kept by the same key: neither the join nor the grouping shuffles."""
+    kept = {}
+    for name, columns in (
+        ("orders", (("o_orderkey", "bigint"), ("o_orderstatus", "varchar(1)"), ("o_custkey", "bigint"))),
+        ("lineitem", (("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_suppkey", "bigint"))),
+    ):
+        key = columns[0][0]
+        profile = Profile(columns, sort_by=key, distribute_by=key, buckets=8)
+        kept[name] = f"{name}_{uuid.uuid4().hex}"
+        replace_table(C.conform(read_table(spark, sf_dir, name), profile), kept[name], profile, scratch_path(spark, name))
+    joined = spark.table(kept["orders"]).join(spark.table(kept["lineitem"]), F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderkey", "o_orderstatus", "o_custkey").agg(
+        F.count("*").alias("n_lines"), F.sum("l_suppkey").alias("suppliers"), F.max("l_linenumber").alias("last_line")
+    )
+
+
 @query
 def sql_steps_(spark, sf_dir):
     read_table(spark, sf_dir, "customer").createOrReplaceTempView("steps_customer")
