@@ -47,6 +47,28 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bytes up to which a table may be broadcast.
+LIGHT_BYTES = 32 << 20
+
+
+def light(df: DataFrame, most_bytes: int = LIGHT_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its values are measured to take at most ``most_bytes``, else as it is.
+
+    Measuring runs a job, so ``df`` should be a stored table or cheap.
+    """
+
+    def width(name: str, kind: str) -> Column:
+        if kind == "string":
+            return F.octet_length(name) + 16
+        if kind == "array<string>":
+            return F.octet_length(F.array_join(name, "")) + 16 * F.size(name) + 16
+        return F.lit(16)
+
+    row = sum((F.coalesce(width(*c), F.lit(8)) for c in df.dtypes), F.lit(16))
+    found = df.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if found <= most_bytes else df
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """Names for further columns, made longer until ``df`` has no column of the name."""
     taken = {c.lower() for c in df.columns}

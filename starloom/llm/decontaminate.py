@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, discard, free_names, n_words, small, stored, words
-
-#: Benchmark terms and windows up to this many rows are broadcast; more are shuffled.
-SMALL_ROWS = 200_000
-#: Likewise for candidates, of some 300 bytes each with their window's words.
-SMALL_CANDIDATES = 50_000
+from .common import NOT_ALNUM, ascii_lower, discard, free_names, light, n_words, stored, words
 
 
 def text_words(text: Column) -> Column:
@@ -52,7 +47,7 @@ def rarest_terms(documents: DataFrame, windows: DataFrame, probes: int) -> DataF
     """
     places = windows.select("window", "length", F.posexplode("words").alias("shift", "term"))
     terms = stored(places.select("term").distinct(), "test-terms")
-    tokens = _tokens(documents).select("term").join(small(terms, SMALL_ROWS), "term")
+    tokens = _tokens(documents).select("term").join(light(terms), "term")
     counts = tokens.groupBy("term").agg(F.count("*").alias("n"))
     ranked = places.join(counts, "term", "left").withColumn(
         "probe",
@@ -63,30 +58,70 @@ def rarest_terms(documents: DataFrame, windows: DataFrame, probes: int) -> DataF
     )
 
 
-def postings(documents: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """The positional index: term, doc_id, text_hash, pos. Of all terms, or of those in ``terms``."""
+def pair_probes(probes: DataFrame, windows: DataFrame) -> DataFrame:
+    """The probes as pairs of neighbours: adds ``pair``, a hash of the term and the word behind it in the window.
+
+    A term at its window's end goes by the pair before it; a window of one word has no pair (null).
+    """
+    words_of = windows.select(F.col("window").alias("of"), "words")
+    found = probes.join(words_of, F.col("window") == F.col("of")).withColumn(
+        "shift", F.least("shift", F.greatest(F.col("length") - 2, F.lit(0)))
+    )
+    term, after = F.get("words", F.col("shift")), F.get("words", F.col("shift") + 1)
+    pair = F.when(F.col("length") > 1, F.xxhash64(term, after))
+    return found.select("window", "length", term.alias("term"), "shift", "probe", "n_probes", pair.alias("pair"))
+
+
+def postings(documents: DataFrame, probes: DataFrame | None = None) -> DataFrame:
+    """The positional index: term, doc_id, text_hash, pos. Of all terms, or of the postings that ``probes`` open.
+
+    A probe opens its term's postings that have the pair's second word behind them, so a frequent
+    term's list holds little else than places that a search needs.
+    """
     tokens = _tokens(documents, "pos").select("term", "doc_id", "text_hash", "pos")
-    return tokens if terms is None else tokens.join(small(terms.distinct(), SMALL_ROWS), "term")
+    if probes is None:
+        return tokens
+    alone = probes.filter("pair is null").select("term").distinct()
+
+    def with_next(w: Column) -> Column:
+        return F.transform(w, lambda x, i: F.struct(x.alias("term"), F.xxhash64(x, F.get(w, i + 1)).alias("pair")))
+
+    # The words as a variable of the lambda are split once.
+    pairs = F.transform(F.array(text_words(F.col("text"))), with_next)[0]
+    listed = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(pairs).alias("pos", "t"))
+    listed = listed.select("t.term", "doc_id", "text_hash", "pos", "t.pair")
+    opened = listed.join(light(probes.filter("pair is not null").select("pair").distinct()), "pair")
+    opened = opened.select("term", "doc_id", "text_hash", "pos", "pair")
+    if alone.isEmpty():
+        return opened
+    single = tokens.join(light(alone), "term").withColumn("pair", F.lit(None).cast("long"))
+    return opened.unionByName(single.select(opened.columns))
 
 
 def shifted(index: DataFrame, probes: DataFrame) -> DataFrame:
     """Postings of the probe terms, moved back to where their windows would start."""
-    lists = index.join(small(probes, SMALL_ROWS), "term")
+    if "pair" in index.columns:
+        opened = F.col("index.pair").eqNullSafe(F.col("probes.pair")) & (F.col("index.term") == F.col("probes.term"))
+        lists = index.alias("index").join(light(probes).alias("probes"), opened).select("index.*", *[
+            f"probes.{c}" for c in ("window", "length", "shift", "probe", "n_probes")
+        ])
+    else:
+        lists = index.join(light(probes), "term")
     return lists.select(
-        "doc_id", "text_hash", "window", "probe", "n_probes", (F.col("pos") - F.col("shift")).alias("start")
+        "doc_id", "text_hash", "window", "length", "probe", "n_probes", (F.col("pos") - F.col("shift")).alias("start")
     )
 
 
 def phrase_candidates(index: DataFrame, probes: DataFrame) -> DataFrame:
-    """Where all probe terms of a window stand at their places: doc_id, text_hash, window, start."""
+    """Where all probe terms of a window stand at their places: doc_id, text_hash, window, start, length."""
     bit = F.expr("shiftleft(1L, probe)")
     met = (
         shifted(index, probes)
         .filter("start >= 0")
-        .groupBy("doc_id", "text_hash", "window", "start")
+        .groupBy("doc_id", "text_hash", "window", "start", "length")
         .agg(F.bit_or(bit).alias("met"), F.first("n_probes").alias("n_probes"))
     )
-    return met.filter("met = shiftleft(1L, n_probes) - 1").select("doc_id", "text_hash", "window", "start")
+    return met.filter("met = shiftleft(1L, n_probes) - 1").select("doc_id", "text_hash", "window", "start", "length")
 
 
 def proximity_matches(index: DataFrame, probes: DataFrame, slack: int) -> DataFrame:
@@ -135,13 +170,13 @@ def near_candidates(documents: DataFrame, rarest: DataFrame, width: int, slack:
     tokens = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), hashes.alias("w")).select(
         "*", F.posexplode("w").alias("pos", "term")
     )
-    opened = tokens.join(small(pairs.select("term").distinct(), SMALL_ROWS), "term", "left_semi")
+    opened = tokens.join(light(pairs.select("term").distinct()), "term", "left_semi")
     first = F.greatest(F.col("pos") + 1 - 2 * slack, F.lit(0))
     around = opened.select(
         "doc_id", "text_hash", "pos", "term", first.alias("first"),
         F.posexplode(F.slice("w", first + 1, F.col("pos") + width + 2 * slack - first)).alias("at", "term2"),
     )
-    met = around.withColumn("pair", F.xxhash64("term", "term2")).join(small(pairs.drop("term"), SMALL_ROWS), "pair")
+    met = around.withColumn("pair", F.xxhash64("term", "term2")).join(light(pairs.drop("term")), "pair")
     here, there = F.col("pos") - F.col("shift"), F.col("first") + F.col("at") - F.col("shift2")
     return (
         met.filter(F.abs(here - there) <= 2 * F.col("k"))
@@ -163,14 +198,11 @@ def near_windows(documents: DataFrame, candidates: DataFrame, windows: DataFrame
     words of their places: a passage with k words put in, dropped or changed in any ten still is.
     """
     list_, key, text = "candidates", "found_id", "found_hash"
-    per_document = candidates.join(small(windows, SMALL_ROWS), "window").groupBy(
+    per_document = candidates.join(light(windows), "window").groupBy(
         F.col("doc_id").alias(key), F.col("text_hash").alias(text)
     ).agg(F.collect_list(F.struct("window", "lo", "hi", "words", "length", slack_of(F.col("length"), slack).alias("k"))).alias(list_))
-    if candidates.limit(SMALL_CANDIDATES + 1).count() <= SMALL_CANDIDATES:
-        per_document = F.broadcast(per_document)
-    found = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
-        per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("text_hash") == F.col(text))
-    )
+    texts = texts_of(documents, stored(candidates.select("doc_id", "text_hash").distinct(), "test-near-keys"))
+    found = texts.join(per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("text_hash") == F.col(text)))
 
     def is_near(w: Column, c: Column) -> Column:
         k, step = c["k"], 2 * c["k"] + 1
@@ -189,36 +221,43 @@ def near_windows(documents: DataFrame, candidates: DataFrame, windows: DataFrame
     return found.select("doc_id", "text_hash", F.explode(near["window"]).alias("window")).distinct()
 
 
-def exact_hits(documents: DataFrame, starts: DataFrame, windows: DataFrame) -> DataFrame:
+def texts_of(documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """doc_id, text_hash and text of the documents in ``keys`` (doc_id, text_hash): each key's text once.
+
+    The keys go to the documents while they are light; beyond that they meet in a shuffle.
+    """
+    named = keys.select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
+    rows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.join(light(named), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+
+
+def exact_hits(documents: DataFrame, starts: DataFrame) -> DataFrame:
     """Candidates that hold word by word: doc_id, text_hash, found (window, start, length), a row per document.
 
-    A candidate carries its window's words, but not the items that hold it, however many.
+    A window is named by the digest of its words, so a candidate needs its place and length alone.
+    Of the texts only those with candidates move.
     """
-    list_, key, text = "candidates", "found_id", "found_hash"
-    per_document = starts.join(small(windows, SMALL_ROWS), "window").groupBy(
-        F.col("doc_id").alias(key), F.col("text_hash").alias(text)
-    ).agg(F.collect_list(F.struct("window", "start", "length", "words")).alias(list_))
-    if starts.limit(SMALL_CANDIDATES + 1).count() <= SMALL_CANDIDATES:
-        per_document = F.broadcast(per_document)
-    found = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
-        per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("text_hash") == F.col(text))
+    key, text = "found_id", "found_hash"
+    per_document = starts.groupBy("doc_id", "text_hash").agg(
+        F.collect_list(F.struct("window", "start", "length")).alias("candidates")
     )
+    texts = texts_of(documents, stored(starts.select("doc_id", "text_hash").distinct(), "test-keys"))
+    per_document = per_document.withColumnsRenamed({"doc_id": key, "text_hash": text})
+    found = texts.join(per_document, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("text_hash") == F.col(text)))
+    named = lambda w, c: F.md5(F.concat_ws(" ", F.slice(w, c["start"] + 1, c["length"])).cast("binary"))
     # The words as a variable of the lambda are split once, not for each candidate.
     exact = F.transform(
         F.array(text_words(F.col("text"))),
-        lambda w: F.filter(list_, lambda c: F.slice(w, c["start"] + 1, c["length"]) == c["words"]),
+        lambda w: F.filter("candidates", lambda c: named(w, c) == c["window"]),
     )[0]
-    kept = F.transform(exact, lambda c: c.dropFields("words"))
-    # Equal rows of one id and text have one entry.
-    return found.select("doc_id", "text_hash", kept.alias("found")).filter(F.size("found") > 0).dropDuplicates(
-        ["doc_id", "text_hash"]
-    )
+    return found.select("doc_id", "text_hash", exact.alias("found")).filter(F.size("found") > 0)
 
 
 def holding_items(pairs: DataFrame, holders: DataFrame, out: str) -> DataFrame:
     """The items that hold the windows of each document, as sorted strings: doc_id, text_hash, ``out``, n_windows."""
     item = F.col("item_id").cast("string")
-    return pairs.join(small(holders, SMALL_ROWS), "window").groupBy("doc_id", "text_hash").agg(
+    return pairs.join(light(holders), "window").groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_set(item)).alias(out), F.count_distinct("window").alias("n_windows")
     )
 
@@ -246,28 +285,30 @@ def contamination(
 
     Adds n_words, n_hit (words inside an occurrence of a window), item_ids (items with occurring
     windows, as sorted strings) and spans (start, length of the occurrences). The index holds the
-    postings of the windows' rarest terms, the only ones a search opens; their offset-adjusted
-    lists are intersected, and what is left is compared with the document word by word.
+    postings of the windows' rarest terms, the only ones a search opens, as far as the window's next
+    word stands behind them; their offset-adjusted lists are intersected, and what is left is
+    compared with the document word by word.
 
     With ``slack``, adds also n_near (distinct windows found exactly or nearly, see ``near_windows``)
     and near_ids (items that hold them, as sorted strings); the other columns stay as they are.
 
     Defined cases: a null or empty text has no words; a null item text no windows; a null or
     repeated doc_id, equal rows and extra columns stay as they are, but for own columns of the added
-    names, which are replaced; items repeated under one id
+    names in any case, which are replaced; items repeated under one id
     count once; without benchmark or documents nothing is hit.
     """
     windows, holders = benchmark_windows(benchmark, width)
     windows, holders = stored(windows, "test-windows"), stored(holders, "test-items")
     rarest = stored(rarest_terms(documents, windows, max(probes, slack + 2) if slack else probes), "test-probes")
     first = rarest.filter(F.col("probe") < probes).withColumn("n_probes", F.least("n_probes", F.lit(probes)))
-    index = stored(postings(documents, first.select("term")), "test-postings")
+    first = stored(pair_probes(first, windows), "test-pairs")
+    index = stored(postings(documents, first), "test-postings")
     starts = stored(phrase_candidates(index, first), "test-candidates")
     discard(documents.sparkSession, index)
     added = ["n_words", "n_hit", "item_ids", "spans"] + ["n_near", "near_ids"] * bool(slack)
-    kept = [c for c in documents.columns if c not in added]
+    kept = [c for c in documents.columns if c.lower() not in added]
     own, key, text = free_names(documents, "own_hash", "found_id", "found_hash")
-    hits = stored(exact_hits(documents, starts, windows), "test-hits")
+    hits = stored(exact_hits(documents, starts), "test-hits")
     pairs = hits.select("doc_id", "text_hash", F.explode("found.window").alias("window")).distinct()
     spans = F.array_sort(F.transform("found", lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"))))
     covered = hits.select("doc_id", "text_hash", covered_words(spans).alias("n_hit"), F.array_distinct(spans).alias("spans"))
