@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, free_names, release, small, split_texts, stored
+from .common import discard, free_names, light, release, small, split_texts, stored
 from .components import connected_components
 
 #: Words of a shingle; similarity in hundredths.
@@ -150,7 +150,10 @@ def needed(n: int, percent: int = PERCENT) -> int:
 
 
 def prefix_tokens(documents: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Prefixes of all classes: token, class, n (the set's size), place (the token's in the order)."""
+    """Prefixes of all classes: token, class, at (the set's size and the token's place in the order).
+
+    A token goes by the 48 upper bits of its hash: a name that two share adds candidates, no links.
+    """
     levels = documents.sparkSession.sparkContext.broadcast(_levels(sketch))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,20 +177,20 @@ def prefix_tokens(documents: DataFrame, sketch: DataFrame, percent: int = PERCEN
             if held:
                 yield _prefix_batch(held)
 
-    rows = _hashed(documents).filter("doc_id is not null").mapInArrow(read, "token long, class long, n int, place int")
+    rows = _hashed(documents).filter("doc_id is not null").mapInArrow(read, "token long, class long, at long")
     return rows
 
 
 def _prefix_batch(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
     lengths = [len(p) for p, _, _ in held]
+    sizes = np.repeat(np.array([n for _, _, n in held], np.int64), lengths)
     return pa.record_batch(
         [
-            pa.array(np.concatenate([p for p, _, _ in held]).view(np.int64)),
+            pa.array((np.concatenate([p for p, _, _ in held]) >> np.uint64(16)).view(np.int64)),
             pa.array(np.repeat(np.array([c for _, c, _ in held], np.int64), lengths)),
-            pa.array(np.repeat(np.array([n for _, _, n in held], np.int32), lengths)),
-            pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])),
+            pa.array((sizes << 32) + np.concatenate([np.arange(k, dtype=np.int64) for k in lengths])),
         ],
-        ["token", "class", "n", "place"],
+        ["token", "class", "at"],
     )
 
 
@@ -213,6 +216,8 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
     together = F.xxhash64("least", "most", "xor", "sum").alias("token")
     rows = (
         listed.filter("least != most")
+        .withColumn("n", F.shiftright("at", 32).cast("int"))
+        .withColumn("place", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
         .groupBy(together, "class", "n")
         .agg(F.min("place").alias("place"), F.count("*").alias("weight"))
     )
@@ -342,15 +347,17 @@ def group_candidates(shared: DataFrame, groups: DataFrame, percent: int = PERCEN
     return found
 
 
-def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Every row's near-duplicate component: doc_id, text_hash, n_shingles, component_id.
+def jaccard_components(documents: DataFrame, percent: int = PERCENT, by_id: bool = True) -> DataFrame:
+    """Every row's near-duplicate component: doc_id, text_hash, n_shingles, component_id, first.
 
     Two documents link if 100 times the shared shingles are ``percent`` times the union's or more.
     component_id is the least doc_id that links lead to, the document's own included. No link is
     lost: prefixes, bounds and groups only leave out pairs that can't link or are joined already.
 
     Defined cases: null, empty and blank texts have no shingles and link with nothing; equal sets
-    always link; rows of one doc_id are one node for linking, whatever their texts; a null doc_id
+    always link; rows of one doc_id are one node for linking, whatever their texts, unless ``by_id`` is
+    false, when rows link by their texts alone and components may share a component_id; ``first``
+    marks the rows of each component's least doc_id and, of its texts, the least hash; a null doc_id
     has a null component; an empty table gives an empty table; other columns are ignored.
     """
     spark = documents.sparkSession
@@ -380,36 +387,43 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     rest = group_candidates(shared, groups, percent)
     more = verified(rest, documents, classes, percent)
     discard(spark, starred, first, rest, shared, groups)
-    # Rows of one doc_id tie their classes together.
-    several = named.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a != b")
-    ties = named.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("class").alias("b"))
-    joined = connected_components(links.unionByName(more).unionByName(ties))
+    linked = links.unionByName(more)
+    if by_id:  # rows of one doc_id tie their classes together
+        several = named.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a != b")
+        linked = linked.unionByName(named.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("class").alias("b")))
+    joined = connected_components(linked)
     tops = classes.join(joined, classes["class"] == joined["node"], "left").select(
-        "class", "doc_id", F.coalesce("component", "class").alias("component")
+        "class", "doc_id", "text_hash", F.coalesce("component", "class").alias("component")
+    )
+    least = tops.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("top"))
+    of_class = tops.join(least, "component").select(
+        "class", F.col("top.doc_id").alias("component_id"), F.col("top.text_hash").alias("top_hash")
     )
-    least = tops.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = tops.join(least, "component").select("class", "doc_id", "component_id")
     # Most rows are their own component; classes that aren't are few and are copied over salts.
     copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    by_class = stored(of_class.select("class", "component_id"), "shingle-components")
+    by_class = stored(of_class, "shingle-components")
     discard(spark, links, more, joined, classes)
     by_class = by_class.withColumn("_salt", copies)
     salted = signed.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("top_hash"))
     return salted.join(by_class, ["class", "_salt"], "left").select(
-        "doc_id", "text_hash", "n_shingles", component.alias("component_id")
+        "doc_id",
+        "text_hash",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(first, F.lit(False)).alias("first"),
     )
 
 
 def keep_first(documents: DataFrame, components: DataFrame) -> DataFrame:
-    """One document of each component: that with the component's doc_id; of its rows the one with the least hash.
+    """One row of each component of texts, that marked ``first``; ``components`` must link by texts (not ``by_id``).
 
-    Rows without shingles or doc_id have no component and all stay.
+    Rows without shingles or doc_id have no component and all stay. Of rows equal in id and text one
+    stays, whichever; unlike texts under one id are apart.
     """
     loose = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    first = components.filter(~loose & (F.col("doc_id") == F.col("component_id"))).groupBy("doc_id").agg(
-        F.min("text_hash").alias("text_hash"), F.count("*").alias("rows")
-    )
+    first = components.filter(~loose & F.col("first")).groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
     first = stored(first, "shingle-kept")
     kept = stored(components.filter(loose).select("doc_id", "text_hash").distinct(), "shingle-loose")
     own, key, text = free_names(documents, "own_hash", "kept_id", "kept_hash")
@@ -418,9 +432,9 @@ def keep_first(documents: DataFrame, components: DataFrame) -> DataFrame:
     def among(keys: DataFrame) -> DataFrame:
         named = keys.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text))
         same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(text))
-        return hashed.join(small(named, SMALL_ROWS), same, "left_semi")
+        return hashed.join(light(named), same, "left_semi")
 
     chosen = among(first)
-    if not first.filter("rows > 1").isEmpty():  # some id has several rows
-        chosen = chosen.dropDuplicates(["doc_id"])
+    if not first.filter("rows > 1").isEmpty():  # some row is there several times
+        chosen = chosen.dropDuplicates(["doc_id", own])
     return chosen.unionByName(among(kept)).drop(own)

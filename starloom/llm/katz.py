@@ -26,12 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, release, split_texts, stored
+from .common import bounded_slices, discard, release, split_texts, stored
 
 #: Counts up to K are discounted; larger ones are taken as reliable.
 K = 5
 #: Tokens of a chunk, and words or pairs of a bucket, on average.
 CHUNK_TOKENS = 1_000_000
+#: Bytes of text that are split into tokens at a time.
+SLICE_BYTES = 1 << 20
 #: The number of the mark before a text's first token; words are numbered from 1.
 START = 0
 #: A word's name is its hash; the end of a text has this one.
@@ -130,6 +132,8 @@ _CHUNKS = (
 def chunk_texts(documents: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Chunks of whole texts: documents hold doc_id, train and text; a chunk is one row.
 
+    A chunk holds ``chunk_tokens`` tokens at most, or one text that is longer.
+
     A token is a run without ASCII white space, A-Z in lower case; each text ends with one more
     token. ``names`` are the hashes of the chunk's words in order, ``seen`` their training counts,
     ``codes`` the texts as places in ``names``.
@@ -139,18 +143,27 @@ def chunk_texts(documents: DataFrame, chunk_tokens: int = CHUNK_TOKENS) -> DataF
         number = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
         size = 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                held.append((part.column(0).to_pylist(), part.column(1).to_pylist(), *_tokens(part.column(2))))
-                size += len(held[-1][3])
-                if size >= chunk_tokens:
+        for part in bounded_slices(batches, "text", SLICE_BYTES):
+            ids, train = part.column(0).to_pylist(), part.column(1).to_pylist()
+            lengths, tokens = _tokens(part.column(2).cast(pa.string()))
+            ends = np.cumsum(lengths, dtype=np.int64)
+            row = 0
+            while row < len(ids):
+                # As many texts as the chunk has room for; a longer text is a chunk of its own.
+                done = int(ends[row - 1]) if row else 0
+                stop = int(np.searchsorted(ends, done + chunk_tokens - size, side="right"))
+                if stop > row or not held:
+                    stop = max(stop, row + 1)
+                    own = tokens[done : ends[stop - 1]]
+                    held.append((ids[row:stop], train[row:stop], lengths[row:stop], own))
+                    size, row = size + len(own), stop
+                if row < len(ids) or size >= chunk_tokens:
                     yield _chunk(number, held)
                     number, held, size = number + 1, [], 0
         if held:
             yield _chunk(number, held)
 
-    return documents.select(F.col("doc_id").cast("long"), "train", "text").mapInArrow(read, _CHUNKS)
+    return documents.select(F.col("doc_id").cast("long"), "train", F.col("text").cast("binary")).mapInArrow(read, _CHUNKS)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

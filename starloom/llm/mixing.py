@@ -48,9 +48,13 @@ def mix_documents(
     most: float = 2,
     seed: str = "mix",
     size: Column | None = None,
+    row: Column | None = None,
 ) -> DataFrame:
     """How often the mix takes each document: doc_id, source, size, source_size, target, taken.
 
+    ``row`` tells rows apart that are equal in id, source and text; it joins the key and comes back
+    as row_hash.
+
     Every document gets an evenly spread key from the seed, its id and text. In its source, the
     documents in order of key are laid end to end, again and again, and cut after the whole words
     of the source's target. So ``taken`` is the size once for each whole epoch, plus the part
@@ -66,8 +70,9 @@ def mix_documents(
             "doc_id",
             "source",
             (n_words(F.col("text"), BLANKS) if size is None else size).alias("size"),
-            random_key(seed, F.col("doc_id"), F.md5(F.col("text").cast("binary"))).alias("_key"),
+            random_key(seed, F.col("doc_id"), F.md5(F.col("text").cast("binary")), *([] if row is None else [row])).alias("_key"),
             F.xxhash64("text").alias("_text"),
+            (F.lit(0).cast("long") if row is None else row).alias("_row"),
         ),
         "mix-sizes",
     )
@@ -87,26 +92,35 @@ def mix_documents(
         "target",
         (epochs * F.col("size") + part).cast("long").alias("taken"),
         F.col("_text").alias("text_hash"),
+        F.col("_row").alias("row_hash"),
     )
 
 
+def row_hash(documents: DataFrame) -> Column:
+    """A hash of all columns but the text; columns go by name, so nulls keep their places."""
+    names = [c for c in documents.columns if c != "text"]
+    return F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])))
+
+
 def apply_mix(documents: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents of the mix: a row for each time that a document is taken, in part or whole.
 
-    Equal rows of ``documents`` were mixed as separate rows; their turns are added up and dealt
-    to the row once, so that the rows of the mix stay right.
+    ``mixed`` must have been made with ``row=row_hash(documents)``, so rows that differ in any column
+    keep turns of their own. Rows equal in all columns were mixed as separate rows; their turns are
+    added up and dealt to the row once, so that the rows of the mix stay right.
     """
-    turns = mixed.filter("taken > 0").select(
-        "doc_id", "source", "text_hash", F.ceil(F.col("taken") / F.col("size")).alias("_turns")
-    )
-    turns = turns.groupBy("doc_id", "source", "text_hash").agg(F.sum("_turns").alias("_turns"))
+    by = ["doc_id", "source", "text_hash", "row_hash"]
+    turns = mixed.filter("taken > 0").select(*by, F.ceil(F.col("taken") / F.col("size")).alias("_turns"))
+    turns = turns.groupBy(*by).agg(F.sum("_turns").alias("_turns"))
     columns = documents.columns
-    own, n, turn = free_names(documents, "own_hash", "turns", "turn")
-    rows = documents.withColumn(own, F.xxhash64("text")).dropDuplicates(["doc_id", "source", own])
+    own, whole, n, turn = free_names(documents, "own_hash", "whole_hash", "turns", "turn")
+    rows = documents.withColumns({own: F.xxhash64("text"), whole: row_hash(documents)})
+    rows = rows.dropDuplicates(["doc_id", "source", own, whole])
     match = (
         rows["doc_id"].eqNullSafe(turns["doc_id"])
         & rows["source"].eqNullSafe(turns["source"])
         & (rows[own] == turns["text_hash"])
+        & (rows[whole] == turns["row_hash"])
     )
     taken = rows.join(turns, match).select(*[rows[c] for c in columns], turns["_turns"].alias(n))
     return taken.withColumn(turn, F.explode(F.sequence(F.lit(1), n))).select(*columns)

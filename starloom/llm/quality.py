@@ -240,7 +240,7 @@ def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
     Null and empty texts get the score of a text without words. Whole texts are read, rows keep
     all their columns; an own column named score is replaced.
     """
-    kept = [c for c in documents.columns if c != "score"]
+    kept = [c for c in documents.columns if c.lower() != "score"]
     schema = StructType([*(documents.schema[c] for c in kept), StructField("score", DoubleType())])
     at = kept.index("text")
     shared = documents.sparkSession.sparkContext.broadcast(model)

@@ -251,7 +251,9 @@ def read_bundles(index: DataFrame, payload: bool = True) -> DataFrame:
                     yield _as_batch(rows)
 
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return index.select("bundle").distinct().repartition(parts, "bundle").mapInArrow(read, RECORDS)
+    # By another key than that of the grouping, as Spark would drop this step as redundant otherwise.
+    dealt = index.select("bundle").distinct().repartition(parts, F.xxhash64("bundle"))
+    return dealt.mapInArrow(read, RECORDS)
 
 
 def fetch_records(index: DataFrame) -> DataFrame:
@@ -264,7 +266,8 @@ def fetch_records(index: DataFrame) -> DataFrame:
                 for _, data in _frames(row["bundle"], [row["frame"]]):
                     yield _as_batch([parse_record(data, at)[0] for at in row["offsets"]])
 
-    return wanted.mapInArrow(fetch, RECORDS)
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wanted.repartition(parts, F.xxhash64("bundle", "frame")).mapInArrow(fetch, RECORDS)
 
 
 def page_records(pages: DataFrame, least_bytes: int = 100) -> DataFrame:

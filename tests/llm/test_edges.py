@@ -176,7 +176,8 @@ def test_mixing(spark, documents):
         assert r.target == pytest.approx(targets[r.source]) and 0 <= r.taken <= 2 * r.size
         taken[r.source] += r.taken
     assert all(abs(taken[s] - targets[s]) <= 1 for s in sizes) and len(rows) == len(TEXTS)
-    applied = mixing.apply_mix(documents, mixed)
+    rows = [r for r in mixing.mix_documents(documents, row=mixing.row_hash(documents)).collect()]
+    applied = mixing.apply_mix(documents, mixing.mix_documents(documents, row=mixing.row_hash(documents)))
     assert applied.columns == documents.columns
     copies = Counter(r.doc_id for r in applied.collect())
     assert copies == Counter({d: n for d, n in Counter(
