@@ -22,9 +22,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.columns import col
 
-# Rows of a range, on average; the number of ranges follows the number of rows.
+# Rows of a range that is sorted, at most, unless they share few values.
 ROWS_PER_RANGE = 1_000_000
+# Where all ranks are wanted, the number of ranges follows the number of rows.
 LEAST_RANGES = 64
+# Where single rows are wanted, ranges that a round cuts a column, or a range of one, into.
+RANGES = 256
 
 
 def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -86,18 +89,27 @@ def exact_quantiles(
     """Per column its quantiles, interpolated between neighbouring rows; nulls and NaN are left
     out, a column without values gives None.
 
-    Runs when called, as ``DataFrame.approxQuantile`` does, with three passes for all columns:
-    split points (unless given), rows per range, and the values of the few ranges that hold a
-    wanted row. Copies of a value are counted before they are shuffled.
+    Runs when called, as ``DataFrame.approxQuantile`` does. A round cuts the columns into RANGES
+    ranges each (unless ``splits`` are given) and counts rows per range; ranges that hold a wanted
+    row and more than ROWS_PER_RANGE rows are cut again in the next round. So the driver holds some
+    thousand numbers per column and probability however many rows there are, and rounds follow their
+    logarithm. Only the values of the few ranges with a wanted row are then sorted. Copies of a value
+    are counted before they are shuffled.
     """
     numbers = _numbers(df, columns)
-    splits = splits or _split_points(numbers)
-    ranged = _with_ranges(numbers, splits)
-    totals = _range_totals(ranged, len(columns))
-    positions = {
-        c: [p * (sum(n for _, n in ranges) - 1) for p in probs] for c, ranges in totals.items()
-    }
-    found = _values_at(ranged, _targets(totals, positions))
+    splits = splits or _cut(numbers, RANGES)
+    while True:
+        ranged = _with_ranges(numbers, splits)
+        totals = _range_totals(ranged, len(columns))
+        positions = {
+            c: [p * (sum(n for _, n in ranges) - 1) for p in probs] for c, ranges in totals.items()
+        }
+        targets = _targets(totals, positions)
+        finer = _cut_again(ranged, totals, targets, splits)
+        if finer is None:
+            break
+        splits = finer
+    found = _values_at(ranged, targets)
     return [
         [_interpolate(c, position, found) for position in positions.get(c, [])]
         or [None] * len(probs)
@@ -105,8 +117,28 @@ def exact_quantiles(
     ]
 
 
+def _cut_again(
+    ranged: DataFrame,
+    totals: dict[int, list[tuple[int, int]]],
+    targets: list[tuple[int, int, float, int]],
+    splits: Sequence[Sequence[float]],
+) -> list[list[float]] | None:
+    """The split points and more of them inside the wanted ranges of too many rows; None if none can be added."""
+    sizes = {(c, r): n for c, ranges in totals.items() for r, n in ranges}
+    wide = sorted({(c, int(r)) for c, _, r, _ in targets if sizes[c, int(r)] > ROWS_PER_RANGE})
+    if not wide:
+        return None
+    inside = [F.when(F.col(f"r{c}") == r, F.col(f"v{c}")).alias(f"v{k}") for k, (c, r) in enumerate(wide)]
+    result = [set(points) for points in splits]
+    for (c, _), points in zip(wide, _cut(ranged.select(*inside), RANGES)):
+        result[c].update(points)
+    # A range of one value, or of few others beside it, has nothing to be cut at.
+    grown = any(len(new) > len(old) for new, old in zip(result, splits))
+    return [sorted(points) for points in result] if grown else None
+
+
 def _range_totals(ranged: DataFrame, columns: int) -> dict[int, list[tuple[int, int]]]:
-    """Per column number (range, rows) in order: a number for each ROWS_PER_RANGE rows or so."""
+    """Per column number (range, rows) in order."""
     long = ranged.select(
         F.inline(
             F.array(
@@ -192,7 +224,7 @@ def quantiles_and_mad(
     no split points of its own.
     """
     numbers = _numbers(df, columns)
-    splits = _split_points(numbers)
+    splits = _cut(numbers, RANGES)
     found = exact_quantiles(numbers, numbers.columns, [*probs, 0.5], splits)
     medians = [quantiles[-1] for quantiles in found]
     deviations = numbers.select(

@@ -272,3 +272,29 @@ def test_head_and_tail(spark):
     df = spark.createDataFrame([(2,), (1,), (3,)], "v int")
     assert [r["v"] for r in P.head_rows(df, 2, ["v"]).collect()] == [1, 2]
     assert [r["v"] for r in P.tail_rows(df, 2, ["v"]).collect()] == [3, 2]
+
+
+def test_exact_quantiles_descend_into_wanted_ranges_alone(spark, monkeypatch):
+    """Few ranges a round and few rows a range: the result is numpy's, the driver's numbers don't follow the rows."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from starloom.operators import ranks
+
+    monkeypatch.setattr(ranks, "RANGES", 8)
+    monkeypatch.setattr(ranks, "ROWS_PER_RANGE", 50)
+    cuts = []
+    with_ranges = ranks._with_ranges
+    monkeypatch.setattr(ranks, "_with_ranges", lambda df, s: cuts.append(sum(map(len, s))) or with_ranges(df, s))
+    probs = [0, 0.05, 0.5, 0.95, 1]
+    held = []
+    for n in (2_000, 30_000):
+        hot = F.when(F.col("id") % 3 > 0, F.lit(7.0)).otherwise(F.rand(1) * 100)
+        df = spark.range(n).select(F.rand(5).alias("a"), hot.alias("hot"), F.lit(1.0).alias("same"))
+        found = ranks.exact_quantiles(df, df.columns, probs)
+        rows = np.array(df.collect())
+        for k in range(3):
+            assert found[k] == pytest.approx(list(np.quantile(rows[:, k], probs)))
+        held.append((len(cuts), max(cuts)))
+        cuts.clear()
+    assert held[1][0] <= held[0][0] + 3 and held[1][1] <= 2 * held[0][1] + 100
