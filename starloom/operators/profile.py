@@ -231,7 +231,8 @@ def profile_histograms(
     empty bins too. Two passes for all columns together.
 
     The bounds are the least and greatest finite value of the column unless given. Infinities
-    and values outside given bounds are in no bin; every row says how many there are as ``n_out``.
+    and values outside given bounds are in no bin; every row says how many there are as ``n_out``. A
+    column whose values are all infinite has one row, its bin and edges null.
     """
     names = list(columns or numeric_columns(df))
     cells = [
@@ -248,18 +249,19 @@ def profile_histograms(
     values = every_value.filter(inside)
     # One row per column.
     ends = every_value.groupBy("column").agg(
-        low.alias("low"), high.alias("high"), F.count_if(~inside).alias("n_out"), F.count_if(inside).alias("__in")
-    ).filter("__in > 0")
+        low.alias("low"), high.alias("high"), F.count_if(~inside).alias("n_out")
+    )
     # No bucket if all values are equal: they go to the first bin. The greatest value has a
     # bucket of its own after the last bin, which it closes.
     bucket = F.width_bucket("v", F.col("low"), F.col("high"), F.lit(bins))
     counts = (
-        values.join(F.broadcast(ends.drop("n_out", "__in")), "column")
+        values.join(F.broadcast(ends.drop("n_out")), "column")
         .groupBy("column", F.least(F.coalesce(bucket, F.lit(1)), F.lit(bins)).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     width = (F.col("high") - F.col("low")) / bins
-    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins)).cast("array<long>")))
+    numbers = F.when(F.col("low").isNotNull(), F.sequence(F.lit(1), F.lit(bins))).otherwise(F.array(F.lit(None)))
+    every = ends.withColumn("bin", F.explode(numbers.cast("array<long>")))
     return every.join(counts, ["column", "bin"], "left").select(
         "column",
         F.col("bin").cast("int").alias("bin"),

@@ -298,3 +298,12 @@ def test_exact_quantiles_descend_into_wanted_ranges_alone(spark, monkeypatch):
         held.append((len(cuts), max(cuts)))
         cuts.clear()
     assert held[1][0] <= held[0][0] + 3 and held[1][1] <= 2 * held[0][1] + 100
+
+
+def test_histogram_tells_of_columns_without_a_value_inside(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0, inf, None), (2.0, -inf, None), (50.0, inf, None)], "a double, b double, c double")
+    rows = {(r.column, r.bin): (r.bin_start, r.n, r.n_out) for r in P.profile_histograms(df, bins=2).collect()}
+    assert rows == {("a", 1): (1.0, 2, 0), ("a", 2): (25.5, 1, 0), ("b", None): (None, 0, 3)}
+    bounded = {(r.column, r.bin): (r.n, r.n_out) for r in P.profile_histograms(df, bins=2, bounds=(60.0, 80.0)).collect()}
+    assert bounded == {("a", 1): (0, 3), ("a", 2): (0, 3), ("b", 1): (0, 3), ("b", 2): (0, 3)}
