@@ -34,6 +34,36 @@ TAGS = ("spdx license identifier",)
 #: Identifiers whose terms allow reuse with notice alone; others count as restricted.
 PERMISSIVE = ("mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "zlib", "unlicense", "cc0-1.0", "0bsd")
 
+#: Identifiers that a tag may name, in lower case; exceptions that may follow `with`.
+IDENTIFIERS = frozenset(
+    """0bsd afl-3.0 agpl-1.0 agpl-1.0-only agpl-1.0-or-later agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.0
+    apache-1.1 apache-2.0 apsl-2.0 artistic-1.0 artistic-2.0 blueoak-1.0.0 bsd-1-clause bsd-2-clause
+    bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0
+    cc-by-4.0 cc-by-nc-4.0 cc-by-nc-nd-4.0 cc-by-nc-sa-4.0 cc-by-nd-4.0 cc-by-sa-2.0 cc-by-sa-3.0 cc-by-sa-4.0
+    cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cpl-1.0 ecl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 gfdl-1.2 gfdl-1.3 gpl-1.0
+    gpl-1.0-only gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later isc
+    lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only
+    lgpl-3.0-or-later libpng-2.0 lppl-1.3c mit mit-0 mpl-1.0 mpl-1.1 mpl-2.0 ms-pl ms-rl mulanpsl-2.0 ncsa odbl-1.0
+    ofl-1.1 openssl osl-3.0 php-3.01 postgresql psf-2.0 python-2.0 ruby sleepycat unicode-3.0 unicode-dfs-2016
+    unlicense upl-1.0 vim w3c wtfpl x11 zlib zpl-2.1""".split()
+)
+EXCEPTIONS = frozenset(
+    """autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 classpath-exception-2.0
+    font-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 gpl-cc-1.0 libtool-exception linux-syscall-note
+    llvm-exception ocaml-lgpl-linking-exception openjdk-assembly-exception-1.0 qt-lgpl-exception-1.1
+    universal-foss-exception-1.0 wxwindows-exception-3.1""".split()
+)
+#: Names of a text's own, which no list can hold.
+_OWN = re.compile(r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+")
+
+
+def is_name(word: str, after_with: bool) -> bool:
+    """Whether the piece, in lower case, names a licence (`+`: or any later version) or, behind `with`, an exception."""
+    if after_with:
+        return word in EXCEPTIONS
+    return word.removesuffix("+") in IDENTIFIERS or _OWN.fullmatch(word) is not None
+
+
 _EXPRESSION = re.compile(rb"[A-Za-z0-9.+()\-: \t]+")
 _TAG_AT = re.compile(rb"spdx-license-identifier[ \t]*:", re.I)
 _PIECE = re.compile(r"[()]|[A-Za-z0-9.+:\-]+")
@@ -84,16 +114,21 @@ def leading_expression(text: str) -> tuple[str, list[str]] | None:
     """The longest start of a line, in pieces, that is a well-formed expression, and its postfix form.
 
     One pass finds the last place at which what is read is well formed; no later one can be after the
-    first piece that cannot stand where it does.
+    first piece that cannot stand where it does. A word that names no licence ends the expression, and
+    so does one behind `with` that names no exception.
     """
     pieces = _PIECE.findall(text)
     end = depth = 0
     want_name = True
+    before = ""
     for at, piece in enumerate(pieces, 1):
         # A name and an opening bracket stand where a name is wanted, all else where none is.
         starts = piece == "(" or piece != ")" and piece.lower() not in _BINDS
         if starts != want_name or piece == ")" and not depth:
             break
+        if starts and (before == "with" if piece == "(" else not is_name(piece.lower(), before == "with")):
+            break
+        before = piece.lower()
         depth += (piece == "(") - (piece == ")")
         want_name = piece == "(" or piece.lower() in _BINDS
         if not want_name and not depth:
@@ -115,7 +150,7 @@ def is_permissive(postfix: list[str], allowed: frozenset[str] = frozenset(PERMIS
             right, left = stack.pop(), stack.pop()
             stack.append(left or right if piece == "or" else left and right if piece == "and" else left)
         else:
-            stack.append(piece in allowed)
+            stack.append(piece.removesuffix("+") in allowed)
     return stack[0]
 
 
@@ -170,7 +205,8 @@ def scan_licenses(
     n_base, first_word, last_word and base_labels tell of the base phrases alone: all places,
     the least and greatest word at which one starts, the labels. ``labels`` adds those of further
     phrases and the identifiers of tagged expressions; ``permissive`` is null without an
-    expression, else whether all can be met by permissive licences. The score is 0 without any
+    expression, else whether all can be met by permissive licences. An expression holds listed
+    identifiers, names of the form LicenseRef-..., and listed exceptions. The score is 0 without any
     notice, 0.5 with a phrase, 1 with a well-formed expression.
 
     Defined cases: a null text is an empty one; malformed expressions add no label; an expression of

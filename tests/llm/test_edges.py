@@ -315,7 +315,7 @@ def test_long_license_expressions(spark):
         "SPDX-License-Identifier: " + "MIT AND " * 199 + "GPL-3.0 is the licence",
         f"SPDX-License-Identifier: {nested} AND (",
         "SPDX-License-Identifier: MIT OR SPDX-License-Identifier: ISC",
-        "SPDX-License-Identifier:a or " * 20_000,
+        "SPDX-License-Identifier:x11 or " * 20_000,
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = [r for r in licenses.scan_licenses(df).orderBy("doc_id").collect()]
@@ -323,14 +323,30 @@ def test_long_license_expressions(spark):
     assert (rows[1].labels, rows[1].permissive) == ("gpl-3.0,mit", False)
     assert (rows[2].labels, rows[2].permissive) == ("mit", True)
     assert (rows[3].labels, rows[3].expressions) == ("isc,mit", ["MIT", "ISC"])
-    assert rows[4].expressions == ["a"] * 20_000
+    assert rows[4].expressions == ["x11"] * 20_000
+
+
+def test_words_that_name_no_licence_end_an_expression():
+    read = lambda x: (licenses.leading_expression(x) or [None])[0]
+    assert read("on top of every file") is None
+    assert read("MIT OR whatever you like") == "MIT"
+    assert read("GPL-2.0+ WITH Classpath-exception-2.0 AND LicenseRef-x") == "GPL-2.0+ WITH Classpath-exception-2.0 AND LicenseRef-x"
+    assert read("GPL-2.0 WITH luck") == "GPL-2.0" and read("MIT WITH (Classpath-exception-2.0)") == "MIT"
+    assert read("DocumentRef-a:LicenseRef-b") == "DocumentRef-a:LicenseRef-b"
 
 
 def test_leading_expression_is_the_longest_well_formed_start():
     rng = np.random.default_rng(7)
     for _ in range(3000):
-        pieces = list(rng.choice(["MIT", "ISC", "AND", "or", "WITH", "(", ")"], rng.integers(0, 9)))
-        ends = [n for n in range(len(pieces), 0, -1) if licenses.to_postfix(" ".join(pieces[:n])) is not None]
+        kinds = ["MIT", "GPL-2.0+", "AND", "or", "WITH", "(", ")", "Classpath-exception-2.0", "the"]
+        pieces = list(rng.choice(kinds, rng.integers(0, 9), p=[0.2, 0.1, 0.15, 0.15, 0.1, 0.1, 0.1, 0.07, 0.03]))
+
+        def sound(part):
+            behind = [a == "WITH" for a in ["", *part[:-1]]]
+            named = all(w == (x == "Classpath-exception-2.0") for x, w in zip(part, behind) if x not in kinds[2:7])
+            return named and "the" not in part and not any(w and x == "(" for x, w in zip(part, behind))
+
+        ends = [n for n in range(len(pieces), 0, -1) if sound(pieces[:n]) and licenses.to_postfix(" ".join(pieces[:n])) is not None]
         found = licenses.leading_expression(" ".join(pieces))
         assert (found and found[0]) == (" ".join(pieces[: ends[0]]) if ends else None)
 
