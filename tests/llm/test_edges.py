@@ -393,3 +393,14 @@ def test_slices_of_texts_split_like_whole_ones():
             rows.append([w for w in words[:count] if w])
             words = words[count:]
         assert rows == [brute.solid_words(t) for t in texts[at : at + n]]
+
+
+def test_bundles_are_read_in_many_tasks(spark):
+    """The bundles are dealt out anew, and adaptive execution leaves their number of tasks alone."""
+    rows = [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(64)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(16)
+    index = warc.archive_pages(pages)
+    assert index.select("bundle").distinct().count() == 16
+    task = F.spark_partition_id()
+    for read in (warc.read_bundles(index, payload=False), warc.fetch_records(index)):
+        assert read.select(task.alias("task")).distinct().count() >= 4 and read.count() == 64

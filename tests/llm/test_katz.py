@@ -87,3 +87,15 @@ def test_no_training_text(spark):
 def test_better_than_base(spark):
     rows = [r for r in REGISTRY["op4_katz"](spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_chunks_are_bounded_by_tokens(spark):
+    """Long texts, a text longer than a chunk, and short ones behind it: whole texts, never more than the bound."""
+    sizes = [2_000] * 60 + [9_000] + [3] * 500
+    rows = [(i, True, " ".join(["w"] * n)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, train boolean, text string").coalesce(1)
+    chunks = katz.chunk_texts(df, 5_000).collect()
+    held = [katz.unpack(r.lengths, np.int32) for r in chunks]
+    assert sum(len(h) for h in held) == len(sizes) == len({d for r in chunks for d in r.doc_ids})
+    assert all(h.sum() <= 5_000 or len(h) == 1 for h in held)
+    assert len(held) <= 40
