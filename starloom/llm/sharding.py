@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -43,95 +42,176 @@ def units(linked: DataFrame, quota: int) -> DataFrame:
     return whole.drop("largest").unionByName(cut.drop("largest", "before"))
 
 
+def fits(count: Column, room: Column) -> Column:
+    """Whether a shard's room takes the rows of a link that are not in the shard yet."""
+    return F.element_at(room, count["shard"] + 1) >= F.col("bytes") - count["bytes"]
+
+
 def wish(room: list[int]) -> Column:
-    """The shard in which most of a unit's rows are, of those with room for all of it; null without any.
+    """The shard in which most of a link's rows are, of those with room for the others; null without any.
 
-    Among equals a digit string decides, weighted by room, so that units without a place of their own
+    Among equals a digit string decides, weighted by room, so that links without a place of their own
     are dealt to the shards in proportion to what these can take.
     """
     rooms = F.lit(room)
 
     def named(shard: Column, here: Column) -> Column:
-        drawn = (F.pmod(F.xxhash64("link", "piece", shard), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
+        drawn = (F.pmod(F.xxhash64("hub", shard), F.lit(1 << 40)) + F.lit(0.5)) / F.lit(float(1 << 40))
         # The larger the room, the closer to 0.
-        return F.struct(here.alias("here"), (F.log(drawn) / F.element_at(rooms, shard + 1)).alias("tie"), shard.alias("shard"))
+        weight = F.greatest(F.element_at(rooms, shard + 1), F.lit(1))
+        return F.struct(here.alias("here"), (F.log(drawn) / weight).alias("tie"), shard.alias("shard"))
 
-    fits = lambda shard: F.element_at(rooms, shard + 1) >= F.col("bytes")
-    own = F.filter("counts", lambda c: fits(c["shard"]))
-    others = F.filter(F.sequence(F.lit(0), F.lit(len(room) - 1)), fits)
+    own = F.filter("counts", lambda c: fits(c, rooms))
+    others = F.filter(
+        F.sequence(F.lit(0), F.lit(len(room) - 1)), lambda shard: F.element_at(rooms, shard + 1) >= F.col("bytes")
+    )
     return F.coalesce(
         F.array_max(F.transform(own, lambda c: named(c["shard"], c["here"])))["shard"],
-        F.array_max(F.transform(others, lambda shard: named(shard, F.lit(0))))["shard"],
+        F.array_max(F.transform(others, lambda shard: named(shard, F.lit(0).cast("long"))))["shard"],
     )
 
 
-def propagate(linked: DataFrame, shards: int, quota: int) -> DataFrame:
-    """The shard of every unit (link, piece) of the linked rows (key, size, link, piece, shard).
+def place_large(members: DataFrame, shards: int, quota: int, n_rows: int) -> tuple[dict[str, int], list[int]]:
+    """Shards of the links of more than a sixteenth of a shard, in bytes or rows, and the room left.
 
-    In a round every unit without a place takes the label that most of its rows carry, of the shards
-    that have room for the whole unit. Those that wish for a shard are let in by key as long as
-    their bytes fit; the first in line always does. The others wish again, among the rooms that are
-    left. Rounds go on until no unit finds a shard with room; such units are not returned. Units of
-    more than a sixteenth of a shard, 16 times as many as shards at most, go first, the largest
-    before the others, so that the small ones fill what these leave.
+    A row of a link table stands for each of its links, so there are at most 32 such links per shard
+    and link of a row: what comes to the driver has a bound. The largest goes first, to the shard
+    with the most room; one that fits nowhere whole is left to propagation.
     """
-    spark = linked.sparkSession
-    by = ["link", "piece"]
-    tally = linked.groupBy(*by, "shard").agg(F.count("*").alias("here"), F.sum("size").alias("bytes"))
-    waiting = stored(
-        tally.groupBy(*by).agg(
-            F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("shard", "here"))).alias("counts")
-        ).withColumn("lay", F.md5(F.concat_ws(":", *by))),
-        "shard-units",
-    )
-    room = [quota] * shards
-    placed: list[dict] = []
-    is_large = F.col("bytes") > quota / 16
-    for unit in sorted(waiting.filter(is_large).collect(), key=lambda u: (-u["bytes"], u["lay"])):
-        here = {c["shard"]: c["here"] for c in unit["counts"]}
-        free = [s for s in range(shards) if room[s] >= unit["bytes"]]
-        if free:
-            best = max(free, key=lambda s: (here.get(s, 0), room[s], s))
+    sums = members.groupBy("hub").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    large = sums.filter((F.col("bytes") > quota / 16) | (F.col("n") > n_rows / (16 * shards))).collect()
+    room, held = [quota] * shards, {}
+    for unit in sorted(large, key=lambda u: (-u["bytes"], u["hub"])):
+        best = max(range(shards), key=lambda s: (room[s], s))
+        if room[best] >= unit["bytes"]:
             room[best] -= unit["bytes"]
-            placed.append({"link": unit["link"], "piece": unit["piece"], "shard": best})
-    rows = F.from_json(F.lit(json.dumps(placed)), "array<struct<link: string, piece: int, shard: int>>")
-    settled, used = [spark.range(1).select(F.inline(rows))], [waiting]
-    waiting = waiting.filter(~is_large)
+            held[unit["hub"]] = best
+    return held, room
+
+
+def _loads(df: DataFrame, shards: int, by: str = "shard") -> list[int]:
+    found = {r[by]: r["load"] for r in df.groupBy(by).agg(F.sum("size").alias("load")).collect()}
+    return [found.get(shard, 0) for shard in range(shards)]
+
+
+def _votes(member: DataFrame, hubs: DataFrame, room: list[int]) -> DataFrame:
+    """Rows (row, size, shard, to, lay) of the rows that may move and have a neighbour elsewhere.
+
+    A row reads its neighbours' labels off its links: a shard gets a vote for each neighbour in it, if
+    the shard can take the whole link; the link's own wish adds to these, so that neighbours agree
+    among equals; the shard in which the row is has one vote more.
+    """
+    rooms = F.lit(room)
+    own = lambda c: c["shard"] == F.col("shard")
+    vote = lambda c: F.when(fits(c, rooms), c["here"] - F.when(own(c), 1).otherwise(0)).otherwise(0)
+    votes = F.concat(
+        F.transform("counts", lambda c: F.struct(c["shard"].alias("shard"), vote(c).cast("double").alias("vote"))),
+        F.when(F.col("to").isNull(), F.lit(None)).otherwise(
+            F.array(F.struct(F.col("to").alias("shard"), F.lit(0.75).alias("vote")))
+        ),
+    )
+    plain = F.transform("counts", lambda c: F.struct(c["shard"].alias("shard"), vote(c).cast("double").alias("vote")))
+    heard = _spread_join(member.filter("not held"), hubs, ["hub"]).filter("counts is not null")
+    rows = (
+        heard.withColumn("votes", F.coalesce(votes, plain))
+        .withColumn("stays", F.exists("counts", lambda c: own(c) & fits(c, rooms)))
+        .groupBy("row")
+        .agg(
+            F.first("key").alias("key"),
+            F.first("size").alias("size"),
+            F.first("shard").alias("shard"),
+            F.flatten(F.collect_list("votes")).alias("votes"),
+            F.max("stays").alias("stays"),
+            F.min(F.struct("to", "hub")).alias("first"),
+        )
+    )
+    here = F.struct(F.col("shard"), F.when(F.col("stays"), 1.0).otherwise(0.5).alias("vote"))
+    rows = rows.withColumn("votes", F.concat("votes", F.array(here)))
+    total = lambda shard: F.aggregate(
+        F.filter("votes", lambda v: v["shard"] == shard), F.lit(0.0), lambda sum_, v: sum_ + v["vote"]
+    )
+    named = F.array_distinct(F.transform("votes", lambda v: v["shard"]))
+    best = F.array_max(F.transform(named, lambda shard: F.struct(total(shard).alias("vote"), shard.alias("shard"))))
+    # Rows of a link stand side by side, so that the first links get in whole.
+    lay = F.concat(F.substring(F.md5(F.col("first.hub").cast("binary")), 1, 8), F.col("key"))
+    return rows.select("row", "size", "shard", best["shard"].alias("to"), lay.alias("lay"))
+
+
+def propagate(nodes: DataFrame, members: DataFrame, shards: int, quota: int) -> tuple[DataFrame, list[int]]:
+    """Move rows to their neighbours' shards. Gives the rows with their last labels, and the cut after every round.
+
+    ``nodes`` are rows (row, key, size, shard, held), ``members`` the links (row, hub): rows of one hub
+    are neighbours. The cut counts pairs of neighbours in different shards. In a round the labels of
+    a hub's rows are counted (a join over the links), rows vote as ``_votes`` says, and those that wish
+    for a shard are let in as long as their bytes fit beside the rows there that have nothing to
+    wish for. Held rows are neighbours that never move. Rounds go on while the cut falls; a round
+    that doesn't lower it is taken back. What comes to the driver are sums per shard.
+    """
+    spark = nodes.sparkSession
+    cuts: list[int] = []
+    before = nodes
     while True:
-        wished = stored(waiting.withColumn("to", wish(room)).filter("to is not null"), "shard-wishes")
-        used.append(wished)
-        if wished.isEmpty():
-            break
-        queued = running_totals(wished, "to", "lay", "bytes", "before")
-        let_in = F.col("before") + F.col("bytes") <= F.element_at(F.lit(room), F.col("to") + 1)
-        queued = stored(queued.withColumn("let_in", let_in), "shard-labels")
-        settled.append(queued.filter("let_in").select(*by, F.col("to").alias("shard")))
-        for r in queued.filter("let_in").groupBy("to").agg(F.sum("bytes").alias("bytes")).collect():
-            room[r["to"]] -= r["bytes"]
-        used.append(queued)
-        waiting = queued.filter("not let_in").drop("to", "before", "let_in")
-    found = stored(reduce(DataFrame.unionByName, settled), "shard-settled")
-    discard(spark, *used)
-    return found
+        member = members.join(nodes, "row")
+        counts = member.groupBy("hub", "shard").agg(
+            F.count("*").alias("here"), F.sum(F.when(F.col("held"), 0).otherwise(F.col("size"))).alias("bytes")
+        )
+        hubs = stored(
+            counts.groupBy("hub")
+            .agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("shard", "here", "bytes"))).alias("counts"))
+            .filter("size(counts) > 1"),
+            "shard-links",
+        )
+        in_all = F.aggregate("counts", F.lit(0).cast("long"), lambda total, c: total + c["here"])
+        squares = F.aggregate("counts", F.lit(0).cast("decimal(38,0)"), lambda t, c: (t + c["here"] * c["here"]).cast("decimal(38,0)"))
+        pairs = (in_all.cast("decimal(19,0)") * in_all - squares) / 2
+        cut = int(hubs.agg(F.coalesce(F.sum(pairs), F.lit(0))).first()[0])
+        if cuts and cut >= cuts[-1]:
+            discard(spark, hubs, nodes)
+            return before, cuts
+        cuts.append(cut)
+        if before is not nodes:
+            discard(spark, before)
+        if not cut:
+            discard(spark, hubs)
+            return nodes, cuts
+        load = _loads(nodes, shards)
+        restless = _loads(hubs.select(F.inline("counts")).withColumnRenamed("bytes", "size"), shards)
+        room = [quota - a + b for a, b in zip(load, restless)]
+        votes = stored(_votes(member, hubs.withColumn("to", wish(room)), room), "shard-votes")
+        room = [quota - a + b for a, b in zip(load, _loads(votes, shards))]
+        queued = running_totals(votes, "to", "lay", "size", "before")
+        let_in = F.col("before") + F.col("size") <= F.element_at(F.lit(room), F.col("to") + 1)
+        moves = stored(queued.filter(let_in & (F.col("to") != F.col("shard"))).select("row", "to"), "shard-moves")
+        label = F.coalesce("to", "shard").alias("shard")
+        before, nodes = nodes, stored(
+            nodes.join(moves, "row", "left").select("row", "key", "size", label, "held"), "shard-labels"
+        )
+        discard(spark, hubs, votes, moves)
 
 
 def shard_documents(
-    documents: DataFrame, shards: int = 40, link: Column | None = None, seed: str = "shard"
+    documents: DataFrame,
+    shards: int = 40,
+    link: Column | None = None,
+    seed: str = "shard",
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Shard and slot of every document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
-    Documents with the same ``link`` (the text's digest unless given) are linked. They start in a
-    shard by hash and move by balanced label propagation under a quota of an equal share of all
-    bytes, until nothing moves. The documents without links, and what fits whole into no shard,
-    fill up the shards: laid end to end, they are cut at the shards' remaining room, so that shards
-    differ by about the size of a document. The law is ``bytes``. Slots count from 0 in each shard
-    without gaps.
-
-    Defined cases: a null text has no bytes (size 16, checksum 0) and no links; an empty text is a
-    text like others; null and repeated doc_ids are ordinary rows; a link that exceeds a shard is
-    split into as many pieces as its bytes need shards; a link within the quota is split only if
-    no shard has room for the whole of it; an empty table gives an empty table. Other columns are
-    ignored.
+    Documents with the same ``link`` (the text's digest unless given) are linked; or give ``links``, a
+    table (doc_id, link) in which a document may have any number of them, such as an edge's number
+    for both its ends. Links of more than a sixteenth of a shard are placed first, whole, or in
+    pieces if they exceed a shard. All others start in a shard by hash and move by balanced label
+    propagation under a quota of an equal share of all bytes, while the cut falls. Documents without
+    links, and what exceeds a quota, fill up the shards: laid end to end, they are cut at the
+    shards' remaining room, so that shards differ by about the size of a document. The law is
+    ``bytes``. Slots count from 0 in each shard without gaps.
+
+    Defined cases: a null text has no bytes (size 16, checksum 0) and no links of its own; an empty
+    text is a text like others; null and repeated doc_ids are ordinary rows, and a row of ``links``
+    holds for all rows of its doc_id; null links link nothing; a link that exceeds a shard is split
+    into as many pieces as its bytes need shards; an empty table gives an empty table. Other columns
+    are ignored.
     """
     spark = documents.sparkSession
     link_by = F.md5(F.col("text").cast("binary")) if link is None else link.cast("string")
@@ -142,48 +222,55 @@ def shard_documents(
             (F.octet_length(bytes_of) + OVERHEAD).cast("long").alias("size"),
             F.crc32(bytes_of).alias("text_crc32"),
             link_by.alias("link"),
-        ).withColumn("key", random_key(seed, F.col("doc_id"), F.col("link"), F.col("text_crc32"))),
+        )
+        .withColumn("key", random_key(seed, F.col("doc_id"), F.col("link"), F.col("text_crc32")))
+        # Rows may be equal; written once, the number stays.
+        .withColumn("row", F.monotonically_increasing_id()),
         "shard-rows",
     )
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    quota = -(-total // shards)
-    shared = rows.filter("link is not null").groupBy("link").agg(F.count("*").alias("n")).filter("n > 1")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salt = F.conv(F.substring("key", 1, 1), 16, 10).cast("int") % SALTS
-    # The link of rows that share theirs; null for others.
-    tied = stored(
-        rows.withColumn("_salt", salt)
-        .join(shared.select("link", F.lit(True).alias("tied"), copies.alias("_salt")), ["link", "_salt"], "left")
-        .drop("_salt"),
-        "shard-tied",
+    total, n_rows = rows.agg(F.sum("size"), F.count("*")).first()
+    quota = -(-(total or 0) // shards)
+    pairs = rows.select("row", "key", "size", "link")
+    if links is not None:
+        given = links.select("doc_id", F.col("link").cast("string").alias("link")).distinct()
+        pairs = stored(rows.select("row", "key", "size", "doc_id").join(given, "doc_id").drop("doc_id"), "shard-given")
+    pairs = pairs.filter("link is not null")
+    shared = pairs.groupBy("link").agg(F.count("*").alias("n")).filter("n > 1")
+    tied = stored(_spread_join(pairs, shared, ["link"]).filter("n is not null").drop("n"), "shard-tied")
+    hub = F.concat_ws(":", "link", "piece").alias("hub")
+    members = stored(units(tied, quota).select("row", "key", "size", hub), "shard-members")
+    held, room = place_large(members, shards, quota, n_rows)
+    named = F.from_json(F.lit(json.dumps([{"hub": h, "at": s} for h, s in held.items()])), "array<struct<hub: string, at: int>>")
+    # The labels to begin with: by hash, in proportion to the room that the large links leave.
+    ends = [upto / max(1, sum(room)) for upto in accumulate(room)]
+    drawn = F.conv(F.substring("key", 3, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    start = F.least(F.size(F.filter(F.lit(ends), lambda end: end <= drawn)), F.lit(shards - 1))
+    large = F.broadcast(spark.range(1).select(F.inline(named)))
+    nodes = stored(
+        members.join(large, "hub", "left")
+        .groupBy("row", "key", "size")
+        .agg(F.min("at").alias("at"))
+        .select("row", "key", "size", F.coalesce("at", start).cast("int").alias("shard"), F.col("at").isNotNull().alias("held")),
+        "shard-nodes",
     )
-    start = F.conv(F.substring("key", 3, 8), 16, 10).cast("long") % shards
-    linked = tied.filter("tied").drop("tied").withColumn("shard", start.cast("int"))
-    pieces = stored(units(linked, quota), "shard-pieces")
-    settled = propagate(pieces, shards, quota)
-    gathered = stored(_spread_join(pieces.drop("shard"), settled, ["link", "piece"]), "shard-gathered")
+    small = stored(members.join(large, "hub", "left_anti").select("row", "hub"), "shard-small")
+    settled, _ = propagate(nodes, small, shards, quota)
+    found = stored(_within(settled, shards, quota), "shard-settled")
+    columns = ["doc_id", "text_crc32", "key", "size"]
+    gathered = stored(rows.join(found, "row", "left").select(*columns, "shard"), "shard-gathered")
     kept = gathered.filter("shard is not null")
-    # What found no room is laid out with the free rows, a unit's rows side by side.
-    free = stored(
-        tied.filter("tied is null")
-        .select("doc_id", "text_crc32", "key", "size", F.col("key").alias("lay"))
-        .unionByName(
-            gathered.filter("shard is null").select(
-                "doc_id", "text_crc32", "key", "size", F.md5(F.concat_ws(":", "link", "piece")).alias("lay")
-            )
-        ),
-        "shard-free",
-    )
+    free = gathered.filter("shard is null").withColumn("lay", F.col("key"))
     # The larger half of the free rows first; the smaller half then evens out what was cut at large
     # documents.
-    held, n_free = free.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    is_large = F.col("size") > held / max(1, n_free)
-    columns = ["doc_id", "text_crc32", "key", "size", "shard"]
-    large = stored(_fill(free.filter(is_large), kept, shards, quota), "shard-large")
-    taken = kept.select("shard", "size").unionByName(large.select("shard", "size"))
-    placed = stored(large.unionByName(_fill(free.filter(~is_large), taken, shards, quota)), "shard-filled")
-    both = stored(kept.select(*columns).unionByName(placed.select(*columns)), "shard-placed")
-    discard(spark, rows, tied, pieces, settled, gathered, free, large, placed)
+    held_bytes, n_free = free.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    is_large = F.col("size") > held_bytes / max(1, n_free)
+    first = stored(_fill(free.filter(is_large), kept, shards, quota), "shard-large")
+    taken = kept.select("shard", "size").unionByName(first.select("shard", "size"))
+    placed = stored(first.unionByName(_fill(free.filter(~is_large), taken, shards, quota)), "shard-filled")
+    both = stored(kept.unionByName(placed.select(*columns, "shard")), "shard-placed")
+    discard(spark, rows, tied, members, small, nodes, settled, found, gathered, first, placed)
+    if links is not None:
+        discard(spark, pairs)
     slots = running_totals(both.withColumn("_one", F.lit(1)), "shard", "key", "_one", "slot")
     return slots.select(
         "doc_id",
@@ -196,6 +283,17 @@ def shard_documents(
     )
 
 
+def _within(nodes: DataFrame, shards: int, quota: int) -> DataFrame:
+    """Rows (row, shard) of the nodes, without those that exceed their shard's quota."""
+    load = _loads(nodes, shards)
+    if max(load) <= quota:
+        return nodes.select("row", "shard")
+    left = [quota - at for at in _loads(nodes.filter("held"), shards)]
+    queued = running_totals(nodes.filter("not held"), "shard", "key", "size", "before")
+    within = queued.filter(F.col("before") + F.col("size") <= F.element_at(F.lit(left), F.col("shard") + 1))
+    return nodes.filter("held").select("row", "shard").unionByName(within.select("row", "shard"))
+
+
 def _fill(free: DataFrame, taken: DataFrame, shards: int, quota: int) -> DataFrame:
     """Lay the free rows end to end and cut them in proportion to the room that taken rows leave in each shard.
 
