@@ -94,26 +94,28 @@ def _loads(df: DataFrame, shards: int, by: str = "shard") -> list[int]:
     return [found.get(shard, 0) for shard in range(shards)]
 
 
-def _votes(member: DataFrame, hubs: DataFrame, room: list[int]) -> DataFrame:
+def _votes(member: DataFrame, hubs: DataFrame, room: list[int], part: int | None) -> DataFrame:
     """Rows (row, size, shard, to, lay) of the rows that may move and have a neighbour elsewhere.
 
     A row reads its neighbours' labels off its links: a shard gets a vote for each neighbour in it, if
-    the shard can take the whole link; the link's own wish adds to these, so that neighbours agree
-    among equals; the shard in which the row is has one vote more.
+    the shard can take the whole link; the wish of the row's first cut link adds to these, so that
+    neighbours agree among equals; the shard in which the row is has one vote more. With a ``part``
+    only half of the rows, dealt anew by its number, are asked.
     """
     rooms = F.lit(room)
+    is_cut = F.size("counts") > 1
     own = lambda c: c["shard"] == F.col("shard")
     vote = lambda c: F.when(fits(c, rooms), c["here"] - F.when(own(c), 1).otherwise(0)).otherwise(0)
-    votes = F.concat(
-        F.transform("counts", lambda c: F.struct(c["shard"].alias("shard"), vote(c).cast("double").alias("vote"))),
-        F.when(F.col("to").isNull(), F.lit(None)).otherwise(
-            F.array(F.struct(F.col("to").alias("shard"), F.lit(0.75).alias("vote")))
-        ),
-    )
-    plain = F.transform("counts", lambda c: F.struct(c["shard"].alias("shard"), vote(c).cast("double").alias("vote")))
-    heard = _spread_join(member.filter("not held"), hubs, ["hub"]).filter("counts is not null")
+    asked = member.filter("not held")
+    if part is not None:
+        asked = asked.filter(F.pmod(F.xxhash64("row", F.lit(part)), F.lit(2)) == 0)
+    restless = _spread_join(asked, hubs.filter(is_cut).select("hub", F.lit(True).alias("cut")), ["hub"])
+    asked = asked.join(restless.filter("cut").select("row").distinct(), "row", "left_semi")
     rows = (
-        heard.withColumn("votes", F.coalesce(votes, plain))
+        _spread_join(asked, hubs, ["hub"])
+        .withColumn(
+            "votes", F.transform("counts", lambda c: F.struct(c["shard"].alias("shard"), vote(c).cast("double").alias("vote")))
+        )
         .withColumn("stays", F.exists("counts", lambda c: own(c) & fits(c, rooms)))
         .groupBy("row")
         .agg(
@@ -121,12 +123,13 @@ def _votes(member: DataFrame, hubs: DataFrame, room: list[int]) -> DataFrame:
             F.first("size").alias("size"),
             F.first("shard").alias("shard"),
             F.flatten(F.collect_list("votes")).alias("votes"),
-            F.max("stays").alias("stays"),
-            F.min(F.struct("to", "hub")).alias("first"),
+            F.min(F.when(is_cut, F.col("stays"))).alias("stays"),
+            F.min(F.when(is_cut, F.struct(F.xxhash64("hub"), F.col("hub"), F.col("to")))).alias("first"),
         )
     )
     here = F.struct(F.col("shard"), F.when(F.col("stays"), 1.0).otherwise(0.5).alias("vote"))
-    rows = rows.withColumn("votes", F.concat("votes", F.array(here)))
+    wished = F.struct(F.coalesce("first.to", "shard").alias("shard"), F.when(F.col("first.to").isNull(), 0.0).otherwise(0.75).alias("vote"))
+    rows = rows.withColumn("votes", F.concat("votes", F.array(here, wished)))
     total = lambda shard: F.aggregate(
         F.filter("votes", lambda v: v["shard"] == shard), F.lit(0.0), lambda sum_, v: sum_ + v["vote"]
     )
@@ -144,49 +147,72 @@ def propagate(nodes: DataFrame, members: DataFrame, shards: int, quota: int) ->
     are neighbours. The cut counts pairs of neighbours in different shards. In a round the labels of
     a hub's rows are counted (a join over the links), rows vote as ``_votes`` says, and those that wish
     for a shard are let in as long as their bytes fit beside the rows there that have nothing to
-    wish for. Held rows are neighbours that never move. Rounds go on while the cut falls; a round
-    that doesn't lower it is taken back. What comes to the driver are sums per shard.
+    wish for. Held rows are neighbours that never move. A round that doesn't lower the cut is taken
+    back and done by half of the rows, as neighbours that all move at once may miss each other;
+    rounds end when that lowers it neither. What comes to the driver are sums per shard.
     """
     spark = nodes.sparkSession
-    cuts: list[int] = []
-    before = nodes
+    cuts, tries, part = [], 0, None
+    hubs, cut = _labels(nodes, members)
     while True:
-        member = members.join(nodes, "row")
-        counts = member.groupBy("hub", "shard").agg(
-            F.count("*").alias("here"), F.sum(F.when(F.col("held"), 0).otherwise(F.col("size"))).alias("bytes")
-        )
-        hubs = stored(
-            counts.groupBy("hub")
-            .agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("shard", "here", "bytes"))).alias("counts"))
-            .filter("size(counts) > 1"),
-            "shard-links",
-        )
-        in_all = F.aggregate("counts", F.lit(0).cast("long"), lambda total, c: total + c["here"])
-        squares = F.aggregate("counts", F.lit(0).cast("decimal(38,0)"), lambda t, c: (t + c["here"] * c["here"]).cast("decimal(38,0)"))
-        pairs = (in_all.cast("decimal(19,0)") * in_all - squares) / 2
-        cut = int(hubs.agg(F.coalesce(F.sum(pairs), F.lit(0))).first()[0])
-        if cuts and cut >= cuts[-1]:
-            discard(spark, hubs, nodes)
-            return before, cuts
         cuts.append(cut)
-        if before is not nodes:
-            discard(spark, before)
         if not cut:
             discard(spark, hubs)
             return nodes, cuts
         load = _loads(nodes, shards)
-        restless = _loads(hubs.select(F.inline("counts")).withColumnRenamed("bytes", "size"), shards)
-        room = [quota - a + b for a, b in zip(load, restless)]
-        votes = stored(_votes(member, hubs.withColumn("to", wish(room)), room), "shard-votes")
-        room = [quota - a + b for a, b in zip(load, _loads(votes, shards))]
-        queued = running_totals(votes, "to", "lay", "size", "before")
-        let_in = F.col("before") + F.col("size") <= F.element_at(F.lit(room), F.col("to") + 1)
-        moves = stored(queued.filter(let_in & (F.col("to") != F.col("shard"))).select("row", "to"), "shard-moves")
-        label = F.coalesce("to", "shard").alias("shard")
-        before, nodes = nodes, stored(
-            nodes.join(moves, "row", "left").select("row", "key", "size", label, "held"), "shard-labels"
-        )
-        discard(spark, hubs, votes, moves)
+        while True:
+            moved = _moved(nodes, members, hubs, load, quota, part)
+            found, after = _labels(moved, members)
+            if after < cut:
+                break
+            discard(spark, found, moved)
+            if part is not None:
+                discard(spark, hubs)
+                return nodes, cuts
+            tries += 1
+            part = tries
+        discard(spark, hubs, nodes)
+        nodes, hubs, cut = moved, found, after
+        part = None if part is None else part + 1
+
+
+def _labels(nodes: DataFrame, members: DataFrame) -> tuple[DataFrame, int]:
+    """Links (hub, bytes, counts) with their rows per shard, and the pairs of neighbours that are cut."""
+    member = members.join(nodes, "row")
+    counts = member.groupBy("hub", "shard").agg(
+        F.count("*").alias("here"), F.sum(F.when(F.col("held"), 0).otherwise(F.col("size"))).alias("bytes")
+    )
+    each = F.struct("shard", "here", "bytes")
+    hubs = stored(
+        counts.groupBy("hub").agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(each)).alias("counts")),
+        "shard-links",
+    )
+    big = lambda c: c["here"].cast("decimal(19,0)")
+    add = lambda total, n: (total + n).cast("decimal(38,0)")
+    none = F.lit(0).cast("decimal(38,0)")
+    # Pairs in different shards: every shard's rows with those of the shards before.
+    squares = F.aggregate("counts", none, lambda total, c: add(total, big(c) * big(c)))
+    whole = F.aggregate("counts", F.lit(0).cast("long"), lambda total, c: total + c["here"]).cast("decimal(19,0)")
+    cut = hubs.filter("size(counts) > 1").agg(F.sum((whole * whole - squares) / 2)).first()[0]
+    return hubs, int(cut or 0)
+
+
+def _moved(
+    nodes: DataFrame, members: DataFrame, hubs: DataFrame, load: list[int], quota: int, part: int | None
+) -> DataFrame:
+    """The nodes after one round: who wishes to move and fits has its new label."""
+    shards = len(load)
+    restless = hubs.filter("size(counts) > 1").select(F.inline("counts")).withColumnRenamed("bytes", "size")
+    room = [quota - a + b for a, b in zip(load, _loads(restless, shards))]
+    votes = stored(_votes(members.join(nodes, "row"), hubs.withColumn("to", wish(room)), room, part), "shard-votes")
+    room = [quota - a + b for a, b in zip(load, _loads(votes, shards))]
+    queued = running_totals(votes, "to", "lay", "size", "before")
+    let_in = F.col("before") + F.col("size") <= F.element_at(F.lit(room), F.col("to") + 1)
+    moves = queued.filter(let_in & (F.col("to") != F.col("shard"))).select("row", "to")
+    label = F.coalesce("to", "shard").alias("shard")
+    moved = stored(nodes.join(moves, "row", "left").select("row", "key", "size", label, "held"), "shard-labels")
+    discard(nodes.sparkSession, votes)
+    return moved
 
 
 def shard_documents(
@@ -268,7 +294,7 @@ def shard_documents(
     taken = kept.select("shard", "size").unionByName(first.select("shard", "size"))
     placed = stored(first.unionByName(_fill(free.filter(~is_large), taken, shards, quota)), "shard-filled")
     both = stored(kept.unionByName(placed.select(*columns, "shard")), "shard-placed")
-    discard(spark, rows, tied, members, small, nodes, settled, found, gathered, first, placed)
+    discard(spark, rows, tied, members, small, settled, found, gathered, first, placed)
     if links is not None:
         discard(spark, pairs)
     slots = running_totals(both.withColumn("_one", F.lit(1)), "shard", "key", "_one", "slot")

@@ -222,6 +222,33 @@ def test_sharding_gathers_every_group(spark):
     assert all(len(s) == 1 for s in shards_of.values())
 
 
+def test_sharding_by_a_link_table(spark, monkeypatch):
+    # Rings of 8 documents with chords, an edge from each ring to the next; unlinked documents beside.
+    edges = [(r * 8 + i, r * 8 + (i + step) % 8) for r in range(24) for i in range(8) for step in (1, 2, 3)]
+    edges += [(r * 8, (r + 1) % 24 * 8 + 1) for r in range(24)]
+    links = [(doc, str(n)) for n, edge in enumerate(edges) for doc in edge] + [(None, "7"), (3, None), (999, "1")]
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.format_string("text %05d", "id").alias("text"))
+    seen, whole = [], sharding.propagate
+
+    def spy(nodes, members, shards, quota):
+        found, cuts = whole(nodes, members, shards, quota)
+        at = {r.row: r.shard for r in found.collect()}
+        ends = defaultdict(list)
+        for r in members.collect():
+            ends[r.hub].append(at[r.row])
+        seen.extend([cuts, sum(a != b for a, b in ends.values())])
+        return found, cuts
+
+    monkeypatch.setattr(sharding, "propagate", spy)
+    found = sharding.shard_documents(df, shards=4, links=spark.createDataFrame(links, "doc_id long, link string")).collect()
+    shard = {r.doc_id: r.shard for r in found}
+    cuts, last = seen
+    assert len(found) == len(shard) == 400 and set(Counter(shard.values()).values()) == {100}
+    assert all(a > b for a, b in zip(cuts, cuts[1:])) and cuts[-1] == last
+    # By hash three quarters of the edges are cut.
+    assert sum(shard[a] != shard[b] for a, b in edges) < 0.35 * len(edges)
+
+
 def test_classifiers(spark, documents):
     labels = spark.createDataFrame(
         [(i, i % 2, i % 2) for i in (1, 2, 3, 4, 6, 7, 8, 9, 10)] + [(None, 1, 1), (11, None, None)], "doc_id long, quality int, toxic int"
