@@ -13,14 +13,16 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
-from itertools import accumulate, combinations
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.columns import col
+from starloom.session import scratch_path
 
 # Rows of a range that is sorted, at most, unless they share few values.
 ROWS_PER_RANGE = 1_000_000
@@ -31,9 +33,11 @@ RANGES = 256
 
 
 def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns as doubles named v0, v1, ..., NaN as null."""
+    """The columns as doubles named v0, v1, ..., NaN as null, one zero for both."""
     values = [col(c).cast("double") for c in columns]
-    return df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(values)])
+    return df.select(
+        *[F.when(v == 0, 0.0).when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(values)]
+    )
 
 
 def _split_points(numbers: DataFrame) -> list[list[float]]:
@@ -279,60 +283,72 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (pair, r): for every pair of columns, by its number, the correlation of average ranks
     over the rows where both values are present.
 
-    Columns are grouped by where their values are missing: two columns of one group are ranked
-    once, however many pairs they are in. Pairs across groups are ranked among their own rows.
+    A value has as many ranks as there are sets of rows in which other columns are present: among
+    the rows of each such set. They all come from one count of (column, value, set), whose prefix
+    sums follow the order of the values; one join gives every cell its ranks. So jobs and plan are
+    the same for any pattern of missing values. Ranks are taken relative to their mean, and each
+    task adds up all pairs with numpy. Rows get a number and are stored first, as cells go back
+    to their rows by it.
     """
-    numbers = _numbers(df, columns)
+    spark = df.sparkSession
+    path = scratch_path(spark, "spearman-rows")
+    _numbers(df, columns).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    numbers = spark.read.parquet(path)
     k = len(columns)
-    pairs = list(combinations(range(k), 2))
+    names = [f"v{i}" for i in range(k)]
     # Columns missing in the same rows: equal sums of a hash of the rows' present values.
-    marks = numbers.withColumn("__row", F.monotonically_increasing_id())
-    sums = marks.agg(
-        *[F.struct(F.count(f"v{i}"), F.bit_xor(F.when(F.col(f"v{i}").isNotNull(), F.xxhash64("__row")))) for i in range(k)]
+    sums = numbers.agg(
+        *[F.struct(F.count(v), F.bit_xor(F.when(F.col(v).isNotNull(), F.xxhash64("row")))) for v in names]
     ).first()
-    groups: dict[tuple, list[int]] = {}
-    for i, mark in enumerate(sums):
-        groups.setdefault(tuple(mark), []).append(i)
-    splits = _split_points(numbers)
-    found = None
-    for members in groups.values():
-        if len(members) > 1:
-            ranked = _ranked(numbers, members, splits)
-            r = pearson(ranked, ranked.columns)
-            number = F.array(*[F.lit(pairs.index(p)) for p in combinations(members, 2)])[F.col("pair")]
-            r = r.select(number.alias("pair"), "r")
-            found = r if found is None else found.unionByName(r)
-    group_of = {i: g for g, members in enumerate(groups.values()) for i in members}
-    for i, j in (p for p in pairs if group_of[p[0]] != group_of[p[1]]):
-        both = numbers.filter(F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull())
-        r = pearson(_ranked(both, [i, j], splits), [f"v{i}", f"v{j}"])
-        r = r.select(F.lit(pairs.index((i, j))).alias("pair"), "r")
-        found = r if found is None else found.unionByName(r)
-    return found
-
-
-def _ranked(numbers: DataFrame, members: Sequence[int], splits: Sequence[Sequence[float]]) -> DataFrame:
-    """The members' columns with average ranks in place of values; a join for each column.
-
-    Values are counted first; Spark broadcasts the ranks of columns with few values and
-    splits frequent values of others.
-    """
-    rows = numbers.select(*[f"v{i}" for i in members])
-    for i in members:
-        counts = (
-            numbers.select(F.col(f"v{i}").alias("v0"))
-            .filter("v0 IS NOT NULL")
-            .groupBy("v0")
-            .agg(F.count("*").alias("n"))
-        )
-        ranged = _with_ranges(counts, [splits[i]]).select(
-            F.lit(i).alias("c"), F.col("r0").alias("range"), F.col("v0").alias("value"), "n"
-        )
-        rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)
-        ranks = _positions(ranged, ["c"]).select(F.col("value").alias("__value"), rank.alias("__rank"))
-        rows = rows.join(ranks, F.col(f"v{i}") == F.col("__value"), "left").drop("__value", f"v{i}")
-        rows = rows.withColumnRenamed("__rank", f"v{i}")
-    return rows.select(*[f"v{i}" for i in members])
+    sets = list(dict.fromkeys(tuple(mark) for mark in sums))
+    set_of = [sets.index(tuple(mark)) for mark in sums]
+    splits = _split_points(numbers.select(*names))
+    cell = [F.struct(F.lit(i).alias("c"), F.col(f"r{i}").alias("range"), F.col(v).alias("value")) for i, v in enumerate(names)]
+    shown = [F.when(F.col(names[set_of.index(g)]).isNotNull(), F.lit(g)) for g in range(len(sets))]
+    cells = (
+        _with_ranges(numbers, splits)
+        .select("row", F.filter(F.array(*shown), lambda g: g.isNotNull()).alias("sets"), F.explode(F.array(*cell)).alias("cell"))
+        .select("row", "sets", "cell.*")
+        .filter("value IS NOT NULL")
+    )
+    counts = cells.select("c", "range", "value", F.explode("sets").alias("g")).groupBy("c", "g", "range", "value").agg(
+        F.count("*").alias("n")
+    )
+    # (n_before + (n + 1) / 2) less the mean of all ranks, (total + 1) / 2.
+    rank = F.col("n_before") + (F.col("n") - F.col("total")) / F.lit(2.0)
+    ranks = _positions(counts, ["c", "g"]).groupBy("c", "value").agg(F.collect_list(F.struct("g", rank.alias("rank"))).alias("ranks"))
+    rows = (
+        cells.select("row", "c", "value")
+        .join(ranks, ["c", "value"])
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("c", "ranks")).alias("cells"))
+        .select("cells")
+    )
+    left, right = np.triu_indices(k, 1)
+    out = ["pair", "n", "xx", "yy", "xy"]
+    step = max(1, 2_000_000 // (k * k))
+
+    def sums_of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            for part in (batch.column(0).slice(at, step) for at in range(0, batch.num_rows, step)):
+                x, here = np.zeros((len(part), k, len(sets))), np.zeros((len(part), k))
+                cell = part.flatten()
+                row = np.repeat(np.arange(len(part)), pc.list_value_length(part))
+                c, found = pc.struct_field(cell, "c").to_numpy(), pc.struct_field(cell, "ranks")
+                each, length = found.flatten(), pc.list_value_length(found).to_numpy()
+                at = np.repeat(row, length), np.repeat(c, length), pc.struct_field(each, "g").to_numpy()
+                x[at], here[row, c] = pc.struct_field(each, "rank").to_numpy(), 1
+                # Per column of the first axis its rank among the rows where that of the second is present.
+                x = x[:, :, set_of] * here[:, :, None] * here[:, None, :]
+                square = np.einsum("rij,rij->ij", x, x)
+                total += [here.T @ here, square, square.T, np.einsum("rij,rji->ij", x, x)]
+        numbered = pa.array(np.arange(len(left), dtype=np.int32))
+        yield pa.record_batch([numbered, *(pa.array(t[left, right]) for t in total)], out)
+
+    found = rows.mapInArrow(sums_of_pairs, "pair int, n double, xx double, yy double, xy double")
+    total = found.groupBy("pair").agg(*[F.sum(c).alias(c) for c in out[1:]]).filter("n > 0")
+    return total.select("pair", F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("r"))
 
 
 def approximate_ranks(df: DataFrame, columns: Sequence[str], parts: int = 1000) -> DataFrame:

@@ -95,6 +95,26 @@ def test_spearman_of_whole_columns_and_a_hot_value(spark):
             assert found[x, y] == pytest.approx(wanted, abs=1e-9) and close[x, y] == pytest.approx(wanted, abs=0.05)
 
 
+def test_spearman_of_many_missing_patterns(spark):
+    r = random.Random(5)
+    names = [f"c{i:02d}" for i in range(40)]
+    rows = []
+    for _ in range(300):
+        base = r.gauss(0, 1)
+        rows.append(tuple(
+            None if r.random() < i / 90 else r.choice([math.nan, 3.0]) if i == 7 else round(base * i + r.gauss(0, 5), 0)
+            for i in range(40)
+        ))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3)
+    pdf = pd.DataFrame(rows, columns=names, dtype=float)
+    found = {(x["column_x"], x["column_y"]): x["r"] for x in correlations(df, method="spearman").collect()}
+    assert len(found) == 780
+    for x, y in found:
+        both = pdf[[x, y]].dropna()
+        wanted = None if "c07" in (x, y) else both[x].rank().corr(both[y].rank())
+        assert found[x, y] == (wanted if wanted is None else pytest.approx(wanted, abs=1e-9))
+
+
 def test_pairs_without_common_rows_are_listed(spark):
     df = spark.createDataFrame([(1.0, None, "a", None), (None, 2.0, None, "b")], "x double, y double, s string, t string")
     for method in ("pearson", "spearman", "spearman_approx"):
