@@ -285,6 +285,15 @@ UNION ALL SELECT 'c_mktsegment', count(DISTINCT c_mktsegment), 0, 0, 0, 0 FROM c
   round(sum({c}), 2) AS sum,
   round(avg(power({c} - m, 3)) / power(avg(power({c} - m, 2)), 1.5), 4) AS skewness,
   round(avg(power({c} - m, 4)) / power(avg(power({c} - m, 2)), 2) - 3, 4) AS kurtosis
+FROM lineitem, (SELECT avg({c}) AS m FROM lineitem)""",
+        ("l_extendedprice", "l_quantity"),
+    ),
+    "profile_states": _each(
+        """SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS n, count(*) - count({c}) AS n_missing,
+  round(min({c}), 2) AS min, round(max({c}), 2) AS max, round(avg({c}), 4) AS mean,
+  round(stddev_samp({c}), 4) AS stddev, round(var_samp({c}), 2) AS variance, round(sum({c}), 2) AS sum,
+  round(avg(power({c} - m, 3)) / power(avg(power({c} - m, 2)), 1.5), 4) AS skewness,
+  round(avg(power({c} - m, 4)) / power(avg(power({c} - m, 2)), 2) - 3, 4) AS kurtosis
 FROM lineitem, (SELECT avg({c}) AS m FROM lineitem)""",
         ("l_extendedprice", "l_quantity"),
     ),

@@ -20,6 +20,7 @@ from starloom.operators.sampling import sample_by_key
 from starloom.operators.sql import sql_steps
 from starloom.plans import batch, tickets
 from starloom.plans.profile_report import profile_report, report_rows
+from starloom.plans.profile_state import date_states, united_profile
 from starloom.schemas import Profile
 from starloom.session import prepared, scratch_path
 from starloom.sinks import ensure_table, layout, replace_partition, replace_table, write_csv
@@ -561,6 +562,17 @@ def profile_moments(spark, sf_dir):
     return rounded(found, 4, "mean", "stddev", "skewness", "kurtosis")
 
 
+@query
+def profile_states(spark, sf_dir):
+    """The profile of all rows, united from a state per month."""
+    rows = line(spark, sf_dir).withColumn("process_date", F.date_format("l_shipdate", "yyyy-MM-01"))
+    found = united_profile(date_states(rows, ["l_extendedprice", "l_quantity"])).select(
+        "column", "n_rows", "n", "n_missing", "min", "max", "mean", "stddev", "variance", "sum", "skewness", "kurtosis"
+    )
+    found = rounded(found, 2, "min", "max", "variance", "sum")
+    return rounded(found, 4, "mean", "stddev", "skewness", "kurtosis")
+
+
 @query
 def profile_histogram(spark, sf_dir):
     found = P.profile_histograms(line(spark, sf_dir), ["l_quantity", "l_linenumber"], 10)
