@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.columns import col
 
@@ -27,9 +27,21 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def row_digest(df: DataFrame) -> list[Column]:
+    """128 bits that stand for a row, as two hashes: rows that a grouping calls equal share them.
+
+    Hashing skips nulls, so which columns are null is hashed along. Unequal rows share a digest with a
+    chance of 2^-128 per pair.
+    """
+    cells = [col(c) for c in df.columns]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cells])
+    return [F.xxhash64(F.lit(seed), nulls, *cells).alias(f"__digest{seed}") for seed in (1, 2)]
+
+
 def duplicate_report(df: DataFrame) -> DataFrame:
-    """One row (n_rows, n_distinct, n_duplicates), from one job."""
-    groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("__n"))
+    """One row (n_rows, n_distinct, n_duplicates), from one job. Digests of rows are shuffled, so
+    the bytes do not depend on how wide the rows are."""
+    groups = df.groupBy(*row_digest(df)).agg(F.count("*").alias("__n"))
     return groups.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_distinct")
     ).withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
@@ -41,10 +53,17 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 
 def duplicate_rows(df: DataFrame, n: int | None = None) -> DataFrame:
     """The rows that occur more than once, with their count ``n`` (``n_copies`` for a table that
-    has a column n); the ``n`` most frequent if given."""
+    has a column n); the ``n`` most frequent if given.
+
+    Reads the input twice: digests of all rows tell which occur again, and only such rows are
+    grouped whole.
+    """
     names = df.columns
     count = "n_copies" if "n" in names else "n"
-    groups = df.groupBy(*[col(c) for c in names]).agg(F.count("*").alias(count)).filter(col(count) > 1)
+    digests = [f"__digest{seed}" for seed in (1, 2)]
+    again = df.groupBy(*row_digest(df)).agg(F.count("*").alias("__n")).filter("__n > 1")
+    rows = df.select("*", *row_digest(df)).join(again.select(*digests), digests, "left_semi")
+    groups = rows.groupBy(*[col(c) for c in names]).agg(F.count("*").alias(count)).filter(col(count) > 1)
     if n is None:
         return groups
     return groups.orderBy(F.desc(count), *[col(c) for c in names]).limit(n)

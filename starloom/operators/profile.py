@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from starloom.functions.columns import col, is_floating, is_missing, numeric_columns, present
 from starloom.operators.correlation import correlations
+from starloom.operators.dedupe import row_digest
 from starloom.operators.ranks import quantiles_and_mad
 from starloom.operators.stats import rows_of, value_counts
 
@@ -47,12 +48,13 @@ def _count_where(df: DataFrame, name: str, test) -> Column:
 
 
 def profile_overview(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, missing cells and duplicate rows with their shares. One job."""
+    """One row: rows, columns, missing cells and duplicate rows with their shares. One job, in which
+    digests of rows are shuffled."""
     missing = reduce(lambda a, b: a + b, [is_missing(df, c).cast("long") for c in df.columns])
-    groups = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("__n"))
+    groups = df.groupBy(*row_digest(df)).agg(F.count("*").alias("__n"), F.sum(missing).alias("__missing"))
     n = F.coalesce(F.sum("__n"), F.lit(0))
     cells = n * len(df.columns)
-    n_missing = F.coalesce(F.sum(F.col("__n") * missing), F.lit(0))
+    n_missing = F.coalesce(F.sum("__missing"), F.lit(0))
     n_duplicates = n - F.count("*")
     return groups.agg(
         n.alias("n_rows"),

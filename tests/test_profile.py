@@ -9,6 +9,7 @@ import pytest
 
 from starloom.operators import profile as P
 from starloom.operators.correlation import correlations, cramers_v
+from starloom.operators.dedupe import duplicate_report, duplicate_rows
 from starloom.operators.stats import value_counts
 
 NAN, INF = float("nan"), float("inf")
@@ -327,3 +328,20 @@ def test_histogram_tells_of_columns_without_a_value_inside(spark):
     assert rows == {("a", 1): (1.0, 2, 0), ("a", 2): (25.5, 1, 0), ("b", None): (None, 0, 3)}
     bounded = {(r.column, r.bin): (r.n, r.n_out) for r in P.profile_histograms(df, bins=2, bounds=(60.0, 80.0)).collect()}
     assert bounded == {("a", 1): (0, 3), ("a", 2): (0, 3), ("b", 1): (0, 3), ("b", 2): (0, 3)}
+
+
+def test_duplicates_by_digest(spark):
+    rows = [
+        ("a", None, 0.0), ("a", None, -0.0), (None, "a", 0.0), ("ab", "c", 1.0), ("a", "bc", 1.0), ("a", "bc", math.nan),
+        ("a", "bc", math.nan), (None, None, None), (None, None, None), (None, None, None), ("", None, None), ("x", "y", 2.0),
+    ]
+    df = spark.createDataFrame(rows, "x string, y string, v double").repartition(4)
+    assert tuple(duplicate_report(df).first()) == (12, 8, 4)
+    found = {(r["x"], r["y"]): r["n"] for r in duplicate_rows(df).collect()}
+    assert found == {("a", None): 2, ("a", "bc"): 2, (None, None): 3}
+    first = [(r["x"], r["y"], r["n"]) for r in duplicate_rows(df, 2).collect()]
+    assert first == [(None, None, 3), ("a", None, 2)]
+    assert duplicate_rows(df.limit(0), 2).count() == duplicate_rows(df.limit(0)).count() == 0
+    over = P.profile_overview(df).first()
+    missing = sum(v is None or v != v for r in rows for v in r)
+    assert (over["n_rows"], over["missing_cells"], over["duplicate_rows"]) == (12, missing, 4)
