@@ -43,6 +43,27 @@ def denormalise(fact: DataFrame, specs: Sequence[DimSpec]) -> DataFrame:
     return fact
 
 
+def join_audit(fact: DataFrame, spec: DimSpec) -> DataFrame:
+    """Rows (key, n_facts, n_dimension, n_lost, n_added) of the keys that change the number of rows in
+    an inner join: how many facts a key loses, and how many it adds beyond one per fact.
+
+    Both sides are counted in one grouping, which combines copies before its only shuffle. A null
+    key matches nothing: its facts are lost. It and other keys that occur twice in the dimension
+    are listed even if no fact has them. The key has the wider of both sides' types.
+    """
+    one, none = F.lit(1), F.lit(0)
+    sides = fact.select(col(spec.fact_key).alias("key"), one.alias("f"), none.alias("d")).unionAll(
+        spec.df.select(col(spec.dim_key).alias("key"), none, one)
+    )
+    counts = sides.groupBy("key").agg(F.sum("f").alias("n_facts"), F.sum("d").alias("n_dimension"))
+    matched = F.col("key").isNotNull() & (F.col("n_dimension") > 0)
+    return counts.select(
+        "*",
+        F.when(matched, 0).otherwise(F.col("n_facts")).alias("n_lost"),
+        F.when(matched, F.col("n_facts") * (F.col("n_dimension") - 1)).otherwise(0).alias("n_added"),
+    ).filter("n_lost > 0 OR n_dimension > 1")
+
+
 def unmatched(fact: DataFrame, spec: DimSpec) -> DataFrame:
     """Rows (key, n): fact keys missing from the dimension and how many facts each one loses.
 

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.functions.columns import present
 from starloom.operators.stats import rows_of
@@ -56,6 +56,24 @@ def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return broken.withColumn("message", F.explode(messages))
 
 
+def gate_counts(df: DataFrame, rules: Sequence[Rule]) -> list[Column]:
+    """The aggregates that a verdict needs: ``n_rows``, and per rule ``broken_<place>``."""
+    broken = [F.count_if(r.broken(df)).alias(f"broken_{i}") for i, r in enumerate(rules)]
+    return [F.count("*").alias("n_rows"), *broken]
+
+
+def report_of(spark: SparkSession, rules: Sequence[Rule], counts: Mapping[str, int]) -> DataFrame:
+    """The gate report from counts that are known already."""
+    rows = [
+        (r.name, r.message, counts["n_rows"], counts[f"broken_{i}"], counts[f"broken_{i}"] == 0)
+        for i, r in enumerate(rules)
+    ]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+REPORT_SCHEMA = "rule string, message string, n_rows long, n_violations long, passed boolean"
+
+
 def gate_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row (rule, message, n_rows, n_violations, passed) per rule, all from one pass."""
     return rows_of(

@@ -97,13 +97,15 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = False)
     )
 
 
+def failed_casts(df: DataFrame, column: str, target: str) -> Column:
+    """The number of values present before the cast and null after it, as an aggregate."""
+    return F.count_if(col(column).isNotNull() & _fit(df, column, target).isNull())
+
+
 def cast_failures(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Rows (column, n_failed): values present before the cast and null after it. One pass."""
     counts = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.count_if(col(c).isNotNull() & _fit(df, c, t).isNull()).alias("n_failed"),
-        )
+        F.struct(F.lit(c).alias("column"), failed_casts(df, c, t).alias("n_failed"))
         for c, t in types.items()
     ]
     return df.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
-from starloom.operators.quality import Rule, alert_rows, gate_report
+from starloom.operators.quality import Rule, alert_rows, gate_counts, report_of
 from starloom.operators.sampling import sample_by_key
-from starloom.operators.shape import cast_failures, conform
+from starloom.operators.shape import conform, failed_casts
 from starloom.schemas import Profile, STRING_PROFILE
 from starloom.session import drop_scratch, scratch_path
 from starloom.sinks import (
@@ -66,6 +67,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, label: str, counts: Sequence[Column]) -> tuple[DataFrame, dict[str, int]]:
+    """Stage a table and observe aggregates of its rows while they are written.
+
+    The observation stands directly below the write, so its task results count once however often
+    a task is retried. Spark plans an input known to be empty without it; then the few rows that
+    were staged, none, are counted.
+    """
+    seen = Observation(f"{label}-{uuid.uuid4().hex}")
+    staged = stage(df.observe(seen, *counts), label)
+    found = seen.get
+    return staged, found if found else staged.agg(*counts).first().asDict()
+
+
 def unstage(df: DataFrame) -> None:
     """Remove the files of a staged table."""
     drop_scratch(df.sparkSession, *{file.rpartition("/")[0] for file in df.inputFiles()})
@@ -87,7 +101,8 @@ def run_batch(
 
     The batch is staged once, sampled from there if asked, and staged again, so the verdict is
     about the rows that get loaded and a failure upstream happens before the table is touched.
-    Values that do not fit the table's types raise before it, too. A profile without a partition
+    What the rules and the table's types need is counted while the rows are staged, so the verdict
+    reads nothing. Values that do not fit the table's types raise before it is touched, too. A profile without a partition
     column replaces its whole table. Only verdicts, one row per rule and column, come to the
     driver. ``keys`` is a report as of ``plans.tickets.key_report``; with ``strict`` duplicate
     dimension keys raise.
@@ -95,21 +110,25 @@ def run_batch(
     check_date(process_date)
     spark = df.sparkSession
     if keys is not None:
-        found = keys.collect()
-        doubled = [row["dimension"] for row in found if row["n_duplicate_keys"]]
+        audited = keys.collect()
+        doubled = [row["dimension"] for row in audited if row["n_duplicate_keys"]]
         if strict and doubled:
             raise ValueError(f"duplicate keys in {', '.join(doubled)} multiply facts")
-        keys = spark.createDataFrame(found, keys.schema)
-    staged = stage(df, "batch")
+        keys = spark.createDataFrame(audited, keys.schema)
+    misfits = [failed_casts(df, c, t).alias(f"misfit_{c}") for c, t in profile.columns if c in df.columns]
+    counts = [*gate_counts(df, rules), *misfits]
     if sample:
-        whole, staged = staged, stage(sample_by_key(staged, sample.key, sample.k, sample.seed), "sample")
+        whole = stage(df, "batch")
+        drawn = sample_by_key(whole, sample.key, sample.k, sample.seed)
+        staged, found = stage_counted(drawn, "sample", counts)
         unstage(whole)
+    else:
+        staged, found = stage_counted(df, "batch", counts)
     csv_path = write_csv(staged, csv_dir, process_date) if csv_dir else None
-    verdict = gate_report(staged, rules)
-    report = spark.createDataFrame(verdict.collect(), verdict.schema)
-    passed = not report.filter("not passed").head(1)
+    report = report_of(spark, rules, found)
+    passed = not any(found[f"broken_{i}"] for i in range(len(rules)))
     if passed:
-        _check_types(staged, profile)
+        _check_types(found, profile)
         batch = layout(conform(staged, profile), profile.sort_by)
         if profile.partition_by:
             ensure_table(spark, table, profile, location)
@@ -119,8 +138,8 @@ def run_batch(
     return BatchResult(passed, report, alert_rows(report), staged, csv_path, keys)
 
 
-def _check_types(staged: DataFrame, profile: Profile) -> None:
-    misfits = cast_failures(staged, dict(profile.columns)).filter("n_failed > 0").collect()
-    if misfits:
-        found = ", ".join(f"{row['column']} ({row['n_failed']} rows)" for row in misfits)
-        raise ValueError(f"values do not fit the table's types: {found}")
+def _check_types(found: dict[str, int], profile: Profile) -> None:
+    failed = [(c, found.get(f"misfit_{c}", 0)) for c, _ in profile.columns]
+    if any(n for _, n in failed):
+        told = ", ".join(f"{c} ({n} rows)" for c, n in failed if n)
+        raise ValueError(f"values do not fit the table's types: {told}")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions.columns import Band
-from starloom.operators.dedupe import dedupe, duplicate_keys, duplicate_report
-from starloom.operators.joins import DimSpec, denormalise, unmatched
+from starloom.operators.dedupe import dedupe, duplicate_report
+from starloom.operators.joins import DimSpec, denormalise, join_audit
 from starloom.operators.shape import (
     band,
     cast_columns,
@@ -69,17 +69,14 @@ def airport_spec(airports: DataFrame, native_names: bool = False) -> DimSpec:
 
 def key_report(fact: DataFrame, airlines: DataFrame, airports: DataFrame) -> DataFrame:
     """Rows (dimension, n_unmatched, n_duplicate_keys): facts that find no dimension row, and
-    dimension keys that would multiply facts."""
+    dimension keys that would multiply facts. One shuffle of counts by key per dimension."""
     rows = []
     for name, spec in (("airlines", airline_spec(airlines)), ("airports", airport_spec(airports))):
-        lost = unmatched(fact, spec).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_unmatched"))
-        doubled = duplicate_keys(spec.df, spec.dim_key).agg(F.count("*").alias("n_duplicate_keys"))
-        one = fact.sparkSession.range(1)
         rows.append(
-            one.select(
+            join_audit(fact, spec).agg(
                 F.lit(name).alias("dimension"),
-                lost.scalar().alias("n_unmatched"),
-                doubled.scalar().alias("n_duplicate_keys"),
+                F.coalesce(F.sum("n_lost"), F.lit(0)).alias("n_unmatched"),
+                F.count_if(F.col("n_dimension") > 1).alias("n_duplicate_keys"),
             )
         )
     return rows[0].unionByName(rows[1])

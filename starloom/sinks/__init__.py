@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions import col
 from starloom.schemas import Profile
+from starloom.session import drop_scratch
 from starloom.sources import CSV_OPTIONS, escaped
 
 
@@ -159,28 +160,65 @@ def replace_partition(
         spark.conf.set(mode, before)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(row["data_type"] for row in about if row["col_name"] == "Location")
+
+
+def _same_design(spark: SparkSession, first: str, second: str) -> bool:
+    return spark.table(first).schema == spark.table(second).schema and table_layout(
+        spark, first
+    ) == table_layout(spark, second)
+
+
 def replace_table(df: DataFrame, table: str, profile: Profile, location: str | None = None) -> None:
     """Make the batch the whole content of a table without partitions.
 
-    The rows go to a new table, which takes the old one's name when it is complete; a job that
-    fails leaves the old table. Columns that the profile lacks raise first. Between two renamings no
-    table has the name; if the second fails the old one gets it back, and a driver lost just then
-    leaves the old rows whole as ``<table>_old_...``.
+    The rows go to a folder of their own, a version of the table. When it is complete, one change of
+    the catalog makes the table point to it, and the old version's folder goes: at any step a crash
+    leaves a table that can be read, with the old rows or the new. A job that fails leaves the old
+    table; a version whose driver was lost stays as ``<table>_<digits>``. Columns that the profile
+    lacks raise first. If the profile's columns or layout aren't the table's, a new table takes the
+    name instead: between two renamings no table has it, and the old rows stay as
+    ``<table>_old_...`` until the new ones do.
     """
     _same_columns(df, [name for name, _ in profile.columns])
     spark = df.sparkSession
-    fresh = f"{table}_{uuid.uuid4().hex}"
-    ensure_table(spark, fresh, profile, location and f"{location.rstrip('/')}/{uuid.uuid4().hex}")
+    version = uuid.uuid4().hex
+    fresh = f"{table}_{version}"
+    existed = spark.catalog.tableExists(table)
+    if location:
+        folder = f"{location.rstrip('/')}/{version}"
+    else:
+        folder = f"{_location(spark, table).rstrip('/').rpartition('/')[0]}/{table.rpartition('.')[2]}-{version}" if existed else None
+    ensure_table(spark, fresh, profile, folder)
+    same = existed and _same_design(spark, fresh, table)
+    if existed and not same and not location:  # the new table is to be a managed one again
+        spark.sql(f"DROP TABLE {fresh}")
+        ensure_table(spark, fresh, profile)
     try:
         names = [col(name) for name, _ in profile.columns]
         spark.sql(f"INSERT INTO {fresh} SELECT * FROM {{batch}}", batch=arranged(df.select(*names), fresh))
     except Exception:
         spark.sql(f"DROP TABLE {fresh}")
+        if same:
+            drop_scratch(spark, folder)
         raise
-    # Names alone change from here on; the old rows stay until the new ones have the name.
+    if not same:
+        _rename_over(spark, fresh, table, existed)
+        return
+    old = _location(spark, table)
+    quoted = _location(spark, fresh).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{quoted}'")
+    spark.sql(f"REFRESH TABLE {table}")
+    spark.sql(f"DROP TABLE {fresh}")  # its files stay: a table with a location does not own them
+    drop_scratch(spark, old)
+
+
+def _rename_over(spark: SparkSession, fresh: str, table: str, existed: bool) -> None:
+    """Names alone change here; the old rows stay until the new ones have the name."""
     old = f"{table}_old_{uuid.uuid4().hex}"
     bare = table.rpartition(".")[2]
-    existed = spark.catalog.tableExists(table)
     if existed:
         spark.sql(f"ALTER TABLE {table} RENAME TO {old.rpartition('.')[2]}")
     try:

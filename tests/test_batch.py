@@ -98,11 +98,54 @@ def test_loads_keep_the_distribution_that_the_table_remembers(spark, table, tmp_
         ensure_table(spark, table, schemas.Profile(PROFILE.columns, sort_by="v", distribute_by="id"))
 
 
-def test_replacing_keeps_old_rows_until_the_new_have_the_name(spark, table, tmp_path, monkeypatch):
+def crash_at(monkeypatch, spark, step):
+    """The ``step``-th statement that changes the catalog or data, from 0, is not run, nor is any after it."""
+    done, run = [], type(spark).sql
+
+    def failing(self, query, *args, **kwargs):
+        if query.split()[0] in ("CREATE", "INSERT", "ALTER", "REFRESH", "DROP"):
+            done.append(query)
+            if len(done) > step:
+                raise RuntimeError("lost")
+        return run(self, query, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    return done
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_a_crash_between_any_steps_of_a_replacement_leaves_a_table(spark, table, tmp_path, monkeypatch, kept):
+    profile = schemas.Profile(PROFILE.columns[:2], sort_by="id", distribute_by="id", buckets=2)
+    location = str(tmp_path / "t") if kept else None
+    before = [(1, Decimal(1))]
+    replace_table(batch(spark, before), table, profile, location)
+    steps, seen = 0, []
+    while steps < 20:
+        after = [(steps + 2, Decimal(2)), (steps + 3, None)]
+        with monkeypatch.context() as patch:
+            ran = crash_at(patch, spark, steps)
+            try:
+                replace_table(batch(spark, after), table, profile, location)
+            except RuntimeError:
+                pass
+        found = content(spark, table)
+        assert found in (before, after), ran[-1]
+        seen.append(found == after)
+        before = found
+        if len(ran) <= steps:
+            break
+        steps += 1
+    assert seen == sorted(seen) and seen[-1] and not seen[0] and 3 <= steps < 20
+    assert table_layout(spark, table).buckets == 2
+
+
+def test_replacing_by_another_layout_keeps_old_rows_until_the_new_have_the_name(spark, table, tmp_path, monkeypatch):
     profile = schemas.Profile(PROFILE.columns[:2], sort_by="id", distribute_by="id", buckets=2)
     replace_table(batch(spark, [(1, Decimal(1))]), table, profile)
+    profile = schemas.Profile(PROFILE.columns[:2], sort_by="id", distribute_by="id", buckets=3)
     replace_table(batch(spark, [(2, Decimal(2))]), table, profile)
-    assert content(spark, table) == [(2, Decimal(2))] and table_layout(spark, table).buckets == 2
+    assert content(spark, table) == [(2, Decimal(2))] and table_layout(spark, table).buckets == 3
+    profile = schemas.Profile(PROFILE.columns[:2], sort_by="v")
     asked, run = [], type(spark).sql
 
     def failing(self, query, *args, **kwargs):
@@ -119,6 +162,31 @@ def test_replacing_keeps_old_rows_until_the_new_have_the_name(spark, table, tmp_
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith(table)] == [table]
 
 
+def test_old_versions_of_a_table_go(spark, table, tmp_path):
+    profile = schemas.Profile(PROFILE.columns[:2], sort_by="id")
+    for i in range(4):
+        replace_table(batch(spark, [(i, Decimal(i))]), table, profile, str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").iterdir())) == 1 and content(spark, table) == [(3, Decimal(3))]
+
+
+def test_the_verdict_is_counted_while_the_batch_is_staged(spark, table, tmp_path):
+    """No job of its own reads the staged rows for the verdict, and an empty batch passes."""
+    from starloom.plans.batch import stage_counted
+    from starloom.operators.quality import gate_counts, gate_report, report_of
+
+    rules = (Rule("few", "id", ">=", 7), NO_RULE)
+    rows = batch(spark, [(i % 10, None) for i in range(1000)]).repartition(5)
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "staging")
+    staged, found = stage_counted(rows, "batch", gate_counts(rows, rules))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {"n_rows": 1000, "broken_0": 300, "broken_1": 0}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 2
+    assert report_of(spark, rules, found).collect() == gate_report(staged, rules).collect()
+    for empty in (rows.filter("false"), batch(spark, [])):
+        assert stage_counted(empty, "none", gate_counts(empty, rules))[1] == {"n_rows": 0, "broken_0": 0, "broken_1": 0}
+
+
 def test_too_long_text_is_refused_on_write(spark, table, tmp_path):
     profile = schemas.Profile((("t", "varchar(3)"),), sort_by="t")
     ensure_table(spark, table, profile, str(tmp_path / "table"))

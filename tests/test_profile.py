@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.operators import profile as P
 from starloom.operators.correlation import correlations, cramers_v
@@ -345,3 +346,41 @@ def test_duplicates_by_digest(spark):
     over = P.profile_overview(df).first()
     missing = sum(v is None or v != v for r in rows for v in r)
     assert (over["n_rows"], over["missing_cells"], over["duplicate_rows"]) == (12, missing, 4)
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "decimal(12,2)", "date", "binary", "boolean"])
+def test_frequent_values_are_those_of_a_whole_count(spark, kind):
+    from starloom.operators.frequent import frequent_values
+    from starloom.operators.profile import top_values
+
+    # A value in a third of the rows, some in a few per cent, a long tail, and nulls.
+    hot = F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 20 = 1 THEN id % 5 WHEN id % 50 = 2 THEN NULL ELSE id END")
+    df = spark.range(0, 60_000, 1, 7).select(hot.alias("v"))
+    if kind == "boolean":
+        df = df.select((F.col("v") % 2 == 0).alias("v"))
+    elif kind == "date":
+        df = df.select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("v").cast("int")).alias("v"))
+    else:
+        df = df.select(F.col("v").cast("string").cast(kind).alias("v"))
+    for n, capacity in ((1, 32), (4, 64), (6, 1000), (40, 100)):
+        assert frequent_values(df, "v", n, capacity).collect() == top_values(df, "v", n).collect()
+    assert frequent_values(df.limit(0), "v", 3).collect() == []
+    some = df.limit(1)
+    assert frequent_values(some, "v", 3).collect() == top_values(some, "v", 3).collect()
+
+
+def test_frequent_values_shuffle_summaries_alone(spark):
+    """Rows shuffled follow tasks and capacity, not distinct values; bounds hold for every value."""
+    from starloom.operators.frequent import summaries
+
+    df = spark.range(0, 200_000, 1, 4).select(F.expr("CASE WHEN id % 4 = 0 THEN id % 16 ELSE id END").alias("v"))
+    rows = summaries(df, "v", 100).collect()
+    assert len(rows) <= 4 * 101
+    taken = sum(r["taken"] for r in rows)
+    held = {}
+    for r in rows:
+        if r["present"]:
+            held[r["value"]] = held.get(r["value"], 0) + r["n"]
+    exact = {r["v"]: r["n"] for r in df.groupBy("v").agg(F.count("*").alias("n")).collect()}
+    assert all(held.get(v, 0) <= n <= held.get(v, 0) + taken for v, n in exact.items())
+    assert taken <= 200_000 / 100 + 4

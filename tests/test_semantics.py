@@ -340,3 +340,20 @@ def test_guarded_casts_of_whole_numbers(spark):
     for target in ("int", "smallint", "bigint", "decimal(10,0)", "decimal(19,0)", "decimal(38,2)"):
         guarded = C.cast_columns(df, {"v": target})
         assert rows(guarded) == rows(df.select(F.col("v").try_cast(target)))
+
+
+def test_join_audit(spark):
+    from starloom.operators.joins import join_audit
+
+    fact = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,), (None,)], "k string")
+    dim = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("d",), ("e",), ("e",), (None,)], "id string")
+    audit = join_audit(fact, DimSpec(dim, "k", "id", {}))
+    found = {r[0]: tuple(r)[1:] for r in audit.collect()}
+    assert found == {"a": (2, 3, 0, 4), "c": (1, 0, 1, 0), "e": (0, 2, 0, 0), None: (2, 1, 2, 0)}
+    joined = fact.join(dim, fact["k"] == dim["id"]).count()
+    lost, added = audit.selectExpr("sum(n_lost)", "sum(n_added)").first()
+    assert joined == fact.count() - lost + added
+    unrun = join_audit(fact, DimSpec(dim, "k", "id", {}))
+    plan = unrun._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert join_audit(fact.limit(0), DimSpec(dim.limit(0), "k", "id", {})).count() == 0

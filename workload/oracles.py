@@ -480,3 +480,17 @@ ORACLES["profile_job"] = " UNION ALL ".join(
         ),
     ]
 )
+
+ORACLES |= {
+    "frequent_values": """SELECT concat_ws('/', l_returnflag, l_linestatus, l_linenumber) AS value, count(*) AS n
+FROM lineitem GROUP BY 1 ORDER BY n DESC, value LIMIT 10""",
+    "frequent_values_tied": ORACLES["top_values"],
+    "join_audit_keys": """WITH d AS (SELECT c_custkey AS key, CASE WHEN c_mktsegment = 'BUILDING' THEN 2 ELSE 1 END AS n
+  FROM customer WHERE c_acctbal > 0),
+f AS (SELECT o_custkey AS key, count(*) AS n FROM orders GROUP BY 1),
+b AS (SELECT coalesce(f.key, d.key) AS key, coalesce(f.n, 0) AS n_facts, coalesce(d.n, 0) AS n_dimension
+  FROM f FULL JOIN d ON f.key = d.key)
+SELECT key, n_facts, n_dimension, CASE WHEN n_dimension > 0 THEN 0 ELSE n_facts END AS n_lost,
+  CASE WHEN n_dimension > 0 THEN n_facts * (n_dimension - 1) ELSE 0 END AS n_added
+FROM b WHERE n_dimension <> 1""",
+}

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.functions import local_date, slash_timestamp
 from starloom.functions.columns import Band
-from starloom.operators import dedupe as D, profile as P, quality as G, shape as C, stats as S
+from starloom.operators import dedupe as D, frequent, profile as P, quality as G, shape as C, stats as S
 from starloom.operators.correlation import correlations, cramers_v
-from starloom.operators.joins import DimSpec, denormalise, unmatched
+from starloom.operators.joins import DimSpec, denormalise, join_audit, unmatched
 from starloom.operators.sampling import sample_by_key
 from starloom.operators.sql import sql_steps
 from starloom.plans import batch, tickets
@@ -406,6 +406,15 @@ def star_join_orders(spark, sf_dir):
     return joined.select("o_orderkey", "o_totalprice", "name", "nation")
 
 
+@query
+def join_audit_keys(spark, sf_dir):
+    """Orders that no customer of positive balance, or several rows of one, would meet."""
+    customers = read_table(spark, sf_dir, "customer").filter("c_acctbal > 0")
+    doubled = customers.unionAll(customers.filter("c_mktsegment = 'BUILDING'"))
+    spec = DimSpec(doubled, fact_key="o_custkey", dim_key="c_custkey", columns={})
+    return join_audit(read_table(spark, sf_dir, "orders"), spec)
+
+
 @query
 def unmatched_keys(spark, sf_dir):
     return unmatched(line(spark, sf_dir), positive_suppliers(spark, sf_dir))
@@ -590,6 +599,19 @@ def top_values(spark, sf_dir):
     return P.top_values(line(spark, sf_dir), "l_partkey", 10)
 
 
+@query
+def frequent_values(spark, sf_dir):
+    """The most frequent kinds of lines."""
+    lines = line(spark, sf_dir).select(F.concat_ws("/", "l_returnflag", "l_linestatus", "l_linenumber").alias("v"))
+    return frequent.frequent_values(lines, "v", 10)
+
+
+@query
+def frequent_values_tied(spark, sf_dir):
+    """Values of which none stands out are grouped whole."""
+    return frequent.frequent_values(line(spark, sf_dir), "l_partkey", 10, capacity=64)
+
+
 @query
 def top_values_by_column(spark, sf_dir):
     columns = ["l_returnflag", "l_partkey", "l_linenumber"]
