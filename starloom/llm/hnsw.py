@@ -1,7 +1,9 @@
 """Approximate nearest neighbours: one navigable small-world graph per shard, results merged.
 
 Vectors are lifted by one component to equal length, so that the greatest inner product is the
-nearest vector and the graph's geometry is sound. A shard's graph is kept as rows with flat
+nearest vector and the graph's geometry is sound. A shard holds vectors of one band of lengths, each
+band twice as long as the one before, and lifts them to its own longest: a vector far longer than
+the others changes nothing in their shards. A shard's graph is kept as rows with flat
 neighbour arrays: for every node its neighbours on the ground level, then on each upper level.
 Many insertions and searches walk the graph in step, so that numpy does the work.
 """
@@ -15,19 +17,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import light, stored
 
 
 @dataclass(frozen=True)
 class Params:
-    """Neighbours per upper level (twice as many on the ground), width of searches, batch sizes."""
+    """Neighbours per upper level (twice as many on the ground), width of searches, batch sizes.
+
+    A block of queries holds ``block_rows`` at most, and ``block_bytes`` of components or so.
+    """
 
     links: int = 16
     build_width: int = 64
     search_width: int = 96
     batch: int = 256
     shard_rows: int = 8192
-    block_rows: int = 4096
+    block_rows: int = 16384
+    block_bytes: int = 1 << 25
 
 
 class Graph:
@@ -187,39 +193,50 @@ def valid_vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def build_index(embeddings: DataFrame, keep: int, params: Params = Params()) -> DataFrame:
-    """The index: dim, shard, node, ids, v, level, neighbours.
+    """The index: dim, band, shard, node, ids, v, scale, lift, level, neighbours.
 
     Equal vectors are one node; ``ids`` are its ``keep`` least ids, which are all that a search for
-    that many can return. Nodes are dealt to shards by hash, so that shards hold ``shard_rows`` or so.
+    that many can return. Nodes of a dimension and a band of lengths are dealt to shards by hash, so
+    that shards hold ``shard_rows`` or so; a band of few vectors is one small shard. ``scale`` is the
+    length of the band's longest vector, and graphs are built of vectors divided by it.
     """
     rows = valid_vectors(embeddings).distinct()
     least = Window.partitionBy("v").orderBy("vec_id")
     copies = rows.withColumn("_n", F.row_number().over(least)).filter(F.col("_n") <= keep)
+    # Divided by the greatest component first, so that no square leaves the range of doubles.
+    most = F.array_max(F.transform("v", F.abs))
+    length = F.col("_most") * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("_most")) ** 2))
     nodes = stored(
         copies.groupBy("v")
         .agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-        .withColumn("dim", F.size("v")),
+        .withColumn("_most", most)
+        .withColumn("length", F.least(length, F.lit(1.7e308)))
+        .select("v", "ids", "length", F.size("v").alias("dim"), F.floor(F.log2("length")).cast("int").alias("band")),
         "ann-nodes",
     )
-    n = nodes.count()
-    shards = max(1, -(-n // params.shard_rows))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    longest = nodes.agg(F.max(square)).first()[0] or 0.0
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int"))
+    # One row for each dimension and power of two that occurs.
+    bands = nodes.groupBy("dim", "band").agg(
+        F.max("length").alias("scale"), F.ceil(F.count("*") / params.shard_rows).alias("_shards")
+    )
+    dealt = nodes.join(bands, ["dim", "band"]).withColumn(
+        "shard", F.pmod(F.xxhash64(F.col("ids")[0]), F.col("_shards")).cast("int")
+    )
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(first=[ids[0] for ids in rows["ids"]]).sort_values("first", ignore_index=True)
-        x = np.stack(rows["v"].to_numpy()).astype(np.float64)
-        lift = np.sqrt(np.maximum(longest - (x * x).sum(1, keepdims=True), 0))
+        x = np.stack(rows["v"].to_numpy()).astype(np.float64) / rows["scale"].iat[0]
+        lift = np.sqrt(np.maximum(1 - (x * x).sum(1, keepdims=True), 0))
         graph = Graph(np.hstack([x, lift]).astype(np.float32), params, draw_levels(rows["first"].to_numpy(), params))
         graph.build()
         return pd.DataFrame(
             {
                 "dim": rows["dim"],
+                "band": rows["band"],
                 "shard": rows["shard"],
                 "node": np.arange(len(rows), dtype=np.int32),
                 "ids": rows["ids"],
                 "v": rows["v"],
+                "scale": rows["scale"],
                 "lift": lift[:, 0],
                 "level": graph.levels,
                 "neighbours": [graph.flat(i) for i in range(len(rows))],
@@ -227,29 +244,33 @@ def build_index(embeddings: DataFrame, keep: int, params: Params = Params()) ->
         )
 
     schema = (
-        "dim int, shard int, node int, ids array<long>, v array<double>, lift double, level int, neighbours array<int>"
+        "dim int, band int, shard int, node int, ids array<long>, v array<double>, scale double, lift double, "
+        "level int, neighbours array<int>"
     )
-    return stored(dealt.groupBy("dim", "shard").applyInPandas(build, schema), "ann-index")
+    return stored(dealt.groupBy("dim", "band", "shard").applyInPandas(build, schema), "ann-index")
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int, params: Params = Params()) -> DataFrame:
     """Per query (vec_id, v) its ``k`` nearest found: query_id, rank, vec_id, score.
 
     Queries go in blocks to every shard of their dimension. A shard returns its k + 1 best nodes by
-    exact inner product; the merged best are spread out to their ids, less the query's own.
+    exact inner product; the merged best are spread out to their ids, less the query's own. The
+    index is read by as many tasks per shard as there are blocks.
     """
-    shards = index.agg(F.max("shard")).first()[0]
-    if shards is None:
-        return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     asked = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q")).withColumn("dim", F.size("q"))
     asked = stored(asked, "ann-queries")
-    blocks = max(1, -(-asked.count() // params.block_rows))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n)))
-    left = index.withColumn("block", each(blocks - 1)).groupBy("dim", "shard", "block")
+    most = F.greatest(F.lit(1), F.least(F.lit(params.block_rows), F.floor(params.block_bytes / (8 * F.col("dim")))))
+    blocks = asked.groupBy("dim").agg(F.ceil(F.count("*") / most).cast("int").alias("blocks"))
+    # One row per shard, and one per dimension.
+    shards = index.select(*[F.col(c).alias(c) for c in ("dim", "band", "shard")]).distinct()
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = index.join(light(blocks), "dim").withColumn("block", each).groupBy("dim", "band", "shard", "block")
+    block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")
     right = (
-        asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-        .withColumn("shard", each(shards))
-        .groupBy("dim", "shard", "block")
+        asked.join(light(blocks), "dim")
+        .select("query_id", "q", "dim", block.alias("block"))
+        .join(light(shards), "dim")
+        .groupBy("dim", "band", "shard", "block")
     )
     keep = k + 1
 
@@ -258,13 +279,14 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, params: Params =
             return pd.DataFrame({"query_id": [], "score": [], "ids": []}).astype({"ids": object})
         nodes = nodes.sort_values("node", ignore_index=True)
         x = np.stack(nodes["v"].to_numpy())
-        lifted = np.hstack([x, nodes[["lift"]].to_numpy()]).astype(np.float32)
+        lifted = np.hstack([x / nodes["scale"].iat[0], nodes[["lift"]].to_numpy()]).astype(np.float32)
         graph = restore(lifted, nodes["level"].to_numpy(), list(nodes["neighbours"]), params)
         least, ids = np.array([i[0] for i in nodes["ids"]]), nodes["ids"].to_numpy()
         out = []
         for part in np.array_split(np.arange(len(some)), max(1, -(-len(some) // params.batch))):
             q = np.stack(some["q"].to_numpy()[part])
-            lowered = np.hstack([q, np.zeros((len(q), 1))]).astype(np.float32)
+            # A query's own length changes no order, so each is divided by its greatest component.
+            lowered = np.hstack([q / np.abs(q).max(1, keepdims=True), np.zeros((len(q), 1))]).astype(np.float32)
             starts = graph.descend(lowered, 0, graph.top, graph.entry)
             found, _ = graph.search(lowered, 0, starts, max(params.search_width, 2 * keep))
             for i, row in zip(part, found, strict=True):
@@ -296,6 +318,7 @@ def nearest_neighbours(embeddings: DataFrame, queries: DataFrame, k: int = 20, p
     Defined cases: vectors that are null, zero, or hold a null or non-finite component take no
     part, neither do rows without an id; vectors of another length are no candidates; equal rows
     count once; of several vectors under one id all are candidates, and the least one is searched
-    for; fewer candidates than ``k`` are all returned; an empty table gives no rows.
+    for; fewer candidates than ``k`` are all returned; an empty table gives no rows. Other columns
+    of either table are not looked at, whatever their names. Lengths may differ by any factor.
     """
     return search_index(build_index(embeddings, k + 1, params), valid_vectors(queries), k, params)

@@ -406,6 +406,35 @@ def test_graph_recall():
     assert np.mean([len(set(f[:20]) & set(b)) / 20 for f, b in zip(found, best, strict=True)]) > 0.9
 
 
+@pytest.mark.parametrize("longest", [1.0, 10.0, 1e6, 1e150])
+def test_recall_does_not_depend_on_the_lengths_of_vectors(spark, longest):
+    """Over at least four shards: vectors of one length, of lengths up to ``longest``, and with one far longer."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    some = longest ** rng.uniform(size=(4000, 1))
+    few = np.where(np.arange(4000)[:, None] == 17, longest, 1.0)
+    for lengths in (some, few):
+        y = x * lengths
+        rows = [(i, v.tolist()) for i, v in enumerate(y)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        clashing = df.withColumns({"Dim": F.lit(1), "SHARD": F.lit("x"), "v": F.lit(0), "q": F.lit(0), "band": F.lit(2)})
+        params = hnsw.Params(shard_rows=900, block_rows=64)
+        index = hnsw.build_index(clashing, 21, params)
+        assert index.select("band", "shard").distinct().count() >= 4
+        queries = hnsw.valid_vectors(clashing.filter("vec_id % 20 = 0"))
+        found = defaultdict(dict)
+        for r in hnsw.search_index(index, queries, 20, params).collect():
+            found[r.query_id][r.vec_id] = r.score
+        wanted = brute.nearest(rows, rows[::20], 20)
+        hits = sum(len(set(found[q]) & {v for v, _ in near}) for q, near in wanted.items())
+        assert hits >= 0.95 * 20 * len(wanted) and set(found) == set(wanted)
+        for q, near in found.items():
+            assert len(near) == 20
+            for v, score in near.items():
+                assert score == pytest.approx(y[q] @ y[v], rel=1e-9, abs=1e-9 * float(lengths[q, 0] * lengths[v, 0]))
+
+
 def test_slices_of_texts_split_like_whole_ones():
     import pyarrow as pa
 
