@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from .common import light, stored
 
 
+#: Tasks of one exchange at most.
+MOST_TASKS = 20_000
+
+
 @dataclass(frozen=True)
 class Params:
     """Neighbours per upper level (twice as many on the ground), width of searches, batch sizes.
@@ -247,7 +251,10 @@ def build_index(embeddings: DataFrame, keep: int, params: Params = Params()) ->
         "dim int, band int, shard int, node int, ids array<long>, v array<double>, scale double, lift double, "
         "level int, neighbours array<int>"
     )
-    return stored(dealt.groupBy("dim", "band", "shard").applyInPandas(build, schema), "ann-index")
+    # As many tasks as shards, which adaptive execution would merge by bytes though they are long.
+    shards = bands.agg(F.sum("_shards")).first()[0] or 1
+    spread = dealt.repartition(min(shards, MOST_TASKS), "dim", "band", "shard")
+    return stored(spread.groupBy("dim", "band", "shard").applyInPandas(build, schema), "ann-index")
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int, params: Params = Params()) -> DataFrame:
