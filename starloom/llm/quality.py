@@ -106,6 +106,17 @@ def context_sums(texts: Iterator[bytes], shape: Shape) -> np.ndarray:
     return out
 
 
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In a task: the sum of all tables."""
+    total = None
+    for batch in batches:
+        for value in batch.column(0):
+            table = np.frombuffer(value.as_buffer(), np.float32)
+            total = table.copy() if total is None else total + table
+    if total is not None:
+        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+
 def word_vectors(sums: np.ndarray, shape: Shape) -> np.ndarray:
     """Index vector plus direction of the context, both of length one."""
     unit = lambda a: a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-9)
@@ -193,16 +204,18 @@ def fit_quality(
 
     Without rows, or with one label alone, scores are that label's share.
     """
-    # In few tasks, as each sends a table of the model's size to the driver.
+    # In few tasks, as each makes a table of the model's size.
     chosen = labelled_sample(documents, labels, sample, "quality").coalesce(tasks)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = (value.as_py() or b"" for batch in batches for value in batch.column(1))
         yield pa.record_batch([pa.array([context_sums(texts, shape).tobytes()], pa.binary())], ["sums"])
 
-    # One table of fixed size from each of ``tasks`` tasks.
-    tables = [np.frombuffer(row.sums, np.float32) for row in chosen.mapInArrow(contexts, "sums binary").collect()]
-    sums = np.sum(tables, axis=0).reshape(shape.words, shape.dims) if tables else np.zeros((shape.words, shape.dims))
+    # A table of fixed size from each of ``tasks`` tasks; the driver gets their sum alone. The sums are
+    # whole numbers, so their order does not matter.
+    tables = chosen.mapInArrow(contexts, "sums binary").repartition(1).mapInArrow(added, "sums binary")
+    found = [np.frombuffer(row.sums, np.float32) for row in tables.collect()]
+    sums = found[0].reshape(shape.words, shape.dims) if found else np.zeros((shape.words, shape.dims))
     vectors = word_vectors(sums, shape)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -157,6 +157,19 @@ def test_jaccard_near_copies(spark):
     assert got == Counter(brute.jaccard_components(rows))
 
 
+def test_prefix_tokens_are_looked_at_in_slices(spark):
+    texts = [(i, " ".join(f"w{(i * 31 + j) % 997}" for j in range(200))) for i in range(60)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    _, sketch = jaccard.signatures(df)
+    levels = spark.sparkContext.broadcast(jaccard._levels(sketch))
+    whole = Counter(jaccard.prefix_tokens(df, levels).collect())
+    slices = [Counter(jaccard.prefix_tokens(df, levels, part=k, parts=jaccard.SLICES).collect()) for k in range(jaccard.SLICES)]
+    assert sum(slices, Counter()) == whole
+    assert jaccard.SLICES > 1 and max(s.total() for s in slices) < 0.6 * whole.total(), "a slice holds most rows"
+    shared = [Counter(jaccard.shared_tokens(df, sketch, parts=n).collect()) for n in (1, jaccard.SLICES)]
+    assert shared[0] == shared[1] and shared[0]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7), (102, 101), (200, 200)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -262,6 +275,27 @@ def test_classifiers(spark, documents):
         assert classify(documents.limit(0), labels).count() == 0
 
 
+def test_word_sums_reach_the_driver_as_one_table(spark, monkeypatch):
+    rows = [(i, f"good words {i} stand here".encode() if i % 2 else f"#{i} xx {i} !!".encode(), i % 2) for i in range(64)]
+    sample = spark.createDataFrame(rows, "doc_id long, text binary, label int")
+    collect, seen = type(sample).collect, []
+
+    def spy(df):
+        found = collect(df)
+        seen.extend(len(r.sums) for r in found if "sums" in r)
+        return found
+
+    fitted = []
+    for tasks in (1, 8):
+        with monkeypatch.context() as patch:
+            patch.setattr(quality, "labelled_sample", lambda *a: sample.repartition(tasks))
+            patch.setattr(type(sample), "collect", spy)
+            fitted.append(quality.fit_quality(sample, sample))
+    size = 4 * fitted[0].shape.words * fitted[0].shape.dims
+    assert seen == [size, size], "the driver gets a table of each task"
+    assert (fitted[0].vectors == fitted[1].vectors).all() and fitted[0].vectors.any()
+
+
 def test_word_ids_do_not_depend_on_pieces(monkeypatch):
     shape = quality.Shape()
     text = b"a a a b !! c c " * 50
