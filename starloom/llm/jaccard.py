@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ REPEATS = 3
 SMALL_ROWS = 300_000
 #: Salts over which rows of one class are dealt when classes are joined to documents.
 SALTS = 16
+#: Slices of the tokens, looked at one after the other: so much less disk do their rows take at a time.
+SLICES = 2
 #: Rows of a batch sent back to Spark.
 CHUNK = 1 << 18
 
@@ -149,12 +153,14 @@ def needed(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
-def prefix_tokens(documents: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> DataFrame:
+def prefix_tokens(
+    documents: DataFrame, levels: Broadcast, percent: int = PERCENT, part: int = 0, parts: int = 1
+) -> DataFrame:
     """Prefixes of all classes: token, class, at (the set's size and the token's place in the order).
 
     A token goes by the 48 upper bits of its hash: a name that two share adds candidates, no links.
+    Of the names only those of slice ``part`` of ``parts`` are given; ``levels`` is the sketch.
     """
-    levels = documents.sparkSession.sparkContext.broadcast(_levels(sketch))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # classes of this task
@@ -169,8 +175,9 @@ def prefix_tokens(documents: DataFrame, sketch: DataFrame, percent: int = PERCEN
                 level = levels.value[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 # Tokens are sorted by hash, so a stable sort by level gives (level, hash).
                 prefix = tokens[np.argsort(level, kind="stable")[:length]]
-                held.append((prefix, name, n))
-                size += length
+                places = np.flatnonzero((prefix >> np.uint64(16)) % np.uint64(parts) == part)
+                held.append((prefix[places], places, name, n))
+                size += len(places)
                 if size >= CHUNK:
                     yield _prefix_batch(held)
                     held, size = [], 0
@@ -181,27 +188,23 @@ def prefix_tokens(documents: DataFrame, sketch: DataFrame, percent: int = PERCEN
     return rows
 
 
-def _prefix_batch(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
-    lengths = [len(p) for p, _, _ in held]
-    sizes = np.repeat(np.array([n for _, _, n in held], np.int64), lengths)
+def _prefix_batch(held: list[tuple[np.ndarray, np.ndarray, int, int]]) -> pa.RecordBatch:
+    lengths = [len(p) for p, _, _, _ in held]
+    sizes = np.repeat(np.array([n for _, _, _, n in held], np.int64), lengths)
     return pa.record_batch(
         [
-            pa.array((np.concatenate([p for p, _, _ in held]) >> np.uint64(16)).view(np.int64)),
-            pa.array(np.repeat(np.array([c for _, c, _ in held], np.int64), lengths)),
-            pa.array((sizes << 32) + np.concatenate([np.arange(k, dtype=np.int64) for k in lengths])),
+            pa.array((np.concatenate([p for p, _, _, _ in held]) >> np.uint64(16)).view(np.int64)),
+            pa.array(np.repeat(np.array([c for _, _, c, _ in held], np.int64), lengths)),
+            pa.array((sizes << 32) + np.concatenate([at.astype(np.int64) for _, at, _, _ in held])),
         ],
         ["token", "class", "at"],
     )
 
 
-def shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """Prefix tokens that stand in several classes, those in the same classes taken together.
+def shared_rows(prefixes: DataFrame) -> DataFrame:
+    """Rows (token, class, n, place) of the prefix tokens that stand in several classes.
 
-    Rows are token (a name for all tokens that stand in the same classes, such as the shingles of
-    one passage), class, n, place (of the first of the tokens), weight (their number, at least) and
-    leader: the class with the token at the foremost place. Rare tokens stand in front, so a text
-    from which others were made by small changes has its tokens in front of theirs, and leads them.
-    Tokens that wrongly share a name add candidates, no links.
+    Tokens that stand in the same classes get one name.
     """
     by_token = Window.partitionBy("token")
     name = F.xxhash64("class")
@@ -213,16 +216,40 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
             "sum": F.sum(name.bitwiseAND(F.lit(0xFFFFFFFF))).over(by_token),
         }
     )
-    together = F.xxhash64("least", "most", "xor", "sum").alias("token")
-    rows = (
-        listed.filter("least != most")
-        .withColumn("n", F.shiftright("at", 32).cast("int"))
-        .withColumn("place", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
-        .groupBy(together, "class", "n")
-        .agg(F.min("place").alias("place"), F.count("*").alias("weight"))
+    return listed.filter("least != most").select(
+        F.xxhash64("least", "most", "xor", "sum").alias("token"),
+        "class",
+        F.shiftright("at", 32).cast("int").alias("n"),
+        F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"),
+    )
+
+
+def shared_tokens(documents: DataFrame, sketch: DataFrame, percent: int = PERCENT, parts: int = SLICES) -> DataFrame:
+    """Prefix tokens that stand in several classes, those in the same classes taken together.
+
+    Rows are token (a name for all tokens that stand in the same classes, such as the shingles of
+    one passage), class, n, place (of the first of the tokens), weight (their number, at least) and
+    leader: the class with the token at the foremost place. Rare tokens stand in front, so a text
+    from which others were made by small changes has its tokens in front of theirs, and leads them.
+    Tokens that wrongly share a name add candidates, no links.
+
+    Most prefix tokens stand in one class alone, and their rows are the bulk of what is shuffled. So
+    the tokens are looked at in ``parts`` slices: the shuffle files of one go before the next begins.
+    Texts are read once per slice.
+    """
+    spark = documents.sparkSession
+    levels = spark.sparkContext.broadcast(_levels(sketch))
+    slices = []
+    for part in range(parts):
+        slices.append(stored(shared_rows(prefix_tokens(documents, levels, percent, part, parts)), "shingle-slice"))
+        release(spark)
+    rows = reduce(DataFrame.unionByName, slices).groupBy("token", "class", "n").agg(
+        F.min("place").alias("place"), F.count("*").alias("weight")
     )
-    foremost = F.min(F.struct("place", "class")).over(by_token)
-    return rows.withColumn("leader", foremost["class"])
+    foremost = F.min(F.struct("place", "class")).over(Window.partitionBy("token"))
+    shared = stored(rows.withColumn("leader", foremost["class"]), "shingle-shared")
+    discard(spark, *slices)
+    return shared
 
 
 def can_follow(n: Column, place_a: Column, m: Column, place_b: Column, percent: int = PERCENT) -> Column:
@@ -367,7 +394,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, by_id: bool
         named.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("class", "row.*"),
         "shingle-classes",
     )
-    shared = stored(shared_tokens(prefix_tokens(documents, sketch, percent)), "shingle-shared")
+    shared = shared_tokens(documents, sketch, percent)
     release(spark)
     leaders = shared.filter(F.col("class") == F.col("leader")).select(
         F.col("class").alias("b"), F.col("n").alias("m"), F.col("place").alias("place_b"), "token"
