@@ -1,5 +1,6 @@
 """Edge values of the operators: null, NaN, boundaries, exact letters."""
 
+from collections import Counter
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -155,6 +156,31 @@ def test_value_counts_lists_null(spark):
     assert sorted(rows(S.value_counts(df, ["b"])), key=str) == [("b", "1", 2), ("b", None, 1)]
 
 
+def test_value_counts_of_every_type(spark):
+    nan = float("nan")
+    columns = "d double, f float, b boolean, t date, s string, i short, m decimal(5,2), a array<int>, ts timestamp, n void"
+    when = datetime(2024, 1, 2, 3, 4, 5, 600)
+    rows_ = [
+        (0.0, 0.1, True, when.date(), "", 1, Decimal("1.50"), [1], when, None),
+        (-0.0, 0.1, None, None, "x", -1, None, [1], when, None),
+        (nan, nan, False, when.date(), None, 1, Decimal("1.50"), None, None, None),
+        (nan, None, True, when.date(), "x", None, Decimal("2.00"), [], None, None),
+    ]
+    df = spark.createDataFrame(rows_, columns).repartition(3)
+    got = Counter({(r["column"], r["value"]): r["n"] for r in S.value_counts(df, df.columns).collect()})
+    cells = df.select(*[F.when(F.col(c) == 0, F.lit(0.0).cast(k)).otherwise(F.col(c)).cast("string").alias(c) if k in ("double", "float")
+                        else F.col(c).cast("string").alias(c) for c, k in df.dtypes])
+    assert got == Counter((c, row[c]) for row in cells.collect() for c in df.columns)
+    assert S.value_counts(df.filter("false"), ["d", "s"]).count() == 0
+
+
+def test_value_counts_groups_values_of_batches_not_cells(spark):
+    wide = spark.range(0, 20_000, 1, 2).select(*[((F.col("id") + i) % 5).alias(f"c{i}") for i in range(20)])
+    found = S.value_counts(wide, wide.columns)
+    assert found.agg(F.sum("n"), F.count("*")).first()[:] == (400_000, 100)
+    assert "Generate" not in found._jdf.queryExecution().toString(), "a row for each cell"
+
+
 def test_shape_and_null_counts_of_an_empty_table(spark):
     empty = data.fact(spark, [])
     assert rows(S.shape(empty)) == [(0, 9)]
