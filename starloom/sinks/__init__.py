@@ -61,6 +61,23 @@ def ensure_table(
     spark.sql(f"{statement} TBLPROPERTIES ('{SORT_KEY}' = '{profile.sort_by}')")
 
 
+#: Rows of a bucket of the largest table of those that share a distribution, about.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(*tables: DataFrame, least: int = 1) -> int:
+    """Buckets for tables that are to be kept by the same key: ``least``, more where these hold many rows.
+
+    A task joins or groups whole buckets, so their number must follow the rows, or its memory would.
+    Counts the tables when called. The number is ``least`` doubled so many times, so that it changes
+    seldom while a table grows: a replacement with another number makes a new table.
+    """
+    rows = max(table.count() for table in tables)
+    while rows > least * ROWS_PER_BUCKET:
+        least *= 2
+    return least
+
+
 @dataclass(frozen=True)
 class TableLayout:
     """What the catalog remembers of a table's layout."""

@@ -4,7 +4,7 @@ from decimal import Decimal
 import data
 import pytest
 
-from starloom import schemas
+from starloom import schemas, sinks
 from starloom.operators.quality import Rule
 from starloom.operators.shape import where_lt, with_batch_date
 from starloom.plans import tickets
@@ -98,6 +98,26 @@ def test_loads_keep_the_distribution_that_the_table_remembers(spark, table, tmp_
         ensure_table(spark, table, schemas.Profile(PROFILE.columns, sort_by="v", distribute_by="id"))
 
 
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    from workload.queries import REGISTRY
+
+    few, many = spark.range(10), spark.range(1000)
+    assert sinks.buckets_for(few, many, least=8) == 8
+    monkeypatch.setattr(sinks, "ROWS_PER_BUCKET", 50)
+    assert sinks.buckets_for(many, few, least=8) == 32 and sinks.buckets_for(few, least=3) == 3
+    assert sinks.buckets_for(many.filter("false")) == 1
+    monkeypatch.setattr(sinks, "ROWS_PER_BUCKET", 400)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = REGISTRY["bucketed_join"](spark, "/root/testdata/sf0.001")
+        joined.collect()
+        text = joined._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SelectedBucketsCount: 16 out of 16" in text and "Exchange" not in text
+
+
 def crash_at(monkeypatch, spark, step):
     """The ``step``-th statement that changes the catalog or data, from 0, is not run, nor is any after it."""
     done, run = [], type(spark).sql

@@ -23,7 +23,7 @@ from starloom.plans.profile_report import profile_report, report_rows
 from starloom.plans.profile_state import date_states, united_profile
 from starloom.schemas import Profile
 from starloom.session import prepared, scratch_path
-from starloom.sinks import ensure_table, layout, replace_partition, replace_table, write_csv
+from starloom.sinks import buckets_for, ensure_table, layout, replace_partition, replace_table, write_csv
 from starloom.sources import parse_failures, parse_json_col, read_csv, read_json, read_table
 from workload import standins
 
@@ -245,12 +245,13 @@ def partition_replace(spark, sf_dir):
 def bucketed_join(spark, sf_dir):
     """Two tables kept by the same key: neither the join nor the grouping shuffles."""
     kept = {}
+    buckets = buckets_for(*[read_table(spark, sf_dir, name) for name in ("orders", "lineitem")], least=8)
     for name, columns in (
         ("orders", (("o_orderkey", "bigint"), ("o_orderstatus", "varchar(1)"), ("o_custkey", "bigint"))),
         ("lineitem", (("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_suppkey", "bigint"))),
     ):
         key = columns[0][0]
-        profile = Profile(columns, sort_by=key, distribute_by=key, buckets=8)
+        profile = Profile(columns, sort_by=key, distribute_by=key, buckets=buckets)
         kept[name] = f"{name}_{uuid.uuid4().hex}"
         replace_table(C.conform(read_table(spark, sf_dir, name), profile), kept[name], profile, scratch_path(spark, name))
     joined = spark.table(kept["orders"]).join(spark.table(kept["lineitem"]), F.col("o_orderkey") == F.col("l_orderkey"))
