@@ -30,6 +30,8 @@ ROWS_PER_RANGE = 1_000_000
 LEAST_RANGES = 64
 # Where single rows are wanted, ranges that a round cuts a column, or a range of one, into.
 RANGES = 256
+# Ranks of frequent values that every task holds for rank correlation.
+FREQUENT_RANKS = 20_000
 
 
 def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -285,10 +287,12 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A value has as many ranks as there are sets of rows in which other columns are present: among
     the rows of each such set. They all come from one count of (column, value, set), whose prefix
-    sums follow the order of the values; one join gives every cell its ranks. So jobs and plan are
-    the same for any pattern of missing values. Ranks are taken relative to their mean, and each
-    task adds up all pairs with numpy. Rows get a number and are stored first, as cells go back
-    to their rows by it.
+    sums follow the order of the values. The most frequent values, a bounded number, are looked up by
+    every task in a small table; only cells of other values are shuffled, to be joined with their
+    ranks and to go back to their rows. So jobs and plan are the same for any number of columns and
+    any pattern of missing values, and a hot value meets in no task. Ranks are taken relative to
+    their mean, and each task adds up all pairs with numpy. Rows get a number and are stored first,
+    as cells go back to their rows by it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "spearman-rows")
@@ -316,41 +320,109 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     # (n_before + (n + 1) / 2) less the mean of all ranks, (total + 1) / 2.
     rank = F.col("n_before") + (F.col("n") - F.col("total")) / F.lit(2.0)
-    ranks = _positions(counts, ["c", "g"]).groupBy("c", "value").agg(F.collect_list(F.struct("g", rank.alias("rank"))).alias("ranks"))
-    rows = (
-        cells.select("row", "c", "value")
-        .join(ranks, ["c", "value"])
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("c", "ranks")).alias("cells"))
-        .select("cells")
-    )
+    ranks_path = scratch_path(spark, "spearman-ranks")
+    _positions(counts, ["c", "g"]).groupBy("c", "value").agg(
+        F.collect_list(F.struct("g", rank.alias("rank"))).alias("ranks"), F.max("n").alias("n")
+    ).write.parquet(ranks_path)
+    ranks = spark.read.parquet(ranks_path)
+    tables = _frequent_ranks(ranks, k, len(sets))
     left, right = np.triu_indices(k, 1)
     out = ["pair", "n", "xx", "yy", "xy"]
     step = max(1, 2_000_000 // (k * k))
 
-    def sums_of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def looked_up(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ranks by row, column and set; which cells are present; which of them the tables lack."""
+        here = ~np.isnan(values)
+        x, rare = np.zeros((*values.shape, len(sets))), here.copy()
+        for c, (known, rank) in enumerate(tables):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, values[:, c]), len(known) - 1)
+                hit = known[at] == values[:, c]
+                x[hit, c], rare[hit, c] = rank[at[hit]], False
+        return x, here, rare
+
+    def pair_sums(x: np.ndarray, here: np.ndarray) -> np.ndarray:
+        here = here.astype(float)
+        # Per column of the first axis its rank among the rows where that of the second is present.
+        x = x[:, :, set_of] * here[:, :, None] * here[:, None, :]
+        square = np.einsum("rij,rij->ij", x, x)
+        return np.stack([here.T @ here, square, square.T, np.einsum("rij,rji->ij", x, x)])
+
+    def as_rows(total: np.ndarray) -> pa.RecordBatch:
+        numbered = pa.array(np.arange(len(left), dtype=np.int32))
+        return pa.record_batch([numbered, *(pa.array(t[left, right]) for t in total)], out)
+
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        for batch in batches:
+            for part in (batch.slice(at, step) for at in range(0, batch.num_rows, step)):
+                yield part, np.stack([c.to_numpy(zero_copy_only=False) for c in part.columns[:k]], 1).astype(float)
+
+    def of_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums over rows of frequent values alone."""
+        total = np.zeros((4, k, k))
+        for _, values in parts_of(batches):
+            x, here, rare = looked_up(values)
+            whole = ~rare.any(1)
+            total += pair_sums(x[whole], here[whole])
+        yield as_rows(total)
+
+    def rare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The cells that the tables lack; the first of a row brings all values of the row."""
+        for part, values in parts_of(batches):
+            row, c = np.nonzero(looked_up(values)[2])
+            first = np.concatenate([[True], row[1:] != row[:-1]])[: len(row)]
+            ends = np.concatenate([[0], np.cumsum(np.where(first, k, 0))]).astype(np.int32)
+            brought = pa.ListArray.from_arrays(pa.array(ends), pa.array(values[row[first]].ravel()))
+            number = part.column(k).to_numpy()[row]
+            yield pa.record_batch(
+                [pa.array(number), pa.array(c.astype(np.int32)), pa.array(values[row, c]), brought], ["row", "c", "value", "values"]
+            )
+
+    def of_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums over rows with other values."""
         total = np.zeros((4, k, k))
         for batch in batches:
-            for part in (batch.column(0).slice(at, step) for at in range(0, batch.num_rows, step)):
-                x, here = np.zeros((len(part), k, len(sets))), np.zeros((len(part), k))
-                cell = part.flatten()
-                row = np.repeat(np.arange(len(part)), pc.list_value_length(part))
+            for part in (batch.slice(at, step) for at in range(0, batch.num_rows, step)):
+                x, here, _ = looked_up(part.column(1).flatten().to_numpy().reshape(-1, k))
+                cell = part.column(0).flatten()
+                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(0)))
                 c, found = pc.struct_field(cell, "c").to_numpy(), pc.struct_field(cell, "ranks")
                 each, length = found.flatten(), pc.list_value_length(found).to_numpy()
                 at = np.repeat(row, length), np.repeat(c, length), pc.struct_field(each, "g").to_numpy()
-                x[at], here[row, c] = pc.struct_field(each, "rank").to_numpy(), 1
-                # Per column of the first axis its rank among the rows where that of the second is present.
-                x = x[:, :, set_of] * here[:, :, None] * here[:, None, :]
-                square = np.einsum("rij,rij->ij", x, x)
-                total += [here.T @ here, square, square.T, np.einsum("rij,rji->ij", x, x)]
-        numbered = pa.array(np.arange(len(left), dtype=np.int32))
-        yield pa.record_batch([numbered, *(pa.array(t[left, right]) for t in total)], out)
+                x[at] = pc.struct_field(each, "rank").to_numpy()
+                total += pair_sums(x, here)
+        yield as_rows(total)
 
-    found = rows.mapInArrow(sums_of_pairs, "pair int, n double, xx double, yy double, xy double")
+    rows = (
+        numbers.select(*names, "row")
+        .mapInArrow(rare_cells, "row long, c int, value double, values array<double>")
+        .join(ranks.drop("n"), ["c", "value"])
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("c", "ranks")).alias("cells"), F.flatten(F.collect_list("values")).alias("values"))
+        .select("cells", "values")
+    )
+    schema = "pair int, n double, xx double, yy double, xy double"
+    found = numbers.select(*names).mapInArrow(of_frequent, schema).unionByName(rows.mapInArrow(of_joined, schema))
     total = found.groupBy("pair").agg(*[F.sum(c).alias(c) for c in out[1:]]).filter("n > 0")
     return total.select("pair", F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("r"))
 
 
+def _frequent_ranks(ranks: DataFrame, columns: int, sets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per column the most frequent values in order, and their ranks by set; FREQUENT_RANKS ranks at most."""
+    found = ranks.orderBy(F.desc("n"), "c", "value").limit(max(1, FREQUENT_RANKS // sets)).collect()
+    by_column: list[list] = [[] for _ in range(columns)]
+    for r in sorted(found, key=lambda r: r["value"]):
+        by_column[r["c"]].append(r)
+    tables = []
+    for own in by_column:
+        table = np.zeros((len(own), sets))
+        for i, r in enumerate(own):
+            for each in r["ranks"]:
+                table[i, each["g"]] = each["rank"]
+        tables.append((np.array([r["value"] for r in own], float), table))
+    return tables
+
+
 def approximate_ranks(df: DataFrame, columns: Sequence[str], parts: int = 1000) -> DataFrame:
     """The columns with approximate average ranks, as shares from 0 to 1, in place of values.
 

@@ -117,6 +117,20 @@ def test_spearman_of_many_missing_patterns(spark):
         assert found[x, y] == (wanted if wanted is None else pytest.approx(wanted, abs=1e-9))
 
 
+@pytest.mark.parametrize("frequent", [1, 5, 20_000])
+def test_spearman_shuffles_rare_values_alone(spark, monkeypatch, frequent):
+    from starloom.operators import ranks
+
+    monkeypatch.setattr(ranks, "FREQUENT_RANKS", frequent)
+    r = random.Random(8)
+    rows = [(float(i % 3), r.choice([None, 1.0, 4.0]), r.choice([r.gauss(0, 9), 2.5, math.inf, -0.0])) for i in range(900)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
+    pdf = pd.DataFrame(rows, columns=list("abc"), dtype=float)
+    for x in correlations(df, method="spearman").collect():
+        both = pdf[[x["column_x"], x["column_y"]]].dropna()
+        assert x["r"] == pytest.approx(both.iloc[:, 0].rank().corr(both.iloc[:, 1].rank()), abs=1e-9)
+
+
 def test_pairs_without_common_rows_are_listed(spark):
     df = spark.createDataFrame([(1.0, None, "a", None), (None, 2.0, None, "b")], "x double, y double, s string, t string")
     for method in ("pearson", "spearman", "spearman_approx"):
